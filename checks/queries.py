@@ -226,12 +226,23 @@ def fallback_medians(spark, sf):
     return history.fallback_medians(order_splits(spark, sf)["train"])
 
 
-def _event_history(spark, sf):
-    splits = event_splits(spark, sf)
+def stored_event_splits(spark, sf):
+    return features.split_frames(durable(event_accepted(spark, sf), "accepted"), adapters.EVENT_CALENDAR)
+
+
+def stored_order_splits(spark, sf):
+    return features.split_frames(durable(order_accepted(spark, sf), "accepted"), adapters.ORDER_CALENDAR)
+
+
+def _with_history(splits):
     routes = history.fit_history(splits["train"])
     return {name: history.apply_history(part, routes) for name, part in splits.items()}
 
 
+def _event_history(spark, sf):
+    return _with_history(stored_event_splits(spark, sf))
+
+
 def route_history(spark, sf):
     return _event_history(spark, sf)["test"].select(
         "event_id", *ROUTE, "historical_distance", "historical_duration", "unseen_pair"
@@ -282,26 +293,26 @@ def _with_route_mean(splits):
 
 
 def baseline_metrics(spark, sf):
-    metrics = evaluation.regression_metrics(_with_mean(order_splits(spark, sf)))
+    metrics = evaluation.regression_metrics(_with_mean(stored_order_splits(spark, sf)))
     return rounded(metrics, "mae", "rmse", "r2", "within_2_pct", "within_5_pct")
 
 
 def route_rate_metrics(spark, sf):
-    metrics = evaluation.regression_metrics(_with_route_mean(order_splits(spark, sf)))
+    metrics = evaluation.regression_metrics(_with_route_mean(stored_order_splits(spark, sf)))
     return rounded(metrics, "mae", "rmse", "r2", "within_2_pct", "within_5_pct")
 
 
 def error_by_fare_band(spark, sf):
-    return rounded(evaluation.error_by_fare_band(_with_mean(event_splits(spark, sf))), "mae", "rmse")
+    return rounded(evaluation.error_by_fare_band(_with_mean(stored_event_splits(spark, sf))), "mae", "rmse")
 
 
 def worst_residuals(spark, sf):
-    worst = evaluation.worst_residuals(_with_mean(event_splits(spark, sf)), tie_break=["event_id"])
+    worst = evaluation.worst_residuals(_with_mean(stored_event_splits(spark, sf)), tie_break=["event_id"])
     return rounded(worst, "prediction", "absolute_error")
 
 
 def rmse_change(spark, sf):
-    splits = order_splits(spark, sf)
+    splits = stored_order_splits(spark, sf)
     metrics = evaluation.compare_models(
         {("mean_baseline", "TrainingMean"): _with_mean(splits), ("route_mean", "RouteMean"): _with_route_mean(splits)}
     )
@@ -311,9 +322,7 @@ def rmse_change(spark, sf):
 # ---- Spark ML ------------------------------------------------------------
 
 def _order_history(spark, sf):
-    splits = order_splits(spark, sf)
-    routes = history.fit_history(splits["train"])
-    return {name: history.apply_history(part, routes) for name, part in splits.items()}
+    return _with_history(stored_order_splits(spark, sf))
 
 
 def encoded_features(spark, sf):
@@ -334,7 +343,7 @@ def encoded_features(spark, sf):
 
 def linear_one_feature(spark, sf):
     """Least squares of fare on distance: slope and intercept."""
-    train = order_splits(spark, sf)["train"].select("fare_amount", "trip_distance")
+    train = stored_order_splits(spark, sf)["train"].select("fare_amount", "trip_distance")
     vectors = VectorAssembler(inputCols=["trip_distance"], outputCol="features").transform(train)
     model = LinearRegression(labelCol="fare_amount", regParam=0.0, solver="normal").fit(vectors)
     fitted = [(float(model.coefficients[0]), float(model.intercept))]
@@ -360,23 +369,18 @@ def gbt_regression(spark, sf):
     return _scored(_order_history(spark, sf), "GBTRegressor")
 
 
-def _stored_event_history(spark, sf):
-    return {name: durable(part, f"known-{name}") for name, part in _event_history(spark, sf).items()}
-
-
 def model_selection(spark, sf):
-    known = _stored_event_history(spark, sf)
-    fits = [modeling.fit_setting(known["train"], known["validation"], s) for s in modeling.SETTINGS]
-    ranking = reduce(DataFrame.unionByName, [f.ranking for f in fits])
+    known = _event_history(spark, sf)
+    fits = modeling.fit_settings(known["train"], known["validation"])
+    ranking = reduce(DataFrame.unionByName, [f.ranking for f in fits.values()])
     best = modeling.winner(ranking).select("setting", F.col("model").alias("selected_model"))
     return ranking.join(F.broadcast(best), "setting").withColumn("selected", F.col("model") == F.col("selected_model"))
 
 
 def _compared(spark, sf):
-    known = _stored_event_history(spark, sf)
+    known = _event_history(spark, sf)
     scored = {("mean_baseline", "TrainingMean"): _with_mean(known)}
-    for setting in modeling.SETTINGS:
-        fitted = modeling.fit_setting(known["train"], known["validation"], setting)
+    for setting, fitted in modeling.fit_settings(known["train"], known["validation"]).items():
         scored[(setting, fitted.selected)] = fitted.predict(known["test"])
     return evaluation.compare_models(scored)
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column, functions as F
 
 from tripfare.config import Limits
@@ -32,10 +34,11 @@ def failure_conditions(limits: Limits) -> dict[str, Column]:
     """Reason → condition under which a trip fails, over the tagged-trip columns."""
     pickup, dropoff = F.col("pickup_datetime"), F.col("dropoff_datetime")
     miles, minutes, fare = F.col("trip_distance"), F.col("duration_minutes"), F.col("fare_amount")
-    year = F.year(pickup)
+    # Whole years as a range: no calendar arithmetic per row.
+    opens, closes = dt.date(limits.years[0], 1, 1), dt.date(limits.years[1] + 1, 1, 1)
     conditions = (
         F.isnull(pickup) | F.isnull(dropoff),
-        (year < limits.years[0]) | (year > limits.years[1]),
+        (pickup < F.lit(opens)) | (pickup >= F.lit(closes)),
         _unusable(miles),
         miles > limits.max_miles,
         minutes < limits.minutes[0],

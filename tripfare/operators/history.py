@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tripfare.config import ROUTE
 from tripfare.operators.durable import durable
 from tripfare.operators.joins import BROADCAST_BYTES, lookup_join
-from tripfare.operators.quantiles import lower_medians
+from tripfare.operators.quantiles import lower_medians, merged_counts, value_counts
 
 MEDIANS = {"historical_distance": "trip_distance", "historical_duration": "duration_minutes"}
 
@@ -41,17 +41,23 @@ def load_history(spark: SparkSession, path: str) -> RouteHistory:
 
 
 def route_medians(training: DataFrame, keys: Sequence[str] = ROUTE) -> DataFrame:
-    return lower_medians(training, keys, MEDIANS)
+    return lower_medians(value_counts(training, keys, MEDIANS), keys, MEDIANS)
 
 
 def fallback_medians(training: DataFrame) -> DataFrame:
-    return lower_medians(training, (), MEDIANS)
+    return lower_medians(value_counts(training, (), MEDIANS), (), MEDIANS)
 
 
 def fit_history(training: DataFrame, keys: Sequence[str] = ROUTE) -> RouteHistory:
-    """Fit on training trips only. Stores the lookup, so its size is known from here on."""
-    lookup = durable(route_medians(training, keys), "routes")
-    return RouteHistory(lookup, lookup.count(), fallback_medians(training).first().asDict(), tuple(keys))
+    """Fit on training trips only, in one pass over them.
+
+    The lookup is stored, so its size is known from here on.
+    """
+    counts = durable(value_counts(training, keys, MEDIANS), "route-values")
+    lookup = durable(lower_medians(counts, keys, MEDIANS), "routes")
+    overall = lower_medians(merged_counts(counts), (), MEDIANS).first()
+    fallback = overall.asDict() if overall else dict.fromkeys(MEDIANS)
+    return RouteHistory(lookup, lookup.count(), fallback, tuple(keys))
 
 
 def apply_history(trips: DataFrame, history: RouteHistory, broadcast_limit: int = BROADCAST_BYTES) -> DataFrame:
@@ -62,7 +68,8 @@ def apply_history(trips: DataFrame, history: RouteHistory, broadcast_limit: int
     joined = lookup_join(
         trips, history.lookup, history.keys, lookup_rows=history.routes, broadcast_limit=broadcast_limit
     )
-    return joined.withColumn("unseen_pair", F.col("historical_distance").isNull()).fillna(dict(history.fallback))
+    filled = {n: F.coalesce(F.nanvl(n, F.lit(None).cast("double")), F.lit(v).cast("double")) for n, v in history.fallback.items()}
+    return joined.withColumn("unseen_pair", F.col("historical_distance").isNull()).withColumns(filled)
 
 
 def unseen_count(trips: DataFrame) -> DataFrame:

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
-from typing import Mapping
+from typing import Mapping, Sequence
 
-from pyspark import StorageLevel
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
@@ -68,24 +69,47 @@ class FittedSetting:
         return self.models[self.selected].transform(self.preprocessing.transform(history))
 
 
-def fit_setting(training: DataFrame, validation: DataFrame, setting: str, seed: int = 42) -> FittedSetting:
-    """Fit every candidate on the training split and select on the validation split.
+def fit_settings(
+    training: DataFrame, validation: DataFrame, settings: Sequence[str] = tuple(SETTINGS), seed: int = 42
+) -> dict[str, FittedSetting]:
+    """Fit every candidate under every setting on training trips; select on validation trips.
 
-    Models are not refitted on validation rows. All candidates are scored in
-    one aggregation.
+    Models are not refitted on validation rows. The fits are independent, so
+    they are submitted together, and all candidates are scored in one aggregation.
     """
-    prepared = preprocessing(setting).fit(training)
-    vectors = [
-        prepared.transform(part).select(LABEL, "features").persist(StorageLevel.MEMORY_AND_DISK)
-        for part in (training, validation)
-    ]
+    spark = training.sparkSession
+    prepared = {setting: preprocessing(setting).fit(training) for setting in settings}
+    vectors = {
+        setting: [
+            stages.transform(part).select(LABEL, "features").persist(StorageLevel.MEMORY_AND_DISK)
+            for part in (training, validation)
+        ]
+        for setting, stages in prepared.items()
+    }
+    jobs = [(setting, name, estimator) for setting in settings for name, estimator in candidates(seed).items()]
+
+    def fit(job):
+        setting, _, estimator = job
+        return estimator.fit(vectors[setting][0])
+
     try:
-        models = {name: estimator.fit(vectors[0]) for name, estimator in candidates(seed).items()}
-        scored = {(setting, name): model.transform(vectors[1]) for name, model in models.items()}
-        # Three rows; kept as values so the vectors can be released.
-        rows = compare_models(scored).collect()
+        with ThreadPoolExecutor(len(jobs)) as pool:
+            fitted = list(pool.map(inheritable_thread_target(fit), jobs))
+        models = {(setting, name): model for (setting, name, _), model in zip(jobs, fitted)}
+        scores = compare_models({case: model.transform(vectors[case[0]][1]) for case, model in models.items()})
+        # One row per candidate; kept as values so the vectors can be released.
+        ranking = spark.createDataFrame(scores.collect(), scores.schema)
     finally:
-        for frame in vectors:
+        for frame in (f for pair in vectors.values() for f in pair):
             frame.unpersist()
-    ranking = training.sparkSession.createDataFrame(rows, compare_models(scored).schema)
-    return FittedSetting(setting, prepared, models, ranking, winner(ranking).first()["model"])
+    best = {row["setting"]: row["model"] for row in winner(ranking).collect()}
+    return {
+        setting: FittedSetting(
+            setting,
+            prepared[setting],
+            {name: model for (owner, name), model in models.items() if owner == setting},
+            ranking.filter(F.col("setting") == setting),
+            best[setting],
+        )
+        for setting in settings
+    }

@@ -10,59 +10,63 @@ from pyspark.sql import DataFrame, Window, functions as F
 # side of zero, so a group has at most some 262,000 slices whatever it holds.
 SLICES_PER_DOUBLING = 128
 
+_GROUP = ("grp", "measure")
 
-def lower_medians(frame: DataFrame, keys: Sequence[str], measures: Mapping[str, str]) -> DataFrame:
-    """Lower median of each measure per key: ``measures`` maps output name → column.
 
-    This is the value ``percentile_disc(0.5)`` returns, NULLs ignored, and it
-    lies inside the error bound of an approximate median at any accuracy.
+def value_counts(frame: DataFrame, keys: Sequence[str], measures: Mapping[str, str]) -> DataFrame:
+    """Rows per (group, measure, value), NULL values left out.
 
-    1. Count equal values per group. The count is combined before the shuffle
-       and spread by (group, value), so a hot group is split, copies collapse.
-    2. Sum the counts over order-preserving slices and find the one slice of
-       each group that holds the middle row.
-    3. Rank only the values of that slice.
+    ``measures`` maps output name → column. Counts are combined before the
+    shuffle and spread by value, so a hot group is split and copies collapse.
     """
-    keys = list(keys)
+    # A struct equals itself when a key inside it is NULL, in joins as well.
+    group = F.struct(F.lit(True).alias("all"), *[F.col(k) for k in keys]).alias("grp")
     pairs = [
-        F.struct(
-            F.struct(*[F.col(k) for k in keys], F.lit(name).alias("measure")).alias("grp"),
-            F.col(column).cast("double").alias("value"),
-        )
+        F.struct(F.lit(name).alias("measure"), F.col(column).cast("double").alias("value"))
         for name, column in measures.items()
     ]
-    # A struct as group key equals itself when a key is NULL, in joins as well.
-    values = frame.select(F.inline(F.array(*pairs))).filter(F.col("value").isNotNull())
+    values = frame.select(group, F.inline(F.array(*pairs))).filter(F.col("value").isNotNull())
+    return values.groupBy(*_GROUP, "value").agg(F.count(F.lit(1)).alias("n"))
+
+
+def merged_counts(counts: DataFrame) -> DataFrame:
+    """The same counts with all groups taken as one."""
+    everything = F.struct(F.lit(True).alias("all")).alias("grp")
+    return counts.groupBy(everything, "measure", "value").agg(F.sum("n").alias("n"))
+
+
+def lower_medians(counts: DataFrame, keys: Sequence[str], measures: Mapping[str, str]) -> DataFrame:
+    """Lower median of each measure per key, from ``value_counts``.
+
+    This is the value ``percentile_disc(0.5)`` returns, and it lies inside the
+    error bound of an approximate median at any accuracy.
+
+    1. Sum the counts over order-preserving slices, and find the one slice of
+       each group that holds the middle row.
+    2. Rank only the values of that slice.
+    """
     slice_of = F.signum("value") * F.rint(F.log2(F.abs("value") + 1) * SLICES_PER_DOUBLING)
-    histogram = (
-        values.groupBy("grp", "value")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .withColumn("slice", slice_of)
-        .repartition("grp", "slice")
-    )
+    # The filter removes nothing. It keeps both uses below alike, so they share one shuffle.
+    sliced = counts.withColumn("slice", slice_of).filter(F.col("slice").isNotNull())
 
-    by_group = Window.partitionBy("grp")
-    slices = (
-        histogram.groupBy("grp", "slice")
+    whole = Window.partitionBy(*_GROUP)
+    running = whole.orderBy("slice").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    before, middle = F.col("upto") - F.col("n"), F.expr("(total + 1) div 2")
+    middle_slice = (
+        sliced.groupBy(*_GROUP, "slice")
         .agg(F.sum("n").alias("n"))
-        .select(
-            "grp",
-            "slice",
-            (F.sum("n").over(by_group.orderBy("slice").rowsBetween(Window.unboundedPreceding, 0)) - F.col("n")).alias("before"),
-            "n",
-            F.ceil(F.sum("n").over(by_group) / 2).alias("middle"),
-        )
-        .filter((F.col("before") < F.col("middle")) & (F.col("middle") <= F.col("before") + F.col("n")))
-        .select("grp", "slice", (F.col("middle") - F.col("before")).alias("rank"))
+        .withColumns({"upto": F.sum("n").over(running), "total": F.sum("n").over(whole)})
+        .filter((before < middle) & (middle <= F.col("upto")))
+        .select(*_GROUP, "slice", (middle - before).alias("rank"))
     )
 
-    in_slice = Window.partitionBy("grp", "slice").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
+    in_slice = whole.orderBy("value").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     middle_values = (
-        histogram.join(slices, ["grp", "slice"])
+        sliced.join(middle_slice, [*_GROUP, "slice"])
+        .repartition("grp")
         .withColumn("upto", F.sum("n").over(in_slice))
-        .filter((F.col("upto") >= F.col("rank")) & (F.col("upto") - F.col("n") < F.col("rank")))
+        .filter((F.col("upto") - F.col("n") < F.col("rank")) & (F.col("rank") <= F.col("upto")))
     )
-    outputs = [
-        F.max(F.when(F.col("grp.measure") == name, F.col("value"))).alias(name) for name in measures
-    ]
-    return middle_values.groupBy(*[F.col(f"grp.{k}").alias(k) for k in keys]).agg(*outputs)
+    per_measure = [F.max(F.when(F.col("measure") == name, F.col("value"))).alias(name) for name in measures]
+    medians = middle_values.groupBy("grp").agg(*per_measure)
+    return medians.select(*[F.col(f"grp.{k}").alias(k) for k in keys], *measures)

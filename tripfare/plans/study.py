@@ -41,8 +41,7 @@ def model_study(trips: DataFrame, output: str, config: StudyConfig, fraction: fl
     mean = evaluation.training_mean(splits["train"])
     scored = {(BASELINE, "TrainingMean"): evaluation.with_constant(known["test"], mean)}
     rankings, results = [], {}
-    for setting in modeling.SETTINGS:
-        fitted = modeling.fit_setting(known["train"], known["validation"], setting, config.seed)
+    for setting, fitted in modeling.fit_settings(known["train"], known["validation"], seed=config.seed).items():
         rankings.append(fitted.ranking)
         predictions = durable(fitted.predict(known["test"]).drop("features"), f"predictions-{setting}")
         scored[(setting, fitted.selected)] = predictions

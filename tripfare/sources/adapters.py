@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from tripfare.config import Calendar, Limits
 from tripfare.operators.joins import lookup_join
+from tripfare.sources.manifest import source_manifest
 
 ORDER_LIMITS = Limits(
     years=(1995, 2000), max_miles=45.0, minutes=(1440.0, 1_440_000.0), max_mph=0.01, max_fare=80_000.0
@@ -23,6 +24,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def table_rows(spark: SparkSession, sf_dir: str, *names: str) -> dict[str, int]:
+    """Row counts of a few tables, from their footers in one job."""
+    manifest = source_manifest(spark, [f"{sf_dir}/{n}.parquet" for n in names])
+    table_of = F.regexp_extract("path", r"([^/]+)\.parquet", 1).alias("table")
+    counts = manifest.groupBy(table_of).agg(F.sum("row_count").alias("row_count"))
+    return {r["table"]: r["row_count"] for r in counts.collect()}
+
+
 def order_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One trip per order line: ordered → shipped, customer nation → supplier nation."""
     orders = table(spark, sf_dir, "orders").select(
@@ -42,13 +51,14 @@ def order_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.nullif("l_quantity", F.lit(50.0)).alias("trip_distance"),
         F.col("l_extendedprice").alias("fare_amount"),
     )
+    rows = table_rows(spark, sf_dir, "orders", "customer", "supplier")
     # Customers join the orders, which are fewer than the lines. The join keeps
     # at most one row per order, so the order count bounds its size.
-    origins = lookup_join(orders, customers, ["o_custkey"], "inner").select(
+    origins = lookup_join(orders, customers, ["o_custkey"], "inner", lookup_rows=rows["customer"]).select(
         F.col("o_orderkey").alias("l_orderkey"), "pickup_datetime", "PULocationID"
     )
-    trips = lookup_join(lines, origins, ["l_orderkey"], "inner", lookup_rows=orders.count())
-    return lookup_join(trips, suppliers, ["l_suppkey"], "inner").select(
+    trips = lookup_join(lines, origins, ["l_orderkey"], "inner", lookup_rows=rows["orders"])
+    return lookup_join(trips, suppliers, ["l_suppkey"], "inner", lookup_rows=rows["supplier"]).select(
         "l_orderkey",
         "l_linenumber",
         "pickup_datetime",
