@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tripfare.config import ROUTE
 from tripfare.operators.durable import durable
 from tripfare.operators.joins import BROADCAST_BYTES, lookup_join
-from tripfare.operators.quantiles import lower_medians, merged_counts, value_counts
+from tripfare.operators.quantiles import lower_medians, value_counts, with_overall
 
 MEDIANS = {"historical_distance": "trip_distance", "historical_duration": "duration_minutes"}
 
@@ -41,11 +41,11 @@ def load_history(spark: SparkSession, path: str) -> RouteHistory:
 
 
 def route_medians(training: DataFrame, keys: Sequence[str] = ROUTE) -> DataFrame:
-    return lower_medians(value_counts(training, keys, MEDIANS), keys, MEDIANS)
+    return lower_medians(value_counts(training, keys, MEDIANS), MEDIANS).drop("overall")
 
 
 def fallback_medians(training: DataFrame) -> DataFrame:
-    return lower_medians(value_counts(training, (), MEDIANS), (), MEDIANS)
+    return route_medians(training, ())
 
 
 def fit_history(training: DataFrame, keys: Sequence[str] = ROUTE) -> RouteHistory:
@@ -54,10 +54,10 @@ def fit_history(training: DataFrame, keys: Sequence[str] = ROUTE) -> RouteHistor
     The lookup is stored, so its size is known from here on.
     """
     counts = durable(value_counts(training, keys, MEDIANS), "route-values")
-    lookup = durable(lower_medians(counts, keys, MEDIANS), "routes")
-    overall = lower_medians(merged_counts(counts), (), MEDIANS).first()
-    fallback = overall.asDict() if overall else dict.fromkeys(MEDIANS)
-    return RouteHistory(lookup, lookup.count(), fallback, tuple(keys))
+    medians = durable(lower_medians(with_overall(counts), MEDIANS), "routes")
+    overall = [F.max(F.when(F.col("overall"), F.col(name))).alias(name) for name in MEDIANS]
+    facts = medians.agg(F.count_if(~F.col("overall")).alias("routes"), *overall).first().asDict()
+    return RouteHistory(medians.filter(~F.col("overall")).drop("overall"), facts.pop("routes"), facts, tuple(keys))
 
 
 def apply_history(trips: DataFrame, history: RouteHistory, broadcast_limit: int = BROADCAST_BYTES) -> DataFrame:

@@ -20,7 +20,7 @@ def value_counts(frame: DataFrame, keys: Sequence[str], measures: Mapping[str, s
     shuffle and spread by value, so a hot group is split and copies collapse.
     """
     # A struct equals itself when a key inside it is NULL, in joins as well.
-    group = F.struct(F.lit(True).alias("all"), *[F.col(k) for k in keys]).alias("grp")
+    group = F.struct(F.lit(False).alias("overall"), *[F.col(k) for k in keys]).alias("grp")
     pairs = [
         F.struct(F.lit(name).alias("measure"), F.col(column).cast("double").alias("value"))
         for name, column in measures.items()
@@ -29,14 +29,18 @@ def value_counts(frame: DataFrame, keys: Sequence[str], measures: Mapping[str, s
     return values.groupBy(*_GROUP, "value").agg(F.count(F.lit(1)).alias("n"))
 
 
-def merged_counts(counts: DataFrame) -> DataFrame:
-    """The same counts with all groups taken as one."""
-    everything = F.struct(F.lit(True).alias("all")).alias("grp")
-    return counts.groupBy(everything, "measure", "value").agg(F.sum("n").alias("n"))
+def with_overall(counts: DataFrame) -> DataFrame:
+    """The counts, and the same counts once more as one group of everything."""
+    fields = counts.schema["grp"].dataType.fields
+    everything = F.struct(
+        F.lit(True).alias("overall"), *[F.lit(None).cast(f.dataType).alias(f.name) for f in fields if f.name != "overall"]
+    )
+    merged = counts.groupBy("measure", "value").agg(F.sum("n").alias("n")).withColumn("grp", everything)
+    return counts.unionByName(merged)
 
 
-def lower_medians(counts: DataFrame, keys: Sequence[str], measures: Mapping[str, str]) -> DataFrame:
-    """Lower median of each measure per key, from ``value_counts``.
+def lower_medians(counts: DataFrame, measures: Mapping[str, str]) -> DataFrame:
+    """Lower median of each measure per group of ``value_counts``: overall, keys, medians.
 
     This is the value ``percentile_disc(0.5)`` returns, and it lies inside the
     error bound of an approximate median at any accuracy.
@@ -68,5 +72,4 @@ def lower_medians(counts: DataFrame, keys: Sequence[str], measures: Mapping[str,
         .filter((F.col("upto") - F.col("n") < F.col("rank")) & (F.col("rank") <= F.col("upto")))
     )
     per_measure = [F.max(F.when(F.col("measure") == name, F.col("value"))).alias(name) for name in measures]
-    medians = middle_values.groupBy("grp").agg(*per_measure)
-    return medians.select(*[F.col(f"grp.{k}").alias(k) for k in keys], *measures)
+    return middle_values.groupBy("grp").agg(*per_measure).select("grp.*", *measures)

@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from typing import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 
 def source_manifest(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     """Rows and bytes per file. Reads no data columns, so Parquet answers from its footers."""
-    files = spark.read.option("mergeSchema", "false").parquet(*paths)
+    files = spark.read.schema(T.StructType([])).parquet(*paths)
     return (
         files.groupBy(
             F.col("_metadata.file_path").alias("path"),

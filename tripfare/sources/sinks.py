@@ -8,25 +8,17 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from tripfare.functions.clock import readable
 
-_PARTS = ("pickup_year", "pickup_month_of_year")
-
-
 def write_trips(trips: DataFrame, path: str) -> DataFrame:
-    """Store trips by fleet (when present), year and month, and read them back.
+    """Store trips by fleet (when present) and pickup year, and read them back.
 
-    Months arrive in their own files, so tasks write few partitions each and
-    no shuffle is needed. Later time ranges read only their own folders.
+    Source files hold one month each, so a task writes one or two folders and
+    no shuffle is needed. Finer folders would only shed small files, as the
+    rows of a month are already together.
     """
     fleet = [c for c in ("fleet",) if c in trips.columns]
-    pickup = F.col("pickup_datetime")
-    laid_out = trips.withColumns(dict(zip(_PARTS, (F.year(pickup), F.month(pickup)))))
-    laid_out.write.mode("overwrite").partitionBy(*fleet, *_PARTS).parquet(path)
-    return read_trips(trips.sparkSession, path, laid_out.schema)
-
-
-def read_trips(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
-    reader = spark.read if schema is None else spark.read.schema(schema)
-    return reader.parquet(path).drop("pickup_month_of_year")
+    laid_out = trips.withColumn("pickup_year", F.year("pickup_datetime"))
+    laid_out.write.mode("overwrite").partitionBy(*fleet, "pickup_year").parquet(path)
+    return trips.sparkSession.read.schema(laid_out.schema).parquet(path)
 
 
 def formatted(table: DataFrame) -> DataFrame:
