@@ -1,0 +1,94 @@
+"""Models and the whole study on the small event table."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from tests.conftest import rows
+from tripfare.config import StudyConfig
+from tripfare.operators import modeling
+from tripfare.plans.study import run_study
+from tripfare.sources import adapters, sinks
+
+CONFIG = StudyConfig(
+    limits=adapters.EVENT_LIMITS,
+    calendar=adapters.EVENT_CALENDAR,
+    clock="wall",
+    fractions={"yellow": 1.0, "green": 0.9},
+    minimum_trips=1,
+    minimum_split_rows=5,
+    example_distance=20.5,
+    base_month="2024-01",
+)
+
+
+@pytest.fixture(scope="module")
+def study(spark, tmp_path_factory):
+    """The event trips as two fleets."""
+    trips = adapters.event_trips(spark, "/root/testdata/sf0.001").withColumn(
+        "fleet", F.when(F.col("event_id") % 3 == 0, "green").otherwise("yellow")
+    )
+    folder = str(tmp_path_factory.mktemp("study"))
+    return folder, run_study(trips, folder, CONFIG)
+
+
+def test_every_row_is_accounted_for(study):
+    _, tables = study
+    report = {(r.fleet, r.reason): r.trip_count for r in tables["quality_report"].collect()}
+    for fleet in ("yellow", "green"):
+        assert report[fleet, "source total"] == sum(n for (f, r), n in report.items() if f == fleet and r != "source total")
+    assert report["yellow", "accepted"] + report["green", "accepted"] == 376
+    assert sum(report[f, "source total"] for f in ("yellow", "green")) == 1000
+
+
+def test_reports_cover_the_accepted_trips(study):
+    _, tables = study
+    for name in ("monthly_trips", "hourly_trips", "fare_by_distance"):
+        total = sum(tables[f"{f}/{name}"].agg(F.sum("trip_count")).first()[0] for f in ("yellow", "green"))
+        assert total == 376, name
+
+
+def test_selection_and_comparison(study):
+    _, tables = study
+    for fleet in ("yellow", "green"):
+        ranking = tables[f"{fleet}/validation_ranking"].collect()
+        assert len(ranking) == 6
+        compared = {r.setting: r for r in tables[f"{fleet}/model_comparison"].collect()}
+        assert set(compared) == {"mean_baseline", "pre_trip", "post_trip"}
+        for setting in ("pre_trip", "post_trip"):
+            best = min((r for r in ranking if r.setting == setting), key=lambda r: (r.rmse, r.position))
+            assert compared[setting].model == best.model
+        # The fare is ten times the distance, which only post_trip may see.
+        assert compared["post_trip"].rmse < compared["pre_trip"].rmse
+        assert compared["post_trip"].rmse < compared["mean_baseline"].rmse
+        assert len({r.n for r in compared.values()}) == 1
+
+
+def test_saved_artifacts_can_be_used(spark, study):
+    folder, tables = study
+    stages = sinks.load_pipeline(f"{folder}/yellow/models/post_trip/preprocessing")
+    model = sinks.load_model(f"{folder}/yellow/models/post_trip/model")
+    assert model.numFeatures == stages.transform(
+        spark.sql(
+            "SELECT 1 pickup_hour, 1 pickup_weekday, 1 pickup_month, 0D new_fare_regime, 1D historical_distance, "
+            "1D historical_duration, 1D trip_distance, 1D duration_minutes, 1 PULocationID, 1 DOLocationID"
+        )
+    ).first().features.size
+    assert sinks.read_table(spark, f"{folder}/results/yellow/fallback").count() == 1
+    assert tables["yellow/post_trip_worst_errors"].count() <= 20
+
+
+def test_ties_go_to_the_first_model(spark):
+    ranking = spark.createDataFrame(
+        [("s", "A", 0, 1.0), ("s", "B", 1, 1.0), ("t", "A", 2, 2.0), ("t", "B", 3, 1.5)],
+        "setting string, model string, position int, rmse double",
+    )
+    assert rows(modeling.winner(ranking)) == [("s", "A", 1.0), ("t", "B", 1.5)]
+
+
+def test_too_few_rows_stop_the_study(spark, tmp_path):
+    trips = adapters.event_trips(spark, "/root/testdata/sf0.001").withColumn("fleet", F.lit("yellow"))
+    config = StudyConfig(
+        limits=adapters.EVENT_LIMITS, calendar=adapters.EVENT_CALENDAR, clock="wall", fractions={"yellow": 0.05}
+    )
+    with pytest.raises(ValueError, match="every split needs 20"):
+        run_study(trips, str(tmp_path), config)

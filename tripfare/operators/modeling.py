@@ -94,7 +94,7 @@ def fit_settings(
 
     try:
         with ThreadPoolExecutor(len(jobs)) as pool:
-            fitted = list(pool.map(inheritable_thread_target(fit), jobs))
+            fitted = list(pool.map(inheritable_thread_target(spark)(fit), jobs))
         models = {(setting, name): model for (setting, name, _), model in zip(jobs, fitted)}
         scores = compare_models({case: model.transform(vectors[case[0]][1]) for case, model in models.items()})
         # One row per candidate; kept as values so the vectors can be released.
