@@ -63,6 +63,17 @@ def test_selection_and_comparison(study):
         assert len({r.n for r in compared.values()}) == 1
 
 
+def test_fleets_side_by_side(study):
+    _, tables = study
+    summary = {r.fleet: r for r in tables["run_summary"].collect()}
+    assert sum(r.accepted_rows for r in summary.values()) == 376
+    yellow = summary["yellow"]  # its sample holds every accepted trip
+    assert yellow.sample_fraction == 1.0
+    assert yellow.train_rows + yellow.validation_rows + yellow.test_rows == yellow.accepted_rows
+    assert tables["model_comparison"].count() == 6 and tables["validation_ranking"].count() == 12
+    assert {r.fleet for r in tables["route_coverage"].collect()} == {"yellow", "green"}
+
+
 def test_saved_artifacts_can_be_used(spark, study):
     folder, tables = study
     stages = sinks.load_pipeline(f"{folder}/yellow/models/post_trip/preprocessing")

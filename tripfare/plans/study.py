@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from functools import reduce
-from typing import Sequence
+from typing import Mapping, Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-from tripfare.config import StudyConfig
+from tripfare.config import SPLITS, StudyConfig
+from tripfare.functions.rules import ACCEPTED
 from tripfare.operators import analysis, evaluation, features, findings, history, modeling, quality, sampling
 from tripfare.operators.durable import durable
 from tripfare.sources import manifest, sinks
@@ -51,13 +52,13 @@ def model_study(trips: DataFrame, output: str, config: StudyConfig, fraction: fl
         sinks.save_model(fitted.models[fitted.selected], f"{output}/{setting}/model")
 
     labelled = [part.withColumn("split", F.lit(name)) for name, part in known.items()]
-    comparison = evaluation.compare_models(scored)
+    comparison = durable(evaluation.compare_models(scored), "comparison")
     return {
         **results,
         "split_counts": spark.createDataFrame(list(rows.items()), "split string, trip_count bigint"),
         "fallback": routes.fallback_frame(),
         "regime_counts": evaluation.regime_counts(splits["train"]),
-        "route_coverage": evaluation.route_coverage(reduce(DataFrame.unionByName, labelled)),
+        "route_coverage": durable(evaluation.route_coverage(reduce(DataFrame.unionByName, labelled)), "coverage"),
         "validation_ranking": reduce(DataFrame.unionByName, rankings),
         "model_comparison": comparison,
         "rmse_change_pre_trip": evaluation.rmse_change(comparison, "pre_trip", BASELINE),
@@ -65,6 +66,22 @@ def model_study(trips: DataFrame, output: str, config: StudyConfig, fraction: fl
     }
 
 
+def _per_fleet(tables: dict[str, DataFrame], fleets: Sequence[str], name: str) -> DataFrame:
+    """One small result table of every fleet, in one frame."""
+    parts = [tables[f"{fleet}/{name}"].select(F.lit(fleet).alias("fleet"), "*") for fleet in fleets]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def fleet_summary(counts: DataFrame, splits: DataFrame, fractions: Mapping[str, float]) -> DataFrame:
+    """Accepted rows, sample fraction and sampled rows per split of each fleet."""
+    accepted = counts.filter(F.col("quality_reason") == ACCEPTED).select("fleet", F.col("trip_count").alias("accepted_rows"))
+    fraction = F.coalesce(*[F.when(F.col("fleet") == f, F.lit(float(v))) for f, v in fractions.items()])
+    sampled = splits.groupBy("fleet").agg(
+        *[F.sum(F.when(F.col("split") == s, F.col("trip_count"))).alias(f"{s}_rows") for s in SPLITS]
+    )
+    return accepted.withColumn("sample_fraction", fraction).join(sampled, "fleet")
+
+
 def run_study(
     trips: DataFrame, output: str, config: StudyConfig = StudyConfig(), source_paths: Sequence[str] = ()
 ) -> dict[str, DataFrame]:
@@ -94,4 +111,6 @@ def run_study(
             enriched.filter(F.col("fleet") == fleet), f"{output}/{fleet}/models", config, config.fractions[fleet]
         )
         tables |= {f"{fleet}/{name}": table for name, table in (reports | numbers | models).items()}
+    tables |= {name: _per_fleet(tables, fleets, name) for name in ("model_comparison", "validation_ranking", "route_coverage")}
+    tables["run_summary"] = fleet_summary(counts, _per_fleet(tables, fleets, "split_counts"), config.fractions)
     return {name: sinks.write_table(table, f"{output}/results/{name}") for name, table in tables.items()}
