@@ -147,7 +147,7 @@ def highest_fare_dropoffs(spark, sf):
 
 
 def shared_scan_reports(spark, sf):
-    """The four reports of one scan, laid end to end."""
+    """The four reports from shared cells, laid end to end."""
     reports = analysis.analyses(event_accepted(spark, sf), MINIMUM_TRIPS)
     keys = {
         "monthly_trips": "month",

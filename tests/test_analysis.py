@@ -17,7 +17,7 @@ def as_lists(frame):
     return [tuple(round(v, 9) if isinstance(v, float) else v for v in r) for r in frame.collect()]
 
 
-def test_one_scan_gives_the_four_reports(trips):
+def test_shared_cells_give_the_four_reports(trips):
     together = analysis.analyses(trips, minimum=2)
     assert as_lists(together["monthly_trips"]) == as_lists(analysis.monthly_trips(trips))
     assert as_lists(together["hourly_trips"]) == as_lists(analysis.hourly_trips(trips))
@@ -66,7 +66,7 @@ def test_findings_settle_ties_on_the_earliest(spark):
 
 def test_band_extremes_agree_on_trips_and_cells(trips):
     from_trips = findings.band_extremes(trips).first()
-    from_cells = findings.band_extremes(analysis.shared_cells(trips)).first()
+    from_cells = findings.band_extremes(analysis.place_cells(trips)).first()
     assert from_trips.nearest_band == from_cells.nearest_band == "0–1"
     assert from_trips.farthest_mean_fare == pytest.approx(from_cells.farthest_mean_fare)
 
@@ -75,3 +75,10 @@ def test_scan_reads_only_what_a_report_needs(spark, tmp_path, trips):
     trips.write.parquet(f"{tmp_path}/trips")
     plan = analysis.fare_by_distance(spark.read.parquet(f"{tmp_path}/trips"))._jdf.queryExecution().executedPlan().toString()
     assert "ReadSchema: struct<trip_distance:double,fare_amount:double,distance_band:string>" in plan
+    plain = spark.read.parquet(f"{tmp_path}/trips").drop("pickup_hour", "pickup_month", "distance_band")
+    again = features.enrich(plain, adapters.EVENT_CALENDAR)
+    over_time, over_place = (
+        f(again)._jdf.queryExecution().executedPlan().toString() for f in (analysis.time_cells, analysis.place_cells)
+    )
+    assert "ReadSchema: struct<pickup_datetime:timestamp_ntz>" in over_time
+    assert "ReadSchema: struct<trip_distance:double,fare_amount:double,DOLocationID:int>" in over_place

@@ -6,7 +6,8 @@ from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from tripfare.operators.history import MEDIANS
-from tripfare.operators.quantiles import lower_medians, value_counts, with_overall
+from tripfare.operators import quantiles
+from tripfare.operators.quantiles import grouped_medians, spread_medians, summary_medians
 
 
 def brute(values):
@@ -29,18 +30,34 @@ numbers = st.one_of(
 trips = st.lists(st.tuples(st.one_of(st.none(), st.integers(0, 2)), st.integers(0, 1), numbers, numbers), min_size=1, max_size=60)
 
 
-@settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
-@given(trips)
-def test_any_values_any_groups(spark, data):
-    frame = spark.createDataFrame(data, "a int, b int, trip_distance double, duration_minutes double")
-    got = lower_medians(with_overall(value_counts(frame, ["a", "b"], MEDIANS)), MEDIANS).collect()
-    found = {(r.overall, r.a, r.b): (r.historical_distance, r.historical_duration) for r in got}
-    groups = {(False, a, b) for a, b, *_ in data} | {(True, None, None)}
-    for overall, a, b in groups:
-        mine = data if overall else [t for t in data if t[:2] == (a, b)]
+def check(found, data, keyed=True):
+    found = {(r.a, r.b) if keyed else (): (r.historical_distance, r.historical_duration) for r in found.collect()}
+    for group in {(a, b) for a, b, *_ in data} if keyed else {()}:
+        mine = [t for t in data if not keyed or t[:2] == group]
         want = tuple(brute([t[i] for t in mine]) for i in (2, 3))
-        have = found.get((overall, a, b), (None, None))
-        assert all(same(x, y) for x, y in zip(have, want)), (overall, a, b, have, want)
+        have = found.get(group, (None, None))
+        assert all(same(x, y) for x, y in zip(have, want)), (group, have, want)
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(trips, st.sampled_from([1, 6, 5000]))
+def test_any_values_any_groups(spark, data, limit):
+    """The limit sends all groups, large groups or no group to the spread plan."""
+    frame = spark.createDataFrame(data, "a int, b int, trip_distance double, duration_minutes double")
+    normal, quantiles.SUMMARY_ROWS = quantiles.SUMMARY_ROWS, limit
+    try:
+        check(grouped_medians(frame, ["a", "b"], MEDIANS), data)
+    finally:
+        quantiles.SUMMARY_ROWS = normal
+    check(spread_medians(frame, [], MEDIANS), data, keyed=False)
+
+
+def test_summaries_are_exact_up_to_their_limit(spark):
+    rows = quantiles.SUMMARY_ROWS - 1
+    frame = spark.range(rows * 4).select((F.col("id") % 4).alias("k"), (F.xxhash64("id") / 1e9).alias("x")).repartition(16)
+    got = summary_medians(frame, ["k"], {"m": "x"})
+    exact = frame.groupBy("k").agg(F.expr("percentile_disc(0.5) WITHIN GROUP (ORDER BY x)").alias("m"))
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, exact.collect()))
 
 
 def test_one_group_with_a_third_of_many_copies(spark):
@@ -48,20 +65,20 @@ def test_one_group_with_a_third_of_many_copies(spark):
         F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 50).alias("k"),
         F.when(F.col("id") % 3 == 0, 7.25).otherwise(F.col("id") % 977 / 10).alias("x"),
     )
-    got = lower_medians(value_counts(frame, ["k"], {"m": "x"}), {"m": "x"})
+    got = grouped_medians(frame, ["k"], {"m": "x"})
     exact = frame.groupBy("k").agg(F.expr("percentile_disc(0.5) WITHIN GROUP (ORDER BY x)").alias("m"))
     assert sorted(map(tuple, got.select("k", "m").collect())) == sorted(map(tuple, exact.collect()))
 
 
 def test_the_middle_of_even_counts_is_the_lower_one(spark):
-    frame = spark.createDataFrame([(1.0,), (2.0,), (3.0,), (4.0,)], "x double")
-    assert lower_medians(value_counts(frame, [], {"m": "x"}), {"m": "x"}).first().m == 2.0
+    frame = spark.createDataFrame([(1.0,), (2.0,), (3.0,), (4.0,)], "x double").withColumn("k", F.lit(1))
+    assert grouped_medians(frame, ["k"], {"m": "x"}).first().m == 2.0
+    assert spread_medians(frame, [], {"m": "x"}).first().m == 2.0
 
 
-def test_trips_are_scanned_once(spark, tmp_path):
+def test_spread_plan_scans_once(spark, tmp_path):
     spark.range(100).selectExpr("id % 3 AS k", "id * 1.0D AS x").write.parquet(f"{tmp_path}/t")
-    frame = spark.read.parquet(f"{tmp_path}/t")
-    medians = lower_medians(value_counts(frame, ["k"], {"m": "x"}), {"m": "x"})
+    medians = spread_medians(spark.read.parquet(f"{tmp_path}/t"), ["k"], {"m": "x"})
     medians.collect()
     plan = medians._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
     assert plan.count("FileScan") == 1 and "ReusedExchange" in plan

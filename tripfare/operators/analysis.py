@@ -1,8 +1,9 @@
 """The four demand and fare reports over accepted, enriched trips.
 
-Each report is a roll-up of *cells*: trips counted and summed over the few
-columns a report needs. Rolled up from one shared set of cells, all four
-reports cost a single scan of the trips.
+Each report is a roll-up of *cells*: trips counted over the few columns it
+needs. Two sets of cells serve all four reports. One is over time, the other
+over place, and they share no stored column, so together they read each column
+of the trips once.
 """
 
 from __future__ import annotations
@@ -19,24 +20,25 @@ from tripfare.operators.durable import durable
 _YEAR, _MONTH, _HOUR, _BAND, _ZONE = "pickup_year", "pickup_month", "pickup_hour", "distance_band", "DOLocationID"
 
 
-def cells(trips: DataFrame, dims: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
-    """Counts, fare sums and shortest distance per combination of ``dims``.
+def cells(trips: DataFrame, dims: Sequence[str], by: Sequence[str] = (), fares: bool = False) -> DataFrame:
+    """Trips per combination of ``dims``; ``fares`` adds fare sums and the shortest distance.
 
     Combined before the shuffle; a busy cell costs one row per task.
     """
     if _YEAR in dims and _YEAR not in trips.columns:
         trips = trips.withColumn(_YEAR, F.year("pickup_datetime"))
-    return trips.groupBy(*by, *dims).agg(
-        F.count(F.lit(1)).alias("trip_count"),
-        F.sum("fare_amount").alias("fare_total"),
-        F.min("trip_distance").alias("nearest"),
-    )
+    sums = [F.sum("fare_amount").alias("fare_total"), F.min("trip_distance").alias("nearest")] if fares else []
+    return trips.groupBy(*by, *dims).agg(F.count(F.lit(1)).alias("trip_count"), *sums)
+
+
+def time_cells(trips: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    return cells(trips, (_YEAR, _MONTH, _HOUR), by)
 
 
-def shared_cells(trips: DataFrame, by: Sequence[str] = (), mapped_zones: tuple[int, int] = StudyConfig.mapped_zones) -> DataFrame:
-    """Cells over every report dimension. Unmapped zones are folded into one, which bounds the cells."""
+def place_cells(trips: DataFrame, by: Sequence[str] = (), mapped_zones: tuple[int, int] = StudyConfig.mapped_zones) -> DataFrame:
+    """Unmapped zones are folded into one, which bounds the cells."""
     zone = F.when(F.col(_ZONE).between(*mapped_zones), F.col(_ZONE))
-    return cells(trips.withColumn(_ZONE, zone), (_YEAR, _MONTH, _HOUR, _BAND, _ZONE), by)
+    return cells(trips.withColumn(_ZONE, zone), (_BAND, _ZONE), by, fares=True)
 
 
 def _count() -> list:
@@ -47,31 +49,31 @@ def _count_and_mean() -> list:
     return [*_count(), (F.sum("fare_total") / F.sum("trip_count")).alias("mean_fare")]
 
 
-def monthly_from(cube: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    months = cube.groupBy(*by, _YEAR, _MONTH).agg(*_count())
+def monthly_from(counted: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    months = counted.groupBy(*by, _YEAR, _MONTH).agg(*_count())
     label = month_label(F.col(_YEAR), F.col(_MONTH)).alias("month")
     return months.select(*by, label, "trip_count").orderBy(*by, "month")
 
 
-def hourly_from(cube: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    return cube.groupBy(*by, _HOUR).agg(*_count()).orderBy(*by, _HOUR)
+def hourly_from(counted: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    return counted.groupBy(*by, _HOUR).agg(*_count()).orderBy(*by, _HOUR)
 
 
-def by_distance_from(cube: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+def by_distance_from(counted: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Ordered by the shortest distance seen in each band."""
-    bands = cube.groupBy(*by, _BAND).agg(*_count_and_mean(), F.min("nearest").alias("nearest"))
+    bands = counted.groupBy(*by, _BAND).agg(*_count_and_mean(), F.min("nearest").alias("nearest"))
     return bands.orderBy(*by, "nearest").drop("nearest")
 
 
 def dropoffs_from(
-    cube: DataFrame,
+    counted: DataFrame,
     minimum: int = StudyConfig.minimum_trips,
     mapped_zones: tuple[int, int] = StudyConfig.mapped_zones,
     top: int = 5,
 ) -> DataFrame:
     """Destinations with the highest mean fare among those with enough trips."""
     return (
-        cube.filter(F.col(_ZONE).between(*mapped_zones))
+        counted.filter(F.col(_ZONE).between(*mapped_zones))
         .groupBy(_ZONE)
         .agg(*_count_and_mean())
         .filter(F.col("trip_count") >= minimum)
@@ -100,7 +102,7 @@ def hourly_trips(trips: DataFrame) -> DataFrame:
 
 
 def fare_by_distance(trips: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    return by_distance_from(cells(trips, (_BAND,), by), by)
+    return by_distance_from(cells(trips, (_BAND,), by, fares=True), by)
 
 
 def highest_fare_dropoffs(
@@ -110,7 +112,7 @@ def highest_fare_dropoffs(
     top: int = 5,
 ) -> DataFrame:
     mapped = trips.filter(F.col(_ZONE).between(*mapped_zones))
-    return dropoffs_from(cells(mapped, (_ZONE,)), minimum, mapped_zones, top)
+    return dropoffs_from(cells(mapped, (_ZONE,), fares=True), minimum, mapped_zones, top)
 
 
 def analyses(
@@ -118,18 +120,21 @@ def analyses(
     minimum: int = StudyConfig.minimum_trips,
     mapped_zones: tuple[int, int] = StudyConfig.mapped_zones,
 ) -> dict[str, DataFrame]:
-    """All four reports from one scan of the trips."""
-    return reports_from(durable(shared_cells(trips, mapped_zones=mapped_zones), "cells"), minimum, mapped_zones)
+    """All four reports; every needed column of the trips is read once."""
+    over_time = durable(time_cells(trips), "time-cells")
+    over_place = durable(place_cells(trips, mapped_zones=mapped_zones), "place-cells")
+    return reports_from(over_time, over_place, minimum, mapped_zones)
 
 
 def reports_from(
-    cube: DataFrame,
+    over_time: DataFrame,
+    over_place: DataFrame,
     minimum: int = StudyConfig.minimum_trips,
     mapped_zones: tuple[int, int] = StudyConfig.mapped_zones,
 ) -> dict[str, DataFrame]:
     return {
-        "monthly_trips": monthly_from(cube),
-        "hourly_trips": hourly_from(cube),
-        "fare_by_distance": by_distance_from(cube),
-        "highest_fare_dropoffs": dropoffs_from(cube, minimum, mapped_zones),
+        "monthly_trips": monthly_from(over_time),
+        "hourly_trips": hourly_from(over_time),
+        "fare_by_distance": by_distance_from(over_place),
+        "highest_fare_dropoffs": dropoffs_from(over_place, minimum, mapped_zones),
     }

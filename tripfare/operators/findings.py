@@ -73,13 +73,13 @@ def top_destination(dropoffs: DataFrame) -> DataFrame:
     return dropoffs.orderBy(F.desc("mean_fare"), "DOLocationID").limit(1)
 
 
-def findings(reports: Mapping[str, DataFrame], cube: DataFrame, base_month: str) -> dict[str, DataFrame]:
+def findings(reports: Mapping[str, DataFrame], over_place: DataFrame, base_month: str) -> dict[str, DataFrame]:
     yearly = yearly_trips(reports["monthly_trips"])
     return {
         "yearly_trips": yearly,
         "lowest_month": lowest_month(reports["monthly_trips"], base_month),
         "annual_change": annual_change(yearly),
         "busiest_hour": busiest_hour(reports["hourly_trips"]),
-        "band_extremes": band_extremes(cube),
+        "band_extremes": band_extremes(over_place),
         "top_destination": top_destination(reports["highest_fare_dropoffs"]),
     }

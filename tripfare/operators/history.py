@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tripfare.config import ROUTE
 from tripfare.operators.durable import durable
 from tripfare.operators.joins import BROADCAST_BYTES, lookup_join
-from tripfare.operators.quantiles import lower_medians, value_counts, with_overall
+from tripfare.operators.quantiles import grouped_medians, spread_medians
 
 MEDIANS = {"historical_distance": "trip_distance", "historical_duration": "duration_minutes"}
 
@@ -41,23 +41,19 @@ def load_history(spark: SparkSession, path: str) -> RouteHistory:
 
 
 def route_medians(training: DataFrame, keys: Sequence[str] = ROUTE) -> DataFrame:
-    return lower_medians(value_counts(training, keys, MEDIANS), MEDIANS).drop("overall")
+    return grouped_medians(training, keys, MEDIANS)
 
 
 def fallback_medians(training: DataFrame) -> DataFrame:
-    return route_medians(training, ())
+    return spread_medians(training, (), MEDIANS)
 
 
 def fit_history(training: DataFrame, keys: Sequence[str] = ROUTE) -> RouteHistory:
-    """Fit on training trips only, in one pass over them.
-
-    The lookup is stored, so its size is known from here on.
-    """
-    counts = durable(value_counts(training, keys, MEDIANS), "route-values")
-    medians = durable(lower_medians(with_overall(counts), MEDIANS), "routes")
-    overall = [F.max(F.when(F.col("overall"), F.col(name))).alias(name) for name in MEDIANS]
-    facts = medians.agg(F.count_if(~F.col("overall")).alias("routes"), *overall).first().asDict()
-    return RouteHistory(medians.filter(~F.col("overall")).drop("overall"), facts.pop("routes"), facts, tuple(keys))
+    """Fit on training trips only. The lookup is stored, so its size is known from here on."""
+    lookup = durable(route_medians(training, keys), "routes")
+    overall = fallback_medians(training).first()
+    fallback = overall.asDict() if overall else dict.fromkeys(MEDIANS)
+    return RouteHistory(lookup, lookup.count(), fallback, tuple(keys))
 
 
 def apply_history(trips: DataFrame, history: RouteHistory, broadcast_limit: int = BROADCAST_BYTES) -> DataFrame:

@@ -6,6 +6,15 @@ from typing import Mapping, Sequence
 
 from pyspark.sql import DataFrame, Window, functions as F
 
+from tripfare.operators.durable import durable
+from tripfare.operators.joins import lookup_join
+
+# Fixed value: accuracy of the approximate median.
+ACCURACY = 10_000
+# Under this many rows a summary of that accuracy keeps every value it was
+# given, so the "approximate" median is the exact one.
+SUMMARY_ROWS = ACCURACY // 2
+
 # Slices per doubling of a value. A double spans about 1,024 doublings on each
 # side of zero, so a group has at most some 262,000 slices whatever it holds.
 SLICES_PER_DOUBLING = 128
@@ -13,14 +22,39 @@ SLICES_PER_DOUBLING = 128
 _GROUP = ("grp", "measure")
 
 
+def grouped_medians(frame: DataFrame, keys: Sequence[str], measures: Mapping[str, str]) -> DataFrame:
+    """Lower median of each measure per key: ``measures`` maps output name → column.
+
+    This is the value ``percentile_disc(0.5)`` returns, NULLs ignored. Groups
+    are counted first. Small ones, of bounded size, take one summary each.
+    Large ones are spread over the cluster by value.
+    """
+    sizes = durable(frame.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows_of_group")), "group-sizes")
+    groups, largest = sizes.agg(F.count(F.lit(1)), F.max("rows_of_group")).first()
+    if groups == 0 or largest < SUMMARY_ROWS:
+        return summary_medians(frame, keys, measures)
+    sized = lookup_join(frame, sizes, keys, lookup_rows=groups)
+    # A NULL key finds no size; it is treated as large, which suits any size.
+    small = F.coalesce(F.col("rows_of_group") < SUMMARY_ROWS, F.lit(False))
+    return summary_medians(sized.filter(small), keys, measures).unionByName(
+        spread_medians(sized.filter(~small), keys, measures)
+    )
+
+
+def summary_medians(frame: DataFrame, keys: Sequence[str], measures: Mapping[str, str]) -> DataFrame:
+    """One quantile summary per group; exact below ``SUMMARY_ROWS`` rows."""
+    medians = [F.percentile_approx(F.col(c).cast("double"), 0.5, ACCURACY).alias(name) for name, c in measures.items()]
+    return frame.groupBy(*keys).agg(*medians)
+
+
 def value_counts(frame: DataFrame, keys: Sequence[str], measures: Mapping[str, str]) -> DataFrame:
     """Rows per (group, measure, value), NULL values left out.
 
-    ``measures`` maps output name → column. Counts are combined before the
-    shuffle and spread by value, so a hot group is split and copies collapse.
+    Counts are combined before the shuffle and spread by value, so a hot group
+    is split and copies collapse.
     """
     # A struct equals itself when a key inside it is NULL, in joins as well.
-    group = F.struct(F.lit(False).alias("overall"), *[F.col(k) for k in keys]).alias("grp")
+    group = F.struct(F.lit(True).alias("any"), *[F.col(k) for k in keys]).alias("grp")
     pairs = [
         F.struct(F.lit(name).alias("measure"), F.col(column).cast("double").alias("value"))
         for name, column in measures.items()
@@ -29,28 +63,17 @@ def value_counts(frame: DataFrame, keys: Sequence[str], measures: Mapping[str, s
     return values.groupBy(*_GROUP, "value").agg(F.count(F.lit(1)).alias("n"))
 
 
-def with_overall(counts: DataFrame) -> DataFrame:
-    """The counts, and the same counts once more as one group of everything."""
-    fields = counts.schema["grp"].dataType.fields
-    everything = F.struct(
-        F.lit(True).alias("overall"), *[F.lit(None).cast(f.dataType).alias(f.name) for f in fields if f.name != "overall"]
-    )
-    merged = counts.groupBy("measure", "value").agg(F.sum("n").alias("n")).withColumn("grp", everything)
-    return counts.unionByName(merged)
-
-
-def lower_medians(counts: DataFrame, measures: Mapping[str, str]) -> DataFrame:
-    """Lower median of each measure per group of ``value_counts``: overall, keys, medians.
-
-    This is the value ``percentile_disc(0.5)`` returns, and it lies inside the
-    error bound of an approximate median at any accuracy.
+def spread_medians(frame: DataFrame, keys: Sequence[str], measures: Mapping[str, str]) -> DataFrame:
+    """Lower medians of groups of any size.
 
-    1. Sum the counts over order-preserving slices, and find the one slice of
+    1. Count equal values per group.
+    2. Sum the counts over order-preserving slices, and find the one slice of
        each group that holds the middle row.
-    2. Rank only the values of that slice.
+    3. Rank only the values of that slice.
     """
     slice_of = F.signum("value") * F.rint(F.log2(F.abs("value") + 1) * SLICES_PER_DOUBLING)
     # The filter removes nothing. It keeps both uses below alike, so they share one shuffle.
+    counts = value_counts(frame, keys, measures)
     sliced = counts.withColumn("slice", slice_of).filter(F.col("slice").isNotNull())
 
     whole = Window.partitionBy(*_GROUP)
@@ -72,4 +95,5 @@ def lower_medians(counts: DataFrame, measures: Mapping[str, str]) -> DataFrame:
         .filter((F.col("upto") - F.col("n") < F.col("rank")) & (F.col("rank") <= F.col("upto")))
     )
     per_measure = [F.max(F.when(F.col("measure") == name, F.col("value"))).alias(name) for name in measures]
-    return middle_values.groupBy("grp").agg(*per_measure).select("grp.*", *measures)
+    medians = middle_values.groupBy("grp").agg(*per_measure)
+    return medians.select(*[F.col(f"grp.{k}").alias(k) for k in keys], *measures)

@@ -102,11 +102,12 @@ def run_study(
         "quality_example": quality.example_at_distance(tagged, config.example_distance),
         "thresholds": quality.thresholds(spark, config.limits),
     }
-    cube = durable(analysis.shared_cells(enriched, ("fleet",), config.mapped_zones), "cells")
+    over_time = durable(analysis.time_cells(enriched, ("fleet",)), "time-cells")
+    over_place = durable(analysis.place_cells(enriched, ("fleet",), config.mapped_zones), "place-cells")
     for fleet in fleets:
-        own = cube.filter(F.col("fleet") == fleet)
-        reports = analysis.reports_from(own, config.minimum_trips, config.mapped_zones)
-        numbers = findings.findings(reports, own, config.base_month)
+        time, place = (c.filter(F.col("fleet") == fleet) for c in (over_time, over_place))
+        reports = analysis.reports_from(time, place, config.minimum_trips, config.mapped_zones)
+        numbers = findings.findings(reports, place, config.base_month)
         models = model_study(
             enriched.filter(F.col("fleet") == fleet), f"{output}/{fleet}/models", config, config.fractions[fleet]
         )
