@@ -298,6 +298,22 @@ ORACLE = {
         SELECT round(base, 4) AS base_rmse, round(other, 4) AS rmse, round((1 - other / base) * 100, 4) AS below_pct
         FROM (SELECT (SELECT sqrt(avg((prediction - fare_amount) ** 2)) FROM order_scored) AS base,
                      (SELECT sqrt(avg((prediction - fare_amount) ** 2)) FROM order_route_scored) AS other)""",
+    "rmse_selection": _with(ORDER_TRIPS) + """,
+        train AS (SELECT * FROM order_accepted WHERE split = 'train'),
+        held AS (SELECT * FROM order_accepted WHERE split = 'validation'),
+        overall AS (SELECT avg(fare_amount) AS guess FROM train),
+        pickups AS (SELECT "PULocationID" AS zone, avg(fare_amount) AS guess FROM train GROUP BY ALL),
+        routes AS (SELECT "PULocationID" AS pu, "DOLocationID" AS d, avg(fare_amount) AS guess FROM train GROUP BY ALL),
+        scored AS (
+          SELECT 'OverallMean' AS model, 0 AS position, sqrt(avg((guess - fare_amount) ** 2)) AS error FROM held, overall
+          UNION ALL
+          SELECT 'PickupMean', 1, sqrt(avg((guess - fare_amount) ** 2)) FROM held JOIN pickups ON zone = "PULocationID"
+          UNION ALL
+          SELECT 'RouteMean', 2, sqrt(avg((coalesce(routes.guess, overall.guess) - fare_amount) ** 2))
+          FROM held CROSS JOIN overall LEFT JOIN routes ON pu = "PULocationID" AND d = "DOLocationID")
+        SELECT model, position::INTEGER AS position, round(error, 4) AS rmse,
+               model = (SELECT model FROM scored ORDER BY error, position LIMIT 1) AS selected
+        FROM scored""",
     "encoded_features": _with(EVENT_TRIPS, ZONE_INDEX) + """
         SELECT event_id,
                coalesce(p.position, (SELECT count(*) FROM pickup_labels))::INTEGER AS pickup_index,

@@ -219,7 +219,7 @@ def split_ranges(spark, sf):
 
 
 def route_medians(spark, sf):
-    return history.route_medians(order_splits(spark, sf)["train"])
+    return history.route_medians(stored_order_splits(spark, sf)["train"])
 
 
 def fallback_medians(spark, sf):
@@ -319,6 +319,22 @@ def rmse_change(spark, sf):
     return rounded(evaluation.rmse_change(metrics, "route_mean", "mean_baseline"), "base_rmse", "rmse", "below_pct")
 
 
+def rmse_selection(spark, sf):
+    """Three predictors learned on training trips, ranked on the validation split."""
+    splits = stored_order_splits(spark, sf)
+    train, validation = splits["train"], splits["validation"]
+    by_pickup = train.groupBy("PULocationID").agg(F.avg("fare_amount").alias("prediction"))
+    candidates = {
+        ("all", "OverallMean"): _with_mean({"train": train, "test": validation}),
+        ("all", "PickupMean"): lookup_join(validation, durable(by_pickup, "pickup-means"), ["PULocationID"], "inner"),
+        ("all", "RouteMean"): _with_route_mean({"train": train, "test": validation}),
+    }
+    ranking = durable(evaluation.compare_models(candidates), "ranking").select("setting", "model", "position", "rmse")
+    best = modeling.winner(ranking).select("setting", F.col("model").alias("best"))
+    flagged = ranking.join(F.broadcast(best), "setting").withColumn("selected", F.col("model") == F.col("best"))
+    return rounded(flagged.select("model", "position", "rmse", "selected"), "rmse")
+
+
 # ---- Spark ML ------------------------------------------------------------
 
 def _order_history(spark, sf):
@@ -445,6 +461,7 @@ QUERIES = {
         error_by_fare_band,
         worst_residuals,
         rmse_change,
+        rmse_selection,
         encoded_features,
         linear_one_feature,
         linear_regression,

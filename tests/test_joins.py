@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tests.conftest import rows
 from tripfare.operators import joins
+from tripfare.sources import adapters
 
 KEYS = ["a", "b"]
 
@@ -66,3 +67,12 @@ def test_single_key_and_bad_join_type(spark):
     assert rows(found, "k", "v") == [(None, None), (1, 2.0), (1, 2.0), (3, None)]
     with pytest.raises(ValueError, match="left or inner"):
         joins.lookup_join(facts, lookup, ["k"], "full")
+
+
+def test_order_trips_are_the_same_beyond_every_broadcast(spark, sf, monkeypatch):
+    small = rows(adapters.order_trips(spark, sf))
+    monkeypatch.setattr(joins, "fits_broadcast", lambda *_, **__: False)
+    large = adapters.order_trips(spark, sf)
+    plan = large._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Cartesian" not in plan
+    assert rows(large) == small

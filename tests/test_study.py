@@ -4,10 +4,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import rows
-from tripfare.config import StudyConfig
+from tripfare.config import MONTHLY_FILE, TIMESTAMP_PREFIX, StudyConfig
 from tripfare.operators import modeling
-from tripfare.plans.study import run_study
-from tripfare.sources import adapters, sinks
+from tripfare.plans.study import clean_and_store, run_study
+from tripfare.sources import adapters, manifest, monthly, sinks
 
 CONFIG = StudyConfig(
     limits=adapters.EVENT_LIMITS,
@@ -88,6 +88,25 @@ def test_saved_artifacts_can_be_used(spark, study):
     assert tables["yellow/post_trip_worst_errors"].count() <= 20
 
 
+def test_months_to_stored_layer(spark, tmp_path):
+    """Raw monthly files of both fleets are cleaned, stored and reconciled with their row totals."""
+    events = adapters.event_trips(spark, "/root/testdata/sf0.001").drop("event_id", "event_type")
+    raw = f"{tmp_path}/raw"
+    for fleet, prefix in TIMESTAMP_PREFIX.items():
+        named = {c: f"{prefix}_{c}" for c in ("pickup_datetime", "dropoff_datetime")}
+        for month in (1, 2):
+            events.withColumnsRenamed(named).write.parquet(f"{raw}/{MONTHLY_FILE.format(fleet=fleet, year=2024, month=month)}")
+    trips = monthly.load_fleets(spark, raw, years=[2024], months=[1, 2])
+    config = StudyConfig(limits=adapters.EVENT_LIMITS, fractions={"yellow": 1.0, "green": 1.0})
+    stored, counts = clean_and_store(trips, f"{tmp_path}/accepted", config, ["yellow", "green"])
+    paths = [p for f in TIMESTAMP_PREFIX for p in monthly.monthly_paths(raw, f, [2024], [1, 2])]
+    assert manifest.reconcile(manifest.source_manifest(spark, paths), counts) == 4000
+    manifest.require_stored(stored, counts)
+    assert {r.fleet: r.n for r in stored.groupBy("fleet").agg(F.count("*").alias("n")).collect()} == {"yellow": 752, "green": 752}
+    with pytest.raises(ValueError, match="are stored"):
+        manifest.require_stored(stored.limit(3), counts)
+
+
 def test_ties_go_to_the_first_model(spark):
     ranking = spark.createDataFrame(
         [("s", "A", 0, 1.0), ("s", "B", 1, 1.0), ("t", "A", 2, 2.0), ("t", "B", 3, 1.5)],

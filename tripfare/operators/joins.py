@@ -8,6 +8,8 @@ from typing import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+from tripfare.operators.durable import durable
+
 # A lookup is broadcast only when rows x fixed row width stays below this.
 BROADCAST_BYTES = 64 * 1024 * 1024
 # A key is hot when it holds at least this share of the (sampled) rows, so
@@ -85,6 +87,7 @@ def lookup_join(
     lookup_rows: int | None = None,
     broadcast_limit: int = BROADCAST_BYTES,
     hot: Sequence[tuple] | None = None,
+    store: bool = False,
 ) -> DataFrame:
     """Join facts with a lookup that is unique on ``keys``.
 
@@ -92,12 +95,17 @@ def lookup_join(
     * Otherwise the rows of hot keys, and rows with a NULL key, take a broadcast
       of just those few lookup rows and are not shuffled either. Only the
       remaining, balanced rows are shuffled. No row is dropped or replicated.
+
+    The second way reads both sides more than once. That suits stored tables;
+    ``store`` writes sides that come from a costly plan first.
     """
     if how not in ("left", "inner"):
         raise ValueError(f"lookup joins are left or inner, not {how!r}")
     keys = list(keys)
     if fits_broadcast(lookup, lookup_rows, broadcast_limit):
         return facts.join(F.broadcast(lookup), keys, how)
+    if store:
+        facts, lookup = durable(facts, "facts"), durable(lookup, "lookup")
     found = hot_keys(facts, keys) if hot is None else list(hot)
     hot_flag = _is_hot(keys, found)
     # At most len(found) rows, since the lookup is unique on its keys.

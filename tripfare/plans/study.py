@@ -92,6 +92,7 @@ def run_study(
     spark = trips.sparkSession
     fleets = tuple(config.fractions)
     stored, counts = clean_and_store(trips, f"{output}/accepted", config, fleets)
+    manifest.require_stored(stored, counts)
     if source_paths:
         manifest.reconcile(manifest.source_manifest(spark, source_paths), counts)
     enriched = features.enrich(stored, config.calendar)

@@ -74,8 +74,9 @@ def order_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     origins = lookup_join(orders, customers, ["o_custkey"], "inner", lookup_rows=rows["customer"]).select(
         F.col("o_orderkey").alias("l_orderkey"), "pickup_datetime", "PULocationID"
     )
-    trips = lookup_join(lines, origins, ["l_orderkey"], "inner", lookup_rows=rows["orders"])
-    return lookup_join(trips, suppliers, ["l_suppkey"], "inner", lookup_rows=rows["supplier"]).select(
+    # Suppliers first: those facts are a plain scan, whichever way the join takes.
+    lines = lookup_join(lines, suppliers, ["l_suppkey"], "inner", lookup_rows=rows["supplier"])
+    return lookup_join(lines, origins, ["l_orderkey"], "inner", lookup_rows=rows["orders"], store=True).select(
         "l_orderkey",
         "l_linenumber",
         "pickup_datetime",

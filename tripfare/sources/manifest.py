@@ -6,6 +6,8 @@ from typing import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from tripfare.functions.rules import ACCEPTED
+
 
 def source_manifest(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     """Rows and bytes per file. Reads no data columns, so Parquet answers from its footers."""
@@ -28,3 +30,11 @@ def reconcile(manifest: DataFrame, counts: DataFrame) -> int:
     if in_files != classified:
         raise ValueError(f"source files hold {in_files} rows, cleaning classified {classified}")
     return in_files
+
+
+def require_stored(stored: DataFrame, counts: DataFrame) -> None:
+    """An error unless the stored layer holds exactly the rows counted as accepted."""
+    written = stored.count()
+    counted = counts.filter(F.col("quality_reason") == ACCEPTED).agg(F.coalesce(F.sum("trip_count"), F.lit(0))).first()[0]
+    if written != counted:
+        raise ValueError(f"{counted} rows were accepted, {written} are stored")
