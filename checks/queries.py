@@ -148,7 +148,7 @@ def highest_fare_dropoffs(spark, sf):
 
 def shared_scan_reports(spark, sf):
     """The four reports from shared cells, laid end to end."""
-    reports = analysis.analyses(event_accepted(spark, sf), MINIMUM_TRIPS)
+    reports = analysis.analyses(durable(event_accepted(spark, sf), "accepted"), MINIMUM_TRIPS)
     keys = {
         "monthly_trips": "month",
         "hourly_trips": "pickup_hour",

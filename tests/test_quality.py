@@ -1,5 +1,6 @@
 import datetime as dt
 import math
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -151,3 +152,42 @@ def test_example_is_the_first_row_at_the_distance(spark, cases):
 def test_thresholds_table(spark):
     table = dict(rows(quality.thresholds(spark, Limits(max_fare=12.0))))
     assert table["max_fare_dollars"] == 12.0 and table["first_year"] == 2020.0 and len(table) == 7
+
+
+def expected_reason(start, end, miles, fare):
+    """The rules once more, in plain Python."""
+    if start is None or end is None:
+        return "missing_timestamp"
+    if not 2020 <= start.year <= 2024:
+        return "outside_period"
+    if miles is None or math.isnan(miles) or miles <= 0:
+        return "distance_missing_or_nonpositive"
+    if miles > 100:
+        return "distance_over_limit"
+    minutes = (end - start).total_seconds() / 60
+    if minutes < 1:
+        return "duration_too_short"
+    if minutes > 360:
+        return "duration_too_long"
+    if miles * 60 / minutes > 80:
+        return "speed_over_limit"
+    if fare is None or math.isnan(fare) or fare <= 0:
+        return "fare_missing_or_nonpositive"
+    return "fare_over_limit" if fare > 500 else "accepted"
+
+
+def test_random_trips_against_plain_python(spark):
+    rng = random.Random(11)
+    edges = [None, NAN, INF, -INF, -1.0, 0.0, 0.5, 1.0, 40.0, 80.0, 100.0, 100.1, 500.0, 500.01]
+    minutes = [-5, 0, 0.5, 1, 30, 60, 360, 360.5]
+    trips = []
+    for i in range(3000):
+        start = dt.datetime(rng.choice([2019, 2020, 2022, 2024, 2025]), rng.randint(1, 12), 1, rng.randint(0, 23))
+        end = start + dt.timedelta(minutes=rng.choice(minutes))
+        start, end = (None if rng.random() < 0.05 else t for t in (start, end))
+        trips.append((i, start, end, rng.choice(edges), rng.choice(edges)))
+    schema = "i int, pickup_datetime timestamp_ntz, dropoff_datetime timestamp_ntz, trip_distance double, fare_amount double"
+    tagged = quality.tag(spark.createDataFrame(trips, schema), clock="wall")
+    want = {i: expected_reason(*trip) for i, *trip in trips}
+    assert {r.i: r.quality_reason for r in tagged.collect()} == want
+    assert set(want.values()) == set(quality.OUTCOMES)

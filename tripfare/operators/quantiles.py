@@ -15,9 +15,10 @@ ACCURACY = 10_000
 # given, so the "approximate" median is the exact one.
 SUMMARY_ROWS = ACCURACY // 2
 
-# Slices per doubling of a value. A double spans about 1,024 doublings on each
-# side of zero, so a group has at most some 262,000 slices whatever it holds.
-SLICES_PER_DOUBLING = 128
+# Slices per doubling of a value. Over the range of accepted trips that is some
+# 35,000 slices per group. A double spans about 1,024 doublings on each side of
+# zero, so no group has more than 8.4 million, whatever it holds.
+SLICES_PER_DOUBLING = 4096
 
 _GROUP = ("grp", "measure")
 
