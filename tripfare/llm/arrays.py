@@ -95,6 +95,16 @@ def span_hashes(data: np.ndarray, starts: np.ndarray, stops: np.ndarray, lower:
     return mix((summed[stops] - summed[starts]) * inverse[starts] + (stops - starts).astype(_U))
 
 
+def gram_hashes(data: np.ndarray, k: int) -> np.ndarray:
+    """Hash of the ``k`` bytes from each position on."""
+    n = len(data) - k + 1
+    if n <= 0:
+        return np.zeros(0, dtype=_U)
+    summed = np.zeros(len(data) + 1, dtype=_U)
+    np.cumsum(_BYTES[data] * powers(_BASE, len(data)), out=summed[1:])
+    return mix((summed[k:] - summed[:n]) * powers(_INVERSE, n))
+
+
 def run_hashes(items: np.ndarray, k: int, salt: int = 0) -> np.ndarray:
     """Hash of each run of ``k`` consecutive items."""
     n = len(items) - k + 1
@@ -108,18 +118,21 @@ def run_hashes(items: np.ndarray, k: int, salt: int = 0) -> np.ndarray:
 
 
 def sliding_argmin(keys: np.ndarray, width: int) -> np.ndarray:
-    """Position of the leftmost least key in each window of ``width``."""
+    """Position of the least key in each window of ``width``.
+
+    Keys are compared by their upper half, the leftmost wins a tie: so the
+    choice depends on what the window holds and on nothing around it.
+    """
     n = len(keys) - width + 1
     if n <= 0:
         return np.zeros(0, dtype=np.int64)
-    bits = max(1, int(len(keys) - 1).bit_length())
-    best = (keys >> _U(bits) << _U(bits)) | np.arange(len(keys), dtype=_U)
+    best = (keys >> _U(32) << _U(32)) | np.arange(len(keys), dtype=_U)
     done = 1
     while done < width:
         step = min(done, width - done)
         best = np.minimum(best[: len(best) - step], best[step:])
         done += step
-    return (best[:n] & _U((1 << bits) - 1)).astype(np.int64)
+    return (best[:n] & _U(0xFFFFFFFF)).astype(np.int64)
 
 
 def signed(x: np.ndarray) -> np.ndarray:

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tripfare.llm.graph_dedup import graph_dedup
 from tripfare.llm.near_duplicates import NearDuplicates, near_duplicates
+from tripfare.llm.suffix_dedup import suffix_dedup
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -15,5 +17,13 @@ def op1_near_duplicates(spark, sf_dir):
     return near_duplicates(_table(spark, sf_dir, "documents"), NearDuplicates(percent=85))
 
 
-QUERIES = {f.__name__: f for f in (op1_near_duplicates,)}
+def op4_suffix_dedup(spark, sf_dir):
+    return suffix_dedup(_table(spark, sf_dir, "documents")).drop("kept")
+
+
+def op10_substring_dedup(spark, sf_dir):
+    return graph_dedup(_table(spark, sf_dir, "documents")).drop("kept")
+
+
+QUERIES = {f.__name__: f for f in (op1_near_duplicates, op4_suffix_dedup, op10_substring_dedup)}
 ORACLE: dict[str, str] = {}
