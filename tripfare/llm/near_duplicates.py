@@ -16,6 +16,7 @@ from tripfare.operators.durable import durable
 
 _U = np.uint64
 _STEP = 0x9E3779B97F4A7C15
+PARITY = tuple(f"parity_{i}" for i in range(8))
 
 
 @dataclass(frozen=True)
@@ -23,13 +24,15 @@ class NearDuplicates:
     """Documents are linked at ``percent`` % of Jaccard similarity over ``shingle``-word runs.
 
     A pair at similarity s shares no band with probability (1 - s**rows)**bands:
-    2e-8 at 0.85 and 7e-6 at 0.8 with the values below.
+    2e-8 at 0.85 and 7e-6 at 0.8 with the values below. ``rounds`` bounds the
+    random rounds that come before the full comparison; it changes no result.
     """
 
     percent: int = 80
     shingle: int = 5
     bands: int = 30
     rows: int = 5
+    rounds: int = 3
 
 
 def shingle_sets(column: pa.Array, shingle: int) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
@@ -125,12 +128,21 @@ def _signed(settings: NearDuplicates):
     return run
 
 
+def parities(elements: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Per set, 512 bits: is the number of elements that fall on the bit odd? As 8 longs."""
+    bits = 64 * len(PARITY)
+    cell = np.repeat(np.arange(len(sizes)), sizes) * bits + (elements & _U(bits - 1)).astype(np.int64)
+    odd = (np.bincount(cell, minlength=bits * len(sizes)) & 1).astype(np.uint8).reshape(len(sizes), bits)
+    return np.packbits(odd, axis=1, bitorder="little").view("<i8")
+
+
 def _sets(shingle: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for low, high, elements, sizes in shingle_sets(batch.column(1), shingle):
                 lists = pa.ListArray.from_arrays(np.r_[0, np.cumsum(sizes)].astype(np.int32), pa.array(arrays.signed(elements)))
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(low, high - low), lists], ["doc_id", "elements"])
+                odd = [pa.array(np.ascontiguousarray(c)) for c in parities(elements, sizes).T]
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(low, high - low), lists, *odd], ["doc_id", "elements", *PARITY])
 
     return run
 
@@ -145,6 +157,20 @@ def _compared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     )
 
 
+def _mixed(members: DataFrame, groups: DataFrame) -> DataFrame:
+    """Members of buckets that hold several groups, with their group and the largest of the bucket."""
+    grouped = members.join(groups.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn(
+        "component", F.coalesce("component", "doc_id")
+    )
+    sizes = grouped.groupBy("band", "component").count()
+    several = sizes.groupBy("band").agg(F.max_by("component", F.struct("count", "component")).alias("main"), F.count("*").alias("n"))
+    return grouped.join(several.filter("n > 1").select("band", "main"), "band")
+
+
+def _stars(groups: DataFrame) -> DataFrame:
+    return groups.select(F.col("node").alias("u"), F.col("component").alias("v"))
+
+
 def near_duplicates(docs: DataFrame, settings: NearDuplicates = NearDuplicates()) -> DataFrame:
     """Group near-duplicate documents: (doc_id, n_shingles, component_id, kept).
 
@@ -153,9 +179,11 @@ def near_duplicates(docs: DataFrame, settings: NearDuplicates = NearDuplicates()
     2. Documents with equal sets are one class, stood for by its least id; so a
        group of copies of any size takes part once.
     3. In each band bucket all members are compared with its least member, on
-       full sets. Members of a bucket that are not in one group after that are
-       compared with each other, save those that the triangle inequality of the
-       Jaccard distance (to that least member) rules out. No link between
+       full sets, and in further rounds with members drawn from its largest
+       group. Members of a bucket that are not in one group after that are
+       compared with each other, save those ruled out by the triangle inequality
+       of the Jaccard distance (to the least member) or by the parity bits of
+       their sets; both bounds are exact. No link between
        candidates is lost and no group of linked ones is expanded into pairs.
     4. Links go through union-find (``components``).
 
@@ -175,7 +203,7 @@ def near_duplicates(docs: DataFrame, settings: NearDuplicates = NearDuplicates()
     members = durable(leaders.join(shared.drop("last"), "band"), "bucket-members")
 
     ids = durable(members.select("doc_id").distinct(), "candidates")
-    sets = durable(only_ids(texts, ids).mapInArrow(_sets(settings.shingle), "doc_id long, elements array<long>"), "shingle-sets")
+    sets = durable(only_ids(texts, ids).mapInArrow(_sets(settings.shingle), f"doc_id long, elements array<long>, {', '.join(f'{c} long' for c in PARITY)}"), "shingle-sets")
     sets = sets.dropDuplicates(["doc_id"])
     star = members.filter("doc_id > pivot").select(F.col("pivot").alias("a"), F.col("doc_id").alias("b")).distinct()
     known = durable(_compared(star, sets), "compared-with-pivot")
@@ -183,30 +211,55 @@ def near_duplicates(docs: DataFrame, settings: NearDuplicates = NearDuplicates()
     links = known.filter(is_link).select(F.col("a").alias("u"), F.col("b").alias("v"))
     groups = durable(components(links), "groups")
 
-    # What is left: members of one bucket in different groups, other than the pivot.
+    # Members of one bucket in different groups, with the parity bits of their sets.
+    # Two sets differ by at least as many elements as their parities differ by bits.
+    apart = _mixed(members, groups).select("doc_id").distinct()
+    members = durable(members.join(apart, "doc_id", "left_semi").join(sets.select("doc_id", *PARITY), "doc_id"), "open-members")
+
+    def possible(x: str, y: str):
+        differ = sum((F.bit_count(F.col(f"{x}{c}").bitwiseXOR(F.col(f"{y}{c}"))) for c in PARITY), F.lit(0))
+        both = F.col(f"{x}n_shingles") + F.col(f"{y}n_shingles")
+        return differ * (100 + settings.percent) <= both * (100 - settings.percent)
+
+    # They meet members of the largest group of the bucket, drawn at random: a large
+    # group of near copies falls together in a few rounds.
+    compared = known
+    for turn in range(settings.rounds):
+        mixed = durable(_mixed(members, groups), "mixed-buckets")
+        drawn = mixed.filter("component = main").groupBy("band").agg(
+            F.min_by(F.struct("doc_id", "n_shingles", *PARITY), F.xxhash64("doc_id", "band", F.lit(turn))).alias("met")
+        )
+        pairs = (
+            mixed.filter("component <> main")
+            .join(drawn, "band")
+            .filter(possible("", "met."))
+            .select(F.least("doc_id", "met.doc_id").alias("a"), F.greatest("doc_id", "met.doc_id").alias("b"))
+            .distinct()
+            .join(compared, ["a", "b"], "left_anti")
+        )
+        found = durable(_compared(pairs, sets), "compared-at-random")
+        new_links = found.filter(is_link).select(F.col("a").alias("u"), F.col("b").alias("v"))
+        if new_links.isEmpty():
+            break
+        compared = compared.unionByName(found)
+        groups = durable(components(_stars(groups).unionByName(new_links)), "groups")
+
+    # What is left is compared in full, save what the triangle inequality rules out.
     distance = 1 - F.col("shared") / (F.col("n_a") + F.col("n_b") - F.col("shared"))
     away = known.select(F.col("a").alias("pivot"), F.col("b").alias("doc_id"), distance.alias("away"))
-    grouped = (
-        members.join(away, ["pivot", "doc_id"])
-        .join(groups.withColumnRenamed("node", "doc_id"), "doc_id", "left")
-        .withColumn("component", F.coalesce("component", "doc_id"))
-    )
-    sizes = grouped.groupBy("band", "component").count()
-    main = sizes.groupBy("band").agg(F.max_by("component", F.struct("count", "component")).alias("main"), F.count("*").alias("n")).filter("n > 1")
-    mixed = durable(grouped.join(main.select("band", "main"), "band"), "mixed-buckets")
+    mixed = durable(_mixed(members.join(away, ["pivot", "doc_id"]), groups), "mixed-buckets")
     radius = (100 - settings.percent) / 100 + 1e-9
-    x, y = mixed.filter("component <> main").alias("x"), mixed.alias("y")
     open_pairs = (
-        x.join(y, F.col("x.band") == F.col("y.band"))
+        mixed.filter("component <> main").alias("x").join(mixed.alias("y"), F.col("x.band") == F.col("y.band"))
         .filter("x.component <> y.component and (y.component = y.main or x.doc_id < y.doc_id)")
         .filter(F.abs(F.col("x.away") - F.col("y.away")) <= radius)
-        .filter(F.least("x.n_shingles", "y.n_shingles") * 100 >= F.greatest("x.n_shingles", "y.n_shingles") * settings.percent)
+        .filter(possible("x.", "y."))
         .select(F.least("x.doc_id", "y.doc_id").alias("a"), F.greatest("x.doc_id", "y.doc_id").alias("b"))
         .distinct()
+        .join(compared, ["a", "b"], "left_anti")
     )
     more = _compared(open_pairs, sets).filter(is_link).select(F.col("a").alias("u"), F.col("b").alias("v"))
-    stars = groups.select(F.col("node").alias("u"), F.col("component").alias("v"))
-    final = components(stars.unionByName(more)).withColumnRenamed("node", "class_id")
+    final = components(_stars(groups).unionByName(more)).withColumnRenamed("node", "class_id")
 
     of_class = usable.groupBy("set_key").agg(F.min("doc_id").alias("class_id")).join(final, "class_id", "left")
     component = of_class.select("set_key", F.coalesce("component", "class_id").alias("component"))

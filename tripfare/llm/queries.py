@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tripfare.llm.graph_dedup import graph_dedup
 from tripfare.llm.near_duplicates import NearDuplicates, near_duplicates
 from tripfare.llm.suffix_dedup import suffix_dedup
+from tripfare.llm.token_files import token_table
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -25,5 +26,9 @@ def op10_substring_dedup(spark, sf_dir):
     return graph_dedup(_table(spark, sf_dir, "documents")).drop("kept")
 
 
-QUERIES = {f.__name__: f for f in (op1_near_duplicates, op4_suffix_dedup, op10_substring_dedup)}
+def op7_token_files(spark, sf_dir):
+    return token_table(_table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_near_duplicates, op4_suffix_dedup, op7_token_files, op10_substring_dedup)}
 ORACLE: dict[str, str] = {}
