@@ -89,10 +89,19 @@ def span_hashes(data: np.ndarray, starts: np.ndarray, stops: np.ndarray, lower:
     table = _LOWER_BYTES if lower else _BYTES
     if salt:
         table = mix(table + _U(salt))
-    summed = np.zeros(len(data) + 1, dtype=_U)
-    np.cumsum(table[data] * powers(_BASE, len(data)), out=summed[1:])
-    inverse = powers(_INVERSE, len(data) + 1)
-    return mix((summed[stops] - summed[starts]) * inverse[starts] + (stops - starts).astype(_U))
+    return summed_spans(prefix_sums(table[data]), starts, stops)
+
+
+def prefix_sums(values: np.ndarray) -> np.ndarray:
+    summed = np.zeros(len(values) + 1, dtype=_U)
+    np.cumsum(values * powers(_BASE, len(values)), out=summed[1:])
+    return summed
+
+
+def summed_spans(summed: np.ndarray, starts: np.ndarray, stops: np.ndarray, salt: int = 0) -> np.ndarray:
+    """Hash of spans of the values that ``summed`` is made from."""
+    inverse = powers(_INVERSE, len(summed))
+    return mix((summed[stops] - summed[starts]) * inverse[starts] + (stops - starts).astype(_U) + _U(salt * 0x9E37))
 
 
 def gram_hashes(data: np.ndarray, k: int) -> np.ndarray:
@@ -135,5 +144,39 @@ def sliding_argmin(keys: np.ndarray, width: int) -> np.ndarray:
     return (best[:n] & _U(0xFFFFFFFF)).astype(np.int64)
 
 
+class HashIndex:
+    """Place of each known hash: open addressing in a table of numpy arrays."""
+
+    def __init__(self, keys: np.ndarray):
+        self.keys = np.r_[keys.astype(_U), _U(0)]
+        size = 1 << max(4, (4 * len(keys)).bit_length())
+        self.mask = _U(size - 1)
+        self.table = np.full(size, len(keys), dtype=np.int32)
+        self.probes = 0
+        left, slot = np.arange(len(keys), dtype=np.int32), (keys.astype(_U) & self.mask).astype(np.int64)
+        while len(left):
+            self.probes += 1
+            free = self.table[slot] == len(keys)
+            self.table[slot[free]] = left[free]
+            placed = self.table[slot] == left
+            left, slot = left[~placed], (slot[~placed] + 1) & (size - 1)
+
+    def find(self, hashes: np.ndarray) -> np.ndarray:
+        """Place in ``keys``, or -1."""
+        absent = len(self.keys) - 1
+        slot = (hashes & self.mask).astype(np.int64)
+        found = self.table[slot]
+        result = np.where((found != absent) & (self.keys[found] == hashes), found, -1)
+        open_ = np.flatnonzero((result < 0) & (found != absent))
+        for step in range(1, self.probes):
+            if not len(open_):
+                break
+            found = self.table[(slot[open_] + step) & int(self.mask)]
+            hit = (found != absent) & (self.keys[found] == hashes[open_])
+            result[open_[hit]] = found[hit]
+            open_ = open_[~hit & (found != absent)]
+        return result
+
+
 def signed(x: np.ndarray) -> np.ndarray:
     return x.view(np.int64)

@@ -102,11 +102,14 @@ def exact_top_k(vectors: DataFrame, is_query: Column, k: int = 10, scale: int =
     spark = vectors.sparkSession
     whole = durable(integer_vectors(vectors, scale), "vectors")
     ids = durable(whole.filter(is_query).select("vec_id").distinct(), "query-ids")
-    # Numbered through in the order of their ids; a block is a range of numbers.
-    edges = _edges(ids)
+    blocks = -(-ids.count() // QUERY_BLOCK)
     results = []
-    for low, high in edges:
-        block = whole.filter(is_query & F.col("vec_id").between(low, high)).dropDuplicates(["vec_id"]).toArrow().combine_chunks()
+    for i in range(blocks):
+        # Dealt by hash, so a block is about QUERY_BLOCK queries whatever their ids are.
+        mine = F.pmod(F.xxhash64("vec_id"), F.lit(blocks)) == i
+        block = whole.filter(is_query & mine).dropDuplicates(["vec_id"]).toArrow().combine_chunks()
+        if not len(block):
+            continue
         names = block.column(0).to_numpy()
         column = block.column(1)
         column = column.chunk(0) if isinstance(column, pa.ChunkedArray) else column
@@ -120,16 +123,3 @@ def exact_top_k(vectors: DataFrame, is_query: Column, k: int = 10, scale: int =
     one = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     ranked = one.withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")))
     return ranked.filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
-
-
-def _edges(ids: DataFrame) -> list[tuple[int, int]]:
-    """Ranges of ids that hold at most ``QUERY_BLOCK`` queries each."""
-    count = ids.count()
-    if not count:
-        return []
-    parts = -(-count // QUERY_BLOCK)
-    cuts = [0.0, *[i / parts for i in range(1, parts)], 1.0]
-    marks = ids.agg(F.percentile("vec_id", F.array(*[F.lit(c) for c in cuts])).alias("m")).first()["m"]
-    lows = [int(np.floor(m)) + (i > 0) for i, m in enumerate(marks[:-1])]
-    highs = [int(np.floor(m)) for m in marks[1:-1]] + [int(np.ceil(marks[-1]))]
-    return list(zip(lows, highs))
