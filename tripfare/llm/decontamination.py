@@ -56,8 +56,8 @@ def _windows(items: DataFrame, length: int, k: int, whole: bool) -> DataFrame:
 def decontamination(docs: DataFrame, benchmark: DataFrame, length: int = 10) -> DataFrame:
     """Words of documents that lie in ``length`` consecutive words of a benchmark item.
 
-    Returns (doc_id, n_words, n_hit, n_items, items, items_sha256, contaminated),
-    ``items`` being the item_ids whose windows occur, as sorted strings.
+    Returns (doc_id, n_words, n_hit, n_items, items, items_sha256, contaminated,
+    text_hash), ``items`` being the item_ids whose windows occur, as sorted strings.
 
     Winnowing: the least 4-gram hash of every ``length``-word window is its
     fingerprint, so equal windows have equal fingerprints and no shared span of
@@ -123,4 +123,5 @@ def decontamination(docs: DataFrame, benchmark: DataFrame, length: int = 10) ->
         names.alias("items"),
         F.sha2(F.array_join(names, ","), 256).alias("items_sha256"),
         (hit > 0).alias("contaminated"),
+        F.col("key").alias("text_hash"),
     )

@@ -139,7 +139,7 @@ class LanguageModel:
                     chance = 1 / np.exp(total - total.max(axis=1, keepdims=True)).sum(axis=1)
                     lang[worded], score[worded] = names[best[worded]], chance[worded]
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(low, n), pa.array(lang, pa.string()), pa.array(score)], ["doc_id", "lang_pred", "score"]
+                    [batch.column(0).slice(low, n), pa.array(lang, pa.string()), pa.array(score)], [batch.schema.names[0], "lang_pred", "score"]
                 )
 
 
@@ -183,7 +183,18 @@ def language_id(docs: DataFrame, learn_from: Column | None = None, settings: Lan
     text if nothing is labelled. Rows without lang or id teach nothing. Repeated
     rows are scored each; other columns are ignored.
     """
-    model = fit_language(docs, F.lit(True) if learn_from is None else learn_from, settings)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    return _predicted(docs, texts, "doc_id long", learn_from, settings)
+
+
+def in_a_language(docs: DataFrame, settings: LanguageSettings = LanguageSettings()) -> DataFrame:
+    """The rows of ``docs``, all columns, whose text is in one of the languages it is labelled with."""
+    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("line"), F.col("text").cast("string").alias("text"))
+    kind = whole.schema["line"].dataType.simpleString()
+    return _predicted(docs, whole, f"line {kind}", None, settings).filter("lang_pred <> 'und'").select("line.*")
+
+
+def _predicted(docs: DataFrame, rows: DataFrame, kept: str, learn_from: Column | None, settings: LanguageSettings) -> DataFrame:
+    model = fit_language(docs, F.lit(True) if learn_from is None else learn_from, settings)
     sent = docs.sparkSession.sparkContext.broadcast(model)
-    return texts.mapInArrow(lambda batches: sent.value.predict(batches), "doc_id long, lang_pred string, score double")
+    return rows.mapInArrow(lambda batches: sent.value.predict(batches), f"{kept}, lang_pred string, score double")

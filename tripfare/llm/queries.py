@@ -2,9 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
+import corpus_pipeline
+from tripfare.llm import oracle, sharding
+from tripfare.llm.decontamination import decontamination
+from tripfare.llm.exact_search import exact_top_k
 from tripfare.llm.graph_dedup import graph_dedup
+from tripfare.llm.language import language_id, remainder
+from tripfare.llm.language_model import score_texts
+from tripfare.llm.mixing import mix
 from tripfare.llm.near_duplicates import NearDuplicates, near_duplicates
 from tripfare.llm.suffix_dedup import suffix_dedup
 from tripfare.llm.token_files import token_table
@@ -18,17 +25,69 @@ def op1_near_duplicates(spark, sf_dir):
     return near_duplicates(_table(spark, sf_dir, "documents"), NearDuplicates(percent=85))
 
 
+def op2_sharding(spark, sf_dir):
+    return sharding.assign_shards(_table(spark, sf_dir, "documents").select("doc_id"))
+
+
+def op3_language_id(spark, sf_dir):
+    docs = _table(spark, sf_dir, "documents")
+    found = language_id(docs, remainder(4) != 2)
+    return found.select("doc_id", F.coalesce(remainder(4) == 2, F.lit(False)).alias("held_out"), "lang_pred", "score")
+
+
 def op4_suffix_dedup(spark, sf_dir):
     return suffix_dedup(_table(spark, sf_dir, "documents")).drop("kept")
 
 
-def op10_substring_dedup(spark, sf_dir):
-    return graph_dedup(_table(spark, sf_dir, "documents")).drop("kept")
+def op5_decontamination(spark, sf_dir):
+    found = decontamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return found.drop("items", "text_hash")
+
+
+def op6_exact_top_k(spark, sf_dir):
+    return exact_top_k(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
 
 
 def op7_token_files(spark, sf_dir):
     return token_table(_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_near_duplicates, op4_suffix_dedup, op7_token_files, op10_substring_dedup)}
-ORACLE: dict[str, str] = {}
+def op8_language_model(spark, sf_dir):
+    return score_texts(_table(spark, sf_dir, "documents"), remainder(7) != 2)
+
+
+def op9_mixing(spark, sf_dir):
+    return mix(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+def op10_substring_dedup(spark, sf_dir):
+    return graph_dedup(_table(spark, sf_dir, "documents")).drop("kept")
+
+
+def pipeline(spark, sf_dir):
+    return corpus_pipeline.run(spark, sf_dir)
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_near_duplicates,
+        op2_sharding,
+        op3_language_id,
+        op4_suffix_dedup,
+        op5_decontamination,
+        op6_exact_top_k,
+        op7_token_files,
+        op8_language_model,
+        op9_mixing,
+        op10_substring_dedup,
+        pipeline,
+    )
+}
+
+# Where SQL can state the result. The others are tested against brute force in tests/llm.
+ORACLE: dict[str, str] = {
+    "op2_sharding": sharding.oracle(),
+    "op5_decontamination": oracle.DECONTAMINATION,
+    "op6_exact_top_k": oracle.EXACT_TOP_K,
+}

@@ -16,9 +16,12 @@ BROADCAST_IDS = 1_000_000
 
 def only_ids(frame: DataFrame, ids: DataFrame, key: str = "doc_id") -> DataFrame:
     """Rows of ``frame`` whose key is among ``ids``, a stored table with one long column ``key``."""
-    if ids.count() <= BROADCAST_IDS:
-        ids = F.broadcast(ids)
-    return frame.join(ids, key, "left_semi")
+    return frame.join(small(ids), key, "left_semi")
+
+
+def small(rows: DataFrame) -> DataFrame:
+    """A stored table of a few numbers a row, marked for broadcast if it has few rows."""
+    return F.broadcast(rows) if rows.count() <= BROADCAST_IDS else rows
 
 
 def _forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
