@@ -18,8 +18,8 @@ from tripfare.operators.durable import shared_folder
 
 # A block ends with the first document that takes it to this many ids.
 BLOCK_IDS = 1 << 16
-# Distinct pieces of text whose ids a worker remembers.
-REMEMBERED = 400_000
+# Distinct pieces of text whose ids a worker remembers, twice over.
+REMEMBERED = 500_000
 
 BLOCKS = "part int, block int, first long, n_ids long, width int, doc_ids array<long>, lengths array<long>, packed binary"
 _NAMES = [part.split()[0] for part in BLOCKS.split(", ")]
@@ -30,6 +30,7 @@ TOGETHER = 64
 
 _UNEVEN = re.compile(r"\s ")
 _EVEN_SPACE = re.compile(r"(?<=\S) ")
+_SPACED = " ".__add__
 _MARKS = ".,;:!?|*#$%&"
 
 
@@ -72,45 +73,63 @@ class Encoder:
         self.token_bytes = np.array([len(self.tokenizer.id_to_token(i) or "") for i in range(size)], np.int64)
         self.width = max(1, (self.tokenizer.get_vocab_size() - 1).bit_length())
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def _ids(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(e.ids, "<u4") for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _learn(self, pieces: list[str]) -> None:
-        stems = {p: s for p in pieces if (s := p.rstrip(_MARKS)) and s != p and s[-1].isalnum()}
-        plain = {stems.get(p, p) for p in pieces} | {p[len(s) :] for p, s in stems.items()}
-        new = [p for p in plain if p not in self.known]
+    def _learn(self, pieces: set[str]) -> None:
+        known = self.known
+        stems, plain = [], set()
+        for piece in pieces:
+            stem = piece.rstrip(_MARKS)
+            if stem != piece and stem[-1:].isalnum():
+                stems.append((piece, stem))
+                plain.add(stem)
+                plain.add(piece[len(stem) :])
+            else:
+                plain.add(piece)
+        plain = {p for p in plain if p not in known}
         # Many pieces that begin with a space are encoded as one text and told apart by their bytes.
-        joined, alone = [], []
-        for p in new:
-            (joined if p[:1] == " " and not p[-1].isspace() else alone).append(p)
+        alone = [p for p in plain if p[:1] != " " or p[-1].isspace()]
+        joined = list(plain.difference(alone))
         groups = [joined[i : i + TOGETHER] for i in range(0, len(joined), TOGETHER)]
-        for group, found in zip(groups, self._ids(["".join(g) for g in groups])):
-            reach = np.r_[0, np.cumsum(self.token_bytes[found])]
-            ends = np.r_[0, np.cumsum([len(p.encode()) for p in group])]
+        texts = ["".join(g) for g in groups]
+        for group, text, found in zip(groups, texts, self._ids(texts)):
+            reach = np.cumsum(self.token_bytes[found])
+            sizes = map(len, group) if text.isascii() else [len(p.encode()) for p in group]
+            ends = np.fromiter(sizes, np.int64, len(group)).cumsum()
             at = np.searchsorted(reach, ends)
-            if np.array_equal(reach[np.minimum(at, len(reach) - 1)], ends):
-                self.known.update((p, found[a:b].tobytes()) for p, a, b in zip(group, at[:-1], at[1:]))
+            if at[-1] == len(reach) - 1 and (reach[at] == ends).all():
+                ids, low = found.tobytes(), 0
+                for piece, high in zip(group, ((at + 1) * 4).tolist()):
+                    known[piece] = ids[low:high]
+                    low = high
             else:
                 alone += group
-        self.known.update((p, found.tobytes()) for p, found in zip(alone, self._ids(alone)))
-        for piece, stem in stems.items():
-            self.known[piece] = self.known[stem] + self.known[piece[len(stem) :]]
+        known.update((p, found.tobytes()) for p, found in zip(alone, self._ids(alone)))
+        for piece, stem in stems:
+            known[piece] = known[stem] + known[piece[len(stem) :]]
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Little-endian 32-bit ids of every text."""
-        cut = []
+        if len(self.known) > REMEMBERED:
+            # What is still in use comes back from the older half.
+            self.older, self.known = self.known, {}
+        known, cut, lacking = self.known, [], set()
         for text in texts:
             text = text or ""
-            first, *rest = _EVEN_SPACE.split(text) if _UNEVEN.search(text) else text.split(" ")
-            cut.append([first, *[" " + piece for piece in rest]])
-        if len(self.known) > REMEMBERED:
-            self.known.clear()
-        missing = {p for pieces in cut for p in set(pieces).difference(self.known)}
-        if missing:
-            self._learn(list(missing))
-        known = self.known
-        return [b"".join([known[p] for p in pieces]) for pieces in cut]
+            pieces = _EVEN_SPACE.split(text) if _UNEVEN.search(text) else text.split(" ")
+            pieces = [pieces[0], *map(_SPACED, pieces[1:])]
+            found = list(map(known.get, pieces))
+            if None in found:
+                lacking.update(p for p, ids in zip(pieces, found) if ids is None)
+            cut.append((pieces, found))
+        again = {p: ids for p in lacking if (ids := self.older.get(p)) is not None}
+        known.update(again)
+        if lacking := lacking.difference(again):
+            self._learn(lacking)
+        return [b"".join(map(known.__getitem__, pieces) if None in found else found) for pieces, found in cut]
 
 
 @lru_cache(maxsize=2)
