@@ -18,7 +18,7 @@ from tripfare.operators.durable import durable
 _U = np.uint64
 
 # Edges that a task compares at a time (an anchor with more is one block).
-BLOCK_EDGES = 500_000
+BLOCK_EDGES = 100_000
 ANCHOR_WORDS = 5
 SECOND_SALT = 7
 
@@ -33,13 +33,17 @@ def _paths(doc, begin, stop, from_doc, from_begin) -> pa.RecordBatch:
 def _block(table: pa.Table, k: int) -> Iterator[pa.RecordBatch]:
     """Edges of one block that also lie in a document with a smaller id, as unbranched paths."""
     doc, start, windows = (table.column(i).to_numpy() for i in (1, 2, 3))
-    data, offsets = arrays.flat(pa.concat_arrays(table.column(5).chunks))
-    starts, stops, first = arrays.words(data, offsets)
     owner = np.repeat(np.arange(len(windows)), windows)
     inner = np.arange(windows.sum()) - np.repeat(np.cumsum(windows) - windows, windows)
-    at = first[owner] + inner
     # 128 bits name an edge: two hashes of its words.
-    names = [arrays.run_hashes(arrays.span_hashes(data, starts, stops, salt=s), k, salt=s)[at] for s in (0, SECOND_SALT)]
+    named: tuple[list, list] = ([], [])
+    for low, high, data, offsets in arrays.slices(pa.concat_arrays(table.column(5).chunks)):
+        starts, stops, first = arrays.words(data, offsets)
+        part = slice(*np.searchsorted(owner, (low, high)))
+        at = first[owner[part] - low] + inner[part]
+        for found, salt in zip(named, (0, SECOND_SALT)):
+            found.append(arrays.run_hashes(arrays.span_hashes(data, starts, stops, salt=salt), k, salt=salt)[at])
+    names = [np.concatenate(found) for found in named]
     place = np.lexsort((start[owner] + inner, doc[owner], names[1], names[0]))
     fresh = np.r_[True, (names[0][place][1:] != names[0][place][:-1]) | (names[1][place][1:] != names[1][place][:-1])]
     source = place[np.flatnonzero(fresh)][np.cumsum(fresh) - 1]
