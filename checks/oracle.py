@@ -10,9 +10,9 @@ order_trips AS (
          c_nationkey AS "PULocationID", s_nationkey AS "DOLocationID",
          date_diff('second', o_orderdate, l_shipdate) / 60::DOUBLE AS duration_minutes
   FROM lineitem
-  JOIN orders ON l_orderkey = o_orderkey
-  JOIN customer ON o_custkey = c_custkey
-  JOIN supplier ON l_suppkey = s_suppkey
+  LEFT JOIN orders ON l_orderkey = o_orderkey
+  LEFT JOIN customer ON o_custkey = c_custkey
+  LEFT JOIN supplier ON l_suppkey = s_suppkey
 ),
 order_tagged AS (
   SELECT *, CASE
@@ -45,7 +45,7 @@ event_trips AS (
            lead(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS dropoff_datetime,
            value / 10 AS trip_distance, value AS fare_amount,
            (user_id % 25)::INTEGER AS "PULocationID",
-           json_extract_string(props, '$.k')::INTEGER AS "DOLocationID"
+           TRY_CAST(json_extract_string(props, '$.k') AS INTEGER) AS "DOLocationID"
     FROM events)
 ),
 event_tagged AS (
@@ -305,13 +305,14 @@ ORACLE = {
         pickups AS (SELECT "PULocationID" AS zone, avg(fare_amount) AS guess FROM train GROUP BY ALL),
         routes AS (SELECT "PULocationID" AS pu, "DOLocationID" AS d, avg(fare_amount) AS guess FROM train GROUP BY ALL),
         scored AS (
-          SELECT 'OverallMean' AS model, 0 AS position, sqrt(avg((guess - fare_amount) ** 2)) AS error FROM held, overall
+          SELECT 'OverallMean' AS model, 0 AS position, count(*) AS n, sqrt(avg((guess - fare_amount) ** 2)) AS error FROM held, overall
           UNION ALL
-          SELECT 'PickupMean', 1, sqrt(avg((guess - fare_amount) ** 2)) FROM held JOIN pickups ON zone = "PULocationID"
+          SELECT 'PickupMean', 1, count(*), sqrt(avg((coalesce(pickups.guess, overall.guess) - fare_amount) ** 2))
+          FROM held CROSS JOIN overall LEFT JOIN pickups ON zone = "PULocationID"
           UNION ALL
-          SELECT 'RouteMean', 2, sqrt(avg((coalesce(routes.guess, overall.guess) - fare_amount) ** 2))
+          SELECT 'RouteMean', 2, count(*), sqrt(avg((coalesce(routes.guess, overall.guess) - fare_amount) ** 2))
           FROM held CROSS JOIN overall LEFT JOIN routes ON pu = "PULocationID" AND d = "DOLocationID")
-        SELECT model, position::INTEGER AS position, round(error, 4) AS rmse,
+        SELECT model, position::INTEGER AS position, n, round(error, 4) AS rmse,
                model = (SELECT model FROM scored ORDER BY error, position LIMIT 1) AS selected
         FROM scored""",
     "encoded_features": _with(EVENT_TRIPS, ZONE_INDEX) + """

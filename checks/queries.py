@@ -57,7 +57,7 @@ def rounded(table: DataFrame, *columns: str, digits: int = 4) -> DataFrame:
 def normalize_trips(spark, sf):
     """Raw months, as text and as numbers, unioned into typed trips."""
     trips = adapters.order_trips(spark, sf)
-    early = F.year("pickup_datetime") < 1998
+    early = F.coalesce(F.year("pickup_datetime") < 1998, F.lit(False))
     as_text = trips.filter(early).select(
         F.col("pickup_datetime").cast("string").alias("TPEP_pickup_datetime"),
         F.col("dropoff_datetime").cast("string").alias("tpep_dropoff_datetime"),
@@ -323,16 +323,18 @@ def rmse_selection(spark, sf):
     """Three predictors learned on training trips, ranked on the validation split."""
     splits = stored_order_splits(spark, sf)
     train, validation = splits["train"], splits["validation"]
-    by_pickup = train.groupBy("PULocationID").agg(F.avg("fare_amount").alias("prediction"))
+    by_pickup = train.groupBy("PULocationID").agg(F.avg("fare_amount").alias("pickup_mean"))
     candidates = {
         ("all", "OverallMean"): _with_mean({"train": train, "test": validation}),
-        ("all", "PickupMean"): lookup_join(validation, durable(by_pickup, "pickup-means"), ["PULocationID"], "inner"),
+        ("all", "PickupMean"): lookup_join(validation, durable(by_pickup, "pickup-means"), ["PULocationID"]).withColumn(
+            "prediction", F.coalesce("pickup_mean", evaluation.training_mean(train).toDF("mean_fare").scalar())
+        ),
         ("all", "RouteMean"): _with_route_mean({"train": train, "test": validation}),
     }
-    ranking = durable(evaluation.compare_models(candidates), "ranking").select("setting", "model", "position", "rmse")
+    ranking = durable(evaluation.compare_models(candidates), "ranking").select("setting", "model", "position", "n", "rmse")
     best = modeling.winner(ranking).select("setting", F.col("model").alias("best"))
     flagged = ranking.join(F.broadcast(best), "setting").withColumn("selected", F.col("model") == F.col("best"))
-    return rounded(flagged.select("model", "position", "rmse", "selected"), "rmse")
+    return rounded(flagged.select("model", "position", "n", "rmse", "selected"), "rmse")
 
 
 # ---- Spark ML ------------------------------------------------------------

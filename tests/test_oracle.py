@@ -7,6 +7,8 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from checks.oracle import ORACLE
+from checks.queries import QUERIES
 
 SF = "/root/testdata/sf0.001"
 TYPES = {
@@ -31,11 +33,11 @@ def ordered(data):
     return sorted(data, key=lambda row: tuple(repr(v) for v in row))
 
 
-@pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(ORACLE))
 def test_query_equals_sql(spark, duck, name):
-    frame = entry.queries()[name](spark, SF)
+    frame = QUERIES[name](spark, SF)
     columns = sorted(frame.columns)
-    answer = duck.sql(entry.oracle_sql()[name])
+    answer = duck.sql(ORACLE[name])
     assert sorted(answer.columns) == columns
     kinds = dict(zip(answer.columns, map(str, answer.types)))
     assert {c: TYPES[t] for c, t in frame.dtypes} == kinds
@@ -44,9 +46,9 @@ def test_query_equals_sql(spark, duck, name):
     assert ordered(map(tuple, frame.select(*columns).collect())) == expected
 
 
-@pytest.mark.parametrize("name", sorted(set(entry.queries()) - set(entry.oracle_sql())))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLE)))
 def test_other_queries_give_finite_rows(spark, name):
-    found = entry.queries()[name](spark, SF).collect()
+    found = QUERIES[name](spark, SF).collect()
     assert found
     for row in found:
         assert all(math.isfinite(v) for v in row if isinstance(v, float))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tripfare.operators.history import MEDIANS
 from tripfare.operators import quantiles
-from tripfare.operators.quantiles import grouped_medians, spread_medians, summary_medians
+from tripfare.operators.quantiles import grouped_medians, medians_of, rolled_up, value_counts
 
 
 def brute(values):
@@ -32,32 +32,22 @@ trips = st.lists(st.tuples(st.one_of(st.none(), st.integers(0, 2)), st.integers(
 
 def check(found, data, keyed=True):
     found = {(r.a, r.b) if keyed else (): (r.historical_distance, r.historical_duration) for r in found.collect()}
-    for group in {(a, b) for a, b, *_ in data} if keyed else {()}:
+    groups = {t[:2] for t in data} if keyed else {()}
+    assert set(found) == groups
+    for group in groups:
         mine = [t for t in data if not keyed or t[:2] == group]
         want = tuple(brute([t[i] for t in mine]) for i in (2, 3))
-        have = found.get(group, (None, None))
-        assert all(same(x, y) for x, y in zip(have, want)), (group, have, want)
+        assert all(same(x, y) for x, y in zip(found[group], want)), (group, found[group], want)
 
 
-@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
-@given(trips, st.sampled_from([1, 6, 5000]))
-def test_any_values_any_groups(spark, data, limit):
-    """The limit sends all groups, large groups or no group to the spread plan."""
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(trips)
+def test_any_values_any_groups(spark, data):
     frame = spark.createDataFrame(data, "a int, b int, trip_distance double, duration_minutes double")
-    normal, quantiles.SUMMARY_ROWS = quantiles.SUMMARY_ROWS, limit
-    try:
-        check(grouped_medians(frame, ["a", "b"], MEDIANS), data)
-    finally:
-        quantiles.SUMMARY_ROWS = normal
-    check(spread_medians(frame, [], MEDIANS), data, keyed=False)
-
-
-def test_summaries_are_exact_up_to_their_limit(spark):
-    rows = quantiles.SUMMARY_ROWS - 1
-    frame = spark.range(rows * 4).select((F.col("id") % 4).alias("k"), (F.xxhash64("id") / 1e9).alias("x")).repartition(16)
-    got = summary_medians(frame, ["k"], {"m": "x"})
-    exact = frame.groupBy("k").agg(F.expr("percentile_disc(0.5) WITHIN GROUP (ORDER BY x)").alias("m"))
-    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, exact.collect()))
+    check(grouped_medians(frame, ["a", "b"], MEDIANS), data)
+    check(grouped_medians(frame, [], MEDIANS), data, keyed=False)
+    counts = value_counts(frame, ["a", "b"], MEDIANS)
+    check(medians_of(rolled_up(counts), [], list(MEDIANS)), data, keyed=False)
 
 
 def test_one_group_with_a_third_of_many_copies(spark):
@@ -70,15 +60,24 @@ def test_one_group_with_a_third_of_many_copies(spark):
     assert sorted(map(tuple, got.select("k", "m").collect())) == sorted(map(tuple, exact.collect()))
 
 
+def test_a_large_group_in_a_narrow_range_is_cut_into_parts(spark):
+    frame = spark.range(40_000).select(F.lit(1).alias("k"), (1000 + F.col("id") / 1e6).alias("x"))
+    kept = {}
+    store = quantiles.durable
+    quantiles.durable = lambda f, label: kept.setdefault(label, store(f, label))
+    try:
+        assert grouped_medians(frame, ["k"], {"m": "x"}).first().m == 1000 + 19_999 / 1e6
+    finally:
+        quantiles.durable = store
+    assert kept["ordered-values"].count() == 40_000
+
+
+def test_groups_without_values_stay_whatever_their_size(spark):
+    for rows in (10, 6_000):
+        frame = spark.range(rows).select(F.lit(1).alias("k"), F.lit(None).cast("double").alias("x"))
+        assert [tuple(r) for r in grouped_medians(frame, ["k"], {"m": "x"}).collect()] == [(1, None)]
+
+
 def test_the_middle_of_even_counts_is_the_lower_one(spark):
     frame = spark.createDataFrame([(1.0,), (2.0,), (3.0,), (4.0,)], "x double").withColumn("k", F.lit(1))
     assert grouped_medians(frame, ["k"], {"m": "x"}).first().m == 2.0
-    assert spread_medians(frame, [], {"m": "x"}).first().m == 2.0
-
-
-def test_spread_plan_scans_once(spark, tmp_path):
-    spark.range(100).selectExpr("id % 3 AS k", "id * 1.0D AS x").write.parquet(f"{tmp_path}/t")
-    medians = spread_medians(spark.read.parquet(f"{tmp_path}/t"), ["k"], {"m": "x"})
-    medians.collect()
-    plan = medians._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
-    assert plan.count("FileScan") == 1 and "ReusedExchange" in plan

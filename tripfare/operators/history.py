@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tripfare.config import ROUTE
 from tripfare.operators.durable import durable
 from tripfare.operators.joins import BROADCAST_BYTES, lookup_join
-from tripfare.operators.quantiles import grouped_medians, spread_medians
+from tripfare.operators.quantiles import grouped_medians, medians_of, rolled_up, value_counts
 
 MEDIANS = {"historical_distance": "trip_distance", "historical_duration": "duration_minutes"}
 
@@ -45,13 +45,17 @@ def route_medians(training: DataFrame, keys: Sequence[str] = ROUTE) -> DataFrame
 
 
 def fallback_medians(training: DataFrame) -> DataFrame:
-    return spread_medians(training, (), MEDIANS)
+    return grouped_medians(training, (), MEDIANS)
 
 
 def fit_history(training: DataFrame, keys: Sequence[str] = ROUTE) -> RouteHistory:
-    """Fit on training trips only. The lookup is stored, so its size is known from here on."""
-    lookup = durable(route_medians(training, keys), "routes")
-    overall = fallback_medians(training).first()
+    """Fit on training trips only: both medians from one pass of counts.
+
+    The lookup is stored, so its size is known from here on.
+    """
+    counts = value_counts(training, keys, MEDIANS)
+    lookup = durable(medians_of(counts, keys, list(MEDIANS)), "routes")
+    overall = medians_of(rolled_up(counts), (), list(MEDIANS)).first()
     fallback = overall.asDict() if overall else dict.fromkeys(MEDIANS)
     return RouteHistory(lookup, lookup.count(), fallback, tuple(keys))
 

@@ -8,8 +8,6 @@ from typing import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from tripfare.operators.durable import durable
-
 # A lookup is broadcast only when rows x fixed row width stays below this.
 BROADCAST_BYTES = 64 * 1024 * 1024
 # A key is hot when it holds at least this share of the (sampled) rows, so
@@ -17,22 +15,19 @@ BROADCAST_BYTES = 64 * 1024 * 1024
 HOT_SHARE = 0.01
 HOT_SAMPLE = 0.01
 
-_WIDTH = {
-    T.BooleanType: 1,
-    T.IntegerType: 4,
-    T.DateType: 4,
-    T.LongType: 8,
-    T.DoubleType: 8,
-    T.TimestampType: 8,
-    T.TimestampNTZType: 8,
-}
-_ROW_OVERHEAD = 24
+# A fixed-width field takes a word; a hashed row also holds its key, a pointer
+# and a header, and the pages it lies in are grown by doubling.
+_FIXED = (T.BooleanType, T.IntegerType, T.DateType, T.LongType, T.DoubleType, T.TimestampType, T.TimestampNTZType)
+_WORD = 8
+_ROW_OVERHEAD = 6 * _WORD
+_DOUBLING = 2
 
 
 def row_bytes(schema: T.StructType) -> int | None:
-    """Width of a row of fixed-width columns; None when a column can grow."""
-    widths = [_WIDTH.get(type(f.dataType)) for f in schema.fields]
-    return None if None in widths else sum(widths) + _ROW_OVERHEAD
+    """Most bytes of a broadcast row of fixed-width columns; None when a column can grow."""
+    if not all(isinstance(f.dataType, _FIXED) for f in schema.fields):
+        return None
+    return _DOUBLING * (_WORD * len(schema.fields) + _ROW_OVERHEAD)
 
 
 def fits_broadcast(lookup: DataFrame, rows: int | None = None, limit: int = BROADCAST_BYTES) -> bool:
@@ -87,7 +82,6 @@ def lookup_join(
     lookup_rows: int | None = None,
     broadcast_limit: int = BROADCAST_BYTES,
     hot: Sequence[tuple] | None = None,
-    store: bool = False,
 ) -> DataFrame:
     """Join facts with a lookup that is unique on ``keys``.
 
@@ -96,16 +90,13 @@ def lookup_join(
       of just those few lookup rows and are not shuffled either. Only the
       remaining, balanced rows are shuffled. No row is dropped or replicated.
 
-    The second way reads both sides more than once. That suits stored tables;
-    ``store`` writes sides that come from a costly plan first.
+    The second way reads both sides more than once; that suits stored tables.
     """
     if how not in ("left", "inner"):
         raise ValueError(f"lookup joins are left or inner, not {how!r}")
     keys = list(keys)
     if fits_broadcast(lookup, lookup_rows, broadcast_limit):
         return facts.join(F.broadcast(lookup), keys, how)
-    if store:
-        facts, lookup = durable(facts, "facts"), durable(lookup, "lookup")
     found = hot_keys(facts, keys) if hot is None else list(hot)
     hot_flag = _is_hot(keys, found)
     # At most len(found) rows, since the lookup is unique on its keys.

@@ -7,52 +7,15 @@ from typing import Mapping, Sequence
 from pyspark.sql import DataFrame, Window, functions as F
 
 from tripfare.operators.durable import durable
-from tripfare.operators.joins import lookup_join
-
-# Fixed value: accuracy of the approximate median.
-ACCURACY = 10_000
-# Under this many rows a summary of that accuracy keeps every value it was
-# given, so the "approximate" median is the exact one.
-SUMMARY_ROWS = ACCURACY // 2
-
-# Slices per doubling of a value. Over the range of accepted trips that is some
-# 35,000 slices per group. A double spans about 1,024 doublings on each side of
-# zero, so no group has more than 8.4 million, whatever it holds.
-SLICES_PER_DOUBLING = 4096
 
 _GROUP = ("grp", "measure")
 
 
-def grouped_medians(frame: DataFrame, keys: Sequence[str], measures: Mapping[str, str]) -> DataFrame:
-    """Lower median of each measure per key: ``measures`` maps output name → column.
-
-    This is the value ``percentile_disc(0.5)`` returns, NULLs ignored. Groups
-    are counted first. Small ones, of bounded size, take one summary each.
-    Large ones are spread over the cluster by value.
-    """
-    sizes = durable(frame.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows_of_group")), "group-sizes")
-    groups, largest = sizes.agg(F.count(F.lit(1)), F.max("rows_of_group")).first()
-    if groups == 0 or largest < SUMMARY_ROWS:
-        return summary_medians(frame, keys, measures)
-    sized = lookup_join(frame, sizes, keys, lookup_rows=groups)
-    # A NULL key finds no size; it is treated as large, which suits any size.
-    small = F.coalesce(F.col("rows_of_group") < SUMMARY_ROWS, F.lit(False))
-    return summary_medians(sized.filter(small), keys, measures).unionByName(
-        spread_medians(sized.filter(~small), keys, measures)
-    )
-
-
-def summary_medians(frame: DataFrame, keys: Sequence[str], measures: Mapping[str, str]) -> DataFrame:
-    """One quantile summary per group; exact below ``SUMMARY_ROWS`` rows."""
-    medians = [F.percentile_approx(F.col(c).cast("double"), 0.5, ACCURACY).alias(name) for name, c in measures.items()]
-    return frame.groupBy(*keys).agg(*medians)
-
-
 def value_counts(frame: DataFrame, keys: Sequence[str], measures: Mapping[str, str]) -> DataFrame:
-    """Rows per (group, measure, value), NULL values left out.
+    """Rows per (group, measure, value); NULL is a value too, so no group is lost.
 
     Counts are combined before the shuffle and spread by value, so a hot group
-    is split and copies collapse.
+    is split and copies collapse. Stored, as every step below reads them.
     """
     # A struct equals itself when a key inside it is NULL, in joins as well.
     group = F.struct(F.lit(True).alias("any"), *[F.col(k) for k in keys]).alias("grp")
@@ -60,41 +23,57 @@ def value_counts(frame: DataFrame, keys: Sequence[str], measures: Mapping[str, s
         F.struct(F.lit(name).alias("measure"), F.col(column).cast("double").alias("value"))
         for name, column in measures.items()
     ]
-    values = frame.select(group, F.inline(F.array(*pairs))).filter(F.col("value").isNotNull())
-    return values.groupBy(*_GROUP, "value").agg(F.count(F.lit(1)).alias("n"))
+    values = frame.select(group, F.inline(F.array(*pairs)))
+    return durable(values.groupBy(*_GROUP, "value").agg(F.count(F.lit(1)).alias("n")), "value-counts")
+
+
+def rolled_up(counts: DataFrame) -> DataFrame:
+    """The counts of all groups taken together, as one group without keys."""
+    whole = F.struct(F.lit(True).alias("any")).alias("grp")
+    return counts.groupBy("measure", "value").agg(F.sum("n").alias("n")).select(whole, "measure", "value", "n")
 
 
-def spread_medians(frame: DataFrame, keys: Sequence[str], measures: Mapping[str, str]) -> DataFrame:
-    """Lower medians of groups of any size.
+def medians_of(counts: DataFrame, keys: Sequence[str], measures: Sequence[str]) -> DataFrame:
+    """Lower median of each measure per key, from ``value_counts``.
 
-    1. Count equal values per group.
-    2. Sum the counts over order-preserving slices, and find the one slice of
-       each group that holds the middle row.
-    3. Rank only the values of that slice.
+    Values are put in order over the cluster: parts are ranges of (group,
+    measure, value). Sums per part tell which part holds the middle row of each
+    group, and only that part of the group is counted through. So a group of any
+    size, in any range of values, is spread over many tasks.
     """
-    slice_of = F.signum("value") * F.rint(F.log2(F.abs("value") + 1) * SLICES_PER_DOUBLING)
-    # The filter removes nothing. It keeps both uses below alike, so they share one shuffle.
-    counts = value_counts(frame, keys, measures)
-    sliced = counts.withColumn("slice", slice_of).filter(F.col("slice").isNotNull())
-
-    whole = Window.partitionBy(*_GROUP)
-    running = whole.orderBy("slice").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    before, middle = F.col("upto") - F.col("n"), F.expr("(total + 1) div 2")
-    middle_slice = (
-        sliced.groupBy(*_GROUP, "slice")
-        .agg(F.sum("n").alias("n"))
-        .withColumns({"upto": F.sum("n").over(running), "total": F.sum("n").over(whole)})
-        .filter((before < middle) & (middle <= F.col("upto")))
-        .select(*_GROUP, "slice", (middle - before).alias("rank"))
+    ordered = counts.repartitionByRange(*_GROUP, "value").withColumn("part", F.spark_partition_id())
+    ordered = durable(ordered, "ordered-values")
+    real = F.col("value").isNotNull()
+
+    group = Window.partitionBy(*_GROUP)
+    upto = group.orderBy("part").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    middle = F.expr("(total + 1) div 2")
+    chosen = (
+        ordered.filter(real)
+        .groupBy(*_GROUP, "part")
+        .agg(F.sum("n").alias("size"))
+        .withColumns({"upto": F.sum("size").over(upto), "total": F.sum("size").over(group)})
+        .filter((F.col("upto") - F.col("size") < middle) & (middle <= F.col("upto")))
+        .select(*_GROUP, "part", (middle - F.col("upto") + F.col("size")).alias("rank"))
     )
-
-    in_slice = whole.orderBy("value").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    middle_values = (
-        sliced.join(middle_slice, [*_GROUP, "slice"])
-        .repartition("grp")
-        .withColumn("upto", F.sum("n").over(in_slice))
+    running = group.orderBy("value").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    found = (
+        ordered.filter(real)
+        .join(chosen, [*_GROUP, "part"])
+        .withColumn("upto", F.sum("n").over(running))
         .filter((F.col("upto") - F.col("n") < F.col("rank")) & (F.col("rank") <= F.col("upto")))
+        .select(*_GROUP, "value")
     )
+    # A group of NULLs only is kept by its NULLs.
+    every = found.unionByName(ordered.filter(~real).select(*_GROUP, "value"))
     per_measure = [F.max(F.when(F.col("measure") == name, F.col("value"))).alias(name) for name in measures]
-    medians = middle_values.groupBy("grp").agg(*per_measure)
-    return medians.select(*[F.col(f"grp.{k}").alias(k) for k in keys], *measures)
+    return every.groupBy("grp").agg(*per_measure).select(*[F.col(f"grp.{k}").alias(k) for k in keys], *measures)
+
+
+def grouped_medians(frame: DataFrame, keys: Sequence[str], measures: Mapping[str, str]) -> DataFrame:
+    """Lower median of each measure per key: ``measures`` maps output name → column.
+
+    This is the value ``percentile_disc(0.5)`` returns, NULLs ignored; a group
+    without values has a NULL median.
+    """
+    return medians_of(value_counts(frame, keys, measures), keys, list(measures))

@@ -3,12 +3,12 @@
 from __future__ import annotations
 
 import datetime as dt
-from functools import lru_cache
+from functools import reduce
+from operator import and_
 
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from tripfare.config import Calendar, Limits
-from tripfare.operators.joins import lookup_join
 
 ORDER_LIMITS = Limits(
     years=(1995, 2000), max_miles=45.0, minutes=(1440.0, 1_440_000.0), max_mph=0.01, max_fare=80_000.0
@@ -37,20 +37,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(TABLES[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
-@lru_cache(maxsize=16)
-def table_rows(spark: SparkSession, sf_dir: str, *names: str) -> dict[str, int]:
-    """Row counts of a few tables, from their footers in one job.
+def order_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One trip per order line: ordered → shipped, customer nation → supplier nation.
 
-    Remembered per session: the test tables are read-only.
+    A line without its order, customer or supplier stays, with what is missing NULL.
     """
-    files = spark.read.schema(T.StructType([])).parquet(*[f"{sf_dir}/{n}.parquet" for n in names])
-    table_of = F.regexp_extract("_metadata.file_path", r"([^/]+)\.parquet", 1).alias("table")
-    counts = files.groupBy(table_of).agg(F.count(F.lit(1)).alias("row_count"))
-    return {r["table"]: r["row_count"] for r in counts.collect()}
-
-
-def order_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One trip per order line: ordered → shipped, customer nation → supplier nation."""
     orders = table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", F.col("o_orderdate").alias("pickup_datetime")
     )
@@ -68,57 +59,72 @@ def order_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.nullif("l_quantity", F.lit(50.0)).alias("trip_distance"),
         F.col("l_extendedprice").alias("fare_amount"),
     )
-    rows = table_rows(spark, sf_dir, "orders", "customer", "supplier")
-    # Customers join the orders, which are fewer than the lines. The join keeps
-    # at most one row per order, so the order count bounds its size.
-    origins = lookup_join(orders, customers, ["o_custkey"], "inner", lookup_rows=rows["customer"]).select(
+    # Customers join the orders, which are fewer than the lines. Keys are spread
+    # evenly: an order has a handful of lines. Spark broadcasts what is small.
+    origins = orders.join(customers, "o_custkey", "left").select(
         F.col("o_orderkey").alias("l_orderkey"), "pickup_datetime", "PULocationID"
     )
-    # Suppliers first: those facts are a plain scan, whichever way the join takes.
-    lines = lookup_join(lines, suppliers, ["l_suppkey"], "inner", lookup_rows=rows["supplier"])
-    return lookup_join(lines, origins, ["l_orderkey"], "inner", lookup_rows=rows["orders"], store=True).select(
-        "l_orderkey",
-        "l_linenumber",
-        "pickup_datetime",
-        "dropoff_datetime",
-        "trip_distance",
-        "fare_amount",
-        "PULocationID",
-        "DOLocationID",
+    return (
+        lines.join(suppliers, "l_suppkey", "left")
+        .join(origins, "l_orderkey", "left")
+        .select(
+            "l_orderkey",
+            "l_linenumber",
+            "pickup_datetime",
+            "dropoff_datetime",
+            "trip_distance",
+            "fare_amount",
+            "PULocationID",
+            "DOLocationID",
+        )
     )
 
 
 def event_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One trip per event, ending at the user's next event.
-
-    The next event is looked up inside (user, hour), and only the last event of
-    an hour looks at the first event of the user's next busy hour. So the
-    busiest user is spread over as many tasks as there are hours.
-    """
-    events = table(spark, sf_dir, "events").select(
-        "event_id",
-        "event_type",
-        "user_id",
-        "ts",
-        "value",
-        F.get_json_object("props", "$.k").cast("int").alias("DOLocationID"),
-        F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("hour"),
-    )
-    in_hour = Window.partitionBy("user_id", "hour").orderBy("ts", "event_id")
-    busy_hours = Window.partitionBy("user_id").orderBy("hour")
-    next_hour = (
-        events.groupBy("user_id", "hour")
-        .agg(F.min("ts").alias("first_ts"))
-        .select("user_id", "hour", F.lead("first_ts").over(busy_hours).alias("next_hour_ts"))
+    """One trip per event, ending at the user's next event."""
+    events = table(spark, sf_dir, "events").withColumn(
+        "DOLocationID", F.get_json_object("props", "$.k").try_cast("int")
     )
-    followed = events.withColumn("next_ts", F.lead("ts").over(in_hour)).join(next_hour, ["user_id", "hour"])
-    return followed.select(
+    return with_next(events).select(
         "event_id",
         "event_type",
         F.col("ts").alias("pickup_datetime"),
-        F.coalesce("next_ts", "next_hour_ts").alias("dropoff_datetime"),
+        F.col("next_ts").alias("dropoff_datetime"),
         (F.col("value") / 10).alias("trip_distance"),
         F.col("value").alias("fare_amount"),
         (F.col("user_id") % 25).cast("int").alias("PULocationID"),
         "DOLocationID",
     )
+
+
+def with_next(events: DataFrame) -> DataFrame:
+    """``next_ts``: the time of the user's next event, by time and id.
+
+    The next event is looked up inside (user, second); the last event of a
+    second looks at the first one of the user's next busy second in that hour,
+    and the last second of an hour at the next busy hour. So neither a busy user
+    nor a busy hour of one is a single task. Events without time have no next
+    and are none; those without user are taken as one user's.
+    """
+    second = F.date_trunc("second", "ts").cast("timestamp_ntz")
+    hour = F.date_trunc("hour", "ts").cast("timestamp_ntz")
+    timed = events.withColumns({"second": second, "hour": hour})
+    seconds = timed.filter("ts is not null").groupBy("user_id", "hour", "second").agg(F.min("ts").alias("first_ts"))
+    hours = seconds.groupBy("user_id", "hour").agg(F.min("first_ts").alias("first_ts"))
+    in_second = Window.partitionBy("user_id", "second").orderBy("ts", "event_id")
+    in_hour = Window.partitionBy("user_id", "hour").orderBy("second")
+    in_life = Window.partitionBy("user_id").orderBy("hour")
+    later_hour = hours.select("user_id", "hour", F.lead("first_ts").over(in_life).alias("hour_ts"))
+    later_second = seconds.select("user_id", "hour", "second", F.lead("first_ts").over(in_hour).alias("second_ts"))
+    later = _match(later_second, later_hour, ["user_id", "hour"]).select(
+        "user_id", "second", F.coalesce("second_ts", "hour_ts").alias("later_ts")
+    )
+    followed = _match(timed.withColumn("in_second", F.lead("ts").over(in_second)), later, ["user_id", "second"])
+    return followed.withColumn("next_ts", F.when(F.col("ts").isNotNull(), F.coalesce("in_second", "later_ts")))
+
+
+def _match(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
+    """Left join on keys that may be NULL."""
+    renamed = right.withColumnsRenamed({k: f"right_{k}" for k in keys})
+    same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"right_{k}")) for k in keys])
+    return left.join(renamed, same, "left").drop(*[f"right_{k}" for k in keys])
