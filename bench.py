@@ -74,7 +74,7 @@ def staged(spark: SparkSession, scratch: str) -> dict[str, float]:
         ("events", adapters.event_trips, EVENTS),
     ):
         trips = source(spark, SF_DIR).withColumn("fleet", F.lit(name))
-        seconds[f"study_{name}_clean"], (stored, _) = timed(
+        seconds[f"study_{name}_clean"], (stored, *_) = timed(
             lambda: clean_and_store(trips, f"{scratch}/{name}", config, [name])
         )
         enriched = features.enrich(stored, config.calendar)

@@ -40,6 +40,14 @@ def test_every_row_is_accounted_for(study):
     assert sum(report[f, "source total"] for f in ("yellow", "green")) == 1000
 
 
+def test_an_example_per_fleet_and_the_files(study):
+    _, tables = study
+    assert tables["source_manifest"].first().row_count == 1000
+    examples = tables["quality_example"].collect()
+    assert len({r.fleet for r in examples}) == len(examples) <= 2
+    assert all(r.trip_distance == CONFIG.example_distance for r in examples)
+
+
 def test_reports_cover_the_accepted_trips(study):
     _, tables = study
     for name in ("monthly_trips", "hourly_trips", "fare_by_distance"):
@@ -98,9 +106,13 @@ def test_months_to_stored_layer(spark, tmp_path):
             events.withColumnsRenamed(named).write.parquet(f"{raw}/{MONTHLY_FILE.format(fleet=fleet, year=2024, month=month)}")
     trips = monthly.load_fleets(spark, raw, years=[2024], months=[1, 2])
     config = StudyConfig(limits=adapters.EVENT_LIMITS, fractions={"yellow": 1.0, "green": 1.0})
-    stored, counts = clean_and_store(trips, f"{tmp_path}/accepted", config, ["yellow", "green"])
+    stored, counts, _ = clean_and_store(trips, f"{tmp_path}/accepted", config, ["yellow", "green"])
     paths = [p for f in TIMESTAMP_PREFIX for p in monthly.monthly_paths(raw, f, [2024], [1, 2])]
     assert manifest.reconcile(manifest.source_manifest(spark, paths), counts) == 4000
+    # Errors of two fleets that cancel in the total are still found.
+    shifted = counts.withColumn("trip_count", F.col("trip_count") + F.when(F.col("quality_reason") != "accepted", 0).when(F.col("fleet") == "green", 5).otherwise(-5))
+    with pytest.raises(ValueError, match="of green hold 2000 rows, cleaning classified 2005"):
+        manifest.reconcile(manifest.source_manifest(spark, paths), shifted)
     manifest.require_stored(stored, counts)
     assert {r.fleet: r.n for r in stored.groupBy("fleet").agg(F.count("*").alias("n")).collect()} == {"yellow": 752, "green": 752}
     with pytest.raises(ValueError, match="are stored"):

@@ -76,23 +76,45 @@ def example_at_distance(tagged: DataFrame, distance: float, rows: int = 1) -> Da
     )
 
 
-def observe_outcomes(tagged: DataFrame, groups: Sequence[str], column: str = "fleet") -> tuple[DataFrame, Observation]:
+EXAMPLE = "pickup_datetime timestamp, trip_distance double, duration_minutes double, fare_amount double, quality_reason string"
+
+
+def observe_outcomes(
+    tagged: DataFrame, groups: Sequence[str], column: str = "fleet", example_distance: float | None = None
+) -> tuple[DataFrame, Observation]:
     """Count outcomes per group while the rows flow to another action.
 
     ``groups`` is a short, fixed list of values of ``column``, such as the fleets.
+    With ``example_distance`` the first trip of each group that reports exactly
+    this distance is noted as well.
     """
     observation = Observation()
+    if example_distance is not None:
+        order = ("pickup_datetime", "duration_minutes", "fare_amount", "quality_reason")
+        at = F.struct(F.col("pickup_datetime").cast("timestamp").alias("pickup_datetime"), *order[1:], "trip_distance")
+        examples = [
+            F.min(F.when((F.col(column) == g) & (F.col("trip_distance") == example_distance), at)).alias(f"{g}|example") for g in groups
+        ]
+    else:
+        examples = []
     counters = [
         F.count_if((F.col(column) == g) & (F.col("quality_reason") == o)).alias(f"{g}|{o}")
         for g in groups
         for o in OUTCOMES
     ]
-    return tagged.observe(observation, F.count(F.lit(1)).alias("all"), *counters), observation
+    return tagged.observe(observation, F.count(F.lit(1)).alias("all"), *counters, *examples), observation
+
+
+def observed_examples(spark: SparkSession, observation: Observation, column: str = "fleet") -> DataFrame:
+    """The noted trips, one row per group that has one."""
+    found = {name.rsplit("|", 1)[0]: row for name, row in observation.get.items() if name.endswith("|example") and row is not None}
+    names = [f.split()[0] for f in EXAMPLE.split(", ")]
+    return spark.createDataFrame([(g, *[row[n] for n in names]) for g, row in found.items()], f"{column} string, {EXAMPLE}")
 
 
 def observed_counts(spark: SparkSession, observation: Observation, column: str = "fleet") -> DataFrame:
     """The observed counters as a ``reason_counts`` table; checks that no row escaped them."""
-    values = dict(observation.get)
+    values = {name: n for name, n in observation.get.items() if not name.endswith("|example")}
     total = values.pop("all")
     if sum(values.values()) != total:
         raise ValueError(f"{total} rows were written but {sum(values.values())} were classified")

@@ -16,14 +16,19 @@ from tripfare.sources import manifest, sinks
 BASELINE = "mean_baseline"
 
 
-def clean_and_store(trips: DataFrame, path: str, config: StudyConfig, fleets: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+def clean_and_store(
+    trips: DataFrame, path: str, config: StudyConfig, fleets: Sequence[str]
+) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Tag, count and store accepted trips in a single pass over the source.
 
-    Returns the stored trips and the outcome counts per fleet.
+    Returns the stored trips, the outcome counts per fleet, and per fleet the
+    first trip at ``config.example_distance``, noted in the same pass.
     """
-    tagged, outcomes = quality.observe_outcomes(quality.tag(trips, config.limits, config.clock), fleets)
+    spark = trips.sparkSession
+    tagged = quality.tag(trips, config.limits, config.clock)
+    tagged, outcomes = quality.observe_outcomes(tagged, fleets, example_distance=config.example_distance)
     stored = sinks.write_trips(quality.accepted(tagged), path)
-    return stored, quality.observed_counts(trips.sparkSession, outcomes)
+    return stored, quality.observed_counts(spark, outcomes), quality.observed_examples(spark, outcomes)
 
 
 def model_study(trips: DataFrame, output: str, config: StudyConfig, fraction: float) -> dict[str, DataFrame]:
@@ -37,7 +42,8 @@ def model_study(trips: DataFrame, output: str, config: StudyConfig, fraction: fl
     splits = features.split_frames(pool, config.calendar)
     routes = history.fit_history(splits["train"])
     routes.save(f"{output}/route_history")
-    known = {name: history.apply_history(part, routes) for name, part in splits.items()}
+    # Stored once: preprocessing, vectors, coverage and predictions all read it.
+    known = {name: durable(history.apply_history(part, routes), f"known-{name}") for name, part in splits.items()}
 
     mean = evaluation.training_mean(splits["train"])
     scored = {(BASELINE, "TrainingMean"): evaluation.with_constant(known["test"], mean)}
@@ -87,20 +93,24 @@ def run_study(
 ) -> dict[str, DataFrame]:
     """Run everything over trips that carry ``fleet``; results come back as stored.
 
-    With ``source_paths`` the outcome counts are checked against the files.
+    The outcome counts are always checked against the row totals of the files:
+    those of ``source_paths``, or else all that ``trips`` is read from.
     """
     spark = trips.sparkSession
     fleets = tuple(config.fractions)
-    stored, counts = clean_and_store(trips, f"{output}/accepted", config, fleets)
+    paths = list(source_paths) or trips.inputFiles()
+    if not paths:
+        raise ValueError("trips are not read from files: name the source_paths to reconcile them with")
+    stored, counts, examples = clean_and_store(trips, f"{output}/accepted", config, fleets)
     manifest.require_stored(stored, counts)
-    if source_paths:
-        manifest.reconcile(manifest.source_manifest(spark, source_paths), counts)
+    files = durable(manifest.source_manifest(spark, paths), "manifest")
+    manifest.reconcile(files, counts)
     enriched = features.enrich(stored, config.calendar)
 
-    tagged = quality.tag(trips, config.limits, config.clock)
     tables = {
+        "source_manifest": files,
         "quality_report": quality.quality_report(counts, ("fleet",)),
-        "quality_example": quality.example_at_distance(tagged, config.example_distance),
+        "quality_example": examples,
         "thresholds": quality.thresholds(spark, config.limits),
     }
     over_time = durable(analysis.time_cells(enriched, ("fleet",)), "time-cells")
