@@ -13,6 +13,15 @@ from tripfare.llm.token_files import token_table
 from tripfare.operators.durable import durable
 
 
+def _lines(docs: DataFrame) -> DataFrame:
+    """Whole rows beside what decisions are joined by, so no column name can clash."""
+    return docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("line"),
+        F.col("doc_id").cast("long").alias("id"),
+        F.xxhash64(F.col("text").cast("string")).alias("hash"),
+    )
+
+
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a known language; texts that are NULL or without letters go."""
     return in_a_language(docs)
@@ -37,8 +46,8 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     """Documents that hold no window of a benchmark item."""
     found = decontamination(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
     bad = durable(found.filter("contaminated").select(F.col("doc_id").alias("bad_id"), F.col("text_hash").alias("bad_hash")), "contaminated")
-    same = F.xxhash64(F.col("text").cast("string")).eqNullSafe(F.col("bad_hash")) & F.col("doc_id").eqNullSafe(F.col("bad_id"))
-    return docs.join(small(bad), same, "left_anti")
+    same = F.col("hash").eqNullSafe(F.col("bad_hash")) & F.col("id").eqNullSafe(F.col("bad_id"))
+    return _lines(docs).join(small(bad), same, "left_anti").select("line.*")
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -46,10 +55,8 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     found = mix(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     other = found.filter("copies <> 1 and doc_id is not null").select(F.col("doc_id").alias("other_id"), "copies").distinct()
     other = durable(other, "not-once")
-    taken = docs.join(small(other), F.col("doc_id") == F.col("other_id"), "left")
-    copies = F.array_repeat(F.lit(1), F.coalesce("copies", F.lit(1)))
-    kept = taken.select(*[taken[c] for c in docs.columns], F.explode(copies).alias("_one"))
-    return kept.select(*docs.columns)
+    taken = _lines(docs).join(small(other), F.col("id") == F.col("other_id"), "left")
+    return taken.select(F.explode(F.array_repeat("line", F.coalesce("copies", F.lit(1)))).alias("line")).select("line.*")
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

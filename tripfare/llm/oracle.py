@@ -7,7 +7,7 @@ WITH item_words AS (
   FROM benchmark WHERE item_id IS NOT NULL AND text IS NOT NULL),
 windows AS (
   SELECT DISTINCT item_id, len(v) AS n, array_to_string(v, ' ') AS win
-  FROM (SELECT item_id, unnest(CASE WHEN len(w) < 10 THEN [w] ELSE list_transform(range(1, len(w) - 8), i -> w[i:i+9]) END) AS v
+  FROM (SELECT item_id, unnest(CASE WHEN len(w) < 10 THEN [w] ELSE [w[i:i+9] for i in range(1, len(w) - 8)] END) AS v
         FROM item_words WHERE len(w) > 0)),
 doc_words AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
