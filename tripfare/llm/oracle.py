@@ -43,3 +43,67 @@ ranked AS (
   SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scores)
 SELECT query_id, rank::INT AS rank, vec_id, score FROM ranked WHERE rank <= 10
 """
+
+NEAR_DUPLICATES = r"""
+WITH RECURSIVE split AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+sets AS (
+  SELECT DISTINCT doc_id, array_to_string(v, ' ') AS s
+  FROM (SELECT doc_id, unnest(CASE WHEN len(w) < 5 THEN [w] ELSE [w[i:i+4] for i in range(1, len(w) - 3)] END) AS v
+        FROM split WHERE len(w) > 0)),
+sizes AS (SELECT doc_id, count(*) AS n FROM sets GROUP BY doc_id),
+shared AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS n FROM sets a JOIN sets b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY ALL),
+links AS (
+  SELECT x, y FROM shared JOIN sizes p ON p.doc_id = x JOIN sizes q ON q.doc_id = y
+  WHERE 100 * shared.n >= 85 * (p.n + q.n - shared.n)),
+sides AS (SELECT x, y FROM links UNION ALL SELECT y, x FROM links),
+reach AS (
+  SELECT x, y FROM sides UNION SELECT r.x, s.y FROM reach r JOIN sides s ON r.y = s.x),
+least AS (SELECT x AS doc_id, min(y) AS m FROM reach GROUP BY x)
+SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, least(doc_id, coalesce(m, doc_id)) AS component_id,
+       doc_id <= coalesce(m, doc_id) AS kept
+FROM split LEFT JOIN sizes USING (doc_id) LEFT JOIN least USING (doc_id)
+"""
+
+SUFFIX_DEDUP = """
+WITH coded AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS x FROM documents),
+bytes AS (
+  SELECT doc_id, place, substr(x, 2 * place - 1, 2) AS b,
+         CASE WHEN 2 * (place + 99) <= length(x) THEN md5_number(substr(x, 2 * place - 1, 200)) END AS code
+  FROM (SELECT doc_id, x, unnest(range(1, length(x) // 2 + 1)) AS place FROM coded)),
+judged AS (
+  SELECT doc_id, place, b,
+         code IS NOT NULL AND row_number() OVER (PARTITION BY code ORDER BY doc_id, place) > 1 AS again FROM bytes),
+covered AS (
+  SELECT doc_id, place, b,
+         bool_or(again) OVER (PARTITION BY doc_id ORDER BY place ROWS BETWEEN 99 PRECEDING AND CURRENT ROW) AS gone FROM judged),
+edges AS (
+  SELECT *, gone AND NOT coalesce(lag(gone) OVER (PARTITION BY doc_id ORDER BY place), false) AS head FROM covered),
+summed AS (
+  SELECT doc_id, count(*) FILTER (gone) AS n_removed, count(*) FILTER (head) AS n_spans,
+         coalesce(string_agg(b, '' ORDER BY place) FILTER (NOT gone), '') AS kept
+  FROM edges GROUP BY doc_id)
+SELECT doc_id, (length(x) // 2)::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed,
+       coalesce(n_spans, 0)::BIGINT AS n_spans, sha256(unhex(coalesce(kept, ''))) AS kept_sha256
+FROM coded LEFT JOIN summed USING (doc_id)
+"""
+
+SUBSTRING_DEDUP = r"""
+WITH split AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+windows AS (
+  SELECT doc_id, spot, array_to_string(w[spot:spot + 12], ' ') AS s
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 11)) AS spot FROM split WHERE len(w) >= 13)),
+least AS (SELECT s, min(doc_id) AS d FROM windows GROUP BY s),
+gone AS (
+  SELECT DISTINCT doc_id, place
+  FROM (SELECT doc_id, unnest(range(spot, spot + 13)) AS place FROM windows JOIN least USING (s) WHERE doc_id > d)),
+kept AS (
+  SELECT doc_id, string_agg(word, ' ' ORDER BY place) AS t, count(*) AS n
+  FROM (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS place FROM split) ANTI JOIN gone USING (doc_id, place)
+  GROUP BY doc_id)
+SELECT doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(n, 0))::BIGINT AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+FROM split LEFT JOIN kept USING (doc_id)
+"""

@@ -87,7 +87,10 @@ QUERIES = {
 
 # Where SQL can state the result. The others are tested against brute force in tests/llm.
 ORACLE: dict[str, str] = {
+    "op1_near_duplicates": oracle.NEAR_DUPLICATES,
     "op2_sharding": sharding.oracle(),
+    "op4_suffix_dedup": oracle.SUFFIX_DEDUP,
     "op5_decontamination": oracle.DECONTAMINATION,
     "op6_exact_top_k": oracle.EXACT_TOP_K,
+    "op10_substring_dedup": oracle.SUBSTRING_DEDUP,
 }
