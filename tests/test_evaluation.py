@@ -7,20 +7,31 @@ from tests.conftest import rows
 from tripfare.operators import evaluation
 
 
+# Errors lie on the tolerances, just inside and just outside them, on both sides.
+ERRORS = [0.0, 1.75, -2.0, 2.0, 2.25, -4.5, 5.0, -5.0, 5.25, -11.0]
+
+
 @pytest.fixture
 def predictions(spark):
-    return spark.createDataFrame([(10.0, 12.0), (10.0, 15.0), (10.0, 16.0), (20.0, 20.0)], "fare_amount double, prediction double")
+    data = [(4.0 + 3.5 * i, 4.0 + 3.5 * i + e) for i, e in enumerate(ERRORS)]
+    return spark.createDataFrame(data, "fare_amount double, prediction double")
 
 
-def test_tolerances_are_inclusive(predictions):
+def test_metrics_equal_their_definitions(predictions):
     m = evaluation.regression_metrics(predictions).first()
-    assert (m.n, m.within_2_pct, m.within_5_pct, m.mae) == (4, 50, 75, 3.25)
-    assert m.rmse == pytest.approx(math.sqrt(65 / 4))
-    assert m.r2 == pytest.approx(1 - (65 / 4) / 18.75)
+    fares = [4.0 + 3.5 * i for i in range(len(ERRORS))]
+    mean = sum(fares) / len(fares)
+    squares = sum(e * e for e in ERRORS)
+    assert m.n == len(ERRORS)
+    assert m.within_2_pct == 100 * sum(abs(e) <= 2 for e in ERRORS) / len(ERRORS) == 40
+    assert m.within_5_pct == 100 * sum(abs(e) <= 5 for e in ERRORS) / len(ERRORS) == 80
+    assert m.mae == pytest.approx(sum(map(abs, ERRORS)) / len(ERRORS))
+    assert m.rmse == pytest.approx(math.sqrt(squares / len(ERRORS)))
+    assert m.r2 == pytest.approx(1 - squares / sum((f - mean) ** 2 for f in fares))
 
 
 def test_no_spread_and_no_rows(predictions):
-    flat = evaluation.regression_metrics(predictions.filter("fare_amount = 10")).first()
+    flat = evaluation.regression_metrics(predictions.withColumn("fare_amount", F.lit(6.0))).first()
     assert flat.r2 is None and flat.rmse is not None
     empty = evaluation.regression_metrics(predictions.filter("false")).first()
     assert empty.n == 0 and empty.rmse is None and empty.r2 is None and empty.within_2_pct is None
@@ -28,7 +39,7 @@ def test_no_spread_and_no_rows(predictions):
 
 def test_constant_prediction(predictions):
     mean = evaluation.training_mean(predictions)
-    assert rows(evaluation.with_constant(predictions.select("fare_amount"), mean), "prediction") == [(12.5,)] * 4
+    assert rows(evaluation.with_constant(predictions.select("fare_amount"), mean), "prediction") == [(19.75,)] * len(ERRORS)
 
 
 def test_fare_bands_are_ordered_by_label(spark):
@@ -59,9 +70,10 @@ def test_worst_residuals_break_ties_in_order(spark):
 def test_models_are_compared_in_one_table(predictions):
     better = predictions.withColumn("prediction", F.col("fare_amount") + 1)
     table = evaluation.compare_models({("base", "Mean"): predictions, ("pre", "Linear"): better})
-    assert rows(table, "setting", "model", "mae") == [("base", "Mean", 3.25), ("pre", "Linear", 1.0)]
+    mae = sum(map(abs, ERRORS)) / len(ERRORS)
+    assert rows(table, "setting", "model", "mae") == [("base", "Mean", pytest.approx(mae)), ("pre", "Linear", 1.0)]
     change = evaluation.rmse_change(table, "pre", "base").first()
-    assert change.below_pct == pytest.approx((1 - 1 / math.sqrt(65 / 4)) * 100)
+    assert change.below_pct == pytest.approx((1 - 1 / math.sqrt(sum(e * e for e in ERRORS) / len(ERRORS))) * 100)
 
 
 def test_coverage_counts_absent_cases_as_zero(spark):

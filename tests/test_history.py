@@ -65,16 +65,31 @@ def test_save_and_load(spark, fitted, tmp_path):
     assert rows(again.lookup) == rows(fitted.lookup)
 
 
-def test_only_post_trip_sees_the_trip_itself(training, fitted):
-    known = history.apply_history(training, fitted)
-    one = history.apply_history(training.limit(1).withColumns({c: F.lit(999) for c in ROUTE}), fitted)
-    changed = one.withColumns({"trip_distance": F.lit(99.0), "duration_minutes": F.lit(350.0)})
-    for setting in modeling.SETTINGS:
-        stages = modeling.preprocessing(setting).fit(known)
-        before, after = (stages.transform(f).first().features for f in (one, changed))
-        assert all(math.isfinite(v) for v in before.toArray())
-        assert (before == after) == (setting == "pre_trip")
-    assert fitted.lookup.filter("PULocationID = 999").count() == 0
+def _shaken(frame, columns, seed):
+    """Each of ``columns`` takes values of its own type, drawn anew for every row."""
+    types = dict(frame.dtypes)
+    drawn = {c: (F.rand(seed + i) * 50 + 1).cast(types[c]) for i, c in enumerate(columns)}
+    return frame.withColumns(drawn)
+
+
+@pytest.mark.parametrize("setting", sorted(modeling.SETTINGS))
+def test_features_depend_on_what_the_setting_allows_and_nothing_else(training, fitted, setting):
+    known = durable.durable(history.apply_history(training, fitted), "known")
+    stages = modeling.preprocessing(setting).fit(known)
+    allowed = [*modeling.SETTINGS[setting], *ROUTE]
+    numbers = [c for c, t in known.dtypes if t in ("double", "int", "bigint") and c != "event_id"]
+
+    def vectors(frame):
+        return {r.event_id: r.features for r in stages.transform(frame).select("event_id", "features").collect()}
+
+    plain = vectors(known)
+    other = [c for c in numbers if c not in allowed]
+    assert "fare_amount" in other and ("trip_distance" in other) == (setting == "pre_trip")
+    assert vectors(_shaken(known, other, 1)) == plain
+    for i, column in enumerate(modeling.SETTINGS[setting]):
+        moved = vectors(known.withColumn(column, F.col(column) + 1))
+        assert all(moved[e][i] == plain[e][i] + 1 for e in plain), column
+    assert all(math.isfinite(v) for vector in plain.values() for v in vector.toArray())
 
 
 def test_unseen_and_null_zones_share_one_extra_category(training, fitted):

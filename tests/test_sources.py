@@ -5,7 +5,7 @@ from tests.conftest import rows
 from tripfare.operators import quality
 from tripfare.sources import manifest, monthly, sinks
 
-RAW = [("2024-01-01 12:00:00", "2024-01-01 12:30:00", "1.5", "12", "1", "2")]
+RAW = [("2023-06-30 23:58:41", "2023-07-01 00:17:03", "7.25", "31.9", "140", "88")]
 RAW_SCHEMA = (
     "tpep_pickup_datetime string, tpep_dropoff_datetime string, trip_distance string, "
     "fare_amount string, PULocationID string, DOLocationID string"
@@ -25,7 +25,9 @@ def months(spark, raw, tmp_path):
         frame.write.parquet(f"{tmp_path}/{name}.parquet")
 
     store(raw, "yellow_tripdata_2024-01")
-    store(raw.select(*reversed(raw.columns)).withColumn("unused", F.lit(7)), "yellow_tripdata_2024-02")
+    # Columns sorted by name among others that nobody reads.
+    shuffled = raw.select(F.lit("card").alias("payment"), *sorted(raw.columns), F.lit(None).cast("double").alias("tip"))
+    store(shuffled, "yellow_tripdata_2024-02")
     typed = monthly.normalize(raw, "yellow").withColumnsRenamed(
         {"pickup_datetime": "tpep_pickup_datetime", "dropoff_datetime": "tpep_dropoff_datetime"}
     )
@@ -41,7 +43,7 @@ def test_months_with_drifting_layouts_become_one_table(spark, months):
     assert trips.schema == monthly.TRIP_SCHEMA
     assert len(set(rows(trips))) == 1 and trips.count() == 4
     first = sinks.formatted(trips).first()
-    assert tuple(first) == ("2024-01-01 12:00:00", "2024-01-01 12:30:00", 1.5, 12.0, 1, 2)
+    assert tuple(first) == ("2023-06-30 23:58:41", "2023-07-01 00:17:03", 7.25, 31.9, 140, 88)
 
 
 def test_one_union_branch_per_layout(spark, months):

@@ -15,6 +15,8 @@ ROUTE = ("PULocationID", "DOLocationID")
 SPLITS = ("train", "validation", "test")
 
 
+# The defaults of the three classes below and the threshold names
+# must be these for results to be comparable.
 @dataclass(frozen=True)
 class Limits:
     """Bounds of an ordinary trip; values on a bound are accepted."""

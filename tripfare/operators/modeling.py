@@ -17,6 +17,7 @@ from tripfare.operators.evaluation import compare_models
 
 LABEL = "fare_amount"
 
+# Input columns per setting, and the settings of the estimators.
 _KNOWN_BEFORE = (
     "pickup_hour",
     "pickup_weekday",
