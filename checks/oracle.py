@@ -330,4 +330,30 @@ ORACLE = {
         SELECT round(regr_slope(fare_amount, trip_distance), 4) AS slope,
                round(regr_intercept(fare_amount, trip_distance), 4) AS intercept
         FROM order_accepted WHERE split = 'train'""",
+    "study_quality": _with(EVENT_TRIPS) + """
+        SELECT event_type AS fleet, quality_reason, count(*) AS trip_count FROM event_tagged GROUP BY ALL""",
+    "stored_trips": _with(ORDER_TRIPS) + """
+        SELECT CASE WHEN l_linenumber % 2 = 0 THEN 'even' ELSE 'odd' END AS fleet, year(pickup_datetime)::INTEGER AS year,
+               count(*) AS trip_count, round(sum(fare_amount), 2) AS fares
+        FROM order_accepted GROUP BY ALL""",
+    "quality_example_by_fleet": _with(ORDER_TRIPS) + """
+        SELECT fleet, pickup_datetime, trip_distance, duration_minutes, fare_amount, quality_reason
+        FROM (SELECT *, CASE WHEN l_linenumber % 2 = 0 THEN 'even' ELSE 'odd' END AS fleet FROM order_tagged)
+        WHERE trip_distance = 46.0
+        QUALIFY row_number() OVER (PARTITION BY fleet ORDER BY pickup_datetime NULLS FIRST, duration_minutes NULLS FIRST,
+                                   fare_amount NULLS FIRST, quality_reason) = 1""",
+    "reconciled_files": "SELECT 'events.parquet' AS file, count(*) AS row_count, count(*) AS classified FROM events",
+    "json_round_trip": _with(ORDER_TRIPS, MONTHLY) + " SELECT month, trip_count FROM monthly",
+    "route_lookup_round_trip": _with(EVENT_TRIPS, EVENT_ROUTES) + """
+        SELECT "PULocationID", "DOLocationID", route_distance AS historical_distance, route_duration AS historical_duration
+        FROM event_routes""",
+    "bernoulli_facts": "SELECT true AS is_subset, true AS within_six_sigma",
+    "model_comparison_facts": _with(EVENT_TRIPS) + """
+        SELECT setting, count(*) AS n, setting <> 'post_trip' AS twice_the_error_of_post_trip
+        FROM event_accepted, (VALUES ('mean_baseline'), ('pre_trip'), ('post_trip')) s(setting)
+        WHERE split = 'test' GROUP BY setting""",
+    "model_selection_facts": _with(EVENT_TRIPS) + """
+        SELECT setting, 3::BIGINT AS candidates, count(*) AS n, true AS least_selected
+        FROM event_accepted, (VALUES ('pre_trip'), ('post_trip')) s(setting)
+        WHERE split = 'validation' GROUP BY setting""",
 }

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from functools import reduce
 
 from pyspark.ml.functions import vector_to_array
@@ -9,10 +10,11 @@ from pyspark.ml.regression import LinearRegression
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tripfare.config import ROUTE
+from tripfare.config import ROUTE, StudyConfig
 from tripfare.operators import analysis, evaluation, features, findings as found, history, modeling, quality, sampling
-from tripfare.operators.durable import durable
+from tripfare.operators.durable import durable, shared_folder
 from tripfare.operators.joins import lookup_join
+from tripfare.plans.study import clean_and_store
 from tripfare.sources import adapters, manifest, monthly, sinks
 
 MINIMUM_TRIPS = 5
@@ -419,6 +421,94 @@ def feature_settings_compare(spark, sf):
     return reduce(DataFrame.unionByName, rows)
 
 
+# ---- the production path -------------------------------------------------
+
+EVENT_FLEETS = ("click", "error", "purchase", "signup", "view")
+
+
+def _fresh(spark, label):
+    return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def _cleaned(spark, trips, limits, fleets, label):
+    config = StudyConfig(limits=limits, clock="wall", fractions=dict.fromkeys(fleets, 1.0), example_distance=EXAMPLE_DISTANCE)
+    return clean_and_store(trips, _fresh(spark, label), config, list(fleets))
+
+
+def _cleaned_events(spark, sf):
+    trips = adapters.event_trips(spark, sf).withColumnRenamed("event_type", "fleet")
+    return _cleaned(spark, trips, adapters.EVENT_LIMITS, EVENT_FLEETS, "stored-events")
+
+
+def _cleaned_orders(spark, sf):
+    """Order lines as two fleets, by line number."""
+    fleet = F.when(F.col("l_linenumber") % 2 == 0, "even").otherwise("odd")
+    trips = adapters.order_trips(spark, sf).withColumn("fleet", fleet)
+    return _cleaned(spark, trips, adapters.ORDER_LIMITS, ("even", "odd"), "stored-orders")
+
+
+def study_quality(spark, sf):
+    """Outcomes counted while the accepted trips are stored."""
+    return _cleaned_events(spark, sf)[1].filter("trip_count > 0")
+
+
+def stored_trips(spark, sf):
+    """The stored layer, read back."""
+    stored = _cleaned_orders(spark, sf)[0]
+    return stored.groupBy("fleet", F.year("pickup_datetime").alias("year")).agg(
+        F.count(F.lit(1)).alias("trip_count"), F.round(F.sum("fare_amount"), 2).alias("fares")
+    )
+
+
+def quality_example_by_fleet(spark, sf):
+    return _cleaned_orders(spark, sf)[2].withColumn("pickup_datetime", F.col("pickup_datetime").cast("timestamp_ntz"))
+
+
+def reconciled_files(spark, sf):
+    """Rows of the source file beside the rows that cleaning classified; an error if they differ."""
+    counts = _cleaned_events(spark, sf)[1]
+    files = manifest.source_manifest(spark, [f"{sf}/events.parquet"])
+    total = manifest.reconcile(files, counts)
+    return files.select("file", "row_count", F.lit(total).cast("bigint").alias("classified"))
+
+
+def json_round_trip(spark, sf):
+    path = _fresh(spark, "months")
+    sinks.write_table(monthly_trips(spark, sf), path)
+    return sinks.read_table(spark, path).select("month", "trip_count")
+
+
+def route_lookup_round_trip(spark, sf):
+    path = _fresh(spark, "route-history")
+    history.fit_history(stored_event_splits(spark, sf)["train"]).save(path)
+    return history.load_history(spark, path).lookup.select(*ROUTE, "historical_distance", "historical_duration")
+
+
+def bernoulli_facts(spark, sf):
+    """A sample holds rows of its source only, about as many as asked for."""
+    trips = adapters.order_trips(spark, sf).select(*ORDER_KEYS, "fare_amount")
+    sample = durable(sampling.bernoulli_sample(trips, 0.1), "sample")
+    n, total = sample.count(), trips.count()
+    close = abs(n - 0.1 * total) <= 6 * (total * 0.1 * 0.9) ** 0.5
+    return spark.createDataFrame([(sample.exceptAll(trips).isEmpty(), close)], "is_subset boolean, within_six_sigma boolean")
+
+
+def model_comparison_facts(spark, sf):
+    """Every setting is scored on all test trips; the one that sees the trip itself is best by far."""
+    compared = durable(_compared(spark, sf), "compared")
+    best = compared.filter("setting = 'post_trip'").select("rmse").scalar()
+    return compared.select("setting", "n", (F.col("rmse") > 2 * best).alias("twice_the_error_of_post_trip"))
+
+
+def model_selection_facts(spark, sf):
+    """Per setting: candidates scored on all validation trips, and the least error selected."""
+    ranking = model_selection(spark, sf)
+    best = F.min_by("model", F.struct("rmse", "position")) == F.max(F.when(F.col("selected"), F.col("model")))
+    return ranking.groupBy("setting").agg(
+        F.count(F.lit(1)).alias("candidates"), F.min("n").alias("n"), (best & (F.count_if("selected") == 1)).alias("least_selected")
+    )
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -472,5 +562,14 @@ QUERIES = {
         model_selection,
         model_comparison,
         feature_settings_compare,
+        study_quality,
+        stored_trips,
+        quality_example_by_fleet,
+        reconciled_files,
+        json_round_trip,
+        route_lookup_round_trip,
+        bernoulli_facts,
+        model_comparison_facts,
+        model_selection_facts,
     )
 }
