@@ -221,7 +221,7 @@ def split_ranges(spark, sf):
 
 
 def route_medians(spark, sf):
-    return history.route_medians(stored_order_splits(spark, sf)["train"])
+    return history.route_medians(order_splits(spark, sf)["train"])
 
 
 def fallback_medians(spark, sf):
@@ -295,7 +295,7 @@ def _with_route_mean(splits):
 
 
 def baseline_metrics(spark, sf):
-    metrics = evaluation.regression_metrics(_with_mean(stored_order_splits(spark, sf)))
+    metrics = evaluation.regression_metrics(_with_mean(order_splits(spark, sf)))
     return rounded(metrics, "mae", "rmse", "r2", "within_2_pct", "within_5_pct")
 
 
@@ -305,11 +305,11 @@ def route_rate_metrics(spark, sf):
 
 
 def error_by_fare_band(spark, sf):
-    return rounded(evaluation.error_by_fare_band(_with_mean(stored_event_splits(spark, sf))), "mae", "rmse")
+    return rounded(evaluation.error_by_fare_band(_with_mean(event_splits(spark, sf))), "mae", "rmse")
 
 
 def worst_residuals(spark, sf):
-    worst = evaluation.worst_residuals(_with_mean(stored_event_splits(spark, sf)), tie_break=["event_id"])
+    worst = evaluation.worst_residuals(_with_mean(event_splits(spark, sf)), tie_break=["event_id"])
     return rounded(worst, "prediction", "absolute_error")
 
 
@@ -363,7 +363,7 @@ def encoded_features(spark, sf):
 
 def linear_one_feature(spark, sf):
     """Least squares of fare on distance: slope and intercept."""
-    train = stored_order_splits(spark, sf)["train"].select("fare_amount", "trip_distance")
+    train = durable(order_splits(spark, sf)["train"].select("fare_amount", "trip_distance"), "train")
     vectors = VectorAssembler(inputCols=["trip_distance"], outputCol="features").transform(train)
     model = LinearRegression(labelCol="fare_amount", regParam=0.0, solver="normal").fit(vectors)
     fitted = [(float(model.coefficients[0]), float(model.intercept))]
