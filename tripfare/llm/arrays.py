@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 19
 
 _U = np.uint64
 _BASE = 0x9E3779B97F4A7C15
@@ -34,7 +34,7 @@ def powers(base: int, n: int) -> np.ndarray:
     """base**0 .. base**(n-1) modulo 2**64."""
     known = _powers.get(base)
     if known is None or len(known) < n:
-        size = max(n, 1 << 21)
+        size = max(n, 1 << 20)
         known = np.multiply.accumulate(np.r_[_U(1), np.full(size - 1, base, dtype=_U)])
         _powers[base] = known
     return known[:n]

@@ -19,7 +19,7 @@ from tripfare.operators.durable import shared_folder
 # A block ends with the first document that takes it to this many ids.
 BLOCK_IDS = 1 << 16
 # Distinct pieces of text whose ids a worker remembers, twice over.
-REMEMBERED = 500_000
+REMEMBERED = 250_000
 
 BLOCKS = "part int, block int, first long, n_ids long, width int, doc_ids array<long>, lengths array<long>, packed binary"
 _NAMES = [part.split()[0] for part in BLOCKS.split(", ")]
