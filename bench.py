@@ -7,14 +7,15 @@ from __future__ import annotations
 
 import json
 import os
-import tempfile
 import time
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from checks import queries as q
 from tripfare.config import StudyConfig
 from tripfare.operators import analysis, features
+from tripfare.operators.durable import shared_folder
 from tripfare.plans.study import clean_and_store, model_study
 from tripfare.sources import adapters
 
@@ -106,7 +107,7 @@ def main() -> None:
     for trips in (q.order_tagged, q.event_tagged):
         drain(trips(spark, SF_DIR))
     seconds = {name: timed(lambda: drain(q.QUERIES[name](spark, SF_DIR)))[0] for name in HEADLINE}
-    seconds |= staged(spark, tempfile.mkdtemp(prefix="bench-"))
+    seconds |= staged(spark, f"{shared_folder(spark)}/bench-{uuid.uuid4().hex}")
     rows = spark.read.parquet(f"{SF_DIR}/lineitem.parquet").count()
     line = {
         "metric": "total_seconds",
