@@ -11,6 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tripfare.llm import arrays
+from tripfare.llm.tables import bound_batches
 from tripfare.operators.durable import durable
 
 _U = np.uint64
@@ -195,6 +196,7 @@ def in_a_language(docs: DataFrame, settings: LanguageSettings = LanguageSettings
 
 
 def _predicted(docs: DataFrame, rows: DataFrame, kept: str, learn_from: Column | None, settings: LanguageSettings) -> DataFrame:
+    bound_batches(docs.sparkSession)
     model = fit_language(docs, F.lit(True) if learn_from is None else learn_from, settings)
     sent = docs.sparkSession.sparkContext.broadcast(model)
     return rows.mapInArrow(lambda batches: sent.value.predict(batches), f"{kept}, lang_pred string, score double")

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tripfare.llm import arrays
 from tripfare.llm.gradients import averaged
+from tripfare.llm.tables import bound_batches
 from tripfare.operators.durable import durable
 
 _U = np.uint64
@@ -208,6 +209,7 @@ def score_texts(docs: DataFrame, learn_from: Column, settings: ModelSettings = M
     Other columns are ignored; an empty table gives no rows.
     """
     spark = docs.sparkSession
+    bound_batches(spark)
     learns = F.coalesce(learn_from, F.lit(False))
     held = ~learns & F.col("doc_id").isNotNull()
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), held.alias("held_out"), F.col("text").cast("string").alias("text"))

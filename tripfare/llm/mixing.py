@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from tripfare.llm import arrays
 from tripfare.llm.gradients import averaged
+from tripfare.llm.tables import bound_batches
 from tripfare.operators.durable import durable
 
 _U = np.uint64
@@ -106,6 +107,7 @@ def _learner(sent, settings: MixingSettings):
 
 def fit_domains(docs: DataFrame, labels: DataFrame, settings: MixingSettings) -> np.ndarray:
     """Softmax weights of the domain classifier, by distributed gradient rounds."""
+    bound_batches(docs.sparkSession)
     known = labels.filter("doc_id is not null").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(
         F.min(domain_of(F.col("quality"), F.col("toxic"))).alias("domain")
     )

@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from tripfare.llm import arrays
-from tripfare.llm.tables import components, only_ids
+from tripfare.llm.tables import bound_batches, components, only_ids
 from tripfare.operators.durable import durable
 
 _U = np.uint64
@@ -192,6 +192,7 @@ def near_duplicates(docs: DataFrame, settings: NearDuplicates = NearDuplicates()
     without id is returned with its own NULL component, as kept. Other columns
     are ignored; an empty table gives no rows.
     """
+    bound_batches(docs.sparkSession)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     schema = "doc_id long, n_shingles long, set_key binary, bands array<long>"
     signed = durable(texts.mapInArrow(_signed(settings), schema), "signatures")

@@ -17,6 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from tripfare.llm import arrays
+from tripfare.llm.tables import bound_batches
 from tripfare.operators.durable import durable
 
 _U = np.uint64
@@ -181,6 +182,7 @@ def repeated_segments(texts: DataFrame, grain: Grain) -> DataFrame:
     segments once, with their least place; the other places come as findings:
     rows without content that name the place they repeat.
     """
+    bound_batches(texts.sparkSession)
     sent = texts.mapInArrow(_sent(grain, repeated_anchors(texts, grain)), SEGMENT)
     return sent.repartition("anchor").sortWithinPartitions("anchor")
 

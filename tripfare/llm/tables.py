@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tripfare.operators.durable import durable
 
@@ -14,6 +14,20 @@ from tripfare.operators.durable import durable
 BROADCAST_IDS = 1_000_000
 
 
+# Sizes of the batches that reach a task's Python, unless the session names its own:
+# with Spark's defaults a batch of long texts takes hundreds of megabytes.
+BATCHES = {
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(8 << 20),
+}
+
+
+def bound_batches(spark: SparkSession) -> None:
+    for key, value in BATCHES.items():
+        if spark.conf.get(key, None) is None:
+            spark.conf.set(key, value)
+
+
 def only_ids(frame: DataFrame, ids: DataFrame, key: str = "doc_id") -> DataFrame:
     """Rows of ``frame`` whose key is among ``ids``, a stored table with one long column ``key``."""
     return frame.join(small(ids), key, "left_semi")

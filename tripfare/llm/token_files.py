@@ -14,6 +14,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
+from tripfare.llm.tables import bound_batches
 from tripfare.operators.durable import shared_folder
 
 # A block ends with the first document that takes it to this many ids.
@@ -188,6 +189,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int = 2, bl
     are ranges of doc_id, so documents are sorted before they are encoded.
     """
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    bound_batches(docs.sparkSession)
     ordered = texts.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
     ordered.mapInArrow(_blocks(tokenizer, end_id, block_ids), BLOCKS).write.option("compression", "zstd").parquet(path)
 
