@@ -276,6 +276,29 @@ def test_exact_search(spark, monkeypatch):
     assert set(map(tuple, exact_top_k(frame, F.col("vec_id") % 100 == 0).collect())) == want
     assert exact_top_k(frame.limit(0), F.col("vec_id") % 100 == 0).count() == 0
     assert exact_top_k(frame.unionByName(frame), F.col("vec_id") % 100 == 0).count() == len(want)
+    assert set(map(tuple, exact_top_k(frame.unionByName(frame), F.col("vec_id") % 100 == 0).collect())) == want
+
+
+def test_a_query_takes_no_place_in_its_own_task():
+    import pyarrow as pa
+    from types import SimpleNamespace
+
+    column = pa.array([[20 - i, 1] for i in range(15)], pa.list_(pa.int64()))
+    batch = pa.RecordBatch.from_arrays([pa.array(range(15), pa.int64()), column], ["vec_id", "weights"])
+    sent = SimpleNamespace(value=(np.array([0]), exact_search.postings(column.slice(0, 1))))
+    (found,) = exact_search._best(sent, 10)([batch.slice(0, 5), batch.slice(5)])
+    assert found.column(1).to_pylist() == list(range(1, 11))
+
+
+def test_repeated_vectors_take_no_place_of_others(spark):
+    """Copies of the best vector fill more than k rows of the only task; one id has two vectors."""
+    vectors = [(i, [float(200 - i), 1.0]) for i in range(100, 121)]
+    rows = vectors + [vectors[1]] * 40 + [(120, [70.0, 9.0])]
+    want = {(100, r + 1, i, 1024 * 1024 * (100 * (200 - i) + 1)) for r, i in enumerate(range(101, 111))}
+    for order in (rows, rows[::-1]):
+        frame = spark.createDataFrame(order, "vec_id long, embedding array<float>").coalesce(1)
+        assert set(map(tuple, exact_top_k(frame, F.col("vec_id") == 100).collect())) == want
+        assert exact_top_k(frame, F.col("vec_id") == 120).filter("vec_id = 100").first().score == 1024 * 1024 * (70 * 100 + 9)
 
 
 # ---- token files -----------------------------------------------------------

@@ -15,6 +15,8 @@ from tripfare.operators.durable import durable
 QUERY_BLOCK = 2048
 # Dense scores held at a time (8 bytes each).
 SCORES = 4_000_000
+# The score of a query with itself: below all others, and with a negation that fits.
+NEVER = np.iinfo(np.int64).min + 1
 
 
 def integer_vectors(vectors: DataFrame, scale: int = 1024) -> DataFrame:
@@ -66,7 +68,7 @@ def _best(queries, k: int):
                 part = batch.slice(low, step)
                 ids = part.column(0).to_numpy()
                 scores = accumulate(packed, postings(part.column(1)), n, len(ids))
-                scores = np.where(query_ids[:, None] == ids, np.iinfo(np.int64).min, scores)
+                scores = np.where(query_ids[:, None] == ids, NEVER, scores)
                 if len(ids) > k:
                     # All that reach the k-th score stay, so that ties are settled by id.
                     edge = np.partition(scores, len(ids) - k, axis=1)[:, len(ids) - k]
@@ -76,7 +78,7 @@ def _best(queries, k: int):
                 best_id = np.hstack([best_id, np.broadcast_to(ids, scores.shape)])
                 order = np.lexsort((best_id, -best_score), axis=1)[:, :k]
                 best_score, best_id = np.take_along_axis(best_score, order, 1), np.take_along_axis(best_id, order, 1)
-        real = best_score > np.iinfo(np.int64).min
+        real = best_score > NEVER
         yield pa.RecordBatch.from_arrays(
             [pa.array(np.broadcast_to(query_ids[:, None], best_id.shape)[real]), pa.array(best_id[real]), pa.array(best_score[real])],
             ["query_id", "vec_id", "score"],
@@ -96,18 +98,20 @@ def exact_top_k(vectors: DataFrame, is_query: Column, k: int = 10, scale: int =
 
     Vectors that are NULL, or hold a NULL or non-finite component, or have no
     id, take no part. A shorter vector counts as zero beyond its end. Rows that
-    repeat a vec_id count once, and never as a result of that id. Other columns
-    are ignored; an empty table gives no rows.
+    repeat a vec_id count once, and never as a result of that id; where their
+    vectors differ, the one with the least weights in order of components
+    counts, as query and as candidate. Other columns are ignored; an empty table
+    gives no rows.
     """
     spark = vectors.sparkSession
-    whole = durable(integer_vectors(vectors, scale), "vectors")
-    ids = durable(whole.filter(is_query).select("vec_id").distinct(), "query-ids")
-    blocks = -(-ids.count() // QUERY_BLOCK)
+    # One row per vec_id before anything is cut to k: of different vectors of one id the least.
+    whole = durable(integer_vectors(vectors, scale).groupBy("vec_id").agg(F.min("weights").alias("weights")), "vectors")
+    blocks = -(-whole.filter(is_query).count() // QUERY_BLOCK)
     results = []
     for i in range(blocks):
         # Dealt by hash, so a block is about QUERY_BLOCK queries whatever their ids are.
         mine = F.pmod(F.xxhash64("vec_id"), F.lit(blocks)) == i
-        block = whole.filter(is_query & mine).dropDuplicates(["vec_id"]).toArrow().combine_chunks()
+        block = whole.filter(is_query & mine).toArrow().combine_chunks()
         if not len(block):
             continue
         names = block.column(0).to_numpy()
@@ -120,6 +124,5 @@ def exact_top_k(vectors: DataFrame, is_query: Column, k: int = 10, scale: int =
     found = results[0]
     for more in results[1:]:
         found = found.unionByName(more)
-    one = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
-    ranked = one.withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")))
+    ranked = found.withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")))
     return ranked.filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
