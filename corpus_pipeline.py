@@ -51,11 +51,12 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as their rate to the target mix says; rows without id stay as they are."""
+    """Documents as often as their rate to the target mix says, on average; rows without id too."""
     found = mix(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    other = found.filter("copies <> 1 and doc_id is not null").select(F.col("doc_id").alias("other_id"), "copies").distinct()
-    other = durable(other, "not-once")
-    taken = _lines(docs).join(small(other), F.col("id") == F.col("other_id"), "left")
+    other = found.groupBy(F.col("doc_id").alias("other_id"), F.col("text_hash").alias("other_hash")).agg(F.max("copies").alias("copies"))
+    other = durable(other.filter("copies <> 1"), "not-once")
+    same = F.col("hash").eqNullSafe(F.col("other_hash")) & F.col("id").eqNullSafe(F.col("other_id"))
+    taken = _lines(docs).join(small(other), same, "left")
     return taken.select(F.explode(F.array_repeat("line", F.coalesce("copies", F.lit(1)))).alias("line")).select("line.*")
 
 

@@ -10,6 +10,7 @@ import corpus_pipeline
 from tests.llm import brute
 from tests.llm.conftest import passage
 from tests.llm.test_operators import ITEMS
+from tripfare.llm.mixing import TARGETS, mix, whole_copies
 from tripfare.llm.queries import ORACLE, QUERIES
 
 
@@ -95,3 +96,20 @@ def test_all_operators_are_registered():
     names = entry.queries()
     assert all(any(q.startswith(f"op{n}_") for q in names) for n in range(1, 11)) and "pipeline" in names
     assert corpus_pipeline.ORACLE_SQL is None
+
+
+def test_mixed_rows_have_the_target_shares(spark, sf):
+    """Tokens of the rows that the stage gives out, each domain by its posterior, against the targets."""
+    folder = sf.replace("0.001", "0.1")
+    docs, labels = (spark.read.parquet(f"{folder}/{n}.parquet") for n in ("documents", "labels"))
+    taken = corpus_pipeline.mixing(spark, docs, folder).groupBy("doc_id").count()
+    chances = mix(docs, labels).join(taken, "doc_id")
+    sums = chances.agg(*[F.sum(F.col("count") * F.col("n_tokens") * F.col(f"p_{d}")) for d in TARGETS]).first()
+    assert [x / sum(sums) for x in sums] == pytest.approx(list(TARGETS.values()), abs=0.01)
+
+
+def test_copies_have_the_rates_on_average(spark):
+    drawn = spark.range(20_000).withColumn("rate", F.element_at(F.array(*map(F.lit, (0.0, 0.3, 0.63, 1.0, 1.4, 2.75))), (F.col("id") % 6 + 1).cast("int")))
+    found = drawn.withColumn("copies", whole_copies(F.col("rate"), "id")).groupBy("rate").agg(F.avg("copies"), F.min("copies"), F.max("copies")).collect()
+    for rate, mean, low, high in found:
+        assert mean == pytest.approx(rate, abs=0.03) and (low, high) == (int(rate), -int(-rate // 1))

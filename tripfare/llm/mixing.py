@@ -19,6 +19,7 @@ _U = np.uint64
 DOMAINS = ("good", "poor", "toxic")
 TARGETS = {"good": 0.92, "poor": 0.08, "toxic": 0.0}
 BATCH = 128
+POSTERIORS = "doc_id long, n_tokens long, " + ", ".join(f"p_{d} double" for d in DOMAINS) + ", text_hash long"
 
 
 @dataclass(frozen=True)
@@ -125,7 +126,7 @@ def fit_domains(docs: DataFrame, labels: DataFrame, settings: MixingSettings) ->
 
 
 def posteriors(docs: DataFrame, weights: np.ndarray) -> DataFrame:
-    """(doc_id, n_tokens, p_good, p_poor, p_toxic) of every document; tokens are words."""
+    """(doc_id, n_tokens, p_good, p_poor, p_toxic, text_hash) of every document; tokens are words."""
     sent = docs.sparkSession.sparkContext.broadcast(weights)
     buckets = len(weights)
 
@@ -134,12 +135,18 @@ def posteriors(docs: DataFrame, weights: np.ndarray) -> DataFrame:
             for low, high, size, cells, begins in _features(batch.column(1), buckets):
                 chance = _posteriors(sent.value, cells, begins).astype(np.float64)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(low, high - low), pa.array(size.astype(np.int64)), *[pa.array(np.ascontiguousarray(c)) for c in chance.T]],
-                    ["doc_id", "n_tokens", *[f"p_{d}" for d in DOMAINS]],
+                    [
+                        batch.column(0).slice(low, high - low),
+                        pa.array(size.astype(np.int64)),
+                        *[pa.array(np.ascontiguousarray(c)) for c in chance.T],
+                        batch.column(2).slice(low, high - low),
+                    ],
+                    ["doc_id", "n_tokens", *[f"p_{d}" for d in DOMAINS], "text_hash"],
                 )
 
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return texts.mapInArrow(run, "doc_id long, n_tokens long, " + ", ".join(f"p_{d} double" for d in DOMAINS))
+    text = F.col("text").cast("string")
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("text_hash"))
+    return texts.mapInArrow(run, POSTERIORS)
 
 
 def _rates(chances: np.ndarray, moves: list[np.ndarray]) -> np.ndarray:
@@ -192,17 +199,25 @@ def rated(table: DataFrame, moves: list[np.ndarray]) -> DataFrame:
             chances = np.stack([batch.column(2 + i).to_numpy() for i in range(len(DOMAINS))], axis=1)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(_rates(chances, moves))], [*batch.schema.names, "rate"])
 
-    return table.mapInArrow(run, "doc_id long, n_tokens long, " + ", ".join(f"p_{d} double" for d in DOMAINS) + ", rate double")
+    return table.mapInArrow(run, f"{POSTERIORS}, rate double")
+
+
+def whole_copies(rate, *key):
+    """Copies whose expected number is ``rate``: its whole part, and one more by a hash of ``key`` below the rest."""
+    drawn = F.pmod(F.xxhash64(*key), F.lit(1 << 30)) / (1 << 30)
+    return (F.floor(rate) + (drawn < rate - F.floor(rate)).cast("int")).cast("int")
 
 
 def mix(docs: DataFrame, labels: DataFrame, targets: Mapping[str, float] = TARGETS, settings: MixingSettings = MixingSettings()) -> DataFrame:
     """Rates that mix documents to target domain shares: posteriors, rate and copies of each.
 
-    Returns (doc_id, n_tokens, p_good, p_poor, p_toxic, rate, copies). ``labels``
+    Returns (doc_id, n_tokens, p_good, p_poor, p_toxic, text_hash, rate, copies). ``labels``
     (doc_id, quality, toxic) teach a softmax classifier the domains; a document
     belongs to each by its posterior. ``rate`` is how often it should be taken
     so that expected tokens per domain have the shares of ``targets``; ``copies``
-    is the nearest whole number. A domain with target 0 fades out.
+    is the whole part of the rate, and one more where a hash of id and text, as a
+    fraction of 1, is below the rest; so copies have the rates on average, and
+    are the same in every run. A domain with target 0 fades out.
 
     NULL, empty and wordless texts have no tokens; they are judged by the
     constant features alone. Rows without id are judged like others. A document
@@ -211,4 +226,5 @@ def mix(docs: DataFrame, labels: DataFrame, targets: Mapping[str, float] = TARGE
     rows are rated each. Other columns are ignored; an empty table gives no rows.
     """
     table = durable(posteriors(docs, fit_domains(docs, labels, settings)), "posteriors")
-    return rated(table, fit_rates(table, targets, settings)).withColumn("copies", F.floor(F.col("rate") + 0.5).cast("int"))
+    done = rated(table, fit_rates(table, targets, settings))
+    return done.withColumn("copies", whole_copies(F.col("rate"), "doc_id", "text_hash"))

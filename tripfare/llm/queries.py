@@ -57,7 +57,7 @@ def op8_language_model(spark, sf_dir):
 
 
 def op9_mixing(spark, sf_dir):
-    return mix(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+    return mix(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")).drop("text_hash")
 
 
 def op10_substring_dedup(spark, sf_dir):
