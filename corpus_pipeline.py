@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tripfare.llm.decontamination import decontamination
 from tripfare.llm.language import in_a_language
 from tripfare.llm.mixing import mix
-from tripfare.llm.near_duplicates import NearDuplicates, near_duplicates
+from tripfare.llm.near_duplicates import NearDuplicates, near_duplicate_rows
 from tripfare.llm.tables import small
 from tripfare.llm.token_files import token_table
 from tripfare.operators.durable import durable
@@ -30,16 +30,22 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the least id of each group of near duplicates, and rows without id.
 
-    Of rows that repeat an id, one stays.
+    Rows that share an id are judged each by its own text; of rows with equal id
+    and text, one stays.
     """
-    found = near_duplicates(docs, NearDuplicates(percent=80))
-    gone = durable(found.filter("not kept").select("doc_id").distinct(), "near-copies")
-    left = docs.join(small(gone), "doc_id", "left_anti").select(*docs.columns)
-    twice = durable(left.filter("doc_id is not null").groupBy("doc_id").count().filter("count > 1").select("doc_id"), "repeated-ids")
+    found = near_duplicate_rows(docs, NearDuplicates(percent=80))
+    gone = found.filter("not kept").select(F.col("doc_id").alias("gone_id"), F.col("text_hash").alias("gone_hash")).distinct()
+    gone = durable(gone, "near-copies")
+    same = F.col("hash").eqNullSafe(F.col("gone_hash")) & F.col("id").eqNullSafe(F.col("gone_id"))
+    left = _lines(docs).join(small(gone), same, "left_anti")
+    twice = left.filter("id is not null").groupBy(F.col("id").alias("twice_id"), F.col("hash").alias("twice_hash")).count()
+    twice = durable(twice.filter("count > 1").drop("count"), "repeated-rows")
     if twice.isEmpty():
-        return left
-    once = left.join(small(twice), "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(*docs.columns)
-    return left.join(small(twice), "doc_id", "left_anti").select(*docs.columns).unionByName(once)
+        return left.select("line.*")
+    same = F.col("hash").eqNullSafe(F.col("twice_hash")) & F.col("id").eqNullSafe(F.col("twice_id"))
+    repeated = left.join(small(twice), same, "left_semi").groupBy("id", F.col("line.text").alias("text"))
+    once = repeated.agg(F.min_by("line", F.to_json("line")).alias("line"))
+    return left.join(small(twice), same, "left_anti").select("line.*").unionByName(once.select("line.*"))
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

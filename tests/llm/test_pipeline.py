@@ -11,6 +11,7 @@ from tests.llm import brute
 from tests.llm.conftest import passage
 from tests.llm.test_operators import ITEMS
 from tripfare.llm.mixing import TARGETS, mix, whole_copies
+from tripfare.llm.near_duplicates import NearDuplicates, near_duplicates
 from tripfare.llm.queries import ORACLE, QUERIES
 
 
@@ -113,3 +114,17 @@ def test_copies_have_the_rates_on_average(spark):
     found = drawn.withColumn("copies", whole_copies(F.col("rate"), "id")).groupBy("rate").agg(F.avg("copies"), F.min("copies"), F.max("copies")).collect()
     for rate, mean, low, high in found:
         assert mean == pytest.approx(rate, abs=0.03) and (low, high) == (int(rate), -int(-rate // 1))
+
+
+def test_rows_that_share_an_id_are_judged_by_their_own_text(spark, folder):
+    one, two, three, four = (passage(900 + i, 60) for i in range(4))
+    near = one.split(" ")
+    near[59] = "other"
+    rows = [(3, one), (7, one), (7, two), (7, two), (7, three), (8, two.upper()), (9, " ".join(near)), (9, four), (9, four.upper())]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    judged = {(r.doc_id, r.n_shingles, r.component_id, r.kept) for r in near_duplicates(frame, NearDuplicates(percent=80)).collect()}
+    assert {(3, 56, 3, True), (7, 56, 3, False), (7, 56, 7, True), (8, 56, 7, False), (9, 56, 3, False), (9, 56, 9, True)} <= judged
+    left = sorted(tuple(r) for r in corpus_pipeline.near_dedup(spark, frame, folder).collect())
+    fours = [r for r in left if r[0] == 9]
+    assert [r for r in left if r[0] != 9] == sorted([(3, one), (7, two), (7, three)])
+    assert len(fours) == 1 and fours[0][1].lower() == four

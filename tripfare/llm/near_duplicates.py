@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from tripfare.llm import arrays
-from tripfare.llm.tables import bound_batches, components, only_ids
+from tripfare.llm.tables import bound_batches, components, small
 from tripfare.operators.durable import durable
 
 _U = np.uint64
@@ -106,23 +106,27 @@ def band_hashes(signature: np.ndarray, bands: int, rows: int) -> np.ndarray:
     return total
 
 
+def _set_keys(elements: np.ndarray, sizes: np.ndarray) -> list[bytes]:
+    return [hashlib.blake2b(elements[b - n : b].tobytes(), digest_size=16).digest() for b, n in zip(np.cumsum(sizes), sizes)]
+
+
 def _signed(settings: NearDuplicates):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for low, high, elements, sizes in shingle_sets(batch.column(1), settings.shingle):
-                stops = np.cumsum(sizes)
                 signature = super_minhash(elements, sizes, settings.bands * settings.rows)
                 bands = band_hashes(signature, settings.bands, settings.rows)[sizes > 0]
                 counts = np.where(sizes > 0, settings.bands, 0)
-                keys = [hashlib.blake2b(elements[b - n : b].tobytes(), digest_size=16).digest() for b, n in zip(stops, sizes)]
+                keys = _set_keys(elements, sizes)
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).slice(low, high - low),
+                        batch.column(2).slice(low, high - low),
                         pa.array(sizes.astype(np.int64)),
                         pa.array(keys, pa.binary()),
                         pa.ListArray.from_arrays(np.r_[0, np.cumsum(counts)].astype(np.int32), pa.array(arrays.signed(bands.reshape(-1)))),
                     ],
-                    ["doc_id", "n_shingles", "set_key", "bands"],
+                    ["doc_id", "text_hash", "n_shingles", "set_key", "bands"],
                 )
 
     return run
@@ -139,17 +143,20 @@ def parities(elements: np.ndarray, sizes: np.ndarray) -> np.ndarray:
 def _sets(shingle: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for low, high, elements, sizes in shingle_sets(batch.column(1), shingle):
+            for low, high, elements, sizes in shingle_sets(batch.column(2), shingle):
                 lists = pa.ListArray.from_arrays(np.r_[0, np.cumsum(sizes)].astype(np.int32), pa.array(arrays.signed(elements)))
                 odd = [pa.array(np.ascontiguousarray(c)) for c in parities(elements, sizes).T]
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(low, high - low), lists, *odd], ["doc_id", "elements", *PARITY])
+                found = pa.RecordBatch.from_arrays([batch.column(0).slice(low, high - low), lists, *odd], ["node", "elements", *PARITY])
+                # Texts that share id and hash with that of the node, but are not it, go.
+                wanted = batch.column(1).slice(low, high - low).to_pylist()
+                yield found.filter(pa.array([k == w for k, w in zip(_set_keys(elements, sizes), wanted)], pa.bool_()))
 
     return run
 
 
 def _compared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """(a, b) with the sizes of the full sets and of what they share."""
-    of = lambda side: sets.select(F.col("doc_id").alias(side), F.col("elements").alias(f"set_{side}"))
+    of = lambda side: sets.select(F.col("node").alias(side), F.col("elements").alias(f"set_{side}"))
     # The pair waits at the larger id, so the set that travels is the other one's.
     met = pairs.join(of("a"), "a").join(of("b"), "b")
     return met.select(
@@ -159,8 +166,8 @@ def _compared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 def _mixed(members: DataFrame, groups: DataFrame) -> DataFrame:
     """Members of buckets that hold several groups, with their group and the largest of the bucket."""
-    grouped = members.join(groups.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn(
-        "component", F.coalesce("component", "doc_id")
+    grouped = members.join(groups, "node", "left").withColumn(
+        "component", F.coalesce("component", "node")
     )
     sizes = grouped.groupBy("band", "component").count()
     several = sizes.groupBy("band").agg(F.max_by("component", F.struct("count", "component")).alias("main"), F.count("*").alias("n"))
@@ -172,12 +179,18 @@ def _stars(groups: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, settings: NearDuplicates = NearDuplicates()) -> DataFrame:
-    """Group near-duplicate documents: (doc_id, n_shingles, component_id, kept).
+    """Group near-duplicate documents: (doc_id, n_shingles, component_id, kept), as ``near_duplicate_rows`` does."""
+    return near_duplicate_rows(docs, settings).drop("text_hash")
+
+
+def near_duplicate_rows(docs: DataFrame, settings: NearDuplicates = NearDuplicates()) -> DataFrame:
+    """Group near-duplicate documents: (doc_id, text_hash, n_shingles, component_id, kept).
 
     1. One pass over the texts gives the size, a key of the whole shingle set,
        and the band hashes of its SuperMinHash signature.
-    2. Documents with equal sets are one class, stood for by its least id; so a
-       group of copies of any size takes part once.
+    2. Documents with equal sets are one class, stood for by its row of least id
+       (and hash of the text) under a number of its own; so a group of copies of
+       any size takes part once, and rows that share an id stay apart.
     3. In each band bucket all members are compared with its least member, on
        full sets, and in further rounds with members drawn from its largest
        group. Members of a bucket that are not in one group after that are
@@ -188,25 +201,32 @@ def near_duplicates(docs: DataFrame, settings: NearDuplicates = NearDuplicates()
     4. Links go through union-find (``components``).
 
     NULL, empty and wordless texts have an empty set and are linked with
-    nothing. Rows that share an id are one document and are all returned; a row
+    nothing. Rows are told apart by id and text: rows that share an id are
+    judged each by its own text, and of a group the rows with its least id, and
+    one text, are kept. Rows with equal id and text are all returned. A row
     without id is returned with its own NULL component, as kept. Other columns
     are ignored; an empty table gives no rows.
     """
     bound_batches(docs.sparkSession)
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    schema = "doc_id long, n_shingles long, set_key binary, bands array<long>"
+    text = F.col("text").cast("string")
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("text_hash"))
+    schema = "doc_id long, text_hash long, n_shingles long, set_key binary, bands array<long>"
     signed = durable(texts.mapInArrow(_signed(settings), schema), "signatures")
 
     usable = signed.filter("n_shingles > 0 and doc_id is not null")
-    classes = usable.groupBy("set_key").agg(F.min("doc_id").alias("doc_id"))
-    leaders = usable.join(classes, ["set_key", "doc_id"]).select("doc_id", "n_shingles", F.explode("bands").alias("band"))
-    shared = leaders.groupBy("band").agg(F.min("doc_id").alias("pivot"), F.max("doc_id").alias("last")).filter("pivot < last")
-    members = durable(leaders.join(shared.drop("last"), "band"), "bucket-members")
-
-    ids = durable(members.select("doc_id").distinct(), "candidates")
-    sets = durable(only_ids(texts, ids).mapInArrow(_sets(settings.shingle), f"doc_id long, elements array<long>, {', '.join(f'{c} long' for c in PARITY)}"), "shingle-sets")
-    sets = sets.dropDuplicates(["doc_id"])
-    star = members.filter("doc_id > pivot").select(F.col("pivot").alias("a"), F.col("doc_id").alias("b")).distinct()
+    first = F.min(F.struct("doc_id", "text_hash")).alias("first")
+    classes = usable.groupBy("set_key").agg(first).select("set_key", "first.*", F.monotonically_increasing_id().alias("node"))
+    classes = durable(classes, "classes")
+    leaders = usable.join(classes, ["set_key", "doc_id", "text_hash"]).select("node", "n_shingles", F.explode("bands").alias("band"))
+    shared = leaders.groupBy("band").agg(F.min("node").alias("pivot"), F.max("node").alias("last")).filter("pivot < last")
+    members = durable(leaders.join(shared.drop("last"), "band").dropDuplicates(["band", "node"]), "bucket-members")
+
+    ids = durable(members.select("node").distinct().join(classes, "node"), "candidates")
+    chosen = texts.join(small(ids), ["doc_id", "text_hash"]).select("node", "set_key", "text")
+    sets = durable(chosen.mapInArrow(_sets(settings.shingle), f"node long, elements array<long>, {', '.join(f'{c} long' for c in PARITY)}"), "shingle-sets")
+    # Only rows of one node, which have equal sets, are merged.
+    sets = sets.dropDuplicates(["node"])
+    star = members.filter("node > pivot").select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct()
     known = durable(_compared(star, sets), "compared-with-pivot")
     is_link = F.col("shared") * 100 >= (F.col("n_a") + F.col("n_b") - F.col("shared")) * settings.percent
     links = known.filter(is_link).select(F.col("a").alias("u"), F.col("b").alias("v"))
@@ -214,8 +234,8 @@ def near_duplicates(docs: DataFrame, settings: NearDuplicates = NearDuplicates()
 
     # Members of one bucket in different groups, with the parity bits of their sets.
     # Two sets differ by at least as many elements as their parities differ by bits.
-    apart = _mixed(members, groups).select("doc_id").distinct()
-    members = durable(members.join(apart, "doc_id", "left_semi").join(sets.select("doc_id", *PARITY), "doc_id"), "open-members")
+    apart = _mixed(members, groups).select("node").distinct()
+    members = durable(members.join(apart, "node", "left_semi").join(sets.select("node", *PARITY), "node"), "open-members")
 
     def possible(x: str, y: str):
         differ = sum((F.bit_count(F.col(f"{x}{c}").bitwiseXOR(F.col(f"{y}{c}"))) for c in PARITY), F.lit(0))
@@ -228,13 +248,13 @@ def near_duplicates(docs: DataFrame, settings: NearDuplicates = NearDuplicates()
     for turn in range(settings.rounds):
         mixed = durable(_mixed(members, groups), "mixed-buckets")
         drawn = mixed.filter("component = main").groupBy("band").agg(
-            F.min_by(F.struct("doc_id", "n_shingles", *PARITY), F.xxhash64("doc_id", "band", F.lit(turn))).alias("met")
+            F.min_by(F.struct("node", "n_shingles", *PARITY), F.xxhash64("node", "band", F.lit(turn))).alias("met")
         )
         pairs = (
             mixed.filter("component <> main")
             .join(drawn, "band")
             .filter(possible("", "met."))
-            .select(F.least("doc_id", "met.doc_id").alias("a"), F.greatest("doc_id", "met.doc_id").alias("b"))
+            .select(F.least("node", "met.node").alias("a"), F.greatest("node", "met.node").alias("b"))
             .distinct()
             .join(compared, ["a", "b"], "left_anti")
         )
@@ -247,25 +267,38 @@ def near_duplicates(docs: DataFrame, settings: NearDuplicates = NearDuplicates()
 
     # What is left is compared in full, save what the triangle inequality rules out.
     distance = 1 - F.col("shared") / (F.col("n_a") + F.col("n_b") - F.col("shared"))
-    away = known.select(F.col("a").alias("pivot"), F.col("b").alias("doc_id"), distance.alias("away"))
-    mixed = durable(_mixed(members.join(away, ["pivot", "doc_id"]), groups), "mixed-buckets")
+    away = known.select(F.col("a").alias("pivot"), F.col("b").alias("node"), distance.alias("away"))
+    mixed = durable(_mixed(members.join(away, ["pivot", "node"]), groups), "mixed-buckets")
     radius = (100 - settings.percent) / 100 + 1e-9
     open_pairs = (
         mixed.filter("component <> main").alias("x").join(mixed.alias("y"), F.col("x.band") == F.col("y.band"))
-        .filter("x.component <> y.component and (y.component = y.main or x.doc_id < y.doc_id)")
+        .filter("x.component <> y.component and (y.component = y.main or x.node < y.node)")
         .filter(F.abs(F.col("x.away") - F.col("y.away")) <= radius)
         .filter(possible("x.", "y."))
-        .select(F.least("x.doc_id", "y.doc_id").alias("a"), F.greatest("x.doc_id", "y.doc_id").alias("b"))
+        .select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b"))
         .distinct()
         .join(compared, ["a", "b"], "left_anti")
     )
     more = _compared(open_pairs, sets).filter(is_link).select(F.col("a").alias("u"), F.col("b").alias("v"))
-    final = components(_stars(groups).unionByName(more)).withColumnRenamed("node", "class_id")
-
-    of_class = usable.groupBy("set_key").agg(F.min("doc_id").alias("class_id")).join(final, "class_id", "left")
-    component = of_class.select("set_key", F.coalesce("component", "class_id").alias("component"))
-    linked = signed.join(component, "set_key", "left")
-    component_id = F.when((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull(), F.col("component")).otherwise(F.col("doc_id"))
+    final = durable(components(_stars(groups).unionByName(more)), "final-groups")
+
+    # A group is named by its least id; of its classes with that id one is kept.
+    whole = final.unionByName(final.select(F.col("component").alias("node"), "component").distinct())
+    least = whole.join(classes, "node").groupBy("component").agg(F.min(F.struct("doc_id", "set_key")).alias("least"))
+    named = whole.join(least, "component").select("node", "least")
+    of_class = classes.join(named, "node", "left").select(
+        "set_key",
+        F.coalesce("least.doc_id", "doc_id").alias("component"),
+        (F.coalesce("least.set_key", "set_key") == F.col("set_key")).alias("leads"),
+        F.col("text_hash").alias("first_hash"),
+    )
+    linked = signed.join(of_class, "set_key", "left")
+    judged = (F.col("n_shingles") > 0) & F.col("doc_id").isNotNull()
+    first = F.col("leads") & (F.col("doc_id") == F.col("component")) & (F.col("text_hash") == F.col("first_hash"))
     return linked.select(
-        "doc_id", "n_shingles", component_id.alias("component_id"), F.equal_null(F.col("doc_id"), component_id).alias("kept")
+        "doc_id",
+        "text_hash",
+        "n_shingles",
+        F.when(judged, F.col("component")).otherwise(F.col("doc_id")).alias("component_id"),
+        F.when(judged, first).otherwise(F.lit(True)).alias("kept"),
     )
