@@ -24,6 +24,8 @@ _LOWER_BYTES = _BYTES.copy()
 _LOWER_BYTES[65:91] = _BYTES[97:123]
 _STEPS = _random.integers(1, 1 << 63, 64, dtype=_U) | _U(1)
 
+LOWER = np.arange(256, dtype=np.uint8)
+LOWER[65:91] += 32
 SPACE = np.zeros(256, dtype=bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
 

@@ -107,3 +107,82 @@ kept AS (
 SELECT doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(n, 0))::BIGINT AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
 FROM split LEFT JOIN kept USING (doc_id)
 """
+
+PHRASES = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang,
+         unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[.,;:!?\x0A-\x0D]')) AS p
+  FROM documents),
+split AS (SELECT lang, w FROM (SELECT lang, regexp_extract_all(p, '[^\x20\x09]+') AS w FROM pieces) WHERE len(w) > 0),
+total AS (SELECT lang, sum(len(w))::BIGINT AS n FROM split GROUP BY lang),
+runs AS (
+  SELECT lang, size, array_to_string(w[i:i + size - 1], ' ') AS phrase, count(*) AS a
+  FROM (SELECT lang, w, size, unnest(range(1, len(w) - size + 2)) AS i
+        FROM split, (SELECT unnest([1, 2, 3, 4]) AS size) WHERE len(w) >= size)
+  GROUP BY ALL),
+frequent AS (SELECT lang, size, phrase, a, string_split(phrase, ' ') AS w FROM runs WHERE a >= 30),
+cuts AS (
+  SELECT lang, size, phrase, a, k, array_to_string(w[1:k], ' ') AS first_part, array_to_string(w[k + 1:size], ' ') AS rest
+  FROM (SELECT *, unnest(range(1, size)) AS k FROM frequent WHERE size > 1)),
+lowest AS (
+  SELECT c.lang, c.size, c.phrase, c.a, x.a AS l, y.a AS r,
+         (2000000::HUGEINT * c.a) // (x.a::HUGEINT + y.a) AS score
+  FROM cuts c JOIN frequent x ON x.lang = c.lang AND x.phrase = c.first_part
+  JOIN frequent y ON y.lang = c.lang AND y.phrase = c.rest
+  QUALIFY row_number() OVER (PARTITION BY c.lang, c.phrase ORDER BY score, c.k) = 1),
+inner_runs AS (
+  SELECT lang, array_to_string(w[i:i + m - 1], ' ') AS phrase, max(a) AS longer_a
+  FROM (SELECT *, unnest(range(1, size - m + 2)) AS i FROM frequent, (SELECT unnest([2, 3]) AS m) WHERE size > m)
+  GROUP BY ALL),
+ranked AS (
+  SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank, phrase, a, l, r, score
+  FROM lowest LEFT JOIN inner_runs USING (lang, phrase)
+  WHERE longer_a IS NULL OR 100::HUGEINT * longer_a < 80::HUGEINT * a)
+SELECT lang, rank::BIGINT AS rank, phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n, score::BIGINT AS score
+FROM ranked JOIN total USING (lang) WHERE rank <= 2000
+"""
+
+IMPORTANCE_RESAMPLING = r"""
+WITH table256 AS (
+  SELECT list(list_reduce([i::UBIGINT, 0, 0, 0, 0, 0, 0, 0, 0],
+         lambda s, x: CASE WHEN s & 1 = 1 THEN xor(s >> 1, 3988292384::UBIGINT) ELSE s >> 1 END) ORDER BY i) AS t
+  FROM range(256) q(i)),
+texts AS (
+  SELECT 0 AS kind, doc_id AS id, text FROM documents UNION ALL SELECT 1, NULL, text FROM benchmark),
+split AS (
+  SELECT kind, id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM texts),
+features AS (
+  SELECT kind, id, array_to_string(w[i:i + m - 1], ' ') AS f, count(*) AS n
+  FROM (SELECT *, unnest(range(1, len(w) - m + 2)) AS i FROM split, (SELECT unnest([1, 2, 3]) AS m) WHERE len(w) >= m)
+  GROUP BY ALL),
+coded AS (
+  SELECT f, hex(encode(f)) AS x FROM (SELECT DISTINCT f FROM features)),
+summed AS (
+  SELECT f, xor(list_reduce(list_concat([4294967295::UBIGINT], list_transform(range(1, length(x), 2),
+         lambda i: (16 * (instr('0123456789ABCDEF', x[i]) - 1) + instr('0123456789ABCDEF', x[i + 1]) - 1)::UBIGINT)),
+         lambda s, b: xor(s >> 8, t[(xor(s, b) & 255)::BIGINT + 1])), 4294967295::UBIGINT) % 10000 AS bucket
+  FROM coded, table256),
+counts AS (
+  SELECT b AS bucket, coalesce(sum(n) FILTER (kind = 0), 0)::DOUBLE AS s, coalesce(sum(n) FILTER (kind = 1), 0)::DOUBLE AS t
+  FROM range(10000) q(b) LEFT JOIN (SELECT bucket, kind, n FROM features JOIN summed USING (f)) ON bucket = b GROUP BY b),
+sums AS (SELECT sum(s) AS all_s, sum(t) AS all_t FROM counts),
+gains AS (
+  SELECT bucket, floor(1000 * ln((t + 1) * (all_s + 10000) / ((s + 1) * (all_t + 10000))))::BIGINT AS gain FROM counts, sums),
+weights AS (
+  SELECT id, sum(n * gain) AS weight FROM features JOIN summed USING (f) JOIN gains USING (bucket) WHERE kind = 0 GROUP BY id),
+drawn AS (
+  SELECT id, len(w) AS n_words, list_sum([greatest(len(w) - k, 0) for k in [0, 1, 2]])::BIGINT AS n_features,
+         ('0x' || substr(sha256('42:' || id), 1, 8))::BIGINT AS h
+  FROM split WHERE kind = 0),
+scored AS (
+  SELECT id AS doc_id, n_words, n_features, coalesce(weight, 0)::BIGINT AS weight,
+         (coalesce(weight, 0) + floor(-1000 * ln(-ln((h + 0.5::DOUBLE) / 4294967296::DOUBLE))))::BIGINT AS score
+  FROM drawn LEFT JOIN weights USING (id)),
+ranked AS (
+  SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS place, 5 * count(*) OVER () // 100 AS take FROM scored WHERE n_words >= 20)
+SELECT doc_id, n_features, weight, score, CASE WHEN place <= take THEN place END::BIGINT AS rank
+FROM scored LEFT JOIN ranked USING (doc_id)
+"""

@@ -9,11 +9,14 @@ from tripfare.llm import oracle, sharding
 from tripfare.llm.decontamination import decontamination
 from tripfare.llm.exact_search import exact_top_k
 from tripfare.llm.graph_dedup import graph_dedup
+from tripfare.llm.importance import importance_resampling
 from tripfare.llm.language import language_id, remainder
 from tripfare.llm.language_model import score_texts
 from tripfare.llm.mixing import mix
 from tripfare.llm.near_duplicates import NearDuplicates, near_duplicates
+from tripfare.llm.phrases import phrases
 from tripfare.llm.suffix_dedup import suffix_dedup
+from tripfare.llm.token_counts import token_counts
 from tripfare.llm.token_files import token_table
 
 
@@ -64,6 +67,19 @@ def op10_substring_dedup(spark, sf_dir):
     return graph_dedup(_table(spark, sf_dir, "documents")).drop("kept")
 
 
+def op11_phrases(spark, sf_dir):
+    return phrases(_table(spark, sf_dir, "documents")).drop("size")
+
+
+def op12_token_counts(spark, sf_dir):
+    return token_counts(_table(spark, sf_dir, "documents"))
+
+
+def op13_importance_resampling(spark, sf_dir):
+    found = importance_resampling(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_features", "weight", "score", "rank")
+
+
 def pipeline(spark, sf_dir):
     return corpus_pipeline.run(spark, sf_dir)
 
@@ -81,6 +97,9 @@ QUERIES = {
         op8_language_model,
         op9_mixing,
         op10_substring_dedup,
+        op11_phrases,
+        op12_token_counts,
+        op13_importance_resampling,
         pipeline,
     )
 }
@@ -93,4 +112,6 @@ ORACLE: dict[str, str] = {
     "op5_decontamination": oracle.DECONTAMINATION,
     "op6_exact_top_k": oracle.EXACT_TOP_K,
     "op10_substring_dedup": oracle.SUBSTRING_DEDUP,
+    "op11_phrases": oracle.PHRASES,
+    "op13_importance_resampling": oracle.IMPORTANCE_RESAMPLING,
 }
