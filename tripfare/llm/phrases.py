@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import hashlib
+import uuid
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import reduce
@@ -95,6 +97,23 @@ def _by_language(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, np.nd
                 yield name, data, offsets
 
 
+_unpacked: dict[str, np.ndarray] = {}
+
+
+def _sent(spark, table: np.ndarray):
+    """A table for all tasks of one job, packed: nearly all of it is one value."""
+    return spark.sparkContext.broadcast((uuid.uuid4().hex, table.dtype.str, zlib.compress(table, 1)))
+
+
+def _received(sent) -> np.ndarray:
+    """The table, unpacked once in each worker."""
+    name, kind, packed = sent.value
+    if name not in _unpacked:
+        _unpacked.clear()
+        _unpacked[name] = np.frombuffer(zlib.decompress(packed), kind)
+    return _unpacked[name]
+
+
 def _slot(hashes: np.ndarray, slots: int) -> np.ndarray:
     return (hashes & _U(slots - 1)).astype(np.int64)
 
@@ -138,7 +157,7 @@ def _scanned(step: int, found, settings: Phrases):
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table, held = found.value, _Held()
+        table, held = _received(found), _Held()
         for lang, data, offsets in _by_language(batches):
             before = None
             for size, hashes, inside in _Runs(data, offsets, lang).of(settings.longest):
@@ -197,7 +216,7 @@ def frequent_hashes(texts: DataFrame, settings: Phrases) -> DataFrame:
     complete: list[DataFrame] = []
     latest = step = 0
     while step < latest + settings.shards:
-        sent = spark.sparkContext.broadcast(since)
+        sent = _sent(spark, since)
         scanned = texts.filter(F.col("shard") == step % settings.shards).select("lang", "text").mapInArrow(_scanned(step, sent, settings), COUNTS)
         # The first step of a phrase and its size are the same in every row of it.
         summed = scanned.groupBy("hash").agg(F.min("size").alias("size"), F.min("since").alias("since"), F.sum("n").alias("n"))
@@ -210,7 +229,8 @@ def frequent_hashes(texts: DataFrame, settings: Phrases) -> DataFrame:
             complete.append(durable(total.filter(F.col("n") >= settings.least), "phrases-complete"))
             found.append(complete[-1].filter(F.col("size") < settings.longest).select("hash"))
         marked = slots_of(reduce(DataFrame.unionByName, found), settings.slots) & (since == NEVER)
-        sent.unpersist()
+        # What it was needed for is stored.
+        sent.destroy()
         step += 1
         if marked.any():
             since = np.where(marked, np.uint8(step), since)
@@ -223,7 +243,7 @@ def _named(found, settings: Phrases):
     names = ["lang", "hash", "size", "phrase", "n"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = found.value
+        table = _received(found)
         words: dict[str, int] = {}
         for lang, data, offsets in _by_language(batches):
             runs = _Runs(data, offsets, lang)
@@ -257,9 +277,10 @@ def frequent_phrases(texts: DataFrame, settings: Phrases) -> tuple[DataFrame, Da
     words, so two runs with one hash are told apart, and counts them as texts.
     """
     hashes = frequent_hashes(texts, settings).select("hash")
-    sent = texts.sparkSession.sparkContext.broadcast(slots_of(hashes, settings.slots))
+    sent = _sent(texts.sparkSession, slots_of(hashes, settings.slots))
     named = texts.select("lang", "text").mapInArrow(_named(sent, settings), "lang string, hash long, size int, phrase string, n long")
     summed = durable(named.groupBy("lang", "hash", "size", "phrase").agg(F.sum("n").alias("a")), "named-runs")
+    sent.destroy()
     kept = summed.filter(F.col("a") >= settings.least).join(hashes.distinct(), "hash", "left_semi")
     words = summed.filter("phrase is null").groupBy("lang").agg(F.sum("a").alias("n"))
     return durable(kept.select("lang", "phrase", "size", "a"), "phrases"), words
