@@ -167,8 +167,9 @@ def _scanned(step: int, found, settings: Phrases):
                 if size < settings.longest:
                     if not (since <= step).any():
                         break
-                    # Runs across pieces, and those not counted yet, have no place in the table.
-                    before = np.where(inside & (since <= step), table[_slot(hashes, settings.slots)], NEVER)
+                    # Runs across pieces have no place in the table. Where phrases share
+                    # a place, it may be marked before this one is even counted.
+                    before = np.where(inside, np.maximum(table[_slot(hashes, settings.slots)], since), NEVER)
             if held.rows > HELD_COUNTS:
                 held.merge()
                 if held.rows > HELD_COUNTS // 2:
