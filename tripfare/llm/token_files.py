@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import os
-import re
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -14,13 +13,18 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
+from tripfare.llm import arrays
 from tripfare.llm.tables import bound_batches
 from tripfare.operators.durable import shared_folder
 
 # A block ends with the first document that takes it to this many ids.
 BLOCK_IDS = 1 << 16
-# Distinct pieces of text whose ids a worker remembers, twice over.
+# Pieces of text whose ids a worker remembers, twice over: none is longer than
+# PIECE_BYTES, and an id is a byte at least, so this bounds the bytes too.
 REMEMBERED = 250_000
+PIECE_BYTES = 64
+# Texts that are cut and encoded at a time.
+ENCODED_BYTES = 4 << 20
 
 BLOCKS = "part int, block int, first long, n_ids long, width int, doc_ids array<long>, lengths array<long>, packed binary"
 _NAMES = [part.split()[0] for part in BLOCKS.split(", ")]
@@ -29,10 +33,17 @@ _TYPES = [pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.list_(p
 # Unknown pieces that are encoded as one text.
 TOGETHER = 64
 
-_UNEVEN = re.compile(r"\s ")
-_EVEN_SPACE = re.compile(r"(?<=\S) ")
-_SPACED = " ".__add__
-_MARKS = ".,;:!?|*#$%&"
+def _bytes(of: bytes) -> np.ndarray:
+    table = np.zeros(256, dtype=bool)
+    table[list(of)] = True
+    return table
+
+
+# Bytes that are white space to a regular expression of some library.
+_BLANK = _bytes(bytes([*range(0x09, 0x0E), *range(0x1C, 0x21)]))
+_BREAK = _bytes(b" \n")
+_MARK = _bytes(b".,;:!?|*#$%&")
+_PLAIN = _bytes(b"0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz")
 
 
 def pack(ids: np.ndarray, width: int) -> bytes:
@@ -55,13 +66,45 @@ def unpack(packed: bytes, width: int, start: int, count: int) -> np.ndarray:
     return ((words >> (at & 7).astype(np.uint64)) & np.uint64((1 << width) - 1)).astype(np.uint32)
 
 
+def even_breaks(data: np.ndarray) -> np.ndarray:
+    """Places of spaces and line ends that follow a character that is surely no white space."""
+    at = np.flatnonzero(_BREAK[data])
+    at = at[at > 0]
+    at = at[~_BLANK[data[at - 1]]]
+    # White space beyond ASCII begins with these two bytes, or is C2 and one more.
+    high = np.flatnonzero((data[at - 1] >= 0x80) & (at > 1))
+    lead, second = data[np.maximum(at[high] - 3, 0)], data[at[high] - 2]
+    blank = (second == 0xC2) | (np.isin(lead, (0xE1, 0xE2, 0xE3)) & np.isin(second, (0x80, 0x81, 0x9A)))
+    return np.delete(at, high[blank])
+
+
+def cut_pieces(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Edges of the pieces of texts: no pre-token lies across one."""
+    begins = np.zeros(len(data) + 1, dtype=bool)
+    begins[even_breaks(data)] = True
+    begins[offsets] = True
+    # A mark after a letter or digit, at the end of its word.
+    mark = np.flatnonzero(_MARK[data])
+    mark = mark[(mark > 0) & begins[mark + 1]]
+    begins[mark[_PLAIN[data[mark - 1]]]] = True
+    return np.flatnonzero(begins)
+
+
+def distinct_pieces(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, pa.DictionaryArray]:
+    """Edges of the pieces of texts, and the pieces as numbers of distinct ones."""
+    edges = cut_pieces(data, offsets)
+    buffers = [None, pa.py_buffer(edges.astype(np.int64)), pa.py_buffer(np.ascontiguousarray(data))]
+    return edges, pa.Array.from_buffers(pa.large_binary(), len(edges) - 1, buffers).dictionary_encode()
+
+
 class Encoder:
     """A tokenizer with pre-tokens of a byte-level BPE, and the ids of pieces met before.
 
-    A space after a character that is no white space always begins a new
-    pre-token. So a text may be cut there, and its ids are those of its pieces;
-    most pieces have been met before. The same holds between a letter or digit
-    and the punctuation that ends a piece.
+    A space or line end after a character that is no white space always begins
+    a new pre-token, and so does a mark after a letter or digit. So a text may be
+    cut there, and its ids are those of its pieces. Arrow tells the distinct
+    pieces of many texts; each is looked up, or encoded, once, and numpy lays
+    their ids out.
     """
 
     def __init__(self, path: str):
@@ -73,64 +116,72 @@ class Encoder:
         size = self.tokenizer.get_vocab_size()
         self.token_bytes = np.array([len(self.tokenizer.id_to_token(i) or "") for i in range(size)], np.int64)
         self.width = max(1, (self.tokenizer.get_vocab_size() - 1).bit_length())
-        self.known: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
-
-    def _ids(self, texts: list[str]) -> list[np.ndarray]:
-        return [np.array(e.ids, "<u4") for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def _learn(self, pieces: set[str]) -> None:
-        known = self.known
-        stems, plain = [], set()
+        self.known: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
+
+    def _ids(self, texts: list[bytes]) -> list[np.ndarray]:
+        found = self.tokenizer.encode_batch_fast([t.decode() for t in texts], add_special_tokens=False)
+        return [np.array(e.ids, "<u4") for e in found]
+
+    def _learn(self, pieces: list[bytes]) -> dict[bytes, bytes]:
+        """Ids of distinct pieces not met before."""
+        found: dict[bytes, bytes] = {}
+        # Many pieces that begin with white space are encoded as one text and told apart by their bytes.
+        alone, joined = [], []
         for piece in pieces:
-            stem = piece.rstrip(_MARKS)
-            if stem != piece and stem[-1:].isalnum():
-                stems.append((piece, stem))
-                plain.add(stem)
-                plain.add(piece[len(stem) :])
-            else:
-                plain.add(piece)
-        plain = {p for p in plain if p not in known}
-        # Many pieces that begin with a space are encoded as one text and told apart by their bytes.
-        alone = [p for p in plain if p[:1] != " " or p[-1].isspace()]
-        joined = list(plain.difference(alone))
+            (joined if piece[:1] in (b" ", b"\n") and not piece[-1:].isspace() else alone).append(piece)
         groups = [joined[i : i + TOGETHER] for i in range(0, len(joined), TOGETHER)]
-        texts = ["".join(g) for g in groups]
-        for group, text, found in zip(groups, texts, self._ids(texts)):
-            reach = np.cumsum(self.token_bytes[found])
-            sizes = map(len, group) if text.isascii() else [len(p.encode()) for p in group]
-            ends = np.fromiter(sizes, np.int64, len(group)).cumsum()
+        for group, ids in zip(groups, self._ids([b"".join(g) for g in groups])):
+            reach = np.cumsum(self.token_bytes[ids])
+            ends = np.fromiter(map(len, group), np.int64, len(group)).cumsum()
             at = np.searchsorted(reach, ends)
             if at[-1] == len(reach) - 1 and (reach[at] == ends).all():
-                ids, low = found.tobytes(), 0
+                raw, low = ids.tobytes(), 0
                 for piece, high in zip(group, ((at + 1) * 4).tolist()):
-                    known[piece] = ids[low:high]
+                    found[piece] = raw[low:high]
                     low = high
             else:
                 alone += group
-        known.update((p, found.tobytes()) for p, found in zip(alone, self._ids(alone)))
-        for piece, stem in stems:
-            known[piece] = known[stem] + known[piece[len(stem) :]]
+        found.update((p, ids.tobytes()) for p, ids in zip(alone, self._ids(alone)))
+        return found
 
-    def encode(self, texts: list[str | None]) -> list[bytes]:
-        """Little-endian 32-bit ids of every text."""
+    def _known(self, pieces: list[bytes]) -> list[bytes]:
+        """Ids of distinct pieces, as bytes."""
         if len(self.known) > REMEMBERED:
             # What is still in use comes back from the older half.
             self.older, self.known = self.known, {}
-        known, cut, lacking = self.known, [], set()
-        for text in texts:
-            text = text or ""
-            pieces = _EVEN_SPACE.split(text) if _UNEVEN.search(text) else text.split(" ")
-            pieces = [pieces[0], *map(_SPACED, pieces[1:])]
-            found = list(map(known.get, pieces))
-            if None in found:
-                lacking.update(p for p, ids in zip(pieces, found) if ids is None)
-            cut.append((pieces, found))
-        again = {p: ids for p in lacking if (ids := self.older.get(p)) is not None}
-        known.update(again)
-        if lacking := lacking.difference(again):
-            self._learn(lacking)
-        return [b"".join(map(known.__getitem__, pieces) if None in found else found) for pieces, found in cut]
+        ids = list(map(self.known.get, pieces))
+        lacking = [i for i, x in enumerate(ids) if x is None]
+        if not lacking:
+            return ids
+        names = [pieces[i] for i in lacking]
+        again = list(map(self.older.get, names))
+        found = self._learn([p for p, x in zip(names, again) if x is None])
+        for i, piece, x in zip(lacking, names, again):
+            ids[i] = found[piece] if x is None else x
+        room = 2 * REMEMBERED - len(self.known)
+        self.known.update([(p, ids[i]) for i, p in zip(lacking, names) if len(p) <= PIECE_BYTES][:room])
+        return ids
+
+    def encode(self, texts: pa.Array | list[str | None]) -> list[bytes]:
+        """Little-endian 32-bit ids of every text."""
+        column = texts if isinstance(texts, pa.Array) else pa.array(texts, pa.large_string())
+        return [ids for _, _, data, offsets in arrays.slices(column, ENCODED_BYTES) for ids in self._encoded(data, offsets)]
+
+    def _encoded(self, data: np.ndarray, offsets: np.ndarray) -> list[bytes]:
+        if not len(data):
+            return [b""] * (len(offsets) - 1)
+        edges, pieces = distinct_pieces(data, offsets)
+        ids = self._known(pieces.dictionary.to_pylist())
+        kind = pieces.indices.to_numpy()
+        size = np.fromiter(map(len, ids), np.int64, len(ids)) >> 2
+        first = np.cumsum(size) - size
+        count = size[kind]
+        ends = np.cumsum(count)
+        place = np.repeat(first[kind] - (ends - count), count) + np.arange(ends[-1])
+        laid = np.frombuffer(b"".join(ids), "<u4")[place].tobytes()
+        cut = (np.r_[0, ends][np.searchsorted(edges, offsets)] * 4).tolist()
+        return [laid[a:b] for a, b in zip(cut[:-1], cut[1:])]
 
 
 @lru_cache(maxsize=2)
@@ -138,7 +189,7 @@ def encoder(path: str) -> Encoder:
     return Encoder(path)
 
 
-def _resolved(tokenizer: str) -> str:
+def resolved(tokenizer: str) -> str:
     """A path as it is, or the name of a public tokenizer that is installed on the worker."""
     if "/" in tokenizer:
         return tokenizer
@@ -151,7 +202,7 @@ def _blocks(tokenizer: str, end_id: int, block_ids: int):
     end = np.array([end_id], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tool = encoder(_resolved(tokenizer))
+        tool = encoder(resolved(tokenizer))
         width = max(tool.width, end_id.bit_length())
         part, block, first = TaskContext.get().partitionId(), 0, 0
         ids, lengths, parts = [], [], []
@@ -162,17 +213,15 @@ def _blocks(tokenizer: str, end_id: int, block_ids: int):
             return pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip(row, _TYPES)], _NAMES)
 
         for batch in batches:
-            for at in range(0, len(batch), 256):
-                some = batch.slice(at, 256)
-                for doc, found in zip(some.column(0).to_pylist(), tool.encode(some.column(1).to_pylist())):
-                    ids.append(doc)
-                    parts.append(found + end)
-                    lengths.append(len(found) // 4 + 1)
-                    held += lengths[-1]
-                    if held >= block_ids:
-                        yield ready()
-                        block, first = block + 1, first + held
-                        ids, lengths, parts, held = [], [], [], 0
+            for doc, found in zip(batch.column(0).to_pylist(), tool.encode(batch.column(1))):
+                ids.append(doc)
+                parts.append(found + end)
+                lengths.append(len(found) // 4 + 1)
+                held += lengths[-1]
+                if held >= block_ids:
+                    yield ready()
+                    block, first = block + 1, first + held
+                    ids, lengths, parts, held = [], [], [], 0
         if ids:
             yield ready()
 
