@@ -12,12 +12,15 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from tripfare.llm import arrays
 from tripfare.llm.tables import bound_batches
-from tripfare.llm.token_files import _resolved as resolved
+from tripfare.llm.token_files import resolved, distinct_pieces
 
 # Characters that one call of a tokenizer is given, and from which on a text is cut.
 BATCH_CHARS = 1 << 18
 PIECE_CHARS = 1 << 14
+# Bytes of texts whose equal pieces are counted once.
+SLICE_BYTES = 8 << 20
 
 # White space that follows none begins a new word of all tokenizers that are cut.
 AT_SPACE = re.compile(r"(?<=\S)[ \n]")
@@ -49,7 +52,10 @@ def _parts(step: dict | None, key: str) -> list[dict]:
 
 
 class _Words:
-    """A vocabulary of the tokenizers library."""
+    """A vocabulary of the tokenizers library.
+
+    ``splits`` tells whether every word of a text may be counted by itself.
+    """
 
     skip = 0
 
@@ -61,7 +67,10 @@ class _Words:
         self.tool.no_truncation()
         self.tool.no_padding()
         with open(path, encoding="utf-8") as file:
-            self.boundary = self._boundary(json.load(file))
+            plan = json.load(file)
+        self.boundary = self._boundary(plan)
+        marked = any(re.search(r"[0-9A-Za-z]\W$", t["content"]) for t in plan["added_tokens"])
+        self.splits = self.boundary is AT_SPACE_OR_MARK and not marked
 
     @staticmethod
     def _boundary(plan: dict) -> re.Pattern | None:
@@ -86,6 +95,8 @@ class _Words:
 class _Pieces:
     """A model of the sentencepiece library."""
 
+    splits = False
+
     def __init__(self, path: str):
         import sentencepiece
 
@@ -128,11 +139,24 @@ def token_lengths(texts: list[str | None], tool: _Words | _Pieces, batch: int =
     return total
 
 
+def counted_once(column: pa.Array, tool: _Words | _Pieces) -> np.ndarray:
+    """Tokens of every text, each distinct word of a slice of them being encoded once."""
+    total = np.zeros(len(column), np.int64)
+    for row, end, data, offsets in arrays.slices(column, SLICE_BYTES):
+        if len(data):
+            edges, pieces = distinct_pieces(data, offsets)
+            size = token_lengths([p.decode() for p in pieces.dictionary.to_pylist()], tool)
+            sums = np.r_[0, np.cumsum(size[pieces.indices.to_numpy()])]
+            total[row:end] = np.diff(sums[np.searchsorted(edges, offsets)])
+    return total
+
+
 def _counted(tokenizer: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tool = counter(resolved(tokenizer))
         for batch in batches:
-            n_tokens = token_lengths(batch.column(2).to_pylist(), tool)
+            texts = batch.column(2)
+            n_tokens = counted_once(texts, tool) if tool.splits else token_lengths(texts.to_pylist(), tool)
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(n_tokens)], ["doc_id", "n_bytes", "n_tokens"])
 
     return run
@@ -150,7 +174,8 @@ def token_counts(docs: DataFrame, tokenizer: str = "byte_bpe_50k.json", limit: i
     in calls of about ``BATCH_CHARS`` characters. A text of more than
     ``PIECE_CHARS`` is cut where the vocabulary proves that no token lies across:
     before white space that follows a word. Where nothing proves it, or no such
-    place comes, the text is counted in one piece.
+    place comes, the text is counted in one piece. With a byte-level vocabulary
+    all texts of a batch are cut at such places, and equal pieces counted once.
 
     NULL is an empty text with 0 bytes and 0 tokens. Each row gives a row: those
     without id and those that repeat another too. Other columns are ignored; an
