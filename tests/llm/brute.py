@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import re
+import zlib
 from collections import Counter, defaultdict
 
 ASCII_LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -96,3 +98,50 @@ def leaks(texts, items, length=10):
                     hit.update(range(i, i + n))
         found[d] = (len(w), len(hit), len(names), hashlib.sha256(",".join(sorted(names)).encode()).hexdigest(), bool(hit))
     return found
+
+
+def phrases(rows, least=30, longest=4, top=2000):
+    """Rows of (lang, rank, phrase, a, l, r, n, score) for (lang, text) rows."""
+    counts, words, found = defaultdict(Counter), Counter(), set()
+    for lang, text in rows:
+        lang = "und" if lang is None else lang
+        for piece in re.split(r"[.,;:!?\x0A-\x0D]", lower(text)):
+            w = re.findall(r"[^\x20\x09]+", piece)
+            words[lang] += len(w)
+            for k in range(1, longest + 1):
+                counts[lang].update(tuple(w[i : i + k]) for i in range(len(w) - k + 1))
+    for lang, f in counts.items():
+        candidates = {p: a for p, a in f.items() if len(p) > 1 and a >= least}
+        inside = {
+            p[i : i + k] for p, a in candidates.items() for k in range(2, len(p)) for i in range(len(p) - k + 1) if 100 * a >= 80 * candidates[p[i : i + k]]
+        }
+        order = []
+        for p, a in candidates.items():
+            if p not in inside:
+                score, k = min((2_000_000 * a // (f[p[:k]] + f[p[k:]]), k) for k in range(1, len(p)))
+                order.append((-score, -a, " ".join(p).encode(), f[p[:k]], f[p[k:]]))
+        for rank, (score, a, phrase, left, right) in enumerate(sorted(order)[:top], 1):
+            found.add((lang, rank, phrase.decode(), -a, left, right, words[lang], -score))
+    return found
+
+
+def features(text):
+    w = [x.encode() for x in ITEM_WORD.findall(lower(text))]
+    return len(w), [b" ".join(w[i : i + k]) for k in (1, 2, 3) for i in range(len(w) - k + 1)]
+
+
+def resampled(texts, items, buckets=10_000):
+    """doc → (n_features, weight, score, rank or None)."""
+    docs = {d: features(t) for d, t in texts.items()}
+    s = Counter(zlib.crc32(f) % buckets for _, fs in docs.values() for f in fs)
+    t = Counter(zlib.crc32(f) % buckets for item in items for f in features(item)[1])
+    n_s, n_t = sum(s.values()), sum(t.values())
+    gain = [math.floor(1000 * math.log((t[b] + 1.0) * (n_s + 10000.0) / ((s[b] + 1.0) * (n_t + 10000.0)))) for b in range(buckets)]
+    found = {}
+    for d, (n, fs) in docs.items():
+        weight = sum(gain[zlib.crc32(f) % buckets] for f in fs)
+        h = int(hashlib.sha256(f"42:{d}".encode()).hexdigest()[:8], 16)
+        found[d] = (n, len(fs), weight, weight + math.floor(-1000 * math.log(-math.log((h + 0.5) / 4294967296))))
+    order = sorted((d for d in found if found[d][0] >= 20), key=lambda d: (-found[d][3], d))
+    rank = {d: at for at, d in enumerate(order[: 5 * len(order) // 100], 1)}
+    return {d: (*row[1:], rank.get(d)) for d, row in found.items()}

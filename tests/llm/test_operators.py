@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tests.llm import brute
 from tests.llm.conftest import passage
-from tripfare.llm import arrays, exact_search, repeats, sharding, suffix_dedup as sd
+from tripfare.llm import arrays, exact_search, graph_dedup as gd, repeats, sharding, suffix_dedup as sd
 from tripfare.llm.decontamination import decontamination
 from tripfare.llm.exact_search import exact_top_k
 from tripfare.llm.graph_dedup import graph_dedup, repeated_paths
@@ -148,8 +148,7 @@ def test_repeated_bytes(docs, texts):
         assert hashlib.sha256(r.kept).hexdigest() == r.kept_sha256
 
 
-def test_repeated_bytes_with_little_room(docs, texts, monkeypatch):
-    """Small buckets, tasks that forget, and anchors too large for one sort give the same."""
+def test_equal_windows_are_equal_bytes(texts):
     rows = [(d, (t or "").encode()) for d, t in sorted(texts.items())]
     data = np.frombuffer(b"".join(t for _, t in rows), np.uint8)
     ends = np.repeat(np.cumsum([len(t) for _, t in rows]), [len(t) for _, t in rows])
@@ -161,6 +160,59 @@ def test_repeated_bytes_with_little_room(docs, texts, monkeypatch):
     assert len(names) == len({data[p : p + 100].tobytes() for p in at.tolist()})
 
 
+def in_one_process(texts, grain, buckets):
+    """Spans per document, found without Spark: three tasks send, one task receives."""
+    import pyarrow as pa
+    from types import SimpleNamespace
+
+    every = SimpleNamespace(value=np.full(1 << 10, 255, np.uint8))
+    rows = [(d, t, hash(t)) for d, t in texts.items() if t]
+    sent = []
+    for task in range(3):
+        columns = list(zip(*rows[task::3]))
+        batch = pa.RecordBatch.from_arrays([pa.array(columns[0]), pa.array(columns[1]), pa.array(columns[2])], ["doc_id", "text", "doc_key"])
+        sent += [r for b in repeats._sent(grain, every)(iter([batch])) for r in b.to_pylist()]
+    sent.sort(key=lambda r: r["anchor"])
+    schema = pa.schema(list(zip(repeats._NAMES, repeats._TYPES)))
+    found = {}
+    for batch in buckets(iter(pa.Table.from_pylist(sent, schema).to_batches(50))):
+        for r in batch.to_pylist():
+            found.setdefault(r["doc_id"], []).append((r["begin"], r["stop"]))
+    return found, len(sent)
+
+
+@pytest.mark.parametrize("room", [3, 100_000])
+def test_little_room_loses_nothing(texts, monkeypatch, room):
+    """Tasks that forget what they sent, and buckets sorted in slices, find the same."""
+    short = {d: t and t[:9_000] for d, t in texts.items()}
+    monkeypatch.setattr(repeats, "REMEMBERED", room)
+    monkeypatch.setattr(sd, "BUCKET_WINDOWS", 20 * room)
+    monkeypatch.setattr(gd, "BLOCK_EDGES", 20 * room)
+    found, sent = in_one_process(short, repeats.Grain(length=100, k=30, of_words=False), sd._sorted_buckets(100))
+    want = brute.without_repeats(short)
+    covered = {d: len({p for a, b in spans for p in range(a, b)}) for d, spans in found.items()}
+    assert covered == {d: r[1] for d, r in want.items() if r[1]}
+    found, _ = in_one_process(short, repeats.Grain(length=13, k=5, of_words=True), gd._bucketed(13))
+    covered = {d: len({p for a, b in spans for p in range(a, b + 12)}) for d, spans in found.items()}
+    assert covered == {d: r[1] for d, r in brute.without_shared_words(short).items() if r[1]}
+    if room == 3:
+        monkeypatch.setattr(repeats, "REMEMBERED", 100_000)
+        assert in_one_process(short, repeats.Grain(length=100, k=30, of_words=False), sd._sorted_buckets(100))[1] <= sent
+
+
+def test_texts_that_share_an_id_are_judged_by_themselves(spark):
+    """What one of them repeats is not taken from the other."""
+    a, b, c = (passage(70 + i, 60) for i in range(3))
+    rows = [(1, a), (5, a), (5, b), (5, c), (5, c), (9, b + " " + c)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    size = {t: len(t.encode()) for t in (a, b, c)}
+    gone = Counter((r.doc_id, r.n_bytes, r.n_removed) for r in suffix_dedup(frame).collect())
+    both = size[b] + size[c] + 1
+    assert gone == Counter({(1, size[a], 0): 1, (5, size[a], size[a]): 1, (5, size[b], 0): 1, (5, size[c], 0): 2, (9, both, both - 1): 1})
+    gone = Counter((r.doc_id, r.kept) for r in graph_dedup(frame).collect())
+    assert gone == Counter({(1, a): 1, (5, ""): 1, (5, b): 1, (5, c): 2, (9, ""): 1})
+
+
 @pytest.mark.parametrize("a", range(31))
 def test_the_cover_reaches_any_two_positions(a):
     for b in range(31):
@@ -175,11 +227,11 @@ def test_large_anchors_are_sorted_in_slices(monkeypatch):
     contents = [text[i : i + 170] for i in (0, 0, 5, 40, 5)]
     table = pa.table(
         {
-            "anchor": pa.array([1] * 5), "doc_id": pa.array([9, 3, 4, 5, 4]), "start": pa.array([0, 7, 0, 0, 500]),
+            "anchor": pa.array([1] * 5), "doc_id": pa.array([9, 3, 4, 5, 4]), "doc_key": pa.array([0] * 5), "start": pa.array([0, 7, 0, 0, 500]),
             "windows": pa.array([71] * 5, pa.int32()), "lead": pa.array([70, 70, 65, 30, 65], pa.int32()), "content": pa.array(contents, pa.binary()),
         }
     )
-    spans = lambda: sorted(tuple(r.values()) for b in sd._bucket(table, 100) for r in b.to_pylist())
+    spans = lambda: sorted(tuple(r.values()) for b in sd._bucket(table, 100) for r in b.drop_columns("doc_key").to_pylist())
     whole = spans()
     monkeypatch.setattr(sd, "BUCKET_WINDOWS", 20)
 
@@ -215,19 +267,11 @@ def test_dedup_of_odd_rows(operator, odd_rows, nothing):
     assert operator(nothing).count() == 0
 
 
-def test_tasks_that_forget_lose_nothing(docs, texts, monkeypatch):
-    grain = repeats.Grain(length=13, k=5, of_words=True)
-    plain = docs.filter("text is not null").select("doc_id", "text")
-    monkeypatch.setattr(repeats, "REMEMBERED", 3)
-    sent = repeats.repeated_segments(plain, grain)
-    assert sent.filter("content is not null").count() > 0
-
-
 def test_blocks_hold_whole_anchors():
     import pyarrow as pa
 
     anchors = np.repeat(np.arange(40), np.arange(40) % 7 + 1)
-    rows = [pa.RecordBatch.from_arrays([pa.array(anchors[i : i + 9]), *[pa.array(anchors[i : i + 9])] * 2, pa.array(np.full(len(anchors[i : i + 9]), 3, np.int32))], list("abcd")) for i in range(0, len(anchors), 9)]
+    rows = [pa.RecordBatch.from_arrays([pa.array(anchors[i : i + 9]), *[pa.array(anchors[i : i + 9])] * 3, pa.array(np.full(len(anchors[i : i + 9]), 3, np.int32))], list("abcde")) for i in range(0, len(anchors), 9)]
     blocks = [t.column(0).to_pylist() for t in repeats.blocks(iter(rows), 20)]
     assert [x for b in blocks for x in b] == anchors.tolist()
     assert all(not set(a) & set(b) for i, a in enumerate(blocks) for b in blocks[i + 1 :])

@@ -95,7 +95,7 @@ def test_whole_tables_give_the_rows_of_brute_force(spark, sf):
 
 def test_all_operators_are_registered():
     names = entry.queries()
-    assert all(any(q.startswith(f"op{n}_") for q in names) for n in range(1, 11)) and "pipeline" in names
+    assert all(any(q.startswith(f"op{n}_") for q in names) for n in range(1, 14)) and "pipeline" in names
     assert corpus_pipeline.ORACLE_SQL is None
 
 

@@ -29,9 +29,25 @@ FILTER_PART_BITS = 1 << 18
 # Distinct segments that a task remembers in order to send each only once.
 REMEMBERED = 100_000
 
-SEGMENT = "anchor long, doc_id long, start long, windows int, lead int, content binary, from_doc long, from_start long"
+# A text is known by its document and by a hash of its own: rows may share an id.
+SEGMENT = (
+    "anchor long, doc_id long, doc_key long, start long, windows int, lead int, content binary, from_doc long, from_key long, from_start long"
+)
 _NAMES = [part.split()[0] for part in SEGMENT.split(", ")]
-_TYPES = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.int64(), pa.int64()]
+_TYPES = [*[pa.int64()] * 4, pa.int32(), pa.int32(), pa.binary(), *[pa.int64()] * 3]
+
+
+def keyed(docs: DataFrame) -> DataFrame:
+    """(doc_id, text, doc_key) of every row."""
+    text = F.col("text").cast("string")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("doc_key"))
+
+
+def spans_of(texts: DataFrame, spans: DataFrame) -> DataFrame:
+    """(doc_id, text, spans): each text with what was found in it, NULL if nothing."""
+    own = ["doc_id", "doc_key"]
+    found = spans.groupBy(*own).agg(F.collect_list(F.struct("begin", "stop")).alias("spans"))
+    return texts.join(found.hint("shuffle_hash"), own, "left").select("doc_id", "text", "spans")
 
 
 @dataclass(frozen=True)
@@ -113,17 +129,18 @@ def _sent(grain: Grain, held):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = held.value
         mask = _U(len(bits) * 8 - 1)
-        # content → the least place of it seen in this task: (doc, [starts]); the rest is known to repeat it.
+        # content → [id, places (key, start) in that id, ...]: the least id seen in this
+        # task, and for bytes its least place; the rest is known to repeat it.
         seen: dict[bytes, list] = {}
         rows: list[tuple] = []
 
-        def told(doc, start, windows, source):
+        def told(doc, place, windows, source):
             # No content: a finding. Dealt by document, as its anchor may be hot.
-            rows.append((doc, doc, start, windows, 0, None, source[0], source[1][0]))
+            rows.append((doc, doc, *place, windows, 0, None, source[0], *min(source[1])))
 
         def flush():
-            for content, (doc, starts, anchor, windows, lead) in seen.items():
-                rows.extend((anchor, doc, start, windows, lead, content, None, None) for start in starts)
+            for content, (doc, places, anchor, windows, lead) in seen.items():
+                rows.extend((anchor, doc, *place, windows, lead, content, None, None, None) for place in places)
             seen.clear()
 
         def ready():
@@ -133,7 +150,7 @@ def _sent(grain: Grain, held):
             return batch
 
         for batch in batches:
-            ids = batch.column(0).to_pylist()
+            ids, keys = batch.column(0).to_pylist(), batch.column(2).to_pylist()
             for low, _, data, offsets in arrays.slices(batch.column(1)):
                 hashes, first, starts, stops = grain.grams(data, offsets)
                 begin, end, anchor = grain.segments(hashes, first)
@@ -148,20 +165,20 @@ def _sent(grain: Grain, held):
                 for doc, start, windows, lead, h, a, b in zip(
                     owner.tolist(), (begin - first[owner]).tolist(), (end - begin).tolist(), (anchor - begin).tolist(), named.tolist(), left.tolist(), right.tolist()
                 ):
-                    doc = ids[low + doc]
+                    doc, place = ids[low + doc], (keys[low + doc], start)
                     content = raw[a:b]
                     if grain.of_words:
                         content = b" ".join(content.split())
                     known = seen.get(content)
                     if known is None:
-                        seen[content] = [doc, [start], h, windows, lead]
+                        seen[content] = [doc, [place], h, windows, lead]
                     elif grain.of_words and doc == known[0]:
-                        if start not in known[1]:
-                            known[1].append(start)
-                    elif (doc, start) > (known[0], known[1][0]):
-                        told(doc, start, windows, known)
-                    elif (doc, start) < (known[0], known[1][0]):
-                        old, known[0], known[1] = (known[0], known[1]), doc, [start]
+                        if place not in known[1]:
+                            known[1].append(place)
+                    elif (doc, place) > (known[0], known[1][0]):
+                        told(doc, place, windows, known)
+                    elif (doc, place) < (known[0], known[1][0]):
+                        old, known[0], known[1] = (known[0], known[1]), doc, [place]
                         for at in old[1]:
                             told(old[0], at, windows, known)
                 if len(seen) > REMEMBERED:
@@ -178,7 +195,7 @@ def _sent(grain: Grain, held):
 def repeated_segments(texts: DataFrame, grain: Grain) -> DataFrame:
     """Segments of repeated anchors, at the bucket of their anchor, sorted by it.
 
-    ``texts`` is (doc_id long, text string) without NULL ids. A task sends equal
+    ``texts`` is (doc_id, text, doc_key) without NULL ids. A task sends equal
     segments once, with their least place; the other places come as findings:
     rows without content that name the place they repeat.
     """
@@ -195,14 +212,14 @@ def blocks(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[pa.Table]:
             continue
         anchor = batch.column(0).to_numpy()
         if pending and pending[-1].column(0)[-1].as_py() != anchor[0]:
-            total = sum(int(np.sum(b.column(3).to_numpy())) for b in pending)
+            total = sum(int(np.sum(b.column(4).to_numpy())) for b in pending)
             if total >= limit:
                 yield pa.Table.from_batches(pending)
                 pending = []
         edge = np.flatnonzero(anchor[1:] != anchor[:-1]) + 1
-        running = np.cumsum(batch.column(3).to_numpy().astype(np.int64))
+        running = np.cumsum(batch.column(4).to_numpy().astype(np.int64))
         at = 0
-        held = sum(int(np.sum(b.column(3).to_numpy())) for b in pending)
+        held = sum(int(np.sum(b.column(4).to_numpy())) for b in pending)
         while True:
             spent = running[at - 1] if at else 0
             later = edge[(edge > at) & (running[edge - 1] - spent + held >= limit)]

@@ -8,10 +8,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame
 
 from tripfare.llm import arrays
-from tripfare.llm.repeats import Grain, blocks, repeated_segments
+from tripfare.llm.repeats import Grain, blocks, keyed, repeated_segments, spans_of
 
 _U = np.uint64
 
@@ -95,11 +95,11 @@ def equal_windows(data: np.ndarray, ends: np.ndarray, at: np.ndarray, length: in
 
 def _bucket(table: pa.Table, length: int) -> Iterator[pa.RecordBatch]:
     """Windows of a bucket that also start earlier, as runs of bytes."""
-    doc, start, windows, lead = (table.column(i).to_numpy() for i in (1, 2, 3, 4))
-    content = pa.concat_arrays(table.column(5).chunks)
+    doc, key, start, windows, lead = (table.column(i).to_numpy() for i in (1, 2, 3, 4, 5))
+    content = pa.concat_arrays(table.column(6).chunks)
     data, offsets = arrays.flat(content)
     ends = np.repeat(offsets[1:], np.diff(offsets))
-    by_doc = np.unique(doc, return_inverse=True)[1].astype(np.int64)
+    by_doc = _ranked([doc, key])
     # Equal windows stand equally far before their anchor. A bucket too large for
     # one sort is sorted in slices of that distance.
     share = max(1, int(windows.sum()) // (4 * BUCKET_WINDOWS))
@@ -121,8 +121,13 @@ def _bucket(table: pa.Table, length: int) -> Iterator[pa.RecordBatch]:
         cut = np.flatnonzero((owner[again][1:] != owner[again][:-1]) | (inner[again][1:] != inner[again][:-1] + 1)) + 1
         head, last = again[np.r_[0, cut]], again[np.r_[cut - 1, len(again) - 1]]
         yield pa.RecordBatch.from_arrays(
-            [pa.array(doc[owner[head]]), pa.array(start[owner[head]] + inner[head]), pa.array(start[owner[last]] + inner[last] + length)],
-            ["doc_id", "begin", "stop"],
+            [
+                pa.array(doc[owner[head]]),
+                pa.array(key[owner[head]]),
+                pa.array(start[owner[head]] + inner[head]),
+                pa.array(start[owner[last]] + inner[last] + length),
+            ],
+            ["doc_id", "doc_key", "begin", "stop"],
         )
 
 
@@ -130,8 +135,8 @@ def _sorted_buckets(length: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def contents():
             for batch in batches:
-                findings.append(batch.filter(pc.is_null(batch.column(5))))
-                yield batch.filter(pc.is_valid(batch.column(5)))
+                findings.append(batch.filter(pc.is_null(batch.column(6))))
+                yield batch.filter(pc.is_valid(batch.column(6)))
 
         findings: list[pa.RecordBatch] = []
         for table in blocks(contents(), BUCKET_WINDOWS):
@@ -142,20 +147,18 @@ def _sorted_buckets(length: int):
             yield told(findings.pop())
 
     def told(batch: pa.RecordBatch) -> pa.RecordBatch:
-        start, windows = batch.column(2).to_numpy(), batch.column(3).to_numpy()
-        return pa.RecordBatch.from_arrays(
-            [batch.column(1), pa.array(start), pa.array(start + windows - 1 + length)], ["doc_id", "begin", "stop"]
-        )
+        start, windows = batch.column(3).to_numpy(), batch.column(4).to_numpy()
+        columns = [batch.column(1), batch.column(2), pa.array(start), pa.array(start + windows - 1 + length)]
+        return pa.RecordBatch.from_arrays(columns, ["doc_id", "doc_key", "begin", "stop"])
 
     return run
 
 
 def repeated_spans(docs: DataFrame, length: int = 100) -> DataFrame:
-    """(doc_id, begin, stop): bytes of windows that also start earlier; spans may overlap."""
+    """(doc_id, doc_key, begin, stop): bytes of windows that also start earlier; spans may overlap."""
     grain = Grain(length=length, k=ANCHOR_BYTES, of_words=False)
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    segments = repeated_segments(texts.filter("doc_id is not null and text is not null"), grain)
-    return segments.mapInArrow(_sorted_buckets(length), "doc_id long, begin long, stop long")
+    segments = repeated_segments(keyed(docs).filter("doc_id is not null and text is not null"), grain)
+    return segments.mapInArrow(_sorted_buckets(length), "doc_id long, doc_key long, begin long, stop long")
 
 
 def merged(begin: np.ndarray, stop: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -203,12 +206,11 @@ def suffix_dedup(docs: DataFrame, length: int = 100) -> DataFrame:
     Buckets of suffixes are dealt by the anchor of their window and sorted one
     at a time (``equal_windows``), so a task holds one bucket and no more. The
     first windows of all equal strings stay, the others are removed, judged on
-    the input. NULL is an empty text. Rows that share an id are one document. A
-    row without id is neither judged nor judges others. Other columns are
-    ignored; an empty table gives no rows.
+    the input. NULL is an empty text. Rows that repeat both id and text are one
+    document; texts that share an id come in the order of their hashes, each
+    judged by itself. A row without id is neither judged nor judges others.
+    Other columns are ignored; an empty table gives no rows.
     """
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    spans = repeated_spans(docs, length).groupBy("doc_id").agg(F.collect_list(F.struct("begin", "stop")).alias("spans"))
-    joined = texts.join(spans.hint("shuffle_hash"), "doc_id", "left")
+    joined = spans_of(keyed(docs), repeated_spans(docs, length))
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary"
     return joined.mapInArrow(_cut, schema)
