@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+# Sums of whole millionths do not depend on the order of addition.
+FARE_SUM = "sum(round_even(fare_amount * 1000000, 0)::BIGINT)::DOUBLE"
+FARE_MEAN = f"{FARE_SUM} / (count(*) * 1e6)"
+
 ORDER_TRIPS = """
 order_trips AS (
   SELECT l_orderkey, l_linenumber,
@@ -132,9 +136,9 @@ monthly AS (
   FROM order_accepted GROUP BY ALL
 )"""
 
-DROPOFFS = """
+DROPOFFS = f"""
 dropoffs AS (
-  SELECT "DOLocationID", count(*) AS trip_count, avg(fare_amount) AS mean_fare
+  SELECT "DOLocationID", count(*) AS trip_count, {FARE_MEAN} AS mean_fare
   FROM order_accepted WHERE "DOLocationID" BETWEEN 1 AND 24
   GROUP BY ALL HAVING count(*) >= 5 ORDER BY mean_fare DESC, "DOLocationID" LIMIT 5
 )"""
@@ -142,9 +146,9 @@ dropoffs AS (
 HOURLY = """
 hourly AS (SELECT pickup_hour, count(*) AS trip_count FROM event_accepted GROUP BY ALL)"""
 
-BANDS = """
+BANDS = f"""
 bands AS (
-  SELECT distance_band, count(*) AS trip_count, avg(fare_amount) AS mean_fare, min(trip_distance) AS nearest
+  SELECT distance_band, count(*) AS trip_count, {FARE_MEAN} AS mean_fare, min(trip_distance) AS nearest
   FROM event_accepted GROUP BY ALL
 )"""
 
@@ -200,16 +204,16 @@ ORACLE = {
     "monthly_trips": _with(ORDER_TRIPS, MONTHLY) + " SELECT month, trip_count FROM monthly ORDER BY month",
     "hourly_trips": _with(EVENT_TRIPS, HOURLY) + " SELECT pickup_hour, trip_count FROM hourly ORDER BY pickup_hour",
     "fare_by_distance": _with(EVENT_TRIPS, BANDS) + """
-        SELECT distance_band, trip_count, round(mean_fare, 4) AS mean_fare FROM bands ORDER BY nearest""",
+        SELECT distance_band, trip_count, mean_fare FROM bands ORDER BY nearest""",
     "highest_fare_dropoffs": _with(ORDER_TRIPS, DROPOFFS) + """
-        SELECT "DOLocationID", trip_count, round(mean_fare, 4) AS mean_fare FROM dropoffs""",
-    "shared_scan_reports": _with(EVENT_TRIPS, HOURLY, BANDS) + """
+        SELECT "DOLocationID", trip_count, mean_fare FROM dropoffs""",
+    "shared_scan_reports": _with(EVENT_TRIPS, HOURLY, BANDS) + f"""
         SELECT 'monthly_trips' AS report, strftime(pickup_datetime, '%Y-%m') AS item, count(*) AS trip_count, NULL::DOUBLE AS mean_fare
         FROM event_accepted GROUP BY ALL
         UNION ALL SELECT 'hourly_trips', pickup_hour::VARCHAR, trip_count, NULL FROM hourly
-        UNION ALL SELECT 'fare_by_distance', distance_band, trip_count, round(mean_fare, 4) FROM bands
-        UNION ALL SELECT 'highest_fare_dropoffs', zone::VARCHAR, trip_count, round(mean_fare, 4) FROM (
-            SELECT "DOLocationID" AS zone, count(*) AS trip_count, avg(fare_amount) AS mean_fare
+        UNION ALL SELECT 'fare_by_distance', distance_band, trip_count, mean_fare FROM bands
+        UNION ALL SELECT 'highest_fare_dropoffs', zone::VARCHAR, trip_count, mean_fare FROM (
+            SELECT "DOLocationID" AS zone, count(*) AS trip_count, {FARE_MEAN} AS mean_fare
             FROM event_accepted WHERE "DOLocationID" BETWEEN 1 AND 263
             GROUP BY ALL HAVING count(*) >= 5 ORDER BY mean_fare DESC, zone LIMIT 5)""",
     "formatted_timestamps": _with(EVENT_TRIPS) + """
@@ -232,12 +236,12 @@ ORACLE = {
     "busiest_hour": _with(EVENT_TRIPS, HOURLY) + """
         SELECT pickup_hour, trip_count FROM hourly ORDER BY trip_count DESC, pickup_hour LIMIT 1""",
     "band_extremes": _with(EVENT_TRIPS, BANDS) + """
-        SELECT a.distance_band AS nearest_band, round(a.mean_fare, 4) AS nearest_mean_fare,
-               b.distance_band AS farthest_band, round(b.mean_fare, 4) AS farthest_mean_fare
+        SELECT a.distance_band AS nearest_band, a.mean_fare AS nearest_mean_fare,
+               b.distance_band AS farthest_band, b.mean_fare AS farthest_mean_fare
         FROM bands a, bands b
         WHERE a.nearest = (SELECT min(nearest) FROM bands) AND b.nearest = (SELECT max(nearest) FROM bands)""",
     "top_destination": _with(ORDER_TRIPS, DROPOFFS) + """
-        SELECT "DOLocationID", trip_count, round(mean_fare, 4) AS mean_fare
+        SELECT "DOLocationID", trip_count, mean_fare
         FROM dropoffs ORDER BY dropoffs.mean_fare DESC, "DOLocationID" LIMIT 1""",
     "hash_sample": _with(ORDER_TRIPS) + """
         SELECT l_orderkey, l_linenumber, fare_amount FROM order_trips
@@ -332,9 +336,9 @@ ORACLE = {
         FROM order_accepted WHERE split = 'train'""",
     "study_quality": _with(EVENT_TRIPS) + """
         SELECT event_type AS fleet, quality_reason, count(*) AS trip_count FROM event_tagged GROUP BY ALL""",
-    "stored_trips": _with(ORDER_TRIPS) + """
+    "stored_trips": _with(ORDER_TRIPS) + f"""
         SELECT CASE WHEN l_linenumber % 2 = 0 THEN 'even' ELSE 'odd' END AS fleet, year(pickup_datetime)::INTEGER AS year,
-               count(*) AS trip_count, round(sum(fare_amount), 2) AS fares
+               count(*) AS trip_count, {FARE_SUM} / 1e6 AS fares
         FROM order_accepted GROUP BY ALL""",
     "quality_example_by_fleet": _with(ORDER_TRIPS) + """
         SELECT fleet, pickup_datetime, trip_distance, duration_minutes, fare_amount, quality_reason

@@ -11,6 +11,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tripfare.config import ROUTE, StudyConfig
+from tripfare.functions import money
 from tripfare.operators import analysis, evaluation, features, findings as found, history, modeling, quality, sampling
 from tripfare.operators.durable import durable, shared_folder
 from tripfare.operators.joins import lookup_join
@@ -137,15 +138,11 @@ def hourly_trips(spark, sf):
 
 
 def fare_by_distance(spark, sf):
-    return rounded(analysis.fare_by_distance(event_accepted(spark, sf)), "mean_fare")
-
-
-def _order_dropoffs(spark, sf):
-    return analysis.highest_fare_dropoffs(order_accepted(spark, sf), MINIMUM_TRIPS, adapters.ORDER_ZONES)
+    return analysis.fare_by_distance(event_accepted(spark, sf))
 
 
 def highest_fare_dropoffs(spark, sf):
-    return rounded(_order_dropoffs(spark, sf), "mean_fare")
+    return analysis.highest_fare_dropoffs(order_accepted(spark, sf), MINIMUM_TRIPS, adapters.ORDER_ZONES)
 
 
 def shared_scan_reports(spark, sf):
@@ -162,7 +159,7 @@ def shared_scan_reports(spark, sf):
             F.lit(name).alias("report"),
             F.col(key).cast("string").alias("item"),
             "trip_count",
-            (F.round("mean_fare", 4) if "mean_fare" in reports[name].columns else F.lit(None).cast("double")).alias("mean_fare"),
+            (F.col("mean_fare") if "mean_fare" in reports[name].columns else F.lit(None).cast("double")).alias("mean_fare"),
         )
         for name, key in keys.items()
     ]
@@ -190,11 +187,11 @@ def busiest_hour(spark, sf):
 
 
 def band_extremes(spark, sf):
-    return rounded(found.band_extremes(event_accepted(spark, sf)), "nearest_mean_fare", "farthest_mean_fare")
+    return found.band_extremes(event_accepted(spark, sf))
 
 
 def top_destination(spark, sf):
-    return rounded(found.top_destination(_order_dropoffs(spark, sf)), "mean_fare")
+    return found.top_destination(highest_fare_dropoffs(spark, sf))
 
 
 # ---- samples, splits, history --------------------------------------------
@@ -455,9 +452,10 @@ def study_quality(spark, sf):
 def stored_trips(spark, sf):
     """The stored layer, read back."""
     stored = _cleaned_orders(spark, sf)[0]
-    return stored.groupBy("fleet", F.year("pickup_datetime").alias("year")).agg(
-        F.count(F.lit(1)).alias("trip_count"), F.round(F.sum("fare_amount"), 2).alias("fares")
+    years = stored.groupBy("fleet", F.year("pickup_datetime").alias("year")).agg(
+        F.count(F.lit(1)).alias("trip_count"), *money.exact_sums(F.col("fare_amount"), "fare")
     )
+    return years.select("fleet", "year", "trip_count", money.total("fare").alias("fares"))
 
 
 def quality_example_by_fleet(spark, sf):

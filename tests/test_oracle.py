@@ -7,9 +7,10 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
-from checks.oracle import ORACLE
-from checks.queries import QUERIES
+from checks import oracle, queries, replays
 
+QUERIES = queries.QUERIES | replays.QUERIES
+ORACLE = oracle.ORACLE | replays.ORACLE
 SF = "/root/testdata/sf0.001"
 TYPES = {
     "bigint": "BIGINT",

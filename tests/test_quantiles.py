@@ -2,6 +2,7 @@
 
 import math
 
+import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
@@ -60,18 +61,50 @@ def test_one_group_with_a_third_of_many_copies(spark):
     assert sorted(map(tuple, got.select("k", "m").collect())) == sorted(map(tuple, exact.collect()))
 
 
-def test_a_large_group_in_a_narrow_range_is_cut_into_parts(spark):
-    frame = spark.range(40_000).select(F.lit(1).alias("k"), (1000 + F.col("id") / 1e6).alias("x"))
-    kept = {}
-    store = quantiles.durable
-    quantiles.durable = lambda f, label: kept.setdefault(label, store(f, label))
-    try:
-        assert grouped_medians(frame, ["k"], {"m": "x"}).first().m == 1000 + 19_999 / 1e6
-    finally:
-        quantiles.durable = store
+def stored(monkeypatch, frame):
+    """The median of x, and the tables stored on the way by label."""
+    kept, store = {}, quantiles.durable
+    monkeypatch.setattr(quantiles, "durable", lambda f, label: kept.setdefault(label, store(f, label)))
+    return grouped_medians(frame, ["k"], {"m": "x"}).first().m, kept
+
+
+def narrow(spark):
+    return spark.range(40_000).select(F.lit(1).alias("k"), (1000 + F.col("id") / 1e6).alias("x"))
+
+
+def test_only_values_inside_the_bracket_are_kept(spark):
+    frame = narrow(spark)
+    brackets = quantiles._bracketed(frame, ["k"], ["x"])
+    inside = quantiles._inside(frame, brackets, ["k"], ["x"]).collect()
+    assert 0 < sum(r.size for r in inside if r.value is not None) < 400
+    assert grouped_medians(frame, ["k"], {"m": "x"}).first().m == 1000 + 19_999 / 1e6
+
+
+def test_a_large_group_in_a_narrow_range_is_cut_into_parts(spark, monkeypatch):
+    """As where a bracket holds more values than a task may count through."""
+    monkeypatch.setattr(quantiles, "INSIDE_VALUES", 0)
+    found, kept = stored(monkeypatch, narrow(spark))
+    assert found == 1000 + 19_999 / 1e6
     assert kept["ordered-values"].count() == 40_000
 
 
+@pytest.mark.parametrize("bracket", [(0.1, 0.2), (0.7, 0.9)])
+def test_a_bracket_that_misses_is_found_out(spark, monkeypatch, bracket):
+    monkeypatch.setattr(quantiles, "BRACKET", bracket)
+    frame = narrow(spark).withColumn("k", F.when(F.col("x") < 1000.01, 1))
+    exact = {r.k: r.m for r in frame.groupBy("k").agg(F.expr("percentile_disc(0.5) WITHIN GROUP (ORDER BY x)").alias("m")).collect()}
+    assert {r.k: r.m for r in grouped_medians(frame, ["k"], {"m": "x"}).collect()} == exact
+    found, kept = stored(monkeypatch, narrow(spark))
+    assert found == 1000 + 19_999 / 1e6 and "ordered-values" in kept
+
+
+def test_many_groups_are_not_sent_to_all(spark, monkeypatch):
+    monkeypatch.setattr(quantiles, "fits_broadcast", lambda lookup: False)
+    frame = spark.range(3_000).select(F.when(F.col("id") % 7 > 0, F.col("id") % 50).alias("k"), (F.col("id") * 31 % 1009).cast("double").alias("x"))
+    exact = {r.k: r.m for r in frame.groupBy("k").agg(F.expr("percentile_disc(0.5) WITHIN GROUP (ORDER BY x)").alias("m")).collect()}
+    assert {r.k: r.m for r in grouped_medians(frame, ["k"], {"m": "x"}).collect()} == exact
+
+
 def test_groups_without_values_stay_whatever_their_size(spark):
     for rows in (10, 6_000):
         frame = spark.range(rows).select(F.lit(1).alias("k"), F.lit(None).cast("double").alias("x"))

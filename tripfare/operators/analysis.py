@@ -14,6 +14,7 @@ from typing import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from tripfare.config import StudyConfig
+from tripfare.functions import money
 from tripfare.functions.clock import month_label
 from tripfare.operators.durable import durable
 
@@ -21,13 +22,13 @@ _YEAR, _MONTH, _HOUR, _BAND, _ZONE = "pickup_year", "pickup_month", "pickup_hour
 
 
 def cells(trips: DataFrame, dims: Sequence[str], by: Sequence[str] = (), fares: bool = False) -> DataFrame:
-    """Trips per combination of ``dims``; ``fares`` adds fare sums and the shortest distance.
+    """Trips per combination of ``dims``; ``fares`` adds exact fare sums and the shortest distance.
 
     Combined before the shuffle; a busy cell costs one row per task.
     """
     if _YEAR in dims and _YEAR not in trips.columns:
         trips = trips.withColumn(_YEAR, F.year("pickup_datetime"))
-    sums = [F.sum("fare_amount").alias("fare_total"), F.min("trip_distance").alias("nearest")] if fares else []
+    sums = [*money.exact_sums(F.col("fare_amount"), "fare"), F.min("trip_distance").alias("nearest")] if fares else []
     return trips.groupBy(*by, *dims).agg(F.count(F.lit(1)).alias("trip_count"), *sums)
 
 
@@ -45,8 +46,8 @@ def _count() -> list:
     return [F.sum("trip_count").alias("trip_count")]
 
 
-def _count_and_mean() -> list:
-    return [*_count(), (F.sum("fare_total") / F.sum("trip_count")).alias("mean_fare")]
+def _count_and_fares() -> list:
+    return [*_count(), *money.summed("fare")]
 
 
 def monthly_from(counted: DataFrame, by: Sequence[str] = ()) -> DataFrame:
@@ -61,8 +62,9 @@ def hourly_from(counted: DataFrame, by: Sequence[str] = ()) -> DataFrame:
 
 def by_distance_from(counted: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Ordered by the shortest distance seen in each band."""
-    bands = counted.groupBy(*by, _BAND).agg(*_count_and_mean(), F.min("nearest").alias("nearest"))
-    return bands.orderBy(*by, "nearest").drop("nearest")
+    bands = counted.groupBy(*by, _BAND).agg(*_count_and_fares(), F.min("nearest").alias("nearest"))
+    mean = money.mean("fare", "trip_count").alias("mean_fare")
+    return bands.orderBy(*by, "nearest").select(*by, _BAND, "trip_count", mean)
 
 
 def dropoffs_from(
@@ -71,14 +73,18 @@ def dropoffs_from(
     mapped_zones: tuple[int, int] = StudyConfig.mapped_zones,
     top: int = 5,
 ) -> DataFrame:
-    """Destinations with the highest mean fare among those with enough trips."""
+    """Destinations with the highest mean fare among those with enough trips.
+
+    Ranked by the exact mean, so zones of equal mean are in order of their ids.
+    """
     return (
         counted.filter(F.col(_ZONE).between(*mapped_zones))
         .groupBy(_ZONE)
-        .agg(*_count_and_mean())
+        .agg(*_count_and_fares())
         .filter(F.col("trip_count") >= minimum)
-        .orderBy(F.desc("mean_fare"), _ZONE)
+        .orderBy(money.exact_mean("fare", "trip_count").desc(), _ZONE)
         .limit(top)
+        .select(_ZONE, "trip_count", money.mean("fare", "trip_count").alias("mean_fare"))
     )
 
 

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+from functools import reduce
 from typing import Mapping, Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from tripfare.config import ROUTE
+from tripfare.config import ROUTE, SPLITS
 from tripfare.functions.bands import fare_band
 from tripfare.functions.metrics import METRICS, absolute_error, metric_aggregates
 
@@ -59,8 +60,8 @@ def worst_residuals(predictions: DataFrame, rows: int = 20, tie_break: Sequence[
     )
 
 
-def compare_models(scored: Mapping[tuple[str, str], DataFrame], by: Sequence[str] = ()) -> DataFrame:
-    """One metric row per (case, model), scored together in one aggregation."""
+def candidate_predictions(scored: Mapping[tuple[str, str], DataFrame], by: Sequence[str] = ()) -> DataFrame:
+    """Fares and predictions of every (case, model), one under the other."""
     parts = [
         frame.select(
             *by,
@@ -72,11 +73,18 @@ def compare_models(scored: Mapping[tuple[str, str], DataFrame], by: Sequence[str
         )
         for position, ((case, model), frame) in enumerate(scored.items())
     ]
-    everything = parts[0]
-    for part in parts[1:]:
-        everything = everything.unionByName(part)
+    return reduce(DataFrame.unionByName, parts)
+
+
+def rank_predictions(predictions: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """One metric row per candidate, all scored in one aggregation."""
     keys = (*by, "position", "setting", "model")
-    return regression_metrics(everything, keys).select(*keys, "n", *METRICS)
+    return regression_metrics(predictions, keys).select(*keys, "n", *METRICS)
+
+
+def compare_models(scored: Mapping[tuple[str, str], DataFrame], by: Sequence[str] = ()) -> DataFrame:
+    """One metric row per (case, model), scored together in one aggregation."""
+    return rank_predictions(candidate_predictions(scored, by), by)
 
 
 def rmse_change(metrics: DataFrame, better: str, base: str, by: Sequence[str] = ()) -> DataFrame:
@@ -89,19 +97,23 @@ def rmse_change(metrics: DataFrame, better: str, base: str, by: Sequence[str] =
     )
 
 
-def run_summary(trips: DataFrame, sampled: DataFrame, fraction: float, by: Sequence[str]) -> DataFrame:
-    """Accepted rows and sampled rows per split. ``sampled`` carries ``split``.
+def summary_from(accepted: DataFrame, splits: DataFrame, fraction: Column, by: Sequence[str]) -> DataFrame:
+    """Accepted rows, sample fraction and sampled rows per split.
 
-    ``by`` names the fleet, a handful of values; both sides are counted first.
+    ``accepted`` has ``accepted_rows`` and ``splits`` has ``split`` and
+    ``trip_count``, both per group: a handful of rows.
     """
+    per_split = [F.coalesce(F.sum(F.when(F.col("split") == s, F.col("trip_count"))), F.lit(0)).alias(f"{s}_rows") for s in SPLITS]
+    counts = [F.coalesce(F.col(f"{s}_rows"), F.lit(0)).alias(f"{s}_rows") for s in SPLITS]
+    joined = accepted.join(splits.groupBy(*by).agg(*per_split), list(by), "left")
+    return joined.select(*by, "accepted_rows", fraction.alias("sample_fraction"), *counts)
+
+
+def run_summary(trips: DataFrame, sampled: DataFrame, fraction: float, by: Sequence[str]) -> DataFrame:
+    """``summary_from`` the trips themselves; ``sampled`` carries ``split``."""
     accepted = trips.groupBy(*by).agg(F.count(F.lit(1)).alias("accepted_rows"))
-    splits = sampled.groupBy(*by).agg(
-        *[F.count_if(F.col("split") == s).alias(f"{s}_rows") for s in ("train", "validation", "test")]
-    )
-    counts = [F.coalesce(F.col(f"{s}_rows"), F.lit(0)).alias(f"{s}_rows") for s in ("train", "validation", "test")]
-    return accepted.join(splits, list(by), "left").select(
-        *by, "accepted_rows", F.lit(float(fraction)).alias("sample_fraction"), *counts
-    )
+    splits = sampled.groupBy(*by, "split").agg(F.count(F.lit(1)).alias("trip_count"))
+    return summary_from(accepted, splits, F.lit(float(fraction)), by)
 
 
 def route_coverage(history: DataFrame, by: Sequence[str] = ()) -> DataFrame:

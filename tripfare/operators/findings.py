@@ -6,6 +6,8 @@ from typing import Mapping
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from tripfare.functions import money
+
 
 def yearly_trips(monthly: DataFrame) -> DataFrame:
     year = F.substring("month", 1, 4).alias("year")
@@ -51,16 +53,19 @@ def busiest_hour(hourly: DataFrame) -> DataFrame:
 
 def band_extremes(trips: DataFrame) -> DataFrame:
     """Nearest and farthest distance band with their mean fares, from trips or cells."""
-    if "fare_total" not in trips.columns:
+    if "fare_whole" not in trips.columns:
+        whole, rest = money.whole_and_rest(F.col("fare_amount"))
         trips = trips.select(
             "distance_band",
             F.lit(1).alias("trip_count"),
-            F.col("fare_amount").alias("fare_total"),
+            whole.alias("fare_whole"),
+            rest.alias("fare_rest"),
             F.col("trip_distance").alias("nearest"),
         )
     bands = trips.groupBy("distance_band").agg(
-        (F.sum("fare_total") / F.sum("trip_count")).alias("mean_fare"), F.min("nearest").alias("nearest")
+        F.sum("trip_count").alias("trip_count"), *money.summed("fare"), F.min("nearest").alias("nearest")
     )
+    bands = bands.withColumn("mean_fare", money.mean("fare", "trip_count"))
     return bands.agg(
         F.min_by("distance_band", "nearest").alias("nearest_band"),
         F.min_by("mean_fare", "nearest").alias("nearest_mean_fare"),

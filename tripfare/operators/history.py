@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tripfare.config import ROUTE
 from tripfare.operators.durable import durable
 from tripfare.operators.joins import BROADCAST_BYTES, lookup_join
-from tripfare.operators.quantiles import grouped_medians, medians_of, rolled_up, value_counts
+from tripfare.operators.quantiles import grouped_medians
 
 MEDIANS = {"historical_distance": "trip_distance", "historical_duration": "duration_minutes"}
 
@@ -49,13 +49,13 @@ def fallback_medians(training: DataFrame) -> DataFrame:
 
 
 def fit_history(training: DataFrame, keys: Sequence[str] = ROUTE) -> RouteHistory:
-    """Fit on training trips only: both medians from one pass of counts.
+    """Fit on training trips only.
 
     The lookup is stored, so its size is known from here on.
     """
-    counts = value_counts(training, keys, MEDIANS)
-    lookup = durable(medians_of(counts, keys, list(MEDIANS)), "routes")
-    overall = medians_of(rolled_up(counts), (), list(MEDIANS)).first()
+    values = durable(training.select(*keys, *MEDIANS.values()), "training-values")
+    lookup = durable(grouped_medians(values, keys, MEDIANS), "routes")
+    overall = grouped_medians(values, (), MEDIANS).first()
     fallback = overall.asDict() if overall else dict.fromkeys(MEDIANS)
     return RouteHistory(lookup, lookup.count(), fallback, tuple(keys))
 

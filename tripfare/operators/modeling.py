@@ -13,7 +13,8 @@ from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRe
 from pyspark.sql import DataFrame, functions as F
 
 from tripfare.config import ROUTE
-from tripfare.operators.evaluation import compare_models
+from tripfare.operators.evaluation import candidate_predictions, rank_predictions
+from tripfare.sources.sinks import store
 
 LABEL = "fare_amount"
 
@@ -71,12 +72,18 @@ class FittedSetting:
 
 
 def fit_settings(
-    training: DataFrame, validation: DataFrame, settings: Sequence[str] = tuple(SETTINGS), seed: int = 42
+    training: DataFrame,
+    validation: DataFrame,
+    settings: Sequence[str] = tuple(SETTINGS),
+    seed: int = 42,
+    scored_path: str | None = None,
 ) -> dict[str, FittedSetting]:
     """Fit every candidate under every setting on training trips; select on validation trips.
 
     Models are not refitted on validation rows. The fits are independent, so
-    they are submitted together, and all candidates are scored in one aggregation.
+    they are submitted together, and all candidates are scored in one
+    aggregation. With ``scored_path`` it reads their predictions from a table
+    stored there, which the ranking can be recomputed from.
     """
     spark = training.sparkSession
     prepared = {setting: preprocessing(setting).fit(training) for setting in settings}
@@ -97,7 +104,8 @@ def fit_settings(
         with ThreadPoolExecutor(len(jobs)) as pool:
             fitted = list(pool.map(inheritable_thread_target(spark)(fit), jobs))
         models = {(setting, name): model for (setting, name, _), model in zip(jobs, fitted)}
-        scores = compare_models({case: model.transform(vectors[case[0]][1]) for case, model in models.items()})
+        predictions = candidate_predictions({case: model.transform(vectors[case[0]][1]) for case, model in models.items()})
+        scores = rank_predictions(store(predictions, scored_path) if scored_path else predictions)
         # One row per candidate; kept as values so the vectors can be released.
         ranking = spark.createDataFrame(scores.collect(), scores.schema)
     finally:

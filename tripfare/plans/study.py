@@ -7,7 +7,7 @@ from typing import Mapping, Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-from tripfare.config import SPLITS, StudyConfig
+from tripfare.config import StudyConfig
 from tripfare.functions.rules import ACCEPTED
 from tripfare.operators import analysis, evaluation, features, findings, history, modeling, quality, sampling
 from tripfare.operators.durable import durable
@@ -35,7 +35,7 @@ def model_study(trips: DataFrame, output: str, config: StudyConfig, fraction: fl
     """Sample one fleet, learn route history, select and test a model per setting."""
     spark = trips.sparkSession
     # Stored once: the same rows serve every split, fit and score.
-    pool = durable(sampling.bernoulli_sample(trips, fraction, config.seed), "sample")
+    pool = sinks.store(sampling.bernoulli_sample(trips, fraction, config.seed), f"{output}/sample")
     counts = features.split_counts(pool, config.calendar)
     rows = features.require_split_rows(counts, config.minimum_split_rows)
 
@@ -48,7 +48,8 @@ def model_study(trips: DataFrame, output: str, config: StudyConfig, fraction: fl
     mean = evaluation.training_mean(splits["train"])
     scored = {(BASELINE, "TrainingMean"): evaluation.with_constant(known["test"], mean)}
     rankings, results = [], {}
-    for setting, fitted in modeling.fit_settings(known["train"], known["validation"], seed=config.seed).items():
+    fits = modeling.fit_settings(known["train"], known["validation"], seed=config.seed, scored_path=f"{output}/validation_predictions")
+    for setting, fitted in fits.items():
         rankings.append(fitted.ranking)
         predictions = durable(fitted.predict(known["test"]).drop("features"), f"predictions-{setting}")
         scored[(setting, fitted.selected)] = predictions
@@ -82,10 +83,7 @@ def fleet_summary(counts: DataFrame, splits: DataFrame, fractions: Mapping[str,
     """Accepted rows, sample fraction and sampled rows per split of each fleet."""
     accepted = counts.filter(F.col("quality_reason") == ACCEPTED).select("fleet", F.col("trip_count").alias("accepted_rows"))
     fraction = F.coalesce(*[F.when(F.col("fleet") == f, F.lit(float(v))) for f, v in fractions.items()])
-    sampled = splits.groupBy("fleet").agg(
-        *[F.sum(F.when(F.col("split") == s, F.col("trip_count"))).alias(f"{s}_rows") for s in SPLITS]
-    )
-    return accepted.withColumn("sample_fraction", fraction).join(sampled, "fleet")
+    return evaluation.summary_from(accepted, splits, fraction, ["fleet"])
 
 
 def run_study(

@@ -3,9 +3,6 @@
 from __future__ import annotations
 
 import datetime as dt
-from functools import reduce
-from operator import and_
-
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from tripfare.config import Calendar, Limits
@@ -97,34 +94,34 @@ def event_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# Events without time belong to no hour; they are dealt into so many groups.
+UNTIMED_GROUPS = 1024
+
+
 def with_next(events: DataFrame) -> DataFrame:
     """``next_ts``: the time of the user's next event, by time and id.
 
-    The next event is looked up inside (user, second); the last event of a
-    second looks at the first one of the user's next busy second in that hour,
-    and the last second of an hour at the next busy hour. So neither a busy user
-    nor a busy hour of one is a single task. Events without time have no next
-    and are none; those without user are taken as one user's.
+    The next event is looked up inside (user, hour); the last event of an hour
+    looks at the first one of the user's next busy hour. So a busy user is not a
+    single task, and the events are dealt once: the windows and the join share
+    their keys. Events without time have no next and are none; those without
+    user are taken as one user's.
     """
-    second = F.date_trunc("second", "ts").cast("timestamp_ntz")
     hour = F.date_trunc("hour", "ts").cast("timestamp_ntz")
-    timed = events.withColumns({"second": second, "hour": hour})
-    seconds = timed.filter("ts is not null").groupBy("user_id", "hour", "second").agg(F.min("ts").alias("first_ts"))
-    hours = seconds.groupBy("user_id", "hour").agg(F.min("first_ts").alias("first_ts"))
-    in_second = Window.partitionBy("user_id", "second").orderBy("ts", "event_id")
-    in_hour = Window.partitionBy("user_id", "hour").orderBy("second")
-    in_life = Window.partitionBy("user_id").orderBy("hour")
-    later_hour = hours.select("user_id", "hour", F.lead("first_ts").over(in_life).alias("hour_ts"))
-    later_second = seconds.select("user_id", "hour", "second", F.lead("first_ts").over(in_hour).alias("second_ts"))
-    later = _match(later_second, later_hour, ["user_id", "hour"]).select(
-        "user_id", "second", F.coalesce("second_ts", "hour_ts").alias("later_ts")
+    spread = F.when(F.col("ts").isNull(), F.pmod(F.xxhash64("event_id"), F.lit(UNTIMED_GROUPS))).otherwise(0)
+    # Keys without NULLs, so that equal ones meet in a plain join.
+    keyed = events.withColumns(
+        {
+            "no_user": F.col("user_id").isNull(),
+            "user": F.coalesce("user_id", F.lit(0)),
+            "hour": F.coalesce(hour, F.lit("1970-01-01").cast("timestamp_ntz")),
+            "spread": spread,
+        }
     )
-    followed = _match(timed.withColumn("in_second", F.lead("ts").over(in_second)), later, ["user_id", "second"])
-    return followed.withColumn("next_ts", F.when(F.col("ts").isNotNull(), F.coalesce("in_second", "later_ts")))
-
-
-def _match(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
-    """Left join on keys that may be NULL."""
-    renamed = right.withColumnsRenamed({k: f"right_{k}" for k in keys})
-    same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"right_{k}")) for k in keys])
-    return left.join(renamed, same, "left").drop(*[f"right_{k}" for k in keys])
+    keys = ["no_user", "user", "hour", "spread"]
+    hours = keyed.filter("ts is not null").groupBy(*keys).agg(F.min("ts").alias("first_ts"))
+    in_life = Window.partitionBy("no_user", "user").orderBy("hour")
+    later = hours.select(*keys, F.lead("first_ts").over(in_life).alias("later_ts"))
+    in_hour = Window.partitionBy(*keys).orderBy("ts", "event_id")
+    followed = keyed.withColumn("in_hour", F.lead("ts").over(in_hour)).join(later, keys, "left")
+    return followed.withColumn("next_ts", F.when(F.col("ts").isNotNull(), F.coalesce("in_hour", "later_ts")))

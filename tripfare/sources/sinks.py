@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from tripfare.functions.clock import readable
 
+
 def write_trips(trips: DataFrame, path: str) -> DataFrame:
     """Store trips by fleet (when present) and pickup year, and read them back.
 
@@ -21,6 +22,12 @@ def write_trips(trips: DataFrame, path: str) -> DataFrame:
     return trips.sparkSession.read.schema(laid_out.schema).parquet(path)
 
 
+def store(rows: DataFrame, path: str) -> DataFrame:
+    """Write rows as they are to a place of their own, and read them back from there."""
+    rows.write.mode("overwrite").parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+
+
 def formatted(table: DataFrame) -> DataFrame:
     """Timestamps of either kind as ``yyyy-MM-dd HH:mm:ss`` text."""
     kinds = (T.TimestampType, T.TimestampNTZType)
