@@ -2,6 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import rows
+from tripfare.functions import money
 from tripfare.operators import analysis, features, findings, quality
 from tripfare.sources import adapters
 
@@ -44,6 +45,36 @@ def test_destinations_filter_zones_and_small_counts(spark):
     assert "TakeOrderedAndProject" in top._jdf.queryExecution().executedPlan().toString()
 
 
+@pytest.mark.parametrize("parts", [1, 3, 20])
+def test_equal_means_rank_by_zone_however_rows_are_laid_out(spark, parts):
+    """0.1 + 0.2 + 0.3 in any order: as doubles their sums differ, and so would the ranks."""
+    fares = [0.1, 0.2, 0.3, 0.7, 1.1, 533.97, 1e9 + 0.01]
+    data = [(zone, fare) for zone in (9, 4, 7) for fare in (fares if zone % 2 else fares[::-1])]
+    trips = spark.createDataFrame(data, "DOLocationID int, fare_amount double").withColumn("trip_distance", F.lit(1.0)).repartition(parts)
+    top = analysis.highest_fare_dropoffs(trips, minimum=7, top=2).collect()
+    assert [r.DOLocationID for r in top] == [4, 7] and len({r.mean_fare for r in top}) == 1
+
+
+def test_reports_are_equal_bit_for_bit(spark, trips):
+    seen = set()
+    for parts in (1, 2, 20):
+        for name, report in analysis.analyses(trips.repartition(parts), minimum=2).items():
+            seen.add((name, tuple(map(tuple, report.collect()))))
+        seen.add(("extremes", tuple(findings.band_extremes(trips.repartition(parts)).first())))
+    assert len(seen) == 5
+
+
+def test_sums_of_money_are_exact(spark):
+    data = [(1, 0.07), (1, -0.15), (1, 9_007_199.740991), (2, None), (3, 1e12), (3, 1e12), (3, 0.000001)]
+    sums = spark.createDataFrame(data, "k int, x double").groupBy("k").agg(*money.exact_sums(F.col("x"), "x"), F.count("x").alias("n"))
+    found = {r.k: (r.whole, r.rest, r.total, r.exact) for r in sums.select("k", F.col("x_whole").alias("whole"), F.col("x_rest").alias("rest"), money.total("x").alias("total"), (money.exact_mean("x", "n") * 3).alias("exact")).filter("k <> 2").collect()}
+    assert found[1][0] * 10**6 + found[1][1] == 9_007_199_740_991 - 80_000
+    assert found[3][0] * 10**6 + found[3][1] == 2 * 10**18 + 1
+    assert sums.filter("k = 2").first().x_whole is None
+    with pytest.raises(Exception):
+        spark.createDataFrame([(1, float("nan"))], "k int, x double").agg(*money.exact_sums(F.col("x"), "x")).collect()
+
+
 def test_views_do_not_collide(trips):
     assert analysis.register_trips(trips) != analysis.register_trips(trips)
     assert analysis.register_trips(trips, "chosen") == "chosen"

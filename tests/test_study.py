@@ -1,5 +1,6 @@
 """Models and the whole study on the small event table."""
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
@@ -71,6 +72,39 @@ def test_selection_and_comparison(study):
         assert len({r.n for r in compared.values()}) == 1
 
 
+def test_numbers_follow_from_the_stored_files(study):
+    """The drawn sample serves every split, and its predictions every ranking: SQL over the files repeats them."""
+    folder, tables = study
+    for fleet in ("yellow", "green"):
+        connection = duckdb.connect()
+        models = f"{folder}/{fleet}/models"
+        for name in ("sample", "validation_predictions", "pre_trip/predictions", "post_trip/predictions"):
+            connection.execute(f"""CREATE VIEW "{name}" AS SELECT * FROM '{models}/{name}/*.parquet'""")
+        connection.execute("""CREATE VIEW drawn AS SELECT *, CASE WHEN pickup_datetime < DATE '2024-01-15' THEN 'train'
+                              WHEN pickup_datetime < DATE '2024-01-22' THEN 'validation' ELSE 'test' END AS split FROM sample""")
+        mine = {n: [tuple(r) for r in tables[f"{fleet}/{n}"].collect()] for n in ("split_counts", "fallback", "route_coverage", "regime_counts")}
+        sql = lambda query: connection.sql(query).fetchall()
+        assert sorted(sql("SELECT split, count(*) FROM drawn GROUP BY split")) == sorted(mine["split_counts"])
+        assert sql("SELECT quantile_disc(trip_distance, 0.5), quantile_disc(duration_minutes, 0.5) FROM drawn WHERE split = 'train'") == mine["fallback"]
+        assert sorted(sql("SELECT new_fare_regime, count(*) FROM drawn WHERE split = 'train' GROUP BY ALL")) == sorted(mine["regime_counts"])
+        unseen = """SELECT count(*) FROM drawn t WHERE split = 'test' AND NOT EXISTS (SELECT 1 FROM drawn s WHERE s.split = 'train'
+                    AND s."PULocationID" = t."PULocationID" AND s."DOLocationID" = t."DOLocationID")"""
+        assert sql(unseen)[0][0] == mine["route_coverage"][0][0]
+
+        metrics = """count(*), avg(abs(prediction - fare_amount)), sqrt(avg((prediction - fare_amount) ** 2)),
+                     1 - avg((prediction - fare_amount) ** 2) / var_pop(fare_amount)"""
+        ranked = {(m, s): n for m, s, *n in sql(f"SELECT model, setting, {metrics} FROM validation_predictions GROUP BY model, setting")}
+        ranking = tables[f"{fleet}/validation_ranking"].collect()
+        assert {(r.model, r.setting): [r.n, r.mae, r.rmse, r.r2] for r in ranking} == {k: pytest.approx(v, rel=1e-9, abs=1e-12) for k, v in ranked.items()}
+        compared = {r.setting: r for r in tables[f"{fleet}/model_comparison"].collect()}
+        for setting in ("pre_trip", "post_trip"):
+            least = min((r for r in ranking if r.setting == setting), key=lambda r: (ranked[r.model, setting][2], r.position))
+            row = compared[setting]
+            assert row.model == least.model
+            assert sql(f"""SELECT {metrics} FROM "{setting}/predictions" """)[0] == pytest.approx((row.n, row.mae, row.rmse, row.r2), rel=1e-9)
+            assert row.n == dict(mine["split_counts"])["test"]
+
+
 def test_fleets_side_by_side(study):
     _, tables = study
     summary = {r.fleet: r for r in tables["run_summary"].collect()}

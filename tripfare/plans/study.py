@@ -5,6 +5,7 @@ from __future__ import annotations
 from functools import reduce
 from typing import Mapping, Sequence
 
+from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import DataFrame, functions as F
 
 from tripfare.config import StudyConfig
@@ -51,7 +52,9 @@ def model_study(trips: DataFrame, output: str, config: StudyConfig, fraction: fl
     fits = modeling.fit_settings(known["train"], known["validation"], seed=config.seed, scored_path=f"{output}/validation_predictions")
     for setting, fitted in fits.items():
         rankings.append(fitted.ranking)
-        predictions = durable(fitted.predict(known["test"]).drop("features"), f"predictions-{setting}")
+        scored_test = fitted.predict(known["test"])
+        vectors = [f.name for f in scored_test.schema.fields if isinstance(f.dataType, VectorUDT)]
+        predictions = sinks.store(scored_test.drop(*vectors), f"{output}/{setting}/predictions")
         scored[(setting, fitted.selected)] = predictions
         results[f"{setting}_error_by_fare"] = evaluation.error_by_fare_band(predictions)
         results[f"{setting}_worst_errors"] = evaluation.worst_residuals(predictions)
