@@ -145,3 +145,42 @@ def resampled(texts, items, buckets=10_000):
     order = sorted((d for d in found if found[d][0] >= 20), key=lambda d: (-found[d][3], d))
     rank = {d: at for at, d in enumerate(order[: 5 * len(order) // 100], 1)}
     return {d: (*row[1:], rank.get(d)) for d, row in found.items()}
+
+
+def languages(learned, texts, orders=(4, 3, 2, 1), a=0.5, sharpness=0.25):
+    """doc → (language, score): what is learned from (lang, text) rows decides on ``texts``."""
+
+    def split(text):
+        return "".join(c if c.isalpha() else " " for c in (text or "").lower()).split(" ")
+
+    counts = {order: defaultdict(Counter) for order in (0, *orders)}
+    for lang, text in learned:
+        for word in filter(None, split(text)):
+            counts[0][lang][word] += 1
+            for order in orders:
+                counts[order][lang].update(word[i : i + order] for i in range(len(word) - order + 1))
+    langs = sorted({lang for c in counts.values() for lang in c})
+    kinds = {order: set().union(*c.values()) for order, c in counts.items()}
+    logs = {
+        (order, lang): (lambda key, c=counts[order][lang], total=counts[order][lang].total() + a * (len(kinds[order]) + 1): math.log((c[key] + a) / total))
+        for order in counts
+        for lang in langs
+    }
+    found = {}
+    for d, text in texts.items():
+        words = list(filter(None, split(text)))
+        score = dict.fromkeys(langs, 0.0)
+        for word in words:
+            for order in (0, *orders):
+                keys = [word] if not order else [word[i : i + order] for i in range(len(word) - order + 1)]
+                keys = [k for k in keys if k in kinds[order]]
+                if keys:
+                    for lang in langs:
+                        score[lang] += sum(map(logs[order, lang], keys)) / len(keys)
+                    break
+        if not words or not langs:
+            found[d] = ("und", 0.0)
+            continue
+        best = max(langs, key=lambda lang: (score[lang], [-ord(c) for c in lang]))
+        found[d] = (best, 1 / sum(math.exp(sharpness * (score[lang] - score[best])) for lang in langs))
+    return found

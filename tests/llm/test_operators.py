@@ -15,7 +15,7 @@ from tripfare.llm import arrays, exact_search, graph_dedup as gd, repeats, shard
 from tripfare.llm.decontamination import decontamination
 from tripfare.llm.exact_search import exact_top_k
 from tripfare.llm.graph_dedup import graph_dedup, repeated_paths
-from tripfare.llm.language import in_a_language, language_id, remainder
+from tripfare.llm.language import LanguageSettings, fit_language, in_a_language, language_id, remainder
 from tripfare.llm.language_model import score_texts
 from tripfare.llm.mixing import MixingSettings, fit_domains, fit_rates, mix, posteriors, rated
 from tripfare.llm.near_duplicates import NearDuplicates, near_duplicates, super_minhash
@@ -107,6 +107,15 @@ def test_placement(docs, odd_rows, nothing):
     assert sharding.assign_shards(nothing).count() == 0
 
 
+def test_columns_of_any_name_stay(spark):
+    frame = spark.createDataFrame([(1, "x", 2, 3, 4), (None, "y", 5, 6, 7)], "doc_id long, `a.b` string, Slot int, shard int, input_shard int")
+    placed = sharding.assign_shards(frame)
+    assert placed.columns == ["doc_id", "a.b", "input_Slot", "input_input_shard", "input_shard", "slot", "shard"]
+    assert {(r["a.b"], r.input_Slot, r.input_input_shard, r.input_shard) for r in placed.collect()} == {("x", 2, 3, 4), ("y", 5, 6, 7)}
+    plain = {r.doc_id: r.shard for r in sharding.assign_shards(frame.select("doc_id")).collect()}
+    assert {r.doc_id: r.shard for r in placed.collect()} == plain
+
+
 def test_shard_folders(spark, docs, tmp_path):
     sharding.write_shards(docs.select("doc_id", "text"), f"{tmp_path}/s", shards=["x", "y"])
     assert spark.read.parquet(f"{tmp_path}/s").count() == docs.count()
@@ -132,6 +141,39 @@ def test_language_of_odd_texts(docs, odd_rows, nothing):
     assert {r.lang_pred for r in language_id(docs, F.lit(False)).collect()} == {"und"}
 
 
+def test_languages_equal_a_plain_scorer(docs, texts):
+    learned = [(r.lang, r.text) for r in docs.collect() if r.lang is not None and r.doc_id % 3]
+    want = brute.languages(learned, texts)
+    found = by_id(language_id(docs, F.col("doc_id") % 3 > 0), "lang_pred", "score")
+    assert {d: lang for d, (lang, _) in found.items()} == {d: lang for d, (lang, _) in want.items()}
+    for d, (_, score) in want.items():
+        assert found[d][1] == pytest.approx(score, abs=1e-4), d
+
+
+def test_rows_without_id_teach_nothing(spark):
+    rows = [(None, "aaa bbb", "x")] * 9 + [(1, "aaa bbb", "y"), (2, "ccc", "z"), (3, "aaa", None)]
+    found = language_id(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert {r.doc_id: r.lang_pred for r in found.collect() if r.doc_id} == {1: "y", 2: "z", 3: "y"}
+
+
+def test_a_sample_is_bounded_in_rows_and_characters(spark):
+    rows = [(i, passage(i, 30), "en") for i in range(400)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    words = sum(len(t.split()) for _, t, _ in rows)
+    for settings in (LanguageSettings(sample=40), LanguageSettings(sample_chars=sum(len(t) for _, t, _ in rows) // 10)):
+        model = fit_language(frame, F.lit(True), settings)
+        seen = np.exp(-model.weights[0].absent[0]) * settings.smoothing
+        assert 0.02 * words < seen < 0.5 * words + len(model.weights[0].index.keys)
+
+
+def test_a_corpus_without_labels_keeps_its_texts(spark):
+    rows = [(1, "some text", None, 1), (2, "12 34", None, 2), (None, "more", None, 3), (4, None, None, 4)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string, `n chars.x` int")
+    kept = in_a_language(frame)
+    assert kept.dtypes == frame.dtypes
+    assert sorted(r["n chars.x"] for r in kept.collect()) == [1, 3]
+
+
 def test_rows_in_a_language_keep_their_columns(docs, nothing):
     kept = in_a_language(docs)
     assert kept.dtypes == docs.dtypes
@@ -200,6 +242,29 @@ def test_little_room_loses_nothing(texts, monkeypatch, room):
         assert in_one_process(short, repeats.Grain(length=100, k=30, of_words=False), sd._sorted_buckets(100))[1] <= sent
 
 
+@pytest.mark.parametrize("of_words", [False, True])
+def test_the_windows_of_a_common_line_are_dealt_apart(spark, of_words):
+    """One line in all documents, between words of their own: its anchor is no bucket of them all."""
+    line = passage(4242, 14)
+    rows = {i: f"{passage(5000 + i, 30, 'klmnopqrstu')} {line} {passage(9000 + i, 30, 'klmnopqrstu')}" for i in range(300)}
+    rows |= {1000: rows[7], 1001: rows[7][50:], 1002: line, 1003: line + " " + line}
+    frame = spark.createDataFrame(list(rows.items()), "doc_id long, text string").repartition(6)
+    size = {"length": 13, "k": 5} if of_words else {"length": 100, "k": 30}
+    largest = {}
+    for hot in (20, 10_000):
+        grain = repeats.Grain(**size, of_words=of_words, hot=hot)
+        segments = repeats.repeated_segments(repeats.keyed(frame), grain)
+        largest[hot] = segments.filter("content is not null").groupBy("anchor").count().agg(F.max("count")).first()[0]
+        found = {}
+        spans = segments.mapInArrow(gd._bucketed(13), gd.PATH) if of_words else segments.mapInArrow(sd._sorted_buckets(100), "doc_id long, doc_key long, begin long, stop long")
+        for r in spans.collect():
+            found.setdefault(r.doc_id, set()).update(range(r.begin, r.stop + 12 * of_words))
+        want = brute.without_shared_words(rows) if of_words else brute.without_repeats(rows)
+        assert {d: len(p) for d, p in found.items()} == {d: r[1] for d, r in want.items() if r[1]}
+    # A window is sent once by each task at most.
+    assert largest[20] <= 6 < 100 < largest[10_000]
+
+
 def test_texts_that_share_an_id_are_judged_by_themselves(spark):
     """What one of them repeats is not taken from the other."""
     a, b, c = (passage(70 + i, 60) for i in range(3))
@@ -287,6 +352,17 @@ def test_benchmark_passages(spark, docs, texts):
     assert sum(w[4] for w in want.values()) >= 5
 
 
+@pytest.mark.parametrize("bound", ["BROADCAST_ROWS", "BROADCAST_BYTES"])
+def test_benchmark_passages_without_broadcasts(spark, docs, texts, monkeypatch, bound):
+    from tripfare.llm import decontamination as dc
+
+    monkeypatch.setattr(dc, bound, 0)
+    assert "Broadcast" not in dc._small(docs.select("doc_id"))._jdf.queryExecution().logical().toString()
+    items = spark.createDataFrame(ITEMS, "item_id long, text string")
+    found = by_id(decontamination(docs, items), "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
+    assert found == brute.leaks(texts, [i for i in ITEMS if i[0] is not None])
+
+
 def test_benchmark_of_odd_tables(spark, odd_rows, docs, nothing):
     items = spark.createDataFrame(ITEMS, "item_id long, text string")
     found = decontamination(odd_rows, items).collect()
@@ -316,7 +392,7 @@ def test_exact_search(spark, monkeypatch):
         want |= {(q, r + 1, i, -s) for r, (s, i) in enumerate(scores)}
     assert set(map(tuple, exact_top_k(frame, F.col("vec_id") % 100 == 0).collect())) == want
     monkeypatch.setattr(exact_search, "QUERY_BLOCK", 1)
-    monkeypatch.setattr(exact_search, "SCORES", 12)
+    monkeypatch.setattr(exact_search, "VECTOR_BLOCK", 7)
     assert set(map(tuple, exact_top_k(frame, F.col("vec_id") % 100 == 0).collect())) == want
     assert exact_top_k(frame.limit(0), F.col("vec_id") % 100 == 0).count() == 0
     assert exact_top_k(frame.unionByName(frame), F.col("vec_id") % 100 == 0).count() == len(want)
@@ -325,13 +401,25 @@ def test_exact_search(spark, monkeypatch):
 
 def test_a_query_takes_no_place_in_its_own_task():
     import pyarrow as pa
-    from types import SimpleNamespace
 
     column = pa.array([[20 - i, 1] for i in range(15)], pa.list_(pa.int64()))
     batch = pa.RecordBatch.from_arrays([pa.array(range(15), pa.int64()), column], ["vec_id", "weights"])
-    sent = SimpleNamespace(value=(np.array([0]), exact_search.postings(column.slice(0, 1))))
-    (found,) = exact_search._best(sent, 10)([batch.slice(0, 5), batch.slice(5)])
-    assert found.column(1).to_pylist() == list(range(1, 11))
+    (query,) = exact_search._packed(10)([batch.slice(0, 1)])
+    others = list(exact_search._packed(5)([batch]))
+    pairs = [pa.RecordBatch.from_arrays([*query.columns, *o.columns], [f"c{i}" for i in range(10)]) for o in others]
+    (found,) = exact_search._best(10)(iter(pairs))
+    assert len(others) == 3 and found.column(1).to_pylist() == list(range(1, 11))
+
+
+def test_a_hundred_blocks_of_queries_are_one_plan(spark, monkeypatch):
+    rows = [(i, [math.sin(i * j) for j in range(1, 6)]) for i in range(300)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<float>").repartition(3)
+    want = sorted(map(tuple, exact_top_k(frame, F.col("vec_id") % 3 == 0, 4).collect()))
+    monkeypatch.setattr(exact_search, "QUERY_BLOCK", 1)
+    monkeypatch.setattr(exact_search, "VECTOR_BLOCK", 20)
+    found = exact_top_k(frame, F.col("vec_id") % 3 == 0, 4)
+    assert found._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+    assert sorted(map(tuple, found.collect())) == want and len(want) == 400
 
 
 def test_repeated_vectors_take_no_place_of_others(spark):
@@ -366,7 +454,9 @@ def test_token_files_round_trip(spark, docs, texts, tokenizer, tmp_path):
         start += len(ids)
         if d in (0, 7, 12, 15):
             assert [x.tolist() for x in token_ids(spark, f"{tmp_path}/t", d)] == [ids.tolist()]
+    assert token_ids(spark, f"{tmp_path}/t", 25) == []
     blocks = spark.read.schema(BLOCKS).parquet(f"{tmp_path}/t")
+    assert blocks.filter("low_doc <> array_min(doc_ids) or high_doc <> array_max(doc_ids)").count() == 0
     assert blocks.count() > 3 and blocks.filter("width <> 16").count() == 0
 
 
@@ -387,6 +477,20 @@ def test_pieces_give_the_ids_of_the_whole(tokenizer):
         assert np.frombuffer(tool.encode([text])[0], "<u4").tolist() == plain.encode(text, add_special_tokens=False).ids, repr(text)
 
 
+def test_what_a_worker_remembers_is_bounded(tokenizer, monkeypatch):
+    from tripfare.llm import token_files
+
+    path, plain = tokenizer
+    monkeypatch.setattr(token_files, "REMEMBERED", 50)
+    tool = Encoder(path)
+    texts = [passage(i, 40) + " " + "漢" * 200 + str(i) for i in range(30)]
+    for again in range(3):
+        for t, found in zip(texts, tool.encode(texts)):
+            assert np.frombuffer(found, "<u4").tolist() == plain.encode(t, add_special_tokens=False).ids
+        for memory in (tool.known, tool.older):
+            assert len(memory) <= 100 and max(map(len, memory), default=0) <= token_files.PIECE_BYTES
+
+
 @pytest.mark.parametrize("width", [1, 5, 8, 13, 16, 17, 31, 32])
 def test_bit_packing(width):
     ids = np.random.default_rng(width).integers(0, 1 << width, 1001, dtype=np.uint64)
@@ -460,6 +564,38 @@ def test_domains_and_rates(spark, sf):
     assert done.filter("rate < 0 or rate is null").count() == 0
 
 
+def test_rates_of_targets_within_reach_meet_them(spark):
+    """Against the same projected gradient over all documents in one array."""
+    from tripfare.llm.mixing import POSTERIORS, reached_shares, whole_copies
+
+    draw = np.random.default_rng(3)
+    n, p = draw.integers(1, 90, 50), draw.dirichlet([0.6, 0.5, 0.4], 50)
+    table = spark.createDataFrame([(i, int(n[i]), *map(float, p[i]), i) for i in range(50)], POSTERIORS).repartition(4)
+    targets = {"good": 0.5, "poor": 0.3, "toxic": 0.2}
+    moves = fit_rates(table, targets, MixingSettings(iterations=200, tolerance=1e-6))
+    mixed = rated(table, moves).withColumn("copies", whole_copies(F.col("rate"), "doc_id"))
+    report = {r.domain: (r.target, r.by_rate) for r in reached_shares(mixed, targets).collect()}
+    assert all(reached == pytest.approx(target, abs=1e-4) for target, reached in report.values()) and len(moves) < 200
+
+    rate, aim = np.ones(50), np.array(list(targets.values())) * n.sum()
+    step = np.linalg.inv((p * n[:, None]).T @ p)
+    for _ in range(5000):
+        rate = np.maximum(0, rate - p @ (step @ ((n * rate) @ p - aim)))
+    found = {r.doc_id: r.rate for r in mixed.collect()}
+    assert [found[i] for i in range(50)] == pytest.approx(rate.tolist(), abs=1e-3)
+
+
+def test_a_target_out_of_reach_is_told(spark, sf):
+    from tripfare.llm.mixing import reached_shares
+
+    docs, labels = (spark.read.parquet(f"{sf}/{t}.parquet") for t in ("documents", "labels"))
+    report = {r.domain: r for r in reached_shares(mix(docs, labels)).collect()}
+    assert sum(r.by_rate for r in report.values()) == pytest.approx(1) and sum(r.target for r in report.values()) == pytest.approx(1)
+    assert report["toxic"].target == 0 < report["toxic"].by_rate < 0.02
+    empty = reached_shares(mix(docs.limit(0), labels)).collect()
+    assert [r.by_rate for r in empty] == [None] * 3
+
+
 def test_mixing_of_odd_tables(spark, docs, odd_rows, nothing, sf):
     labels = spark.createDataFrame([(5, 1, 0), (10, 0, 0), (12, None, 1), (13, None, None), (None, 1, 1), (999, 1, 0), (5, 1, 0)], "doc_id long, quality int, toxic int")
     found = mix(docs, labels).collect()

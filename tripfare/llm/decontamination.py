@@ -12,9 +12,10 @@ from tripfare.operators.durable import durable
 # Fixed value: what stands between words once A-Z are lower case.
 BETWEEN_WORDS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 GRAM_WORDS = 4
-# A side of a join is sent to every executor up to this many rows (of a few
-# hundred bytes each); beyond it both sides are shuffled.
+# A side of a join is sent to every executor up to this many rows and bytes (as
+# JSON); beyond it both sides are shuffled.
 BROADCAST_ROWS = 100_000
+BROADCAST_BYTES = 64 << 20
 
 
 def words_of(text: Column) -> Column:
@@ -40,7 +41,11 @@ def _least(grams: str, width: int) -> Column:
 
 
 def _small(frame: DataFrame) -> DataFrame:
-    return F.broadcast(frame) if frame.count() <= BROADCAST_ROWS else frame
+    """A stored table, marked for broadcast if its rows, which may hold lists and words of any length, are few and short."""
+    if frame.count() > BROADCAST_ROWS:
+        return frame
+    size = frame.agg(F.sum(F.octet_length(F.to_json(F.struct(*frame.columns))))).first()[0] or 0
+    return F.broadcast(frame) if size <= BROADCAST_BYTES else frame
 
 
 def _windows(items: DataFrame, length: int, k: int, whole: bool) -> DataFrame:

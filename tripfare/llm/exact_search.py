@@ -8,13 +8,12 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tripfare.llm import arrays
+from tripfare.llm.tables import bound_batches
 from tripfare.operators.durable import durable
 
-# Queries that are sent to the executors at a time.
-QUERY_BLOCK = 2048
-# Dense scores held at a time (8 bytes each).
-SCORES = 4_000_000
+# Queries and vectors in a block: their dense scores take 8 bytes a pair.
+QUERY_BLOCK = 1024
+VECTOR_BLOCK = 2048
 # The score of a query with itself: below all others, and with a negation that fits.
 NEVER = np.iinfo(np.int64).min + 1
 
@@ -56,33 +55,58 @@ def accumulate(query, candidates, n_queries: int, n_candidates: int) -> np.ndarr
     return scores
 
 
-def _best(queries, k: int):
+def _packed(size: int):
+    """Vectors in blocks of ``size`` rows: their ids, and their postings as flat arrays."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for low in range(0, len(batch), size):
+                part = batch.slice(low, size)
+                arrays_ = (part.column(0).to_numpy(), *postings(part.column(1)))
+                yield pa.RecordBatch.from_arrays([pa.array([x.astype(np.int64).tobytes()], pa.binary()) for x in arrays_], PARTS)
+
+    return run
+
+
+PARTS = ["ids", "terms", "begins", "owner", "weight"]
+BLOCK = ", ".join(f"{name} binary" for name in PARTS)
+
+
+def _blocks(vectors: DataFrame, size: int, label: str) -> DataFrame:
+    return durable(vectors.mapInArrow(_packed(size), BLOCK), label)
+
+
+def _best(k: int):
+    """The k best candidates of each query among the pairs of blocks of a task."""
+
+    def merged(ids, old, scores, candidates):
+        if len(candidates) > k:
+            # All that reach the k-th score stay, so that ties are settled by id.
+            edge = np.partition(scores, len(candidates) - k, axis=1)[:, len(candidates) - k]
+            keep = np.flatnonzero((scores >= edge[:, None]).any(axis=0))
+            scores, candidates = scores[:, keep], candidates[keep]
+        scores = np.hstack([old[0], scores])
+        found = np.hstack([old[1], np.broadcast_to(candidates, (len(ids), len(candidates)))])
+        order = np.lexsort((found, -scores), axis=1)[:, :k]
+        return np.take_along_axis(scores, order, 1), np.take_along_axis(found, order, 1)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        query_ids, packed = queries.value
-        n = len(query_ids)
-        best_score = np.full((n, 0), 0, np.int64)
-        best_id = np.full((n, 0), 0, np.int64)
-        step = max(1, SCORES // max(1, n))
+        # Queries of a block → their best scores and candidates so far.
+        held: dict[bytes, tuple[np.ndarray, np.ndarray]] = {}
         for batch in batches:
-            for low in range(0, len(batch), step):
-                part = batch.slice(low, step)
-                ids = part.column(0).to_numpy()
-                scores = accumulate(packed, postings(part.column(1)), n, len(ids))
-                scores = np.where(query_ids[:, None] == ids, NEVER, scores)
-                if len(ids) > k:
-                    # All that reach the k-th score stay, so that ties are settled by id.
-                    edge = np.partition(scores, len(ids) - k, axis=1)[:, len(ids) - k]
-                    keep = np.flatnonzero((scores >= edge[:, None]).any(axis=0))
-                    scores, ids = scores[:, keep], ids[keep]
-                best_score = np.hstack([best_score, scores])
-                best_id = np.hstack([best_id, np.broadcast_to(ids, scores.shape)])
-                order = np.lexsort((best_id, -best_score), axis=1)[:, :k]
-                best_score, best_id = np.take_along_axis(best_score, order, 1), np.take_along_axis(best_id, order, 1)
-        real = best_score > NEVER
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(np.broadcast_to(query_ids[:, None], best_id.shape)[real]), pa.array(best_id[real]), pa.array(best_score[real])],
-            ["query_id", "vec_id", "score"],
-        )
+            for row in zip(*(c.to_pylist() for c in batch.columns)):
+                ids, *query = (np.frombuffer(x, np.int64) for x in row[: len(PARTS)])
+                candidates, *others = (np.frombuffer(x, np.int64) for x in row[len(PARTS) :])
+                scores = accumulate(query, others, len(ids), len(candidates))
+                scores[ids[:, None] == candidates] = NEVER
+                none = np.zeros((len(ids), 0), np.int64)
+                held[row[0]] = merged(ids, held.get(row[0], (none, none)), scores, candidates)
+        for name, (score, found) in held.items():
+            ids, real = np.frombuffer(name, np.int64), score > NEVER
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.broadcast_to(ids[:, None], found.shape)[real]), pa.array(found[real]), pa.array(score[real])],
+                ["query_id", "vec_id", "score"],
+            )
 
     return run
 
@@ -91,10 +115,11 @@ def exact_top_k(vectors: DataFrame, is_query: Column, k: int = 10, scale: int =
     """The ``k`` best other vectors of each query: (query_id, rank, vec_id, score).
 
     Scores are inner products of floor(scale * x); ties go to the smaller
-    vec_id. Queries are taken in blocks of bounded size. A block is sent to all
-    executors; every task scores it against its own vectors, block by block of
-    dense arrays, and sends on ``k`` rows per query, which are then merged. So
-    the work is queries times vectors, spread evenly, and no side is collected.
+    vec_id. Queries and vectors are packed into stored blocks of bounded size.
+    Each pair of a block of queries and a block of vectors is a row, scored as
+    one dense array; a task sends on ``k`` rows per query, which are then
+    merged. So the work is queries times vectors, spread evenly over the pairs,
+    and nothing passes through the driver.
 
     Vectors that are NULL, or hold a NULL or non-finite component, or have no
     id, take no part. A shorter vector counts as zero beyond its end. Rows that
@@ -104,25 +129,13 @@ def exact_top_k(vectors: DataFrame, is_query: Column, k: int = 10, scale: int =
     gives no rows.
     """
     spark = vectors.sparkSession
+    bound_batches(spark)
     # One row per vec_id before anything is cut to k: of different vectors of one id the least.
     whole = durable(integer_vectors(vectors, scale).groupBy("vec_id").agg(F.min("weights").alias("weights")), "vectors")
-    blocks = -(-whole.filter(is_query).count() // QUERY_BLOCK)
-    results = []
-    for i in range(blocks):
-        # Dealt by hash, so a block is about QUERY_BLOCK queries whatever their ids are.
-        mine = F.pmod(F.xxhash64("vec_id"), F.lit(blocks)) == i
-        block = whole.filter(is_query & mine).toArrow().combine_chunks()
-        if not len(block):
-            continue
-        names = block.column(0).to_numpy()
-        column = block.column(1)
-        column = column.chunk(0) if isinstance(column, pa.ChunkedArray) else column
-        sent = spark.sparkContext.broadcast((names, postings(column)))
-        results.append(whole.mapInArrow(_best(sent, k), "query_id long, vec_id long, score long"))
-    if not results:
-        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
-    found = results[0]
-    for more in results[1:]:
-        found = found.unionByName(more)
+    queries = _blocks(whole.filter(is_query), QUERY_BLOCK, "query-blocks")
+    others = _blocks(whole, VECTOR_BLOCK, "vector-blocks")
+    # A stated set of queries against all rows, block by block: a row holds some megabytes.
+    pairs = queries.crossJoin(others.select(*[F.col(c).alias(f"other_{c}") for c in PARTS]))
+    found = pairs.mapInArrow(_best(k), "query_id long, vec_id long, score long")
     ranked = found.withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")))
     return ranked.filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

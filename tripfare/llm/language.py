@@ -5,10 +5,11 @@ from __future__ import annotations
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from tripfare.llm import arrays
 from tripfare.llm.tables import bound_batches
@@ -16,15 +17,18 @@ from tripfare.operators.durable import durable
 
 _U = np.uint64
 SLICE_TEXTS = 200
+UNDETERMINED = "und"
 
 
 @dataclass(frozen=True)
 class LanguageSettings:
-    """Bounds of the model. It learns from about ``sample`` labelled documents."""
+    """What the model learns from: about ``sample`` labelled documents of about ``sample_chars`` characters in all.
 
-    sample: int = 20_000
-    words: int = 60_000
-    grams: int = 30_000
+    This bounds the model, which keeps every word and n-gram of the sample.
+    """
+
+    sample: int = 10_000
+    sample_chars: int = 40_000_000
     orders: tuple[int, ...] = (4, 3, 2, 1)
     smoothing: float = 0.5
     sharpness: float = 0.25
@@ -83,6 +87,20 @@ def _counts(orders: tuple[int, ...]):
     return run
 
 
+class _Weights(NamedTuple):
+    """Log frequencies of the keys of one order.
+
+    Only the languages that a key occurs in are listed, by how far it lies above
+    ``absent``, the log frequency of a key that a language doesn't have.
+    """
+
+    index: arrays.HashIndex
+    first: np.ndarray
+    lang: np.ndarray
+    above: np.ndarray
+    absent: np.ndarray
+
+
 class LanguageModel:
     """Log frequency of words and n-grams per language."""
 
@@ -91,50 +109,59 @@ class LanguageModel:
         self.orders = settings.orders
         self.sharpness = settings.sharpness
         place = {lang: i for i, lang in enumerate(self.langs)}
-        self.index, self.weights = {}, {}
+        a, self.weights = settings.smoothing, {}
         for order in (0, *self.orders):
-            mine = tables[order]
-            keys, inverse = np.unique(mine["key"].to_numpy().astype(np.int64), return_inverse=True)
-            counts = np.zeros((len(keys), len(self.langs)))
-            lang = np.array([place[x] for x in mine["lang"].to_pylist()], np.int64)
-            counts[inverse, lang] = mine["n"].to_numpy()
-            total = np.array([totals.get((order, lang), 0) for lang in self.langs], float)
-            a = settings.smoothing
-            self.index[order] = arrays.HashIndex(keys.view(_U))
-            self.weights[order] = np.log((counts + a) / (total + a * (len(keys) + 1))).astype(np.float32)
+            mine = tables[order].column("lang").combine_chunks().dictionary_encode()
+            lang = np.array([place[x] for x in mine.dictionary.to_pylist()], np.int64)[mine.indices.to_numpy()]
+            key, n = (tables[order].column(c).to_numpy() for c in ("key", "n"))
+            sort = np.lexsort((lang, key))
+            keys, first = np.unique(key[sort], return_index=True)
+            total = np.array([totals.get((order, lang), 0) for lang in self.langs], float) + a * (len(keys) + 1)
+            above = np.log((n[sort] + a) / a)
+            self.weights[order] = _Weights(
+                arrays.HashIndex(keys.astype(np.int64).view(_U)), np.r_[first, len(sort)], lang[sort].astype(np.int32), above.astype(np.float32), np.log(a / total)
+            )
 
     def scores(self, n: int, sums, starts, stops, first) -> np.ndarray:
         """Log score of every text for every language."""
         owner = np.repeat(np.arange(n), np.diff(first))
         total = np.zeros((n, len(self.langs)))
+        cells = total.reshape(-1)
 
-        def add(texts, values):
-            for j in range(len(self.langs)):
-                total[:, j] += np.bincount(texts, weights=values[:, j], minlength=n)
+        def add(order: int, texts: np.ndarray, found: np.ndarray, share: np.ndarray) -> None:
+            w = self.weights[order]
+            total[:] += np.bincount(texts, weights=share, minlength=n)[:, None] * w.absent
+            low, count = w.first[found], w.first[found + 1] - w.first[found]
+            at = np.repeat(low - (np.cumsum(count) - count), count) + np.arange(count.sum())
+            values = w.above[at] * np.repeat(share, count)
+            cells[:] += np.bincount(np.repeat(texts, count) * len(self.langs) + w.lang[at], weights=values, minlength=len(cells))
 
-        found = self.index[0].find(arrays.summed_spans(sums, starts, stops))
+        found = self.weights[0].index.find(arrays.summed_spans(sums, starts, stops))
         known = found >= 0
-        add(owner[known], self.weights[0][found[known]])
+        add(0, owner[known], found[known], np.ones(int(known.sum())))
         left = np.flatnonzero(~known)
         for order in self.orders:
             if not len(left):
                 break
             p, which = _inner(starts[left], stops[left], order)
-            at = self.index[order].find(arrays.summed_spans(sums, p, p + order, order))
+            at = self.weights[order].index.find(arrays.summed_spans(sums, p, p + order, order))
             hit = at >= 0
             times = np.bincount(which[hit], minlength=len(left))
             # A word counts once: the mean over its known n-grams.
-            add(owner[left][which[hit]], self.weights[order][at[hit]] / times[which[hit]][:, None])
+            add(order, owner[left][which[hit]], at[hit], 1 / times[which[hit]])
             left = left[times == 0]
         return total
 
-    def predict(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def predict(self, batches: Iterator[pa.RecordBatch], no_language: str) -> Iterator[pa.RecordBatch]:
+        """Best language of every text; ``no_language`` if none is known, ``und`` without letters."""
         names = np.array(self.langs, dtype=object)
         for batch in batches:
             for low, n, sums, starts, stops, first in _slices(batch.column(1)):
                 worded = np.diff(first) > 0
-                lang, score = np.full(n, "und", dtype=object), np.zeros(n)
-                if len(names):
+                lang, score = np.full(n, UNDETERMINED, dtype=object), np.zeros(n)
+                if not len(names):
+                    lang[worded] = no_language
+                else:
                     total = self.scores(n, sums, starts, stops, first) * self.sharpness
                     best = total.argmax(axis=1)
                     chance = 1 / np.exp(total - total.max(axis=1, keepdims=True)).sum(axis=1)
@@ -149,24 +176,21 @@ def remainder(divisor: int) -> Column:
 
 
 def fit_language(docs: DataFrame, learn_from: Column, settings: LanguageSettings = LanguageSettings()) -> LanguageModel:
-    """Count words and n-grams of a sample of labelled texts; keep the most frequent ones.
+    """Count the words and n-grams of a sample of labelled texts.
 
-    All labelled documents are counted first; each is then drawn by a hash of its
-    id with the chance that makes ``settings.sample`` of them. The model holds at
-    most ``words`` words and ``grams`` n-grams of each order.
+    All labelled documents are counted first; each is then drawn by a hash of
+    its id and text, with the chance that makes ``settings.sample`` of them and
+    ``settings.sample_chars`` of their characters.
     """
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
-    labelled = texts.filter("lang is not null and text is not null").filter(F.coalesce(learn_from, F.lit(False)))
-    share = min(1.0, settings.sample / max(1, labelled.select("doc_id").count()))
-    drawn = labelled.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < int(share * (1 << 30)))
+    labelled = texts.filter("lang is not null and text is not null and doc_id is not null").filter(F.coalesce(learn_from, F.lit(False)))
+    rows, chars = labelled.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.char_length("text")), F.lit(0))).first()
+    share = min(1.0, settings.sample / max(1, rows), settings.sample_chars / max(1, chars))
+    drawn = labelled.filter(F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30)) < int(share * (1 << 30)))
     counted = drawn.select("text", "lang").mapInArrow(_counts(settings.orders), "order int, lang string, key long, n long")
     counts = durable(counted.groupBy("order", "lang", "key").agg(F.sum("n").alias("n")), "language-counts")
     totals = {(r["order"], r["lang"]): r["n"] for r in counts.groupBy("order", "lang").agg(F.sum("n").alias("n")).collect()}
-    tables = {}
-    for order in (0, *settings.orders):
-        mine = counts.filter(F.col("order") == order)
-        top = mine.groupBy("key").agg(F.sum("n").alias("all")).orderBy(F.desc("all"), "key").limit(settings.grams if order else settings.words)
-        tables[order] = mine.join(F.broadcast(top.select("key")), "key", "left_semi").select("lang", "key", "n").toArrow()
+    tables = {order: counts.filter(F.col("order") == order).select("lang", "key", "n").toArrow() for order in (0, *settings.orders)}
     return LanguageModel(tables, totals, settings)
 
 
@@ -185,18 +209,24 @@ def language_id(docs: DataFrame, learn_from: Column | None = None, settings: Lan
     rows are scored each; other columns are ignored.
     """
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return _predicted(docs, texts, "doc_id long", learn_from, settings)
+    return _predicted(docs, texts, learn_from, settings, UNDETERMINED)
 
 
 def in_a_language(docs: DataFrame, settings: LanguageSettings = LanguageSettings()) -> DataFrame:
-    """The rows of ``docs``, all columns, whose text is in one of the languages it is labelled with."""
-    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("line"), F.col("text").cast("string").alias("text"))
-    kind = whole.schema["line"].dataType.simpleString()
-    return _predicted(docs, whole, f"line {kind}", None, settings).filter("lang_pred <> 'und'").select("line.*")
+    """The rows of ``docs``, all columns, whose text is in one of the languages it is labelled with.
+
+    Texts that are NULL or without letters go. If nothing is labelled, no
+    language is told from another, and all texts with a letter stay.
+    """
+    line = F.struct(*[F.col(f"`{c.replace('`', '``')}`") for c in docs.columns]).alias("line")
+    whole = docs.select(line, F.col("text").cast("string").alias("text"))
+    return _predicted(docs, whole, None, settings, "any").filter(F.col("lang_pred") != UNDETERMINED).select("line.*")
 
 
-def _predicted(docs: DataFrame, rows: DataFrame, kept: str, learn_from: Column | None, settings: LanguageSettings) -> DataFrame:
+def _predicted(docs: DataFrame, rows: DataFrame, learn_from: Column | None, settings: LanguageSettings, no_language: str) -> DataFrame:
+    """The first column of ``rows`` with the language of the second, a text."""
     bound_batches(docs.sparkSession)
     model = fit_language(docs, F.lit(True) if learn_from is None else learn_from, settings)
     sent = docs.sparkSession.sparkContext.broadcast(model)
-    return rows.mapInArrow(lambda batches: sent.value.predict(batches), f"{kept}, lang_pred string, score double")
+    schema = T.StructType([rows.schema.fields[0], T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
+    return rows.mapInArrow(lambda batches: sent.value.predict(batches, no_language), schema)

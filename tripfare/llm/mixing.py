@@ -217,7 +217,9 @@ def mix(docs: DataFrame, labels: DataFrame, targets: Mapping[str, float] = TARGE
     so that expected tokens per domain have the shares of ``targets``; ``copies``
     is the whole part of the rate, and one more where a hash of id and text, as a
     fraction of 1, is below the rest; so copies have the rates on average, and
-    are the same in every run. A domain with target 0 fades out.
+    are the same in every run. A domain with target 0 fades out; the fit ends
+    after ``iterations`` moves where it can't be emptied, and ``reached_shares``
+    tells how far it came.
 
     NULL, empty and wordless texts have no tokens; they are judged by the
     constant features alone. Rows without id are judged like others. A document
@@ -228,3 +230,25 @@ def mix(docs: DataFrame, labels: DataFrame, targets: Mapping[str, float] = TARGE
     table = durable(posteriors(docs, fit_domains(docs, labels, settings)), "posteriors")
     done = rated(table, fit_rates(table, targets, settings))
     return done.withColumn("copies", whole_copies(F.col("rate"), "doc_id", "text_hash"))
+
+
+def reached_shares(mixed: DataFrame, targets: Mapping[str, float] = TARGETS) -> DataFrame:
+    """(domain, target, by_rate, by_copies): shares of the tokens that the rates and the copies of ``mix`` give.
+
+    A target can be out of reach: every document belongs to each domain a little,
+    so a domain with target 0 only fades out as far as others are not emptied.
+    """
+    counted = [F.sum(F.col(by) * F.col("n_tokens") * F.col(f"p_{d}")).alias(f"{by}_{d}") for by in ("rate", "copies") for d in DOMAINS]
+    sums = mixed.agg(*counted)
+    whole = {by: sum((F.col(f"{by}_{d}") for d in DOMAINS), F.lit(0.0)) for by in ("rate", "copies")}
+    wanted = sum(targets.get(d, 0.0) for d in DOMAINS)
+    rows = [
+        F.struct(
+            F.lit(d).alias("domain"),
+            F.lit(targets.get(d, 0.0) / wanted).alias("target"),
+            F.try_divide(F.col(f"rate_{d}"), whole["rate"]).alias("by_rate"),
+            F.try_divide(F.col(f"copies_{d}"), whole["copies"]).alias("by_copies"),
+        )
+        for d in DOMAINS
+    ]
+    return sums.select(F.inline(F.array(*rows)))

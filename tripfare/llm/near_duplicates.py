@@ -180,11 +180,11 @@ def _stars(groups: DataFrame) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, settings: NearDuplicates = NearDuplicates()) -> DataFrame:
     """Group near-duplicate documents: (doc_id, n_shingles, component_id, kept), as ``near_duplicate_rows`` does."""
-    return near_duplicate_rows(docs, settings).drop("text_hash")
+    return near_duplicate_rows(docs, settings).drop("text_hash", "stays")
 
 
 def near_duplicate_rows(docs: DataFrame, settings: NearDuplicates = NearDuplicates()) -> DataFrame:
-    """Group near-duplicate documents: (doc_id, text_hash, n_shingles, component_id, kept).
+    """Group near-duplicate documents: (doc_id, text_hash, n_shingles, component_id, kept, stays).
 
     1. One pass over the texts gives the size, a key of the whole shingle set,
        and the band hashes of its SuperMinHash signature.
@@ -202,9 +202,10 @@ def near_duplicate_rows(docs: DataFrame, settings: NearDuplicates = NearDuplicat
 
     NULL, empty and wordless texts have an empty set and are linked with
     nothing. Rows are told apart by id and text: rows that share an id are
-    judged each by its own text, and of a group the rows with its least id, and
-    one text, are kept. Rows with equal id and text are all returned. A row
-    without id is returned with its own NULL component, as kept. Other columns
+    judged each by its own text. ``kept`` says that the id is the least of its
+    group; ``stays`` also that, of several texts with that id, it is the first.
+    Rows with equal id and text are all returned. A row without id is returned
+    with its own NULL component, as one that is kept and stays. Other columns
     are ignored; an empty table gives no rows.
     """
     bound_batches(docs.sparkSession)
@@ -300,5 +301,6 @@ def near_duplicate_rows(docs: DataFrame, settings: NearDuplicates = NearDuplicat
         "text_hash",
         "n_shingles",
         F.when(judged, F.col("component")).otherwise(F.col("doc_id")).alias("component_id"),
-        F.when(judged, first).otherwise(F.lit(True)).alias("kept"),
+        F.when(judged, F.col("doc_id") == F.col("component")).otherwise(F.lit(True)).alias("kept"),
+        F.when(judged, first).otherwise(F.lit(True)).alias("stays"),
     )

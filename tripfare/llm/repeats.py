@@ -52,11 +52,22 @@ def spans_of(texts: DataFrame, spans: DataFrame) -> DataFrame:
 
 @dataclass(frozen=True)
 class Grain:
-    """``length`` items make a window, ``k`` of them an anchor; items are bytes or words."""
+    """``length`` items make a window, ``k`` of them an anchor; items are bytes or words.
+
+    An anchor is hot if batches hold at least ``hot`` segments of it that differ.
+    """
 
     length: int
     k: int
     of_words: bool
+    hot: int = 4096
+
+    def _sums(self, data, starts, stops):
+        return arrays.prefix_sums(arrays.span_hashes(data, starts, stops) if self.of_words else arrays.byte_values(data))
+
+    def contents(self, data, starts, stops, begin, end) -> np.ndarray:
+        """Hash of all that segments from window ``begin`` to ``end`` hold."""
+        return arrays.summed_spans(self._sums(data, starts, stops), begin, end - 1 + self.length)
 
     def grams(self, data, offsets):
         """Anchor candidates, first item of each text, and the byte span of each item."""
@@ -81,17 +92,57 @@ class Grain:
 def _counted(grain: Grain):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = []
+            found = [(np.zeros(0, _U), np.zeros(0, _U))]
+            for _, _, data, offsets in arrays.slices(batch.column(1)):
+                hashes, first, starts, stops = grain.grams(data, offsets)
+                begin, end, anchor = grain.segments(hashes, first)
+                if len(begin):
+                    found.append((hashes[anchor], grain.contents(data, starts, stops, begin, end)))
+            anchors, contents = (np.concatenate(c) for c in zip(*found))
+            values, place, n = np.unique(anchors, return_inverse=True, return_counts=True)
+            # Segments of an anchor that differ: each would travel by itself.
+            rows = np.ones(len(values), np.int64)
+            again = np.flatnonzero(n[place] > 1)
+            kinds = np.unique(arrays.mix(anchors[again]) ^ contents[again], return_index=True)[1]
+            np.add.at(rows, place[again[kinds]], 1)
+            rows[n > 1] -= 1
+            columns = [pa.array(arrays.signed(values)), pa.array(n > 1), pa.array(rows)]
+            yield pa.RecordBatch.from_arrays(columns, ["anchor", "many", "rows"])
+
+    return run
+
+
+def _hot_windows(grain: Grain, hot):
+    """Every window of a hot anchor by its hash, and whether a batch holds it twice."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [np.zeros(0, _U)]
             for _, _, data, offsets in arrays.slices(batch.column(1)):
-                hashes, first, _, _ = grain.grams(data, offsets)
-                found.append(hashes[grain.segments(hashes, first)[2]])
-            values, n = np.unique(np.concatenate(found) if found else np.zeros(0, _U), return_counts=True)
-            many = n > 1
-            yield pa.RecordBatch.from_arrays([pa.array(arrays.signed(values)), pa.array(many)], ["anchor", "many"])
+                hashes, first, starts, stops = grain.grams(data, offsets)
+                begin, end, anchor = grain.segments(hashes, first)
+                chosen = _held(hot.value, hashes[anchor])
+                window = _windows(begin[chosen], end[chosen])
+                if len(window):
+                    found.append(grain.contents(data, starts, stops, window, window + 1))
+            values, n = np.unique(np.concatenate(found), return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(arrays.signed(values)), pa.array(n > 1)], ["anchor", "many"])
 
     return run
 
 
+def _windows(begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """All windows of some segments."""
+    n = end - begin
+    return np.repeat(begin - (np.cumsum(n) - n), n) + np.arange(n.sum())
+
+
+def _held(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """Whether a filter holds each hash."""
+    slot = hashes & _U(len(bits) * 8 - 1)
+    return (bits[(slot >> _U(3)).astype(np.int64)] >> (slot & _U(7)).astype(np.uint8) & 1).astype(bool)
+
+
 def _filter_parts(part_bits: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts: dict[int, np.ndarray] = {}
@@ -107,15 +158,11 @@ def _filter_parts(part_bits: int):
     return run
 
 
-def repeated_anchors(texts: DataFrame, grain: Grain):
-    """A broadcast bit filter that holds every anchor that occurs twice."""
-    spark = texts.sparkSession
-    counted = texts.mapInArrow(_counted(grain), "anchor long, many boolean")
-    repeated = durable(
-        counted.groupBy("anchor").agg((F.bool_or("many") | (F.count(F.lit(1)) > 1)).alias("many")).filter("many").select("anchor"), "anchors"
-    )
-    bits = min(max(FILTER_BITS[0], 1 << (16 * repeated.count()).bit_length()), FILTER_BITS[1])
-    slots = repeated.select(F.expr(f"pmod(anchor, {bits}L)").alias("slot"))
+def _bit_filter(anchors: DataFrame):
+    """A broadcast bit filter that holds every hash of a stored table."""
+    spark = anchors.sparkSession
+    bits = min(max(FILTER_BITS[0], 1 << (16 * anchors.count()).bit_length()), FILTER_BITS[1])
+    slots = anchors.select(F.expr(f"pmod(anchor, {bits}L)").alias("slot"))
     dealt = slots.repartition(F.expr(f"slot div {FILTER_PART_BITS}"))
     whole = np.zeros(bits // 8, dtype=np.uint8)
     size = FILTER_PART_BITS // 8
@@ -125,10 +172,25 @@ def repeated_anchors(texts: DataFrame, grain: Grain):
     return spark.sparkContext.broadcast(whole)
 
 
-def _sent(grain: Grain, held):
+def repeated_anchors(texts: DataFrame, grain: Grain):
+    """Filters of the anchors that occur twice, of the hot ones, and of their windows that do; the last two may be None."""
+    twice = (F.bool_or("many") | (F.count(F.lit(1)) > 1)).alias("many")
+    counted = texts.mapInArrow(_counted(grain), "anchor long, many boolean, rows long")
+    counted = counted.groupBy("anchor").agg(twice, F.sum("rows").alias("rows")).filter("many")
+    repeated = durable(counted.select("anchor", (F.col("rows") >= grain.hot).alias("hot")), "anchors")
+    hot = durable(repeated.filter("hot").select("anchor"), "hot-anchors")
+    every = _bit_filter(repeated.select("anchor"))
+    if hot.isEmpty():
+        return every, None, None
+    held = _bit_filter(hot)
+    windows = texts.mapInArrow(_hot_windows(grain, held), "anchor long, many boolean")
+    windows = durable(windows.groupBy("anchor").agg(twice).filter("many").select("anchor"), "hot-windows")
+    return every, held, _bit_filter(windows)
+
+
+def _sent(grain: Grain, held, hot=None, repeated=None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = held.value
-        mask = _U(len(bits) * 8 - 1)
         # content → [id, places (key, start) in that id, ...]: the least id seen in this
         # task, and for bytes its least place; the rest is known to repeat it.
         seen: dict[bytes, list] = {}
@@ -136,7 +198,14 @@ def _sent(grain: Grain, held):
 
         def told(doc, place, windows, source):
             # No content: a finding. Dealt by document, as its anchor may be hot.
-            rows.append((doc, doc, *place, windows, 0, None, source[0], *min(source[1])))
+            (key, start), (from_key, from_start) = place, min(source[1])
+            if rows:
+                _, d, k, s, n, _, content, fd, fk, fs = rows[-1]
+                # It goes on where the one before ends, in its document and in its source.
+                if content is None and (d, k, s + n, fd, fk, fs + n) == (doc, key, start, source[0], from_key, from_start):
+                    rows[-1] = (doc, doc, key, s, n + windows, 0, None, fd, fk, fs)
+                    return
+            rows.append((doc, doc, key, start, windows, 0, None, source[0], from_key, from_start))
 
         def flush():
             for content, (doc, places, anchor, windows, lead) in seen.items():
@@ -154,16 +223,23 @@ def _sent(grain: Grain, held):
             for low, _, data, offsets in arrays.slices(batch.column(1)):
                 hashes, first, starts, stops = grain.grams(data, offsets)
                 begin, end, anchor = grain.segments(hashes, first)
-                slot = hashes[anchor] & mask
-                hit = np.flatnonzero(bits[(slot >> _U(3)).astype(np.int64)] >> (slot & _U(7)).astype(np.uint8) & 1)
-                begin, end, anchor = begin[hit], end[hit], anchor[hit]
+                name = hashes[anchor]
+                hit = _held(bits, name)
+                begin, end, lead, name = begin[hit], end[hit], (anchor - begin)[hit], name[hit]
+                if hot is not None and (warm := _held(hot.value, name)).any():
+                    window = _windows(begin[warm], end[warm])
+                    own = grain.contents(data, starts, stops, window, window + 1)
+                    window, own = (x[_held(repeated.value, own)] for x in (window, own))
+                    begin, end, lead, name = (
+                        np.r_[x[~warm], y] for x, y in ((begin, window), (end, window + 1), (lead, np.zeros(len(window), np.int64)), (name, own))
+                    )
                 owner = np.searchsorted(first, begin, side="right") - 1
                 last = end - 1 + grain.length - 1
                 left, right = (begin, last + 1) if starts is None else (starts[begin], stops[last])
                 raw = data.tobytes()
-                named = arrays.signed(hashes[anchor])
+                named = arrays.signed(name)
                 for doc, start, windows, lead, h, a, b in zip(
-                    owner.tolist(), (begin - first[owner]).tolist(), (end - begin).tolist(), (anchor - begin).tolist(), named.tolist(), left.tolist(), right.tolist()
+                    owner.tolist(), (begin - first[owner]).tolist(), (end - begin).tolist(), lead.tolist(), named.tolist(), left.tolist(), right.tolist()
                 ):
                     doc, place = ids[low + doc], (keys[low + doc], start)
                     content = raw[a:b]
@@ -200,7 +276,7 @@ def repeated_segments(texts: DataFrame, grain: Grain) -> DataFrame:
     rows without content that name the place they repeat.
     """
     bound_batches(texts.sparkSession)
-    sent = texts.mapInArrow(_sent(grain, repeated_anchors(texts, grain)), SEGMENT)
+    sent = texts.mapInArrow(_sent(grain, *repeated_anchors(texts, grain)), SEGMENT)
     return sent.repartition("anchor").sortWithinPartitions("anchor")
 
 

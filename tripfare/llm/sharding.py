@@ -55,18 +55,31 @@ def table_frame(spark: SparkSession, shards: Sequence[str], size: int = TABLE_SI
     return spark.range(1).select(F.posexplode(listed).alias("slot", "shard"))
 
 
+def _aside(names: Sequence[str], taken: Sequence[str]) -> dict[str, str]:
+    """A free name for every column called as one of the new ones, in any letter case."""
+    moved: dict[str, str] = {}
+    for name in names:
+        if name.lower() in taken:
+            free = f"input_{name}"
+            while free.lower() in {n.lower() for n in [*names, *moved.values()]}:
+                free = f"input_{free}"
+            moved[name] = free
+    return moved
+
+
 def assign_shards(frame: DataFrame, key: str = "doc_id", shards: Sequence[str] = SHARDS, size: int = TABLE_SIZE) -> DataFrame:
     """``frame`` with two more columns, slot and shard.
 
     The table has ``size`` rows whatever the data are; it is broadcast, and a
     row finds its shard by its slot without a shuffle. Equal keys share a shard;
-    a NULL key is placed like the empty text. Existing columns named slot or
-    shard are replaced; an empty table stays empty.
+    a NULL key is placed like the empty text. An existing column named slot or
+    shard is kept as input_slot or input_shard; an empty table stays empty.
     """
-    placed = frame.drop("slot", "shard").withColumn("slot", slot_of(F.col(key), size))
-    table = table_frame(frame.sparkSession, shards, size)
-    columns = [c for c in placed.columns if c != "slot"]
-    return placed.join(F.broadcast(table), "slot", "left").select(*columns, "slot", "shard")
+    moved = _aside(frame.columns, ("slot", "shard"))
+    quoted = {c: F.col(f"`{c.replace('`', '``')}`") for c in frame.columns}
+    placed = frame.select(*[quoted[c].alias(moved.get(c, c)) for c in frame.columns], slot_of(quoted[key], size).alias("slot"))
+    table = table_frame(frame.sparkSession, shards, size).withColumnRenamed("slot", "table_slot")
+    return placed.join(F.broadcast(table), F.col("slot") == F.col("table_slot"), "left").drop("table_slot")
 
 
 def write_shards(frame: DataFrame, path: str, key: str = "doc_id", shards: Sequence[str] = SHARDS, size: int = TABLE_SIZE) -> None:

@@ -26,9 +26,11 @@ PIECE_BYTES = 64
 # Texts that are cut and encoded at a time.
 ENCODED_BYTES = 4 << 20
 
-BLOCKS = "part int, block int, first long, n_ids long, width int, doc_ids array<long>, lengths array<long>, packed binary"
+BLOCKS = (
+    "part int, block int, first long, n_ids long, width int, low_doc long, high_doc long, doc_ids array<long>, lengths array<long>, packed binary"
+)
 _NAMES = [part.split()[0] for part in BLOCKS.split(", ")]
-_TYPES = [pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.binary()]
+_TYPES = [pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.binary()]
 
 # Unknown pieces that are encoded as one text.
 TOGETHER = 64
@@ -209,7 +211,10 @@ def _blocks(tokenizer: str, end_id: int, block_ids: int):
         held = 0
 
         def ready() -> pa.RecordBatch:
-            row = [part, block, first, held, width, ids, lengths, pack(np.frombuffer(b"".join(parts), "<u4"), width)]
+            # Ids ascend, NULLs first.
+            known = [x for x in ids if x is not None]
+            low, high = (known[0], known[-1]) if known else (None, None)
+            row = [part, block, first, held, width, low, high, ids, lengths, pack(np.frombuffer(b"".join(parts), "<u4"), width)]
             return pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip(row, _TYPES)], _NAMES)
 
         for batch in batches:
@@ -234,7 +239,9 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int = 2, bl
     Format: a Parquet table of blocks. A block holds whole documents: their ids
     and lengths, and the token ids packed to the fewest bits that hold the
     vocabulary. (part, block) is the order of blocks, and ``first`` the ids of
-    the part before it: an index that is read without the packed column. Parts
+    the part before it: an index that is read without the packed column.
+    ``low_doc`` and ``high_doc`` bound the documents of a block, so that a search
+    for one skips the others by their statistics. Parts
     are ranges of doc_id, so documents are sorted before they are encoded.
     """
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
@@ -272,7 +279,8 @@ def read_tokens(spark: SparkSession, path: str) -> DataFrame:
 
 def token_ids(spark: SparkSession, path: str, doc_id: int) -> list[np.ndarray]:
     """Token ids of one document: only its block is read, only its bits are unpacked."""
-    blocks = spark.read.schema(BLOCKS).parquet(path).filter(F.array_contains("doc_ids", F.lit(doc_id).cast("long")))
+    wanted = F.lit(doc_id).cast("long")
+    blocks = spark.read.schema(BLOCKS).parquet(path).filter((F.col("low_doc") <= wanted) & (F.col("high_doc") >= wanted))
     found = []
     for row in blocks.toLocalIterator():
         at = 0
