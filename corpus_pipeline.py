@@ -34,7 +34,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     and text, one stays.
     """
     found = near_duplicate_rows(docs, NearDuplicates(percent=80))
-    gone = found.filter("not kept").select(F.col("doc_id").alias("gone_id"), F.col("text_hash").alias("gone_hash")).distinct()
+    gone = found.filter("not stays").select(F.col("doc_id").alias("gone_id"), F.col("text_hash").alias("gone_hash")).distinct()
     gone = durable(gone, "near-copies")
     same = F.col("hash").eqNullSafe(F.col("gone_hash")) & F.col("id").eqNullSafe(F.col("gone_id"))
     left = _lines(docs).join(small(gone), same, "left_anti")
