@@ -93,14 +93,33 @@ def test_phrases_of_odd_tables(docs, odd_rows, nothing):
         Phrases(slots=1000)
 
 
-def test_tasks_merge_what_they_hold():
-    held = ph._Held()
-    for _ in range(3):
-        held.add(np.array([5, 7, 5], np.uint64), 2, np.array([1, 4, 1], np.uint8))
-    held.merge()
-    (batch,) = held.take()
-    assert list(zip(*(c.to_pylist() for c in batch.columns))) == [(5, 2, 1, 6), (7, 2, 4, 3)]
-    assert list(held.take()) == []
+def test_packed_counts_add_up():
+    draw = np.random.default_rng(0)
+    hashes = draw.integers(0, 1 << 63, 300, dtype=np.uint64) * np.uint64(2)
+    every, sent = Counter(), []
+    for task in range(4):
+        held = ph._Held(5)
+        for size in (1, 2):
+            some = draw.choice(hashes, 900)
+            since = (some % np.uint64(3)).astype(np.uint8)
+            held.add(some, size, since)
+            every.update((int(h), size, int(s)) for h, s in zip(some, since))
+        held.merge()
+        sent += list(held.take())
+        assert list(held.take()) == []
+    rows = sorted((r for b in sent for r in zip(*(c.to_pylist() for c in b.columns))), key=lambda r: r[0])
+    assert {r[0] for r in rows} == set(range(32))
+    for only in (False, True):
+        found, frequent = {}, set()
+        for b in ph._summed(12, only)(iter([ph._as_batch(rows[i : i + 7]) for i in range(0, len(rows), 7)])):
+            for _, since, size, keys, counts, often in zip(*(c.to_pylist() for c in b.columns)):
+                keys = np.frombuffer(keys, np.uint64)
+                found.update({(int(h), size, since): int(n) for h, n in zip(keys, ph._widened(counts, len(keys)))})
+                frequent.update((int(h), size, since) for h in np.frombuffer(often, np.uint64))
+        assert frequent == {k for k, n in every.items() if n >= 12}
+        assert found == {k: n for k, n in every.items() if not only or n >= 12}
+    for top in (1, 127, 128, 40_000, 3_000_000_000):
+        assert ph._widened(ph._narrow(np.array([0, top])), 2).tolist() == [0, top]
 
 
 # ---- token counts --------------------------------------------------------

@@ -32,14 +32,21 @@ SLOT_PART = 1 << 18
 HELD_COUNTS = 1 << 21
 # Phrases with their counts are sent to every executor up to this many bytes.
 BROADCAST_BYTES = 32 << 20
+# Counts travel packed, by the upper bits of the hash: one bucket for so many bytes of text.
+BUCKET_TEXT = 4 << 20
+BUCKET_BITS = (4, 16)
 
-COUNTS = "hash long, size int, since int, n long"
+# Counts of phrases of one size, active since one step, in the order of their
+# hashes; ``frequent`` holds the hashes of those that reach the threshold.
+COUNTS = "bucket int, since int, size int, hashes binary, counts binary, frequent binary"
 
 
 @dataclass(frozen=True)
 class Phrases:
     """Phrases of 2 to ``longest`` words that occur ``least`` times in their language.
 
+    A phrase is known by a 64-bit hash of its words and language.
+
     The corpus is scanned in ``shards`` turns. ``slots`` is the length of the
     table that tells when a phrase was found frequent; a crowded table lets more
     phrases be counted than need be, but never one too few.
@@ -118,38 +125,118 @@ def _slot(hashes: np.ndarray, slots: int) -> np.ndarray:
     return (hashes & _U(slots - 1)).astype(np.int64)
 
 
+def _narrow(counts: np.ndarray) -> bytes:
+    """Counts in as few bytes each as the largest takes."""
+    width = next(w for w in (1, 2, 4, 8) if w == 8 or not len(counts) or counts.max() < 1 << 8 * w - 1)
+    return counts.astype(f"<i{width}").tobytes()
+
+
+def _widened(packed: bytes, n: int) -> np.ndarray:
+    return np.frombuffer(packed, f"<i{len(packed) // n}").astype(np.int64) if n else np.zeros(0, np.int64)
+
+
+def _row(bucket: int, since: int, size: int, hashes: np.ndarray, counts: np.ndarray, frequent: np.ndarray) -> tuple:
+    return bucket, since, size, hashes.tobytes(), _narrow(counts), frequent.tobytes()
+
+
+def _as_batch(rows: list[tuple]) -> pa.RecordBatch:
+    types = [*[pa.int32()] * 3, *[pa.binary()] * 3]
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], [part.split()[0] for part in COUNTS.split(", ")])
+
+
+def _totals(hashes: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    keys, place = np.unique(np.concatenate(hashes), return_inverse=True)
+    total = np.zeros(len(keys), np.int64)
+    np.add.at(total, place, np.concatenate(counts))
+    return keys, total
+
+
 class _Held:
-    """Counts of a task: equal phrases are merged when many are held."""
+    """Counts of a task, by size and first step; equal phrases are merged when many are held."""
 
-    def __init__(self):
-        self.parts: list[tuple] = []
+    def __init__(self, bits: int):
+        self.bits = bits
+        self.parts: dict[tuple[int, int], tuple[list, list]] = {}
         self.rows = 0
 
-    def add(self, hashes, size, since) -> None:
-        if len(hashes):
-            keys, at, n = np.unique(hashes, return_index=True, return_counts=True)
-            self.parts.append((keys, np.full(len(keys), size, np.int32), since[at].astype(np.int32), n.astype(np.int64)))
+    def add(self, hashes: np.ndarray, size: int, since: np.ndarray) -> None:
+        for step in np.unique(since).tolist():
+            keys, n = np.unique(hashes[since == step], return_counts=True)
+            mine = self.parts.setdefault((step, size), ([], []))
+            mine[0].append(keys)
+            mine[1].append(n)
             self.rows += len(keys)
 
     def merge(self) -> None:
-        hashes, size, since, n = (np.concatenate(c) for c in zip(*self.parts))
-        keys, at, place = np.unique(hashes, return_index=True, return_inverse=True)
-        total = np.zeros(len(keys), np.int64)
-        np.add.at(total, place, n)
-        self.parts, self.rows = [(keys, size[at], since[at], total)], len(keys)
+        self.parts = {kind: tuple([x] for x in _totals(*held)) for kind, held in self.parts.items()}
+        self.rows = sum(len(keys[0]) for keys, _ in self.parts.values())
 
     def take(self) -> Iterator[pa.RecordBatch]:
-        if not self.parts:
-            return
+        """All counts, in rows of one bucket each."""
         self.merge()
-        (keys, size, since, n), self.parts, self.rows = self.parts[0], [], 0
-        for at in range(0, len(keys), 100_000):
-            part = slice(at, at + 100_000)
-            columns = [arrays.signed(keys[part]), size[part], since[part], n[part]]
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["hash", "size", "since", "n"])
+        none = np.zeros(0, _U)
+        for (since, size), ((keys,), (n,)) in self.parts.items():
+            bucket = (keys >> _U(64 - self.bits)).astype(np.int64)
+            edges = np.r_[0, np.flatnonzero(np.diff(bucket)) + 1, len(keys)]
+            rows = [_row(int(bucket[a]), since, size, keys[a:b], n[a:b], none) for a, b in zip(edges[:-1], edges[1:]) if b > a]
+            for low in range(0, len(rows), 500):
+                yield _as_batch(rows[low : low + 500])
+        self.parts, self.rows = {}, 0
+
+
+def _summed(least: int, only_frequent: bool):
+    """Sums of packed counts, which come bucket by bucket."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[tuple[int, int], tuple[list, list]] = {}
+
+        def told(bucket: int) -> Iterator[pa.RecordBatch]:
+            for (since, size), parts in held.items():
+                keys, n = _totals(*parts)
+                often = n >= least
+                if only_frequent:
+                    keys, n, often = keys[often], n[often], often[often]
+                yield _as_batch([_row(bucket, since, size, keys, n, keys[often])])
+            held.clear()
+
+        at = None
+        for batch in batches:
+            for bucket, since, size, hashes, counts, _ in zip(*(c.to_pylist() for c in batch.columns)):
+                if bucket != at:
+                    if held:
+                        yield from told(at)
+                    at = bucket
+                mine = held.setdefault((since, size), ([], []))
+                mine[0].append(np.frombuffer(hashes, _U))
+                mine[1].append(_widened(counts, len(mine[0][-1])))
+        if held:
+            yield from told(at)
+
+    return run
+
+
+def _in_buckets(counts: DataFrame, least: int, only_frequent: bool) -> DataFrame:
+    return counts.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_summed(least, only_frequent), COUNTS)
+
+
+def _unpacked_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for size, hashes, counts in zip(*(batch.column(i).to_pylist() for i in (2, 3, 4))):
+            keys = np.frombuffer(hashes, np.int64)
+            columns = [pa.array(keys), pa.array(np.full(len(keys), size, np.int32)), pa.array(_widened(counts, len(keys)))]
+            yield pa.RecordBatch.from_arrays(columns, ["hash", "size", "n"])
+
 
+def _frequent_slots(slots: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            hashes = np.frombuffer(b"".join(batch.column(0).to_pylist()), _U)
+            yield pa.RecordBatch.from_arrays([pa.array(_slot(hashes, slots))], ["slot"])
 
-def _scanned(step: int, found, settings: Phrases):
+    return run
+
+
+def _scanned(step: int, found, settings: Phrases, bits: int):
     """Counts of the phrases that are active in this step.
 
     A word is active from step 0 on, a longer phrase from the step on in which
@@ -157,7 +244,7 @@ def _scanned(step: int, found, settings: Phrases):
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table, held = _received(found), _Held()
+        table, held = _received(found), _Held(bits)
         for lang, data, offsets in _by_language(batches):
             before = None
             for size, hashes, inside in _Runs(data, offsets, lang).of(settings.longest):
@@ -191,17 +278,18 @@ def _bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def slots_of(frequent: DataFrame, slots: int) -> np.ndarray:
-    """Places of ``frequent`` (hash) in a table of ``slots``: at most slots / 8 bytes come back."""
-    dealt = frequent.select(F.expr(f"hash & {slots - 1}L").alias("slot")).repartition(F.expr(f"slot div {SLOT_PART}"))
+    """Places in a table of ``slots`` of the packed hashes ``frequent``: at most slots / 8 bytes come back."""
+    places = frequent.select("frequent").mapInArrow(_frequent_slots(slots), "slot long")
+    dealt = places.repartition(F.expr(f"slot div {SLOT_PART}"))
     marked = np.zeros(slots, dtype=bool)
-    for row in dealt.mapInArrow(_bits, "part long, bits binary").toLocalIterator():
+    for row in dealt.mapInArrow(_bits, "part long, bits binary").collect():
         bits = np.unpackbits(np.frombuffer(row["bits"], np.uint8)).view(bool)
         marked[row["part"] * SLOT_PART : (row["part"] + 1) * SLOT_PART] |= bits
     return marked
 
 
 def frequent_hashes(texts: DataFrame, settings: Phrases) -> DataFrame:
-    """(hash, size, n) of all runs of up to ``longest`` words that occur ``least`` times.
+    """Packed counts of all runs of up to ``longest`` words that occur ``least`` times.
 
     ``texts`` is (lang, text, shard). Step t scans shard t modulo ``shards`` and
     counts all active phrases of any length at once. A phrase is found frequent
@@ -212,24 +300,25 @@ def frequent_hashes(texts: DataFrame, settings: Phrases) -> DataFrame:
     every active phrase has completed its cycle, after ``longest`` cycles at most.
     """
     spark = texts.sparkSession
+    size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    bits = min(max(BUCKET_BITS[0], (size // BUCKET_TEXT).bit_length()), BUCKET_BITS[1])
     since = np.full(settings.slots, NEVER, dtype=np.uint8)
     tables: list[DataFrame] = []
     complete: list[DataFrame] = []
     latest = step = 0
     while step < latest + settings.shards:
         sent = _sent(spark, since)
-        scanned = texts.filter(F.col("shard") == step % settings.shards).select("lang", "text").mapInArrow(_scanned(step, sent, settings), COUNTS)
-        # The first step of a phrase and its size are the same in every row of it.
-        summed = scanned.groupBy("hash").agg(F.min("size").alias("size"), F.min("since").alias("since"), F.sum("n").alias("n"))
-        tables.append(durable(summed.select("hash", "size", "since", "n"), "phrase-counts"))
-        found = [tables[-1].filter((F.col("n") >= settings.least) & (F.col("size") < settings.longest)).select("hash")]
+        shard = texts.filter(F.col("shard") == step % settings.shards).select("lang", "text")
+        scanned = shard.mapInArrow(_scanned(step, sent, settings, bits), COUNTS)
+        tables.append(durable(_in_buckets(scanned, settings.least, False), "phrase-counts"))
+        found = [tables[-1]]
         oldest = step - settings.shards + 1
         if oldest >= 0:
             cycle = reduce(DataFrame.unionByName, [t.filter(F.col("since") == oldest) for t in tables[oldest:]])
-            total = cycle.groupBy("hash").agg(F.min("size").alias("size"), F.sum("n").alias("n"))
-            complete.append(durable(total.filter(F.col("n") >= settings.least), "phrases-complete"))
-            found.append(complete[-1].filter(F.col("size") < settings.longest).select("hash"))
-        marked = slots_of(reduce(DataFrame.unionByName, found), settings.slots) & (since == NEVER)
+            complete.append(durable(_in_buckets(cycle, settings.least, True), "phrases-complete"))
+            found.append(complete[-1])
+        shorter = [t.filter(F.col("size") < settings.longest) for t in found]
+        marked = slots_of(reduce(DataFrame.unionByName, shorter), settings.slots) & (since == NEVER)
         # What it was needed for is stored.
         sent.destroy()
         step += 1
@@ -240,33 +329,38 @@ def frequent_hashes(texts: DataFrame, settings: Phrases) -> DataFrame:
 
 
 def _named(found, settings: Phrases):
-    """Text and count of the runs that are in the table, and all words of a language (phrase NULL)."""
-    names = ["lang", "hash", "size", "phrase", "n"]
+    """Words of the runs that are in the table, once in a task, and the number of words of a language (phrase NULL)."""
+    names = ["lang", "hash", "phrase", "n"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = _received(found)
         words: dict[str, int] = {}
+        met = np.zeros(0, _U)
         for lang, data, offsets in _by_language(batches):
             runs = _Runs(data, offsets, lang)
             words[lang] = words.get(lang, 0) + len(runs.starts)
             low = arrays.LOWER[data].tobytes()
+            fresh = []
             for size, hashes, inside in runs.of(settings.longest):
                 at = np.flatnonzero(inside)
                 at = at[table[_slot(hashes[at], settings.slots)]]
-                keys, first, n = np.unique(hashes[at], return_index=True, return_counts=True)
+                keys, first = np.unique(hashes[at], return_index=True)
+                place = np.searchsorted(met, keys)
+                new = np.ones(len(keys), bool) if not len(met) else met[np.minimum(place, len(met) - 1)] != keys
+                keys, at = keys[new], at[first[new]]
                 if not len(keys):
                     continue
-                spans = [(runs.starts[at[first] + j].tolist(), runs.stops[at[first] + j].tolist()) for j in range(size)]
+                spans = [(runs.starts[at + j].tolist(), runs.stops[at + j].tolist()) for j in range(size)]
                 parts = [[low[a:b] for a, b in zip(*span)] for span in spans]
                 phrase = [p.decode() for p in (parts[0] if size == 1 else map(b" ".join, zip(*parts)))]
-                rows = len(keys)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([lang] * rows), pa.array(arrays.signed(keys)), pa.array(np.full(rows, size, np.int32)), pa.array(phrase), pa.array(n)], names
-                )
+                fresh.append(keys)
+                columns = [pa.array([lang] * len(keys)), pa.array(arrays.signed(keys)), pa.array(phrase), pa.nulls(len(keys), pa.int64())]
+                yield pa.RecordBatch.from_arrays(columns, names)
+            # Phrases that a task has told are sorted in, and forgotten when they are many.
+            met = np.union1d(met if len(met) < HELD_COUNTS else met[:0], np.concatenate(fresh) if fresh else met[:0])
         none = [None] * len(words)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(words.keys(), pa.string()), pa.array(none, pa.int64()), pa.array(none, pa.int32()), pa.array(none, pa.string()), pa.array(words.values(), pa.int64())], names
-        )
+        columns = [pa.array(words.keys(), pa.string()), pa.array(none, pa.int64()), pa.array(none, pa.string()), pa.array(words.values(), pa.int64())]
+        yield pa.RecordBatch.from_arrays(columns, names)
 
     return run
 
@@ -274,17 +368,17 @@ def _named(found, settings: Phrases):
 def frequent_phrases(texts: DataFrame, settings: Phrases) -> tuple[DataFrame, DataFrame]:
     """(lang, phrase, size, a) of all frequent runs of words, and (lang, n) of all words.
 
-    The counts by hash say which runs are frequent. One more scan reads their
-    words, so two runs with one hash are told apart, and counts them as texts.
+    The counts are by hash; one more scan reads the words of the runs.
     """
-    hashes = frequent_hashes(texts, settings).select("hash")
-    sent = _sent(texts.sparkSession, slots_of(hashes, settings.slots))
-    named = texts.select("lang", "text").mapInArrow(_named(sent, settings), "lang string, hash long, size int, phrase string, n long")
-    summed = durable(named.groupBy("lang", "hash", "size", "phrase").agg(F.sum("n").alias("a")), "named-runs")
+    packed = frequent_hashes(texts, settings)
+    counts = packed.mapInArrow(_unpacked_counts, "hash long, size int, n long").withColumnRenamed("n", "a")
+    sent = _sent(texts.sparkSession, slots_of(packed, settings.slots))
+    named = texts.select("lang", "text").mapInArrow(_named(sent, settings), "lang string, hash long, phrase string, n long")
+    told = named.groupBy("hash", "lang", F.col("phrase").isNull().alias("whole")).agg(F.min("phrase").alias("phrase"), F.sum("n").alias("n"))
+    told = durable(told, "named-runs")
     sent.destroy()
-    kept = summed.filter(F.col("a") >= settings.least).join(hashes.distinct(), "hash", "left_semi")
-    words = summed.filter("phrase is null").groupBy("lang").agg(F.sum("a").alias("n"))
-    return durable(kept.select("lang", "phrase", "size", "a"), "phrases"), words
+    kept = told.filter("not whole").join(counts, "hash").select("lang", "phrase", "size", "a")
+    return durable(kept, "phrases"), told.filter("whole").select("lang", "n")
 
 
 def _bounded(rows: DataFrame) -> DataFrame:
@@ -341,8 +435,8 @@ def phrases(docs: DataFrame, settings: Phrases = Phrases()) -> DataFrame:
     the bytes of the phrase.
 
     ``docs`` is scanned ``longest`` times and once more for the words of the
-    phrases, so pass a stored table. Only two tables of ``slots`` bytes, however
-    large the corpus, pass through the driver and are sent to all executors;
+    phrases, so pass a stored table. Only a table of ``slots`` bytes, however
+    large the corpus, passes through the driver and is sent to all executors;
     counts and phrases stay in Spark.
 
     A NULL lang is ``und``; NULL, empty and wordless texts have no words. Every

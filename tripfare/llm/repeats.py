@@ -167,7 +167,7 @@ def _bit_filter(anchors: DataFrame):
     whole = np.zeros(bits // 8, dtype=np.uint8)
     size = FILTER_PART_BITS // 8
     # At most FILTER_BITS[1] bits come back, whatever the corpus holds.
-    for row in dealt.mapInArrow(_filter_parts(FILTER_PART_BITS), "part long, bits binary").toLocalIterator():
+    for row in dealt.mapInArrow(_filter_parts(FILTER_PART_BITS), "part long, bits binary").collect():
         whole[row["part"] * size : (row["part"] + 1) * size] |= np.frombuffer(row["bits"], np.uint8)
     return spark.sparkContext.broadcast(whole)
 
