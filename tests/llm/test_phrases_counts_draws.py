@@ -59,8 +59,8 @@ def test_a_crowded_table_loses_no_phrase(spark, monkeypatch):
     """More frequent phrases than slots can tell apart: more is counted, the result is the same."""
     rows = [(i, passage(300 + i % 90, 60, "abc"), "en") for i in range(180)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(2)
-    full = ph.slots_of
-    monkeypatch.setattr(ph, "slots_of", lambda frequent, slots: full(frequent, slots) | (np.arange(slots) % 3 > 0))
+    full = ph.marked_slots
+    monkeypatch.setattr(ph, "marked_slots", lambda places, slots: full(places, slots) | (np.arange(slots) % 3 > 0))
     assert set(phrase_rows(phrases(docs, Phrases(least=2, slots=SLOTS)))) == brute.phrases([(lang, t) for _, t, lang in rows], least=2)
 
 
@@ -102,7 +102,7 @@ def test_packed_counts_add_up():
         for size in (1, 2):
             some = draw.choice(hashes, 900)
             since = (some % np.uint64(3)).astype(np.uint8)
-            held.add(some, size, since)
+            held.add(some, size, since, (some % np.uint64(7)).astype(np.uint8))
             every.update((int(h), size, int(s)) for h, s in zip(some, since))
         held.merge()
         sent += list(held.take())
@@ -112,8 +112,9 @@ def test_packed_counts_add_up():
     for only in (False, True):
         found, frequent = {}, set()
         for b in ph._summed(12, only)(iter([ph._as_batch(rows[i : i + 7]) for i in range(0, len(rows), 7)])):
-            for _, since, size, keys, counts, often in zip(*(c.to_pylist() for c in b.columns)):
+            for _, since, size, keys, counts, groups, often in zip(*(c.to_pylist() for c in b.columns)):
                 keys = np.frombuffer(keys, np.uint64)
+                assert (np.frombuffer(groups, np.uint8) == keys % np.uint64(7)).all()
                 found.update({(int(h), size, since): int(n) for h, n in zip(keys, ph._widened(counts, len(keys)))})
                 frequent.update((int(h), size, since) for h in np.frombuffer(often, np.uint64))
         assert frequent == {k for k, n in every.items() if n >= 12}

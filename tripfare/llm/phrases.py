@@ -36,9 +36,13 @@ BROADCAST_BYTES = 32 << 20
 BUCKET_TEXT = 4 << 20
 BUCKET_BITS = (4, 16)
 
-# Counts of phrases of one size, active since one step, in the order of their
-# hashes; ``frequent`` holds the hashes of those that reach the threshold.
-COUNTS = "bucket int, since int, size int, hashes binary, counts binary, frequent binary"
+# Documents are dealt into so many groups; a phrase remembers one that holds it.
+GROUPS = 256
+
+# Counts of phrases of one size, active since one step, in the order of their hashes,
+# with a group of documents each is found in; ``frequent`` holds the hashes of those
+# that reach the threshold.
+COUNTS = "bucket int, since int, size int, hashes binary, counts binary, groups binary, frequent binary"
 
 
 @dataclass(frozen=True)
@@ -74,7 +78,7 @@ def _lang_salt(lang: str) -> int:
 class _Runs:
     """Words of the texts of one language, and the hashes of runs of them inside pieces."""
 
-    def __init__(self, data: np.ndarray, offsets: np.ndarray, lang: str):
+    def __init__(self, lang: str, data: np.ndarray, offsets: np.ndarray, groups: np.ndarray):
         self.data = data
         self.starts, self.stops, first = arrays.words(data, offsets, _SEPARATORS)
         self.hashes = arrays.mix(arrays.span_hashes(data, self.starts, self.stops, lower=True) ^ _U(_lang_salt(lang)))
@@ -82,6 +86,7 @@ class _Runs:
         piece = np.cumsum(_IS_END[data], dtype=np.int64)[self.starts]
         text = np.repeat(np.arange(len(offsets) - 1), np.diff(first))
         self.linked = (piece[1:] == piece[:-1]) & (text[1:] == text[:-1])
+        self.groups = groups[text]
 
     def of(self, longest: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
         """For each size, the hash of the run from each word on, and whether one piece holds it."""
@@ -94,14 +99,15 @@ class _Runs:
             yield size, self.hashes if size == 1 else arrays.run_hashes(self.hashes, size), inside
 
 
-def _by_language(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, np.ndarray, np.ndarray]]:
-    """Slices of the texts of batches (lang, text), which come in runs of one language."""
+def _by_language(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, _Runs]]:
+    """Slices of the texts of batches (lang, text, doc_group), each of one language."""
     for batch in batches:
         lang = batch.column(0).dictionary_encode()
         for code, name in enumerate(lang.dictionary.to_pylist()):
-            texts = batch.column(1).filter(pa.array(lang.indices.to_numpy() == code))
-            for _, _, data, offsets in arrays.slices(texts):
-                yield name, data, offsets
+            mine = pa.array(lang.indices.to_numpy() == code)
+            groups = batch.column(2).filter(mine).to_numpy().astype(np.uint8)
+            for low, high, data, offsets in arrays.slices(batch.column(1).filter(mine)):
+                yield name, _Runs(name, data, offsets, groups[low:high])
 
 
 _unpacked: dict[str, np.ndarray] = {}
@@ -135,20 +141,23 @@ def _widened(packed: bytes, n: int) -> np.ndarray:
     return np.frombuffer(packed, f"<i{len(packed) // n}").astype(np.int64) if n else np.zeros(0, np.int64)
 
 
-def _row(bucket: int, since: int, size: int, hashes: np.ndarray, counts: np.ndarray, frequent: np.ndarray) -> tuple:
-    return bucket, since, size, hashes.tobytes(), _narrow(counts), frequent.tobytes()
+def _row(bucket: int, since: int, size: int, hashes, counts, groups, frequent) -> tuple:
+    return bucket, since, size, hashes.tobytes(), _narrow(counts), groups.tobytes(), frequent.tobytes()
 
 
 def _as_batch(rows: list[tuple]) -> pa.RecordBatch:
-    types = [*[pa.int32()] * 3, *[pa.binary()] * 3]
+    types = [*[pa.int32()] * 3, *[pa.binary()] * 4]
     return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], [part.split()[0] for part in COUNTS.split(", ")])
 
 
-def _totals(hashes: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    keys, place = np.unique(np.concatenate(hashes), return_inverse=True)
-    total = np.zeros(len(keys), np.int64)
-    np.add.at(total, place, np.concatenate(counts))
-    return keys, total
+def _totals(hashes: list, counts: list, groups: list) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Each hash once, in order, with the sum of its counts and one of its groups."""
+    joined, n = np.concatenate(hashes), np.concatenate(counts)
+    order = np.argsort(joined, kind="stable")
+    first = np.flatnonzero(np.r_[True, joined[order][1:] != joined[order][:-1]])
+    if not len(joined):
+        return joined, n, np.concatenate(groups)
+    return joined[order[first]], np.add.reduceat(n[order], first), np.concatenate(groups)[order[first]]
 
 
 class _Held:
@@ -156,29 +165,29 @@ class _Held:
 
     def __init__(self, bits: int):
         self.bits = bits
-        self.parts: dict[tuple[int, int], tuple[list, list]] = {}
+        self.parts: dict[tuple[int, int], tuple[list, list, list]] = {}
         self.rows = 0
 
-    def add(self, hashes: np.ndarray, size: int, since: np.ndarray) -> None:
+    def add(self, hashes: np.ndarray, size: int, since: np.ndarray, groups: np.ndarray) -> None:
         for step in np.unique(since).tolist():
-            keys, n = np.unique(hashes[since == step], return_counts=True)
-            mine = self.parts.setdefault((step, size), ([], []))
-            mine[0].append(keys)
-            mine[1].append(n)
-            self.rows += len(keys)
+            mine = since == step
+            found = _totals([hashes[mine]], [np.ones(int(mine.sum()), np.int64)], [groups[mine]])
+            for held, new in zip(self.parts.setdefault((step, size), ([], [], [])), found):
+                held.append(new)
+            self.rows += len(found[0])
 
     def merge(self) -> None:
         self.parts = {kind: tuple([x] for x in _totals(*held)) for kind, held in self.parts.items()}
-        self.rows = sum(len(keys[0]) for keys, _ in self.parts.values())
+        self.rows = sum(len(held[0][0]) for held in self.parts.values())
 
     def take(self) -> Iterator[pa.RecordBatch]:
         """All counts, in rows of one bucket each."""
         self.merge()
         none = np.zeros(0, _U)
-        for (since, size), ((keys,), (n,)) in self.parts.items():
+        for (since, size), ((keys,), (n,), (groups,)) in self.parts.items():
             bucket = (keys >> _U(64 - self.bits)).astype(np.int64)
             edges = np.r_[0, np.flatnonzero(np.diff(bucket)) + 1, len(keys)]
-            rows = [_row(int(bucket[a]), since, size, keys[a:b], n[a:b], none) for a, b in zip(edges[:-1], edges[1:]) if b > a]
+            rows = [_row(int(bucket[a]), since, size, keys[a:b], n[a:b], groups[a:b], none) for a, b in zip(edges[:-1], edges[1:]) if b > a]
             for low in range(0, len(rows), 500):
                 yield _as_batch(rows[low : low + 500])
         self.parts, self.rows = {}, 0
@@ -188,27 +197,28 @@ def _summed(least: int, only_frequent: bool):
     """Sums of packed counts, which come bucket by bucket."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[tuple[int, int], tuple[list, list]] = {}
+        held: dict[tuple[int, int], tuple[list, list, list]] = {}
 
         def told(bucket: int) -> Iterator[pa.RecordBatch]:
             for (since, size), parts in held.items():
-                keys, n = _totals(*parts)
+                keys, n, groups = _totals(*parts)
                 often = n >= least
                 if only_frequent:
-                    keys, n, often = keys[often], n[often], often[often]
-                yield _as_batch([_row(bucket, since, size, keys, n, keys[often])])
+                    keys, n, groups, often = keys[often], n[often], groups[often], often[often]
+                yield _as_batch([_row(bucket, since, size, keys, n, groups, keys[often])])
             held.clear()
 
         at = None
         for batch in batches:
-            for bucket, since, size, hashes, counts, _ in zip(*(c.to_pylist() for c in batch.columns)):
+            for bucket, since, size, hashes, counts, groups, _ in zip(*(c.to_pylist() for c in batch.columns)):
                 if bucket != at:
                     if held:
                         yield from told(at)
                     at = bucket
-                mine = held.setdefault((since, size), ([], []))
-                mine[0].append(np.frombuffer(hashes, _U))
-                mine[1].append(_widened(counts, len(mine[0][-1])))
+                mine = held.setdefault((since, size), ([], [], []))
+                keys = np.frombuffer(hashes, _U)
+                for part, new in zip(mine, (keys, _widened(counts, len(keys)), np.frombuffer(groups, np.uint8))):
+                    part.append(new)
         if held:
             yield from told(at)
 
@@ -227,6 +237,12 @@ def _unpacked_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
             yield pa.RecordBatch.from_arrays(columns, ["hash", "size", "n"])
 
 
+def _by_group(hashes: np.ndarray, groups: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Two keys of each phrase together with a group of documents."""
+    key = arrays.mix(hashes + (groups.astype(_U) + _U(1)) * _U(0x9E3779B97F4A7C15))
+    return key, arrays.mix(key + _U(1))
+
+
 def _frequent_slots(slots: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -236,6 +252,15 @@ def _frequent_slots(slots: int):
     return run
 
 
+def _grouped_slots(slots: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            hashes, groups = (np.frombuffer(b"".join(c.to_pylist()), kind) for c, kind in zip(batch.columns, (_U, np.uint8)))
+            yield pa.RecordBatch.from_arrays([pa.array(_slot(np.concatenate(_by_group(hashes, groups)), slots))], ["slot"])
+
+    return run
+
+
 def _scanned(step: int, found, settings: Phrases, bits: int):
     """Counts of the phrases that are active in this step.
 
@@ -245,12 +270,12 @@ def _scanned(step: int, found, settings: Phrases, bits: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table, held = _received(found), _Held(bits)
-        for lang, data, offsets in _by_language(batches):
+        for _, runs in _by_language(batches):
             before = None
-            for size, hashes, inside in _Runs(data, offsets, lang).of(settings.longest):
+            for size, hashes, inside in runs.of(settings.longest):
                 since = np.zeros(len(hashes), np.uint8) if size == 1 else np.maximum(before[:-1], before[1:])
                 active = inside & (since <= step) & (since + np.int64(settings.shards) > step)
-                held.add(hashes[active], size, since[active])
+                held.add(hashes[active], size, since[active], runs.groups[: len(hashes)][active])
                 if size < settings.longest:
                     if not (since <= step).any():
                         break
@@ -277,9 +302,8 @@ def _bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array([part]), pa.array([np.packbits(bits).tobytes()])], ["part", "bits"])
 
 
-def slots_of(frequent: DataFrame, slots: int) -> np.ndarray:
-    """Places in a table of ``slots`` of the packed hashes ``frequent``: at most slots / 8 bytes come back."""
-    places = frequent.select("frequent").mapInArrow(_frequent_slots(slots), "slot long")
+def marked_slots(places: DataFrame, slots: int) -> np.ndarray:
+    """Which of ``slots`` are among ``places`` (slot): at most slots / 8 bytes come back."""
     dealt = places.repartition(F.expr(f"slot div {SLOT_PART}"))
     marked = np.zeros(slots, dtype=bool)
     for row in dealt.mapInArrow(_bits, "part long, bits binary").collect():
@@ -288,10 +312,15 @@ def slots_of(frequent: DataFrame, slots: int) -> np.ndarray:
     return marked
 
 
+def slots_of(frequent: DataFrame, slots: int) -> np.ndarray:
+    """Places of the packed hashes ``frequent``."""
+    return marked_slots(frequent.select("frequent").mapInArrow(_frequent_slots(slots), "slot long"), slots)
+
+
 def frequent_hashes(texts: DataFrame, settings: Phrases) -> DataFrame:
     """Packed counts of all runs of up to ``longest`` words that occur ``least`` times.
 
-    ``texts`` is (lang, text, shard). Step t scans shard t modulo ``shards`` and
+    ``texts`` is (lang, text, shard, doc_group). Step t scans shard t modulo ``shards`` and
     counts all active phrases of any length at once. A phrase is found frequent
     as soon as one shard holds it often enough, or else when its cycle is
     complete; from the next step on, phrases that it lets extend are active.
@@ -308,7 +337,7 @@ def frequent_hashes(texts: DataFrame, settings: Phrases) -> DataFrame:
     latest = step = 0
     while step < latest + settings.shards:
         sent = _sent(spark, since)
-        shard = texts.filter(F.col("shard") == step % settings.shards).select("lang", "text")
+        shard = texts.filter(F.col("shard") == step % settings.shards).select("lang", "text", "doc_group")
         scanned = shard.mapInArrow(_scanned(step, sent, settings, bits), COUNTS)
         tables.append(durable(_in_buckets(scanned, settings.least, False), "phrase-counts"))
         found = [tables[-1]]
@@ -329,35 +358,28 @@ def frequent_hashes(texts: DataFrame, settings: Phrases) -> DataFrame:
 
 
 def _named(found, settings: Phrases):
-    """Words of the runs that are in the table, once in a task, and the number of words of a language (phrase NULL)."""
+    """Words of the runs that are in the table with the group of their text, and the words of a language (phrase NULL)."""
     names = ["lang", "hash", "phrase", "n"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = _received(found)
         words: dict[str, int] = {}
-        met = np.zeros(0, _U)
-        for lang, data, offsets in _by_language(batches):
-            runs = _Runs(data, offsets, lang)
+        for lang, runs in _by_language(batches):
             words[lang] = words.get(lang, 0) + len(runs.starts)
-            low = arrays.LOWER[data].tobytes()
-            fresh = []
+            low = arrays.LOWER[runs.data].tobytes()
             for size, hashes, inside in runs.of(settings.longest):
                 at = np.flatnonzero(inside)
-                at = at[table[_slot(hashes[at], settings.slots)]]
+                one, two = (_slot(key, settings.slots) for key in _by_group(hashes[at], runs.groups[at]))
+                at = at[table[one] & table[two]]
                 keys, first = np.unique(hashes[at], return_index=True)
-                place = np.searchsorted(met, keys)
-                new = np.ones(len(keys), bool) if not len(met) else met[np.minimum(place, len(met) - 1)] != keys
-                keys, at = keys[new], at[first[new]]
                 if not len(keys):
                     continue
+                at = at[first]
                 spans = [(runs.starts[at + j].tolist(), runs.stops[at + j].tolist()) for j in range(size)]
                 parts = [[low[a:b] for a, b in zip(*span)] for span in spans]
                 phrase = [p.decode() for p in (parts[0] if size == 1 else map(b" ".join, zip(*parts)))]
-                fresh.append(keys)
                 columns = [pa.array([lang] * len(keys)), pa.array(arrays.signed(keys)), pa.array(phrase), pa.nulls(len(keys), pa.int64())]
                 yield pa.RecordBatch.from_arrays(columns, names)
-            # Phrases that a task has told are sorted in, and forgotten when they are many.
-            met = np.union1d(met if len(met) < HELD_COUNTS else met[:0], np.concatenate(fresh) if fresh else met[:0])
         none = [None] * len(words)
         columns = [pa.array(words.keys(), pa.string()), pa.array(none, pa.int64()), pa.array(none, pa.string()), pa.array(words.values(), pa.int64())]
         yield pa.RecordBatch.from_arrays(columns, names)
@@ -368,12 +390,15 @@ def _named(found, settings: Phrases):
 def frequent_phrases(texts: DataFrame, settings: Phrases) -> tuple[DataFrame, DataFrame]:
     """(lang, phrase, size, a) of all frequent runs of words, and (lang, n) of all words.
 
-    The counts are by hash; one more scan reads the words of the runs.
+    The counts are by hash. One more scan reads the words of each run, in the
+    documents of one group that is known to hold it: so it is named a few times
+    at most, however many tasks there are.
     """
     packed = frequent_hashes(texts, settings)
     counts = packed.mapInArrow(_unpacked_counts, "hash long, size int, n long").withColumnRenamed("n", "a")
-    sent = _sent(texts.sparkSession, slots_of(packed, settings.slots))
-    named = texts.select("lang", "text").mapInArrow(_named(sent, settings), "lang string, hash long, phrase string, n long")
+    places = packed.select("hashes", "groups").mapInArrow(_grouped_slots(settings.slots), "slot long")
+    sent = _sent(texts.sparkSession, marked_slots(places, settings.slots))
+    named = texts.select("lang", "text", "doc_group").mapInArrow(_named(sent, settings), "lang string, hash long, phrase string, n long")
     told = named.groupBy("hash", "lang", F.col("phrase").isNull().alias("whole")).agg(F.min("phrase").alias("phrase"), F.sum("n").alias("n"))
     told = durable(told, "named-runs")
     sent.destroy()
@@ -444,10 +469,12 @@ def phrases(docs: DataFrame, settings: Phrases = Phrases()) -> DataFrame:
     are ignored; an empty table, or one without a frequent phrase, gives no rows.
     """
     bound_batches(docs.sparkSession)
+    dealt = F.xxhash64(F.col("doc_id").cast("string"))
     texts = docs.select(
         F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"),
         F.col("text").cast("string").alias("text"),
-        F.expr(f"pmod(xxhash64(cast(doc_id as string)), {settings.shards})").alias("shard"),
+        F.pmod(dealt, F.lit(settings.shards)).alias("shard"),
+        F.pmod(F.shiftright(dealt, 20), F.lit(GROUPS)).cast("int").alias("doc_group"),
     ).filter("text is not null")
     frequent, words = frequent_phrases(texts, settings)
     kept = not_inside(scored(frequent, settings), settings)
