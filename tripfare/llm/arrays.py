@@ -94,10 +94,6 @@ def span_hashes(data: np.ndarray, starts: np.ndarray, stops: np.ndarray, lower:
     return summed_spans(prefix_sums(table[data]), starts, stops)
 
 
-def byte_values(data: np.ndarray) -> np.ndarray:
-    return _BYTES[data]
-
-
 def prefix_sums(values: np.ndarray) -> np.ndarray:
     summed = np.zeros(len(values) + 1, dtype=_U)
     np.cumsum(values * powers(_BASE, len(values)), out=summed[1:])

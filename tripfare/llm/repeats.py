@@ -62,12 +62,9 @@ class Grain:
     of_words: bool
     hot: int = 4096
 
-    def _sums(self, data, starts, stops):
-        return arrays.prefix_sums(arrays.span_hashes(data, starts, stops) if self.of_words else arrays.byte_values(data))
-
-    def contents(self, data, starts, stops, begin, end) -> np.ndarray:
-        """Hash of all that segments from window ``begin`` to ``end`` hold."""
-        return arrays.summed_spans(self._sums(data, starts, stops), begin, end - 1 + self.length)
+    def names(self, hashes, begin, end) -> np.ndarray:
+        """Hash of segments from window ``begin`` to ``end`` by their first and last grams: equal ones have one name."""
+        return arrays.mix(hashes[begin] + (end - begin).astype(_U)) ^ arrays.mix(hashes[end - 1 + self.length - self.k] + _U(1))
 
     def grams(self, data, offsets):
         """Anchor candidates, first item of each text, and the byte span of each item."""
@@ -94,10 +91,10 @@ def _counted(grain: Grain):
         for batch in batches:
             found = [(np.zeros(0, _U), np.zeros(0, _U))]
             for _, _, data, offsets in arrays.slices(batch.column(1)):
-                hashes, first, starts, stops = grain.grams(data, offsets)
+                hashes, first, _, _ = grain.grams(data, offsets)
                 begin, end, anchor = grain.segments(hashes, first)
                 if len(begin):
-                    found.append((hashes[anchor], grain.contents(data, starts, stops, begin, end)))
+                    found.append((hashes[anchor], grain.names(hashes, begin, end)))
             anchors, contents = (np.concatenate(c) for c in zip(*found))
             values, place, n = np.unique(anchors, return_inverse=True, return_counts=True)
             # Segments of an anchor that differ: each would travel by itself.
@@ -119,12 +116,12 @@ def _hot_windows(grain: Grain, hot):
         for batch in batches:
             found = [np.zeros(0, _U)]
             for _, _, data, offsets in arrays.slices(batch.column(1)):
-                hashes, first, starts, stops = grain.grams(data, offsets)
+                hashes, first, _, _ = grain.grams(data, offsets)
                 begin, end, anchor = grain.segments(hashes, first)
                 chosen = _held(hot.value, hashes[anchor])
                 window = _windows(begin[chosen], end[chosen])
                 if len(window):
-                    found.append(grain.contents(data, starts, stops, window, window + 1))
+                    found.append(grain.names(hashes, window, window + 1))
             values, n = np.unique(np.concatenate(found), return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(arrays.signed(values)), pa.array(n > 1)], ["anchor", "many"])
 
@@ -228,7 +225,7 @@ def _sent(grain: Grain, held, hot=None, repeated=None):
                 begin, end, lead, name = begin[hit], end[hit], (anchor - begin)[hit], name[hit]
                 if hot is not None and (warm := _held(hot.value, name)).any():
                     window = _windows(begin[warm], end[warm])
-                    own = grain.contents(data, starts, stops, window, window + 1)
+                    own = grain.names(hashes, window, window + 1)
                     window, own = (x[_held(repeated.value, own)] for x in (window, own))
                     begin, end, lead, name = (
                         np.r_[x[~warm], y] for x, y in ((begin, window), (end, window + 1), (lead, np.zeros(len(window), np.int64)), (name, own))
