@@ -357,7 +357,7 @@ def test_benchmark_passages_without_broadcasts(spark, docs, texts, monkeypatch,
     from tripfare.llm import decontamination as dc
 
     monkeypatch.setattr(dc, bound, 0)
-    assert "Broadcast" not in dc._small(docs.select("doc_id"))._jdf.queryExecution().logical().toString()
+    assert "roadcast" not in dc._small(docs.select("text"))._jdf.queryExecution().logical().toString()
     items = spark.createDataFrame(ITEMS, "item_id long, text string")
     found = by_id(decontamination(docs, items), "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
     assert found == brute.leaks(texts, [i for i in ITEMS if i[0] is not None])

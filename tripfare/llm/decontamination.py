@@ -5,7 +5,7 @@ from __future__ import annotations
 import string
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from tripfare.operators.durable import durable
 
@@ -44,6 +44,8 @@ def _small(frame: DataFrame) -> DataFrame:
     """A stored table, marked for broadcast if its rows, which may hold lists and words of any length, are few and short."""
     if frame.count() > BROADCAST_ROWS:
         return frame
+    if all(isinstance(f.dataType, (T.LongType, T.BooleanType)) for f in frame.schema.fields):
+        return F.broadcast(frame)
     size = frame.agg(F.sum(F.octet_length(F.to_json(F.struct(*frame.columns))))).first()[0] or 0
     return F.broadcast(frame) if size <= BROADCAST_BYTES else frame
 

@@ -16,7 +16,8 @@ from tripfare.llm.tables import bound_batches
 from tripfare.operators.durable import durable
 
 _U = np.uint64
-SLICE_TEXTS = 200
+# Characters that are worked on at a time (a longer text is a slice of its own).
+SLICE_CHARS = 1 << 18
 UNDETERMINED = "und"
 
 
@@ -41,12 +42,25 @@ def _not_letters() -> np.ndarray:
 
 def _slices(column: pa.Array):
     """Lower-cased texts as code points: first row, offsets, sums for hashing, words."""
-    for low in range(0, len(column), SLICE_TEXTS):
-        texts = [(t or "").lower() for t in column.slice(low, SLICE_TEXTS).to_pylist()]
+    texts: list[str] = []
+    low = held = 0
+
+    def ready():
         codes = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32)
         offsets = np.r_[0, np.cumsum([len(t) for t in texts])].astype(np.int64)
         starts, stops, first = arrays.words(codes, offsets, _not_letters())
-        yield low, len(texts), arrays.prefix_sums(arrays.mix(codes.astype(_U) + _U(1))), starts, stops, first
+        return low, len(texts), arrays.prefix_sums(arrays.mix(codes.astype(_U) + _U(1))), starts, stops, first
+
+    for text in column:
+        lower = (text.as_py() or "").lower()
+        if texts and held + len(lower) > SLICE_CHARS:
+            yield ready()
+            low, held = low + len(texts), 0
+            texts.clear()
+        texts.append(lower)
+        held += len(lower)
+    if texts:
+        yield ready()
 
 
 def _inner(starts: np.ndarray, stops: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
