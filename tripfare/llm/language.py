@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import lru_cache
 from typing import NamedTuple
@@ -28,8 +28,8 @@ class LanguageSettings:
     This bounds the model, which keeps every word and n-gram of the sample.
     """
 
-    sample: int = 10_000
-    sample_chars: int = 40_000_000
+    sample: int = 5_000
+    sample_chars: int = 15_000_000
     orders: tuple[int, ...] = (4, 3, 2, 1)
     smoothing: float = 0.5
     sharpness: float = 0.25
@@ -118,16 +118,17 @@ class _Weights(NamedTuple):
 class LanguageModel:
     """Log frequency of words and n-grams per language."""
 
-    def __init__(self, tables: dict[int, pa.Table], totals: dict[tuple[int, str], int], settings: LanguageSettings):
+    def __init__(self, table_of: Callable[[int], pa.Table], totals: dict[tuple[int, str], int], settings: LanguageSettings):
         self.langs = sorted({lang for _, lang in totals})
         self.orders = settings.orders
         self.sharpness = settings.sharpness
         place = {lang: i for i, lang in enumerate(self.langs)}
         a, self.weights = settings.smoothing, {}
         for order in (0, *self.orders):
-            mine = tables[order].column("lang").combine_chunks().dictionary_encode()
+            table = table_of(order)
+            mine = table.column("lang").combine_chunks().dictionary_encode()
             lang = np.array([place[x] for x in mine.dictionary.to_pylist()], np.int64)[mine.indices.to_numpy()]
-            key, n = (tables[order].column(c).to_numpy() for c in ("key", "n"))
+            key, n = (table.column(c).to_numpy() for c in ("key", "n"))
             sort = np.lexsort((lang, key))
             keys, first = np.unique(key[sort], return_index=True)
             total = np.array([totals.get((order, lang), 0) for lang in self.langs], float) + a * (len(keys) + 1)
@@ -204,8 +205,8 @@ def fit_language(docs: DataFrame, learn_from: Column, settings: LanguageSettings
     counted = drawn.select("text", "lang").mapInArrow(_counts(settings.orders), "order int, lang string, key long, n long")
     counts = durable(counted.groupBy("order", "lang", "key").agg(F.sum("n").alias("n")), "language-counts")
     totals = {(r["order"], r["lang"]): r["n"] for r in counts.groupBy("order", "lang").agg(F.sum("n").alias("n")).collect()}
-    tables = {order: counts.filter(F.col("order") == order).select("lang", "key", "n").toArrow() for order in (0, *settings.orders)}
-    return LanguageModel(tables, totals, settings)
+    # One order at a time: what comes to the driver is bounded by the sample.
+    return LanguageModel(lambda order: counts.filter(F.col("order") == order).select("lang", "key", "n").toArrow(), totals, settings)
 
 
 def language_id(docs: DataFrame, learn_from: Column | None = None, settings: LanguageSettings = LanguageSettings()) -> DataFrame:
