@@ -18,7 +18,7 @@ BROADCAST_IDS = 1_000_000
 # with Spark's defaults a batch of long texts takes hundreds of megabytes.
 BATCHES = {
     "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
-    "spark.sql.execution.arrow.maxBytesPerBatch": str(8 << 20),
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(4 << 20),
 }
 
 
