@@ -369,7 +369,7 @@ def linear_one_feature(spark, sf):
 
 def _scored(known, model_name: str, setting: str = "pre_trip"):
     prepared = modeling.preprocessing(setting).fit(known["train"])
-    model = modeling.candidates()[model_name].fit(prepared.transform(known["train"]))
+    model = modeling.candidates()[model_name].fit(modeling.training_vectors(prepared, setting, known["train"]))
     predictions = model.transform(prepared.transform(known["test"]))
     return evaluation.compare_models({(setting, model_name): predictions})
 

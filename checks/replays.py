@@ -145,7 +145,8 @@ def _fitted(spark, sf):
     """The learners fitted on training trips, saved, and the vectors of the test trips."""
     known = q._event_history(spark, sf)
     prepared = modeling.preprocessing("pre_trip").fit(known["train"])
-    train = durable(prepared.transform(known["train"]).select("fare_amount", "features"), "train-vectors")
+    made = prepared.transform(known["train"]).select("fare_amount", "features")
+    train = modeling.in_parts(durable(made, "train-vectors"), modeling.feature_count(made))
     path = q._fresh(spark, "models")
     models = {name: modeling.candidates()[name].fit(train) for name in LEARNERS}
     sinks.save_model(prepared, f"{path}/preprocessing")

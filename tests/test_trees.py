@@ -81,3 +81,23 @@ def test_trees_of_one_leaf(spark, tmp_path):
         nodes = trees.tree_nodes(spark, f"{tmp_path}/flat")
         scored = trees.score_trees(flat.select(vector_to_array("features").alias("x")), "x", nodes, 5, trees.is_mean(spark, f"{tmp_path}/flat"))
         assert {r.replayed for r in scored.collect()} == {4.5}
+
+
+def test_learners_get_parts_of_bounded_size(spark, trips, monkeypatch):
+    prepared = modeling.preprocessing("pre_trip").fit(trips)
+    features = modeling.feature_count(prepared.transform(trips))
+    assert features == len(prepared.transform(trips).first().features)
+    monkeypatch.setattr(modeling, "PART_BYTES", 60 * (modeling.FEATURE_BYTES * features + modeling.ROW_BYTES))
+
+    def fitted_on(training):
+        made = modeling.training_vectors(prepared, "pre_trip", training)
+        sizes = made.groupBy(F.spark_partition_id()).count().collect()
+        return made, [r["count"] for r in sizes]
+
+    whole = prepared.transform(trips).select("fare_amount", "features")
+    many, sizes = fitted_on(trips.coalesce(1))
+    assert len(sizes) == 15 and max(sizes) < 2 * 60
+    assert many.exceptAll(whole).isEmpty() and whole.exceptAll(many).isEmpty()
+    # Parts that are small enough stay as they are.
+    assert fitted_on(trips.limit(50).coalesce(1))[1] == [50]
+    assert fitted_on(trips.limit(0))[1] == []

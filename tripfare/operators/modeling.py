@@ -18,6 +18,12 @@ from tripfare.sources.sinks import store
 
 LABEL = "fare_amount"
 
+# Most bytes of one part of the training rows as boosting holds them in memory: each row
+# twice, with four bytes per feature, and the objects around it.
+PART_BYTES = 128 << 20
+FEATURE_BYTES = 8
+ROW_BYTES = 224
+
 # Input columns per setting, and the settings of the estimators.
 _KNOWN_BEFORE = (
     "pickup_hour",
@@ -44,6 +50,30 @@ def preprocessing(setting: str) -> Pipeline:
     return Pipeline(stages=[index, one_hot, vector])
 
 
+def feature_count(vectors: DataFrame) -> int:
+    """Length of the assembled vectors, which the assembler notes beside their column."""
+    return vectors.schema["features"].metadata["ml_attr"]["num_attrs"]
+
+
+def in_parts(rows: DataFrame, features: int) -> DataFrame:
+    """Training rows in parts that hold at most ``PART_BYTES`` once a learner keeps them.
+
+    A scan cuts stored rows by their compressed bytes, which says little about
+    their vectors, and gives each core one cut, however large. So the rows of
+    every part are counted, and dealt anew if one has too many.
+    """
+    most = max(1, PART_BYTES // (FEATURE_BYTES * features + ROW_BYTES))
+    parts = rows.groupBy(F.spark_partition_id().alias("part")).agg(F.count(F.lit(1)).alias("n"))
+    largest, total = parts.agg(F.max("n"), F.sum("n")).first()
+    return rows.repartition(-(-total // most)) if largest and largest > most else rows
+
+
+def training_vectors(stages: PipelineModel, setting: str, trips: DataFrame) -> DataFrame:
+    """Label and features of trips, in parts of bounded size."""
+    rows = trips.select(LABEL, *SETTINGS[setting], *ROUTE)
+    return stages.transform(in_parts(rows, feature_count(stages.transform(rows)))).select(LABEL, "features")
+
+
 def candidates(seed: int = 42) -> dict:
     """Name → estimator, in the order that settles ties."""
     return {
@@ -89,7 +119,7 @@ def fit_settings(
     prepared = {setting: preprocessing(setting).fit(training) for setting in settings}
     vectors = {
         setting: [
-            stages.transform(part).select(LABEL, "features").persist(StorageLevel.MEMORY_AND_DISK)
+            training_vectors(stages, setting, part).persist(StorageLevel.MEMORY_AND_DISK)
             for part in (training, validation)
         ]
         for setting, stages in prepared.items()
