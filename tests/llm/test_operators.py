@@ -491,6 +491,30 @@ def test_what_a_worker_remembers_is_bounded(tokenizer, monkeypatch):
             assert len(memory) <= 100 and max(map(len, memory), default=0) <= token_files.PIECE_BYTES
 
 
+def test_unknown_pieces_reach_the_tokenizer_a_few_at_a_time(tokenizer, monkeypatch):
+    from types import SimpleNamespace
+
+    from tripfare.llm import token_files
+
+    path, plain = tokenizer
+    monkeypatch.setattr(token_files, "TEXTS", 3, raising=False)
+    monkeypatch.setattr(token_files, "LAID_PIECES", 7, raising=False)
+    monkeypatch.setattr(token_files, "TOGETHER", 4)
+    tool = Encoder(path)
+    taken = []
+
+    def encode(texts, **how):
+        taken.append(len(texts))
+        return plain.encode_batch_fast(texts, **how)
+
+    tool.tokenizer = SimpleNamespace(encode_batch_fast=encode)
+    texts = ["", *[passage(i, 30) for i in range(20)], "", "one", None, "a b " * 9]
+    for _ in range(2):
+        for t, found in zip(texts, tool.encode(texts), strict=True):
+            assert np.frombuffer(found, "<u4").tolist() == plain.encode(t or "", add_special_tokens=False).ids
+    assert sum(taken) > 20 and max(taken) <= 3
+
+
 @pytest.mark.parametrize("width", [1, 5, 8, 13, 16, 17, 31, 32])
 def test_bit_packing(width):
     ids = np.random.default_rng(width).integers(0, 1 << width, 1001, dtype=np.uint64)

@@ -20,11 +20,14 @@ from tripfare.operators.durable import shared_folder
 # A block ends with the first document that takes it to this many ids.
 BLOCK_IDS = 1 << 16
 # Pieces of text whose ids a worker remembers, twice over: none is longer than
-# PIECE_BYTES, and an id is a byte at least, so this bounds the bytes too.
-REMEMBERED = 250_000
+# PIECE_BYTES, and an id is a byte at least, so this bounds the bytes too. A piece
+# takes some 200 bytes of a worker beside its text, and so do its ids.
+REMEMBERED = 50_000
 PIECE_BYTES = 64
 # Texts that are cut and encoded at a time.
 ENCODED_BYTES = 4 << 20
+# Pieces of them whose ids are laid out at a time; a longer text is laid out alone.
+LAID_PIECES = 1 << 16
 
 BLOCKS = (
     "part int, block int, first long, n_ids long, width int, low_doc long, high_doc long, doc_ids array<long>, lengths array<long>, packed binary"
@@ -32,8 +35,10 @@ BLOCKS = (
 _NAMES = [part.split()[0] for part in BLOCKS.split(", ")]
 _TYPES = [pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.binary()]
 
-# Unknown pieces that are encoded as one text.
+# Unknown pieces that are encoded as one text, and texts that the tokenizer gets at a time:
+# what it returns takes some hundred bytes an id.
 TOGETHER = 64
+TEXTS = 128
 
 def _bytes(of: bytes) -> np.ndarray:
     table = np.zeros(256, dtype=bool)
@@ -122,8 +127,11 @@ class Encoder:
         self.older: dict[bytes, bytes] = {}
 
     def _ids(self, texts: list[bytes]) -> list[np.ndarray]:
-        found = self.tokenizer.encode_batch_fast([t.decode() for t in texts], add_special_tokens=False)
-        return [np.array(e.ids, "<u4") for e in found]
+        ids = []
+        for at in range(0, len(texts), TEXTS):
+            found = self.tokenizer.encode_batch_fast([t.decode() for t in texts[at : at + TEXTS]], add_special_tokens=False)
+            ids += [np.array(e.ids, "<u4") for e in found]
+        return ids
 
     def _learn(self, pieces: list[bytes]) -> dict[bytes, bytes]:
         """Ids of distinct pieces not met before."""
@@ -178,12 +186,23 @@ class Encoder:
         kind = pieces.indices.to_numpy()
         size = np.fromiter(map(len, ids), np.int64, len(ids)) >> 2
         first = np.cumsum(size) - size
-        count = size[kind]
-        ends = np.cumsum(count)
-        place = np.repeat(first[kind] - (ends - count), count) + np.arange(ends[-1])
-        laid = np.frombuffer(b"".join(ids), "<u4")[place].tobytes()
-        cut = (np.r_[0, ends][np.searchsorted(edges, offsets)] * 4).tolist()
-        return [laid[a:b] for a, b in zip(cut[:-1], cut[1:])]
+        distinct = np.frombuffer(b"".join(ids), "<u4")
+        cut = np.searchsorted(edges, offsets)
+        del edges, pieces, ids
+        found = []
+        low = 0
+        # Ids are laid out for some texts at a time.
+        while low < len(cut) - 1:
+            high = max(low + 1, int(np.searchsorted(cut, cut[low] + LAID_PIECES, side="right")) - 1)
+            own = kind[cut[low] : cut[high]]
+            count = size[own]
+            ends = np.cumsum(count)
+            place = np.repeat(first[own] - (ends - count), count) + np.arange(count.sum())
+            laid = distinct[place].tobytes()
+            at = (np.r_[0, ends][cut[low : high + 1] - cut[low]] * 4).tolist()
+            found += [laid[a:b] for a, b in zip(at[:-1], at[1:])]
+            low = high
+        return found
 
 
 @lru_cache(maxsize=2)
@@ -227,6 +246,8 @@ def _blocks(tokenizer: str, end_id: int, block_ids: int):
                     yield ready()
                     block, first = block + 1, first + held
                     ids, lengths, parts, held = [], [], [], 0
+            # What Arrow keeps for the next batch adds to what the next task or stage takes.
+            pa.default_memory_pool().release_unused()
         if ids:
             yield ready()
 
